@@ -12,11 +12,11 @@ from scoreline.functions import FINISHED, flag, points, side_outcome
 RANK_ORDER = ["points", "goal_difference", "goals_for"]
 
 
-def unpivot_sides(matches: DataFrame) -> DataFrame:
-    """Finished matches -> two rows each, one per side (team, group, gf, ga, outcome, venue).
+def unpivot_sides(matches: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Finished matches -> two rows each, one per side (team, group, gf, ga, result, venue, outcome).
 
     One scan of the input: ``inline(array(home, away))`` instead of a union
-    of two projections of the same plan.
+    of two projections of the same plan. ``carry`` columns ride along.
     """
     finished = matches.filter(F.col("status") == FINISHED)
 
@@ -28,6 +28,7 @@ def unpivot_sides(matches: DataFrame) -> DataFrame:
             F.col(ga).alias("ga"),
             F.col("result").alias("result"),
             F.lit(venue).alias("venue"),
+            *[F.col(c).alias(c) for c in carry],
         )
 
     sides = finished.select(

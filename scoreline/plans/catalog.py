@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scoreline.operators import standings
+from scoreline.operators import gold, quality, scd2, serving, standings
 from scoreline.plans import derive
+from scoreline.schemas import STANDINGS_COMPARE, STANDINGS_KEYS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,3 +48,196 @@ def silver_matches(spark, sf_dir):
 @query
 def silver_match_result(spark, sf_dir):
     return derive.with_result(derive.raw_matches(spark, sf_dir))
+
+
+# --- shared inputs ----------------------------------------------------------
+
+# Fixed parameters of the two SCD2 snapshots: matchday cut-offs and stamps.
+CUT1, CUT2 = 79, 83
+T1, T2 = dt.datetime(2026, 6, 20), dt.datetime(2026, 6, 27)
+AS_OF = dt.datetime(2026, 6, 23)
+RECENT_N, TOP_N = 12, 8
+SHOWN_GROUP = "AFRICA"
+
+
+def _standings(spark, sf_dir, cutoff=None):
+    m = derive.matches(spark, sf_dir)
+    if cutoff is not None:
+        m = m.filter(F.col("matchday") <= cutoff)
+    return standings.compute(m).select(*standings.STANDINGS_COLUMNS)
+
+
+def _scd2_inputs(spark, sf_dir):
+    existing = scd2.initial(_standings(spark, sf_dir, CUT1), T1)
+    return existing, _standings(spark, sf_dir, CUT2)
+
+
+def _merged(spark, sf_dir):
+    existing, incoming = _scd2_inputs(spark, sf_dir)
+    return scd2.merge(existing, incoming, STANDINGS_KEYS, STANDINGS_COMPARE, T2)
+
+
+def _merged_as(change):
+    def q(spark, sf_dir):
+        return _merged(spark, sf_dir).filter(F.col("change") == change).drop("change")
+
+    return q
+
+
+def _trend(spark, sf_dir):
+    return gold.goals_by_matchday(derive.matches(spark, sf_dir))
+
+
+# --- gold ---------------------------------------------------------------------
+
+
+@query
+def gold_standings_current(spark, sf_dir):
+    existing, incoming = _scd2_inputs(spark, sf_dir)
+    return gold.standings_current(scd2.apply(existing, incoming, STANDINGS_KEYS, STANDINGS_COMPARE, T2))
+
+
+@query
+def gold_top_scorers(spark, sf_dir):
+    return gold.top_scorers(derive.events(spark, sf_dir))
+
+
+@query
+def gold_team_form(spark, sf_dir):
+    return gold.team_form(derive.matches(spark, sf_dir))
+
+
+@query
+def gold_goals_by_matchday(spark, sf_dir):
+    return _trend(spark, sf_dir)
+
+
+# --- SCD2 ---------------------------------------------------------------------
+
+
+@query
+def scd2_initial(spark, sf_dir):
+    return scd2.initial(_standings(spark, sf_dir, CUT1), T1)
+
+
+@query
+def scd2_changed_keys(spark, sf_dir):
+    existing, incoming = _scd2_inputs(spark, sf_dir)
+    return scd2.changed_keys(existing, incoming, STANDINGS_KEYS, STANDINGS_COMPARE)
+
+
+QUERIES["scd2_closed"] = _merged_as("closed")
+QUERIES["scd2_unchanged"] = _merged_as("unchanged")
+QUERIES["scd2_inserted"] = _merged_as("inserted")
+
+
+@query
+def scd2_apply(spark, sf_dir):
+    return _merged(spark, sf_dir).drop("change")
+
+
+@query
+def scd2_metrics(spark, sf_dir):
+    return scd2.metrics(_merged(spark, sf_dir))
+
+
+@query
+def scd2_as_of(spark, sf_dir):
+    return scd2.as_of(_merged(spark, sf_dir).drop("change"), AS_OF)
+
+
+# --- serving --------------------------------------------------------------------
+
+
+@query
+def serve_recent_events(spark, sf_dir):
+    return serving.recent_events(derive.events(spark, sf_dir), RECENT_N)
+
+
+@query
+def serve_event_icons(spark, sf_dir):
+    return serving.with_icons(derive.events(spark, sf_dir)).select("event_id", "event_type", "icon")
+
+
+@query
+def serve_event_line(spark, sf_dir):
+    return serving.with_lines(derive.events(spark, sf_dir)).select("event_id", "line")
+
+
+@query
+def serve_top_scorers(spark, sf_dir):
+    return serving.top_scorers(gold.top_scorers(derive.events(spark, sf_dir)), TOP_N)
+
+
+@query
+def serve_group_list(spark, sf_dir):
+    return serving.group_list(_standings(spark, sf_dir))
+
+
+@query
+def serve_group_table(spark, sf_dir):
+    return serving.group_table(_standings(spark, sf_dir), SHOWN_GROUP)
+
+
+@query
+def serve_form_spaced(spark, sf_dir):
+    return serving.form_spaced(gold.team_form(derive.matches(spark, sf_dir)))
+
+
+@query
+def serve_freshness(spark, sf_dir):
+    return serving.freshness(derive.matches(spark, sf_dir), "ingested_at")
+
+
+@query
+def kpi_matches_played(spark, sf_dir):
+    return serving.kpi_matches_played(derive.matches(spark, sf_dir))
+
+
+@query
+def kpi_total_goals(spark, sf_dir):
+    return serving.kpi_total_goals(_trend(spark, sf_dir))
+
+
+@query
+def kpi_distinct_teams(spark, sf_dir):
+    return serving.kpi_distinct_teams(_standings(spark, sf_dir))
+
+
+@query
+def kpi_avg_goals(spark, sf_dir):
+    return serving.kpi_avg_goals(_trend(spark, sf_dir))
+
+
+# --- quality and gate -----------------------------------------------------------
+
+
+def _teams_dim(spark, sf_dir):
+    # The registered teams: customers only, so supplier sides are "unknown".
+    return derive.teams(spark, sf_dir, include_suppliers=False)
+
+
+@query
+def dq_report(spark, sf_dir):
+    cur = gold_standings_current(spark, sf_dir)
+    trend = _trend(spark, sf_dir)
+    scorers = gold.top_scorers(derive.events(spark, sf_dir))
+    return quality.report(
+        [
+            quality.table_checks(
+                cur, "standings", not_null=["team"], non_negative=["points"], known=("team", _teams_dim(spark, sf_dir), "name")
+            ),
+            quality.table_checks(trend, "goals_by_matchday", not_null=["matchday"], non_negative=["goals"]),
+            quality.table_checks(scorers, "top_scorers", not_null=["player"], non_negative=["goals"]),
+        ]
+    )
+
+
+@query
+def dq_unknown_teams(spark, sf_dir):
+    return quality.unknown(gold_standings_current(spark, sf_dir), "team", _teams_dim(spark, sf_dir), "name")
+
+
+@query
+def gate_live(spark, sf_dir):
+    return quality.is_live(derive.matches(spark, sf_dir))

@@ -46,7 +46,7 @@ m AS (
 M = "WITH " + RAW_MATCHES + "," + LATEST_MATCHES
 
 SIDES = """
-sides AS (
+sides{sfx} AS (
   SELECT home_team AS team, "group", home_score AS gf, away_score AS ga, result, 'home' AS venue,
     CASE result WHEN 'home_win' THEN 'W' WHEN 'draw' THEN 'D' WHEN 'away_win' THEN 'L' END AS outcome
   FROM {src} WHERE status = 'finished'
@@ -57,7 +57,7 @@ sides AS (
 )"""
 
 UNRANKED = """
-unranked AS (
+unranked{sfx} AS (
   SELECT "group", team,
     count(*) AS played,
     CAST(count(*) FILTER (WHERE outcome = 'W') AS BIGINT) AS won,
@@ -67,31 +67,228 @@ unranked AS (
     CAST(sum(ga) AS BIGINT) AS goals_against,
     CAST(sum(CASE outcome WHEN 'W' THEN 3 WHEN 'D' THEN 1 ELSE 0 END) AS BIGINT) AS points,
     CAST(sum(gf) - sum(ga) AS BIGINT) AS goal_difference
-  FROM sides GROUP BY "group", team
+  FROM sides{sfx} GROUP BY "group", team
 )"""
 
 RANKED = """
-ranked AS (
+ranked{sfx} AS (
   SELECT *, CAST(rank() OVER (PARTITION BY "group"
       ORDER BY points DESC NULLS LAST, goal_difference DESC NULLS LAST, goals_for DESC NULLS LAST) AS INT) AS group_rank
-  FROM unranked
+  FROM unranked{sfx}
 )"""
 
 
-def standings_ctes(src: str = "m") -> str:
-    return "," + SIDES.format(src=src) + "," + UNRANKED + "," + RANKED
+def standings_ctes(src: str = "m", sfx: str = "") -> str:
+    return "," + ",".join(t.format(src=src, sfx=sfx) for t in (SIDES, UNRANKED, RANKED))
 
 
 STANDINGS = M + standings_ctes()
 
+EVENTS = """
+e AS (
+  SELECT CAST(event_id AS VARCHAR) AS event_id,
+    json_extract_string(props, '$.k') AS home_team,
+    CAST((TRY_CAST(json_extract_string(props, '$.k') AS INT) + 50) % 100 AS VARCHAR) AS away_team,
+    CAST(NULL AS VARCHAR) AS "group",
+    json_extract_string(props, '$.k') AS team,
+    CAST(user_id AS VARCHAR) AS player,
+    CASE event_type WHEN 'purchase' THEN 'goal' WHEN 'error' THEN 'yellow_card' WHEN 'signup' THEN 'red_card'
+      WHEN 'click' THEN 'substitution' ELSE event_type END AS event_type,
+    CAST(minute(ts) AS INT) AS minute,
+    ts AS ingested_at
+  FROM events
+)"""
+
+# The feed icons per event type and the default bullet.
+ICON = (
+    "CASE event_type WHEN 'goal' THEN '⚽' WHEN 'yellow_card' THEN '\U0001f7e8' "
+    "WHEN 'red_card' THEN '\U0001f7e5' WHEN 'substitution' THEN '\U0001f504' ELSE '•' END"
+)
+DASH = "—"
+
+SCORERS = """
+scorers AS (SELECT player, team, count(*) AS goals FROM e WHERE event_type = 'goal' GROUP BY player, team)"""
+
+TREND = """
+trend AS (
+  SELECT matchday, CAST(sum(home_score + away_score) AS BIGINT) AS goals, count(*) AS matches_played,
+    ((200 * sum(home_score + away_score) + count(*)) // (2 * count(*))) / 100.0 AS avg_goals_per_match
+  FROM m WHERE status = 'finished' GROUP BY matchday
+)"""
+
+FORM_SIDES = """
+form_sides AS (
+  SELECT home_team AS team, matchday,
+    CASE result WHEN 'home_win' THEN 'W' WHEN 'away_win' THEN 'L' ELSE 'D' END AS oc
+  FROM m WHERE status = 'finished'
+  UNION ALL
+  SELECT away_team, matchday, CASE result WHEN 'away_win' THEN 'W' WHEN 'home_win' THEN 'L' ELSE 'D' END
+  FROM m WHERE status = 'finished'
+)"""
+
+ATTRS = ["played", "won", "drawn", "lost", "goals_for", "goals_against", "points", "goal_difference", "group_rank"]
+COMPARE = ["played", "won", "drawn", "lost", "goals_for", "goals_against", "points", "group_rank"]
+T1 = "TIMESTAMP '2026-06-20 00:00:00'"
+T2 = "TIMESTAMP '2026-06-27 00:00:00'"
+AS_OF = "TIMESTAMP '2026-06-23 00:00:00'"
+PLAIN = ["group", "team"] + ATTRS
+SCD_COLS = ", ".join(f'"{c}"' for c in PLAIN) + ", effective_from, effective_to, is_current"
+
+
+def _scd2(select: str) -> str:
+    """Two standings snapshots (matchday <= 79 stamped T1, <= 83 stamped T2) merged."""
+    ocols = ", ".join(f'x."{c}" AS o_{c}' for c in PLAIN)
+    ncols = ", ".join(f'y."{c}" AS n_{c}' for c in PLAIN)
+    differs = " OR ".join(f"o_{c} IS DISTINCT FROM n_{c}" for c in COMPARE)
+    osel = ", ".join(f'o_{c} AS "{c}"' for c in PLAIN)
+    nsel = ", ".join(f'n_{c} AS "{c}"' for c in PLAIN)
+    return (
+        M
+        + ",\nm1 AS (SELECT * FROM m WHERE matchday <= 79)"
+        + standings_ctes("m1", "1")
+        + ",\nm2 AS (SELECT * FROM m WHERE matchday <= 83)"
+        + standings_ctes("m2", "2")
+        + f""",
+existing AS (SELECT *, {T1} AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, true AS is_current
+  FROM ranked1),
+j AS (
+  SELECT {ocols}, x.effective_from AS o_from, x.is_current AS o_in, {ncols}, y.played IS NOT NULL AS n_in
+  FROM existing x FULL OUTER JOIN ranked2 y
+    ON x."group" IS NOT DISTINCT FROM y."group" AND x.team IS NOT DISTINCT FROM y.team
+),
+jc AS (SELECT *, (o_in IS NULL OR NOT n_in OR {differs}) AS changed FROM j),
+merged AS (
+  SELECT 'unchanged' AS change, {osel}, o_from AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to,
+    true AS is_current
+  FROM jc WHERE o_in AND n_in AND NOT changed
+  UNION ALL
+  SELECT 'closed', {osel}, o_from, {T2}, false FROM jc WHERE o_in AND changed
+  UNION ALL
+  SELECT 'inserted', {nsel}, {T2}, CAST(NULL AS TIMESTAMP), true FROM jc WHERE n_in AND changed
+)
+"""
+        + select
+    )
+
+
+def _checks(table: str, src: str, not_null: list[str], non_negative: list[str], known: str | None = None) -> str:
+    parts = [
+        f"SELECT '{table}' AS \"table\", '{table}_not_empty' AS \"check\", "
+        f"CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS failed_rows FROM {src}"
+    ]
+    for c in not_null:
+        parts.append(f"SELECT '{table}', '{table}_no_null_{c}', count(*) FILTER (WHERE {c} IS NULL) FROM {src}")
+    for c in non_negative:
+        parts.append(f"SELECT '{table}', '{table}_{c}_non_negative', count(*) FILTER (WHERE {c} < 0) FROM {src}")
+    if known:
+        parts.append(f"SELECT '{table}', 'all_{table}_teams_known', count(*) FROM ({known})")
+    return " UNION ALL ".join(parts)
+
+
+UNKNOWN_TEAMS = """SELECT DISTINCT team FROM cur s
+  WHERE team IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_name = s.team)"""
+
 
 def sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["standings_ranked"] = STANDINGS + " SELECT * FROM ranked"
     q["standings_unranked"] = STANDINGS + " SELECT * FROM unranked"
-    q["unpivot_sides"] = M + "," + SIDES.format(src="m") + " SELECT * FROM sides"
+    q["unpivot_sides"] = M + "," + SIDES.format(src="m", sfx="") + " SELECT * FROM sides"
     q["silver_matches"] = M + " SELECT * FROM m"
-    q["silver_match_result"] = (
-        "WITH " + RAW_MATCHES + " SELECT *, " + RESULT + " AS result FROM raw_matches"
+    q["silver_match_result"] = "WITH " + RAW_MATCHES + " SELECT *, " + RESULT + " AS result FROM raw_matches"
+
+    # gold
+    q["gold_standings_current"] = _scd2('SELECT "group", team, ' + ", ".join(ATTRS) + " FROM merged WHERE is_current")
+    q["gold_top_scorers"] = "WITH " + EVENTS + "," + SCORERS + " SELECT * FROM scorers"
+    q["gold_team_form"] = (
+        M + "," + FORM_SIDES + " SELECT team, string_agg(oc, '' ORDER BY matchday NULLS FIRST, oc) AS form "
+        "FROM form_sides GROUP BY team"
+    )
+    q["gold_goals_by_matchday"] = M + "," + TREND + " SELECT * FROM trend"
+
+    # SCD2
+    q["scd2_initial"] = _scd2("SELECT * FROM existing")
+    q["scd2_changed_keys"] = _scd2(
+        'SELECT COALESCE(o_group, n_group) AS "group", COALESCE(o_team, n_team) AS team, '
+        "CASE WHEN o_in IS NULL THEN 'new' WHEN NOT n_in THEN 'gone' ELSE 'changed' END AS change "
+        "FROM jc WHERE changed"
+    )
+    for ch in ("closed", "unchanged", "inserted"):
+        q[f"scd2_{ch}"] = _scd2(f"SELECT {SCD_COLS} FROM merged WHERE change = '{ch}'")
+    q["scd2_apply"] = _scd2(f"SELECT {SCD_COLS} FROM merged")
+    q["scd2_metrics"] = _scd2(
+        "SELECT count(*) FILTER (WHERE change = 'unchanged') AS unchanged, "
+        "count(*) FILTER (WHERE change = 'closed') AS closed, "
+        "count(*) FILTER (WHERE change = 'inserted') AS inserted, "
+        "CAST(0 AS BIGINT) AS history, count(*) AS total, "
+        "count(*) FILTER (WHERE change IN ('unchanged', 'inserted')) AS current FROM merged"
+    )
+    q["scd2_as_of"] = _scd2(
+        f"SELECT {SCD_COLS} FROM merged WHERE effective_from <= {AS_OF} "
+        f"AND (effective_to IS NULL OR effective_to > {AS_OF})"
+    )
+
+    # serving
+    q["serve_recent_events"] = (
+        "WITH " + EVENTS + " SELECT * FROM e ORDER BY ingested_at DESC NULLS LAST, event_id DESC NULLS LAST LIMIT 12"
+    )
+    q["serve_event_icons"] = "WITH " + EVENTS + f" SELECT event_id, event_type, {ICON} AS icon FROM e"
+    q["serve_event_line"] = (
+        "WITH " + EVENTS + f", ei AS (SELECT *, {ICON} AS icon FROM e) "
+        "SELECT event_id, CAST(minute AS VARCHAR) || ''' ' || icon || ' ' || player || ' (' || team || ') "
+        + DASH
+        + " ' || home_team || ' vs ' || away_team AS line FROM ei"
+    )
+    q["serve_top_scorers"] = (
+        "WITH " + EVENTS + "," + SCORERS + " SELECT *, player || ' (' || team || ')' AS label FROM scorers "
+        "ORDER BY goals DESC, player ASC NULLS LAST, team ASC NULLS LAST LIMIT 8"
+    )
+    q["serve_group_list"] = STANDINGS + ' SELECT DISTINCT "group" FROM ranked WHERE "group" IS NOT NULL'
+    q["serve_group_table"] = (
+        STANDINGS + ' SELECT group_rank AS "#", team AS "Team", played AS "P", won AS "W", drawn AS "D", '
+        'lost AS "L", goals_for AS "GF", goals_against AS "GA", goal_difference AS "GD", points AS "Pts" '
+        "FROM ranked WHERE \"group\" = 'AFRICA'"
+    )
+    q["serve_form_spaced"] = (
+        M + "," + FORM_SIDES + " SELECT team, string_agg(oc, ' ' ORDER BY matchday NULLS FIRST, oc) AS form "
+        "FROM form_sides GROUP BY team"
+    )
+    q["serve_freshness"] = (
+        M + " SELECT count(*) > 0 AS available, max(ingested_at) AS latest_ingested_at, count(*) AS rows FROM m"
+    )
+    q["kpi_matches_played"] = (
+        M + " SELECT count(*) FILTER (WHERE status = 'finished') AS finished, count(*) AS total FROM m"
+    )
+    q["kpi_total_goals"] = (
+        M + "," + TREND + " SELECT CAST(COALESCE(sum(goals), 0) AS BIGINT) AS total_goals FROM trend"
+    )
+    q["kpi_distinct_teams"] = STANDINGS + " SELECT count(DISTINCT team) AS teams FROM ranked"
+    q["kpi_avg_goals"] = (
+        M + "," + TREND + " SELECT round(avg(avg_goals_per_match), 6) AS avg_goals_per_match, "
+        "round(CAST(sum(goals) AS DOUBLE) / sum(matches_played), 6) AS weighted_avg FROM trend"
+    )
+
+    # quality and gate
+    cur = ", cur AS (SELECT * FROM merged WHERE is_current)"
+    q["dq_report"] = _scd2(
+        cur
+        + ","
+        + EVENTS
+        + ","
+        + SCORERS
+        + ","
+        + TREND
+        + ", rep AS ("
+        + _checks("standings", "cur", ["team"], ["points"], UNKNOWN_TEAMS)
+        + " UNION ALL "
+        + _checks("goals_by_matchday", "trend", ["matchday"], ["goals"])
+        + " UNION ALL "
+        + _checks("top_scorers", "scorers", ["player"], ["goals"])
+        + ') SELECT "table", "check", CAST(failed_rows AS BIGINT) AS failed_rows, failed_rows = 0 AS passed FROM rep'
+    )
+    q["dq_unknown_teams"] = _scd2(cur + " " + UNKNOWN_TEAMS)
+    q["gate_live"] = (
+        M + " SELECT COALESCE(bool_or(NOT COALESCE(status IN ('finished'), false)), false) AS is_live, "
+        "count(*) FILTER (WHERE NOT COALESCE(status IN ('finished'), false)) AS open_matches FROM m"
     )
     return q
