@@ -9,9 +9,15 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreline.operators import gold, quality, scd2, serving, standings
+from scoreline.functions import lenient_int
+from scoreline.operators import bronze, gold, quality, scd2, serving, silver, standings
 from scoreline.plans import derive
-from scoreline.schemas import STANDINGS_COMPARE, STANDINGS_KEYS
+from scoreline.schemas import STADIUMS_RAW, STANDINGS_COMPARE, STANDINGS_KEYS, TEAMS_RAW
+from scoreline.session import scratch_path
+from scoreline.sources import events as events_src
+from scoreline.sources import landing
+from scoreline.sources.io import Tables
+from scoreline.sources.registry import get_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -241,3 +247,144 @@ def dq_unknown_teams(spark, sf_dir):
 @query
 def gate_live(spark, sf_dir):
     return quality.is_live(derive.matches(spark, sf_dir))
+
+
+# --- landing, bronze, silver -----------------------------------------------------
+
+# Fixed stamps of the two landing batches (an early all-scheduled snapshot,
+# then the current one whose team names arrive padded).
+BATCH_A = ("2026-06-20T00:00:00+00:00", "snapshot")
+BATCH_B = ("2026-06-27T00:00:00+00:00", "snapshot")
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark, sf_dir, what, build):
+    """Write a fixture once per application and input folder; return its path."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _LANDED:
+        path = scratch_path(spark, what)
+        build(path)
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
+def _landing(spark, sf_dir):
+    def build(path):
+        src = get_source("snapshot")(spark, sf_dir)
+        raw = derive.raw_matches(spark, sf_dir)
+        landing.write_payload(
+            path, *BATCH_A, teams=src["teams"], stadiums=src["stadiums"], matches=derive.scheduled_matches(raw)
+        )
+        padded = src["teams"].withColumn("name", F.concat(F.lit(" "), "name", F.lit("  ")))
+        landing.write_payload(path, *BATCH_B, teams=padded, stadiums=src["stadiums"], matches=src["matches"])
+
+    return landing.read_landing(spark, _once(spark, sf_dir, "landing", build))
+
+
+@query
+def src_landing_json(spark, sf_dir):
+    return landing.batch_summary(_landing(spark, sf_dir))
+
+
+@query
+def src_latest_batch(spark, sf_dir):
+    return landing.batch_summary(landing.latest_batch(_landing(spark, sf_dir)))
+
+
+@query
+def src_explode_entities(spark, sf_dir):
+    return landing.explode_entity(landing.latest_batch(_landing(spark, sf_dir)), "matches")
+
+
+@query
+def io_landing_roundtrip(spark, sf_dir):
+    return landing.explode_entity(_landing(spark, sf_dir), "matches")
+
+
+@query
+def src_registry(spark, sf_dir):
+    return get_source("snapshot")(spark, sf_dir)["teams"]
+
+
+@query
+def src_group_map_flatten(spark, sf_dir):
+    def build(path):
+        landing.write_group_map(path, derive.teams(spark, sf_dir), *BATCH_B)
+
+    return landing.flatten_group_map(landing.read_group_map(spark, _once(spark, sf_dir, "groupmap", build)))
+
+
+@query
+def bronze_align_schema(spark, sf_dir):
+    cust = derive.teams(spark, sf_dir, include_suppliers=False).select("name", "group")
+    supp = derive.table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("name"), F.lit("group_stage").alias("source_table")
+    )
+    return bronze.align_all([cust, supp], TEAMS_RAW)
+
+
+@query
+def bronze_stamp(spark, sf_dir):
+    st = bronze.align(derive.stadiums(spark, sf_dir), STADIUMS_RAW)
+    return bronze.stamp(st, *BATCH_B).withColumn("capacity", lenient_int("capacity"))
+
+
+@query
+def silver_typed_cast(spark, sf_dir):
+    latest = landing.explode_entity(landing.latest_batch(_landing(spark, sf_dir)), "matches")
+    return silver.typed_matches(latest).select("home_team", "away_team", "home_score", "away_score", "matchday", "status")
+
+
+@query
+def silver_teams(spark, sf_dir):
+    return silver.teams(landing.explode_entity(_landing(spark, sf_dir), "teams"))
+
+
+def _redelivered(spark, sf_dir):
+    """Events plus a second, later delivery of every goal (the sweep re-reads files)."""
+    e = derive.events(spark, sf_dir)
+    again = e.filter(F.col("event_type") == "goal").withColumn(
+        "ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 MINUTE")
+    )
+    return e.unionByName(again)
+
+
+@query
+def silver_events(spark, sf_dir):
+    return silver.events(_redelivered(spark, sf_dir))
+
+
+@query
+def src_events_json(spark, sf_dir):
+    path = _once(spark, sf_dir, "events_json", lambda p: events_src.write_events(derive.events(spark, sf_dir), p))
+    return events_src.read_events(spark, path)
+
+
+@query
+def io_roundtrip(spark, sf_dir):
+    def build(root):
+        Tables(spark, root).overwrite(derive.matches(spark, sf_dir), "silver_matches", 1)
+
+    return Tables(spark, _once(spark, sf_dir, "io_roundtrip", build)).read("silver_matches")
+
+
+@query
+def io_append(spark, sf_dir):
+    def build(root):
+        t = Tables(spark, root)
+        e = derive.events(spark, sf_dir)
+        t.append(e, "bronze_events")
+        t.append(e, "bronze_events")
+
+    return Tables(spark, _once(spark, sf_dir, "io_append", build)).read("bronze_events")
+
+
+@query
+def io_overwrite(spark, sf_dir):
+    def build(root):
+        t = Tables(spark, root)
+        e = derive.events(spark, sf_dir)
+        t.overwrite(e, "silver_events", 1)
+        t.overwrite(e.filter(F.col("event_type") == "goal"), "silver_events", 2)
+
+    return Tables(spark, _once(spark, sf_dir, "io_overwrite", build)).read("silver_events")

@@ -150,3 +150,35 @@ def stadiums(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("country"),
         F.col("p_size").alias("capacity"),
     )
+
+
+def landing_matches(raw: DataFrame) -> DataFrame:
+    """Raw matches as a source sends them: scores as numbers, the away score
+    as decimal text ('2.0'), and the score line 'h–a' once both are known."""
+    h, a = F.col("home_score"), F.col("away_score")
+    return raw.select(
+        "home_team",
+        "away_team",
+        "home_score",
+        F.when(a.isNotNull(), F.format_string("%d.0", a)).alias("away_score"),
+        "group",
+        "matchday",
+        "stadium",
+        "status",
+        F.when(h.isNotNull() & a.isNotNull(), F.format_string("%d–%d", h, a)).alias("score"),
+    )
+
+
+def scheduled_matches(raw: DataFrame) -> DataFrame:
+    """An earlier snapshot of the same fixtures: nothing played yet."""
+    return raw.select(
+        "home_team",
+        "away_team",
+        F.lit(None).cast("int").alias("home_score"),
+        F.lit(None).cast("string").alias("away_score"),
+        "group",
+        "matchday",
+        "stadium",
+        F.lit("scheduled").alias("status"),
+        F.lit(None).cast("string").alias("score"),
+    )

@@ -291,4 +291,75 @@ def sql() -> dict[str, str]:
         M + " SELECT COALESCE(bool_or(NOT COALESCE(status IN ('finished'), false)), false) AS is_live, "
         "count(*) FILTER (WHERE NOT COALESCE(status IN ('finished'), false)) AS open_matches FROM m"
     )
+    q.update(sql_sources())
+    return q
+
+
+TEAMS_ALL = """
+teams_all AS (
+  SELECT c_name AS name, r_name AS "group", CAST(NULL AS VARCHAR) AS source_table
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  UNION ALL
+  SELECT s_name, r_name, CAST(NULL AS VARCHAR)
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+)"""
+BATCH_A = "'2026-06-20T00:00:00+00:00'"
+BATCH_B = "'2026-06-27T00:00:00+00:00'"
+
+
+def _landing_rows(batch: str) -> str:
+    if batch == BATCH_A:
+        return (
+            "SELECT home_team, away_team, CAST(NULL AS VARCHAR) AS home_score, CAST(NULL AS VARCHAR) AS away_score, "
+            '"group", CAST(matchday AS VARCHAR) AS matchday, stadium, \'scheduled\' AS status, '
+            f"CAST(NULL AS VARCHAR) AS score, {BATCH_A} AS ingested_at, 'snapshot' AS source_name FROM raw_matches"
+        )
+    return (
+        "SELECT home_team, away_team, CAST(home_score AS VARCHAR) AS home_score, "
+        "CAST(away_score AS VARCHAR) || '.0' AS away_score, \"group\", CAST(matchday AS VARCHAR) AS matchday, "
+        "stadium, status, CASE WHEN home_score IS NOT NULL AND away_score IS NOT NULL THEN "
+        "CAST(home_score AS VARCHAR) || '–' || CAST(away_score AS VARCHAR) END AS score, "
+        f"{BATCH_B} AS ingested_at, 'snapshot' AS source_name FROM raw_matches"
+    )
+
+
+def _summary(batch: str) -> str:
+    return (
+        f"SELECT {batch} AS fetched_at, 'snapshot' AS source_name, (SELECT count(*) FROM teams_all) AS teams, "
+        "(SELECT count(*) FROM part) AS stadiums, (SELECT count(*) FROM raw_matches) AS matches"
+    )
+
+
+def sql_sources() -> dict[str, str]:
+    q: dict[str, str] = {}
+    w = "WITH " + RAW_MATCHES + "," + TEAMS_ALL + " "
+    q["src_landing_json"] = w + _summary(BATCH_A) + " UNION ALL " + _summary(BATCH_B)
+    q["src_latest_batch"] = w + _summary(BATCH_B)
+    q["src_explode_entities"] = w + _landing_rows(BATCH_B)
+    q["io_landing_roundtrip"] = w + _landing_rows(BATCH_A) + " UNION ALL " + _landing_rows(BATCH_B)
+    q["src_registry"] = w + "SELECT * FROM teams_all"
+    q["src_group_map_flatten"] = w + "SELECT * FROM teams_all"
+    q["bronze_align_schema"] = (
+        "SELECT c_name AS name, r_name AS \"group\", CAST(NULL AS VARCHAR) AS source_table "
+        "FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey "
+        "UNION ALL SELECT s_name, CAST(NULL AS VARCHAR), 'group_stage' FROM supplier"
+    )
+    q["bronze_stamp"] = (
+        "SELECT p_name AS name, p_type AS city, p_brand AS country, p_size AS capacity, "
+        f"{BATCH_B} AS ingested_at, 'snapshot' AS source_name FROM part"
+    )
+    q["silver_typed_cast"] = w + "SELECT home_team, away_team, home_score, away_score, matchday, status FROM raw_matches"
+    q["silver_teams"] = (
+        w + f"SELECT name, max(\"group\") AS \"group\", {BATCH_B} AS ingested_at, 'snapshot' AS source_name "
+        "FROM teams_all GROUP BY name"
+    )
+    we = "WITH " + EVENTS + " "
+    q["silver_events"] = (
+        we + "SELECT * REPLACE (CASE WHEN event_type = 'goal' THEN ingested_at + INTERVAL 1 MINUTE "
+        "ELSE ingested_at END AS ingested_at) FROM e"
+    )
+    q["src_events_json"] = we + "SELECT * FROM e"
+    q["io_roundtrip"] = M + " SELECT * FROM m"
+    q["io_append"] = we + "SELECT * FROM e UNION ALL SELECT * FROM e"
+    q["io_overwrite"] = we + "SELECT * FROM e WHERE event_type = 'goal'"
     return q
