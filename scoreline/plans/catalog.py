@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from scoreline.functions import lenient_int
 from scoreline.operators import bronze, gold, quality, scd2, serving, silver, standings
-from scoreline.plans import derive
+from scoreline.plans import derive, pages
 from scoreline.schemas import STADIUMS_RAW, STANDINGS_COMPARE, STANDINGS_KEYS, TEAMS_RAW
 from scoreline.session import scratch_path
 from scoreline.sources import events as events_src
+from scoreline.sources import html_tables
 from scoreline.sources import landing
 from scoreline.sources.io import Tables
 from scoreline.sources.registry import get_source
@@ -388,3 +389,30 @@ def io_overwrite(spark, sf_dir):
         t.overwrite(e.filter(F.col("event_type") == "goal"), "silver_events", 2)
 
     return Tables(spark, _once(spark, sf_dir, "io_overwrite", build)).read("silver_events")
+
+
+# --- HTML scraping job -------------------------------------------------------------
+
+
+def _rows_of(spark, sf_dir, rendered):
+    return html_tables.extract(pages.with_supplied(spark, sf_dir, rendered))
+
+
+@query
+def html_table_rows(spark, sf_dir):
+    return html_tables.table_rows(_rows_of(spark, sf_dir, pages.team_pages(spark, sf_dir)))
+
+
+@query
+def html_team_names(spark, sf_dir):
+    return html_tables.team_names(_rows_of(spark, sf_dir, pages.team_pages(spark, sf_dir)))
+
+
+@query
+def html_stadiums(spark, sf_dir):
+    return html_tables.stadiums(_rows_of(spark, sf_dir, pages.stadium_pages(spark, sf_dir)))
+
+
+@query
+def html_match_boxes(spark, sf_dir):
+    return html_tables.match_boxes(_rows_of(spark, sf_dir, pages.match_pages(derive.matches(spark, sf_dir))))

@@ -292,6 +292,7 @@ def sql() -> dict[str, str]:
         "count(*) FILTER (WHERE NOT COALESCE(status IN ('finished'), false)) AS open_matches FROM m"
     )
     q.update(sql_sources())
+    q.update(sql_html())
     return q
 
 
@@ -363,3 +364,38 @@ def sql_sources() -> dict[str, str]:
     q["io_append"] = we + "SELECT * FROM e UNION ALL SELECT * FROM e"
     q["io_overwrite"] = we + "SELECT * FROM e WHERE event_type = 'goal'"
     return q
+
+
+SUPPLIER_TABLES = """
+s AS (
+  SELECT s_suppkey, s_name, n_name, n_nationkey, s_suppkey // 50 + 1000000000000 AS page_id
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+),
+t AS (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY page_id ORDER BY n_nationkey) - 1 AS INT) AS table_no,
+    CAST(row_number() OVER (PARTITION BY page_id, n_nationkey ORDER BY s_suppkey) AS INT) AS row_no
+  FROM s
+)"""
+
+
+def sql_html() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["html_table_rows"] = (
+        "WITH " + SUPPLIER_TABLES + " SELECT page_id, table_no, 'wikitable sortable' AS table_class, row_no, "
+        "4 AS n_cells, CAST(s_suppkey AS VARCHAR) || '|' || s_name || '(H)|' || n_name || '|' || "
+        "CAST(s_suppkey % 10 AS VARCHAR) AS cells_text FROM t "
+        "UNION ALL SELECT DISTINCT page_id, table_no, 'wikitable sortable', 0, 4, 'No|Team|Nation|Pts' FROM t"
+    )
+    q["html_team_names"] = (
+        "WITH " + SUPPLIER_TABLES + " SELECT DISTINCT s_name AS name, CAST(NULL AS VARCHAR) AS \"group\", "
+        "'group_stage' AS source_table FROM t"
+    )
+    q["html_stadiums"] = (
+        "SELECT p_name AS name, p_type AS city, CAST(NULL AS VARCHAR) AS country, CAST(NULL AS VARCHAR) AS capacity "
+        "FROM part"
+    )
+    q["html_match_boxes"] = (
+        M + " SELECT home_team, away_team, CAST(home_score AS VARCHAR) || '–' || CAST(away_score AS VARCHAR) AS score "
+        "FROM m WHERE home_score IS NOT NULL AND away_score IS NOT NULL"
+    )
+    return q
