@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from scoreline.functions import lenient_int
 from scoreline.operators import bronze, gold, quality, scd2, serving, silver, standings
 from scoreline.plans import derive, pages
-from scoreline.schemas import STADIUMS_RAW, STANDINGS_COMPARE, STANDINGS_KEYS, TEAMS_RAW
+from scoreline.schemas import EVENTS, STADIUMS_RAW, STANDINGS_COMPARE, STANDINGS_KEYS, TEAMS_RAW
 from scoreline.session import scratch_path
 from scoreline.sources import events as events_src
 from scoreline.sources import html_tables
 from scoreline.sources import landing
 from scoreline.sources.io import Tables
 from scoreline.sources.registry import get_source
+from scoreline.streaming import events as stream_events
+from scoreline.streaming import standings as stream_standings_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -416,3 +418,59 @@ def html_stadiums(spark, sf_dir):
 @query
 def html_match_boxes(spark, sf_dir):
     return html_tables.match_boxes(_rows_of(spark, sf_dir, pages.match_pages(derive.matches(spark, sf_dir))))
+
+
+# --- streaming ------------------------------------------------------------------------
+
+# Fixed arrival split of the two availableNow runs: events from this instant
+# (plus a re-delivery of every earlier goal) and matches shipped from this day
+# arrive in the second run.
+EVENT_SPLIT = dt.datetime(2024, 1, 16)
+MATCH_SPLIT = dt.datetime(1999, 1, 1)
+
+
+def _event_streams(spark, sf_dir):
+    def build(root):
+        e = derive.events(spark, sf_dir)
+        early = e.filter(F.col("ingested_at") < F.lit(EVENT_SPLIT).cast("timestamp_ntz"))
+        late = e.filter(F.col("ingested_at") >= F.lit(EVENT_SPLIT).cast("timestamp_ntz")).unionByName(
+            early.filter(F.col("event_type") == "goal")
+        )
+        for arrived in (early, late):
+            events_src.write_events(arrived, f"{root}/in")
+            stream_events.land_events(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt/land")
+            stream_events.silver_events(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ckpt/silver")
+            stream_events.top_scorers(spark, f"{root}/silver", f"{root}/gold_log", f"{root}/ckpt/gold")
+
+    return _once(spark, sf_dir, "stream_events", build)
+
+
+@query
+def stream_events_land(spark, sf_dir):
+    return spark.read.schema(EVENTS).parquet(f"{_event_streams(spark, sf_dir)}/bronze")
+
+
+@query
+def stream_events_dedup(spark, sf_dir):
+    return spark.read.schema(EVENTS).parquet(f"{_event_streams(spark, sf_dir)}/silver")
+
+
+@query
+def stream_top_scorers(spark, sf_dir):
+    return stream_events.read_top_scorers(spark, f"{_event_streams(spark, sf_dir)}/gold_log")
+
+
+@query
+def stream_standings(spark, sf_dir):
+    def build(root):
+        raw = derive.raw_matches(spark, sf_dir)
+        split = F.lit(MATCH_SPLIT).cast("timestamp_ntz")
+        tables = Tables(spark, f"{root}/tables")
+        for arrived in (raw.filter(F.col("ingested_at") < split), raw.filter(F.col("ingested_at") >= split)):
+            arrived.write.mode("append").option("timestampNTZFormat", events_src.NTZ_FORMAT).json(f"{root}/in")
+            stream_standings_mod.run_standings(
+                spark, f"{root}/in", tables, f"{root}/ckpt", raw.schema, tiebreak=derive.MATCH_ORDER[1:]
+            )
+
+    root = _once(spark, sf_dir, "stream_standings", build)
+    return stream_standings_mod.current(Tables(spark, f"{root}/tables"))

@@ -293,6 +293,7 @@ def sql() -> dict[str, str]:
     )
     q.update(sql_sources())
     q.update(sql_html())
+    q.update(sql_streaming())
     return q
 
 
@@ -399,3 +400,15 @@ def sql_html() -> dict[str, str]:
         "FROM m WHERE home_score IS NOT NULL AND away_score IS NOT NULL"
     )
     return q
+
+
+def sql_streaming() -> dict[str, str]:
+    we = "WITH " + EVENTS + " "
+    return {
+        "stream_events_land": we
+        + "SELECT * FROM e UNION ALL SELECT * FROM e "
+        + "WHERE event_type = 'goal' AND ingested_at < TIMESTAMP '2024-01-16 00:00:00'",
+        "stream_events_dedup": we + "SELECT * FROM e",
+        "stream_top_scorers": we + "," + SCORERS + " SELECT * FROM scorers",
+        "stream_standings": STANDINGS + " SELECT * FROM ranked",
+    }
