@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def align(df: DataFrame, schema: T.StructType, stringify: bool = True) -> DataFrame:
+def align(df: DataFrame, schema: T.StructType, stringify: bool = True, keep: list[str] | None = None) -> DataFrame:
     """Project onto ``schema``'s fields: missing fields become null, extra
-    fields are dropped, non-null scalars are stringified (null stays null)."""
+    fields are dropped (except ``keep``), non-null scalars are stringified
+    (null stays null)."""
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
@@ -17,7 +18,7 @@ def align(df: DataFrame, schema: T.StructType, stringify: bool = True) -> DataFr
             cols.append((c.cast("string") if stringify else c.cast(f.dataType)).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *(keep or []))
 
 
 def align_all(frames: list[DataFrame], schema: T.StructType) -> DataFrame:
