@@ -36,17 +36,17 @@ def query(fn: Query) -> Query:
 
 @query
 def standings_ranked(spark, sf_dir):
-    return standings.compute(derive.matches(spark, sf_dir)).select(*standings.STANDINGS_COLUMNS)
+    return standings.compute(_silver(spark, sf_dir)).select(*standings.STANDINGS_COLUMNS)
 
 
 @query
 def standings_unranked(spark, sf_dir):
-    return standings.aggregate(standings.unpivot_sides(derive.matches(spark, sf_dir)))
+    return standings.aggregate(standings.unpivot_sides(_silver(spark, sf_dir)))
 
 
 @query
 def unpivot_sides(spark, sf_dir):
-    return standings.unpivot_sides(derive.matches(spark, sf_dir))
+    return standings.unpivot_sides(_silver(spark, sf_dir))
 
 
 @query
@@ -69,8 +69,19 @@ RECENT_N, TOP_N = 12, 8
 SHOWN_GROUP = "AFRICA"
 
 
+def _silver(spark, sf_dir):
+    """The silver matches table, built from the raw tables once per application
+    and input folder and stored in the shared folder; gold and serving read it,
+    as gold reads the stored silver table in the layered design."""
+
+    def build(root):
+        Tables(spark, root).overwrite(derive.matches(spark, sf_dir), "silver_matches", 1)
+
+    return Tables(spark, _once(spark, sf_dir, "silver", build)).read("silver_matches")
+
+
 def _standings(spark, sf_dir, cutoff=None):
-    m = derive.matches(spark, sf_dir)
+    m = _silver(spark, sf_dir)
     if cutoff is not None:
         m = m.filter(F.col("matchday") <= cutoff)
     return standings.compute(m).select(*standings.STANDINGS_COLUMNS)
@@ -94,7 +105,7 @@ def _merged_as(change):
 
 
 def _trend(spark, sf_dir):
-    return gold.goals_by_matchday(derive.matches(spark, sf_dir))
+    return gold.goals_by_matchday(_silver(spark, sf_dir))
 
 
 # --- gold ---------------------------------------------------------------------
@@ -113,7 +124,7 @@ def gold_top_scorers(spark, sf_dir):
 
 @query
 def gold_team_form(spark, sf_dir):
-    return gold.team_form(derive.matches(spark, sf_dir))
+    return gold.team_form(_silver(spark, sf_dir))
 
 
 @query
@@ -190,17 +201,17 @@ def serve_group_table(spark, sf_dir):
 
 @query
 def serve_form_spaced(spark, sf_dir):
-    return serving.form_spaced(gold.team_form(derive.matches(spark, sf_dir)))
+    return serving.form_spaced(gold.team_form(_silver(spark, sf_dir)))
 
 
 @query
 def serve_freshness(spark, sf_dir):
-    return serving.freshness(derive.matches(spark, sf_dir), "ingested_at")
+    return serving.freshness(_silver(spark, sf_dir), "ingested_at")
 
 
 @query
 def kpi_matches_played(spark, sf_dir):
-    return serving.kpi_matches_played(derive.matches(spark, sf_dir))
+    return serving.kpi_matches_played(_silver(spark, sf_dir))
 
 
 @query
@@ -249,7 +260,7 @@ def dq_unknown_teams(spark, sf_dir):
 
 @query
 def gate_live(spark, sf_dir):
-    return quality.is_live(derive.matches(spark, sf_dir))
+    return quality.is_live(_silver(spark, sf_dir))
 
 
 # --- landing, bronze, silver -----------------------------------------------------
@@ -417,7 +428,7 @@ def html_stadiums(spark, sf_dir):
 
 @query
 def html_match_boxes(spark, sf_dir):
-    return html_tables.match_boxes(_rows_of(spark, sf_dir, pages.match_pages(derive.matches(spark, sf_dir))))
+    return html_tables.match_boxes(_rows_of(spark, sf_dir, pages.match_pages(_silver(spark, sf_dir))))
 
 
 # --- streaming ------------------------------------------------------------------------

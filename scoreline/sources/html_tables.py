@@ -1,8 +1,9 @@
 """HTML tables -> rows, as a distributed job over a table of pages.
 
 ``extract`` is the only Python-per-partition step of the engine: a
-``mapInPandas`` that parses each page with the standard-library HTML parser
-and emits one row per ``<tr>``: (page_id, table_no, table_class, row_no,
+``mapInPandas`` that tokenizes each page (one compiled regular expression for
+tags, comments and declarations; ``html.unescape`` for text and attribute
+values; script/style bodies skipped) and emits one row per ``<tr>``: (page_id, table_no, table_class, row_no,
 cells, cell_tags, cell_classes). Everything after it (which tables qualify,
 which cells to pick, marker stripping, first-seen dedup, match boxes) is
 built-in Spark expressions, aggregates and joins.
@@ -14,8 +15,9 @@ table's rows are not repeated in the enclosing one.
 
 from __future__ import annotations
 
+import html as htmllib
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,11 +38,26 @@ BOX_CELLS = {"home_team": "fhome", "away_team": "faway", "score": "fscore"}
 SCRAPED_TABLE = "group_stage"
 
 
-class _TableRows(HTMLParser):
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    re.S,
+)
+_CLASS = re.compile(r"""(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_RAW_TEXT = ("script", "style")
+
+
+def _class_of(attrs: str) -> str | None:
+    m = _CLASS.search(attrs)
+    if m is None:
+        return None
+    v = next(g for g in m.groups() if g is not None)
+    return htmllib.unescape(v)
+
+
+class _TableRows:
     """Collects rows of every table of one page."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.rows: list[tuple] = []
         self.stack: list[dict] = []  # open tables, innermost last
         self.n_tables = 0
@@ -59,10 +76,9 @@ class _TableRows(HTMLParser):
             t["rows"] += 1
             t["row"] = None
 
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
+    def handle_starttag(self, tag, cls):
         if tag == "table":
-            self.stack.append({"no": self.n_tables, "class": a.get("class"), "rows": 0, "row": None, "cell": None})
+            self.stack.append({"no": self.n_tables, "class": cls, "rows": 0, "row": None, "cell": None})
             self.n_tables += 1
         elif not self.stack:
             return
@@ -76,7 +92,7 @@ class _TableRows(HTMLParser):
                 t["row"] = ([], [], [])
             self._close_cell(t)
             t["row"][1].append(tag)
-            t["row"][2].append(a.get("class"))
+            t["row"][2].append(cls)
             t["cell"] = []
 
     def handle_endtag(self, tag):
@@ -98,8 +114,29 @@ class _TableRows(HTMLParser):
                 if t["cell"] is not None:
                     t["cell"].append(piece)
 
+    def feed(self, page: str) -> None:
+        pos, n = 0, len(page)
+        while pos < n:
+            m = _TOKEN.search(page, pos)
+            end = m.start() if m else n
+            if end > pos and self.stack:
+                self.handle_data(htmllib.unescape(page[pos:end]))
+            if m is None:
+                break
+            pos = m.end()
+            tag = m.group(2)
+            if tag is None:  # comment, declaration, processing instruction
+                continue
+            tag = tag.lower()
+            if m.group(1):
+                self.handle_endtag(tag)
+                continue
+            self.handle_starttag(tag, _class_of(m.group(3)) if tag in ("table", "td", "th") else None)
+            if tag in _RAW_TEXT:  # skip the body up to the closing tag
+                close = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
+                pos = close.end() if close else n
+
     def finish(self) -> list[tuple]:
-        self.close()
         while self.stack:
             self._close_row(self.stack.pop())
         return self.rows
