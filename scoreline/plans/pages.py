@@ -4,7 +4,7 @@ The supplied ``pages`` table holds web pages without any ``<table>``; to give
 the extractor real tables with a known answer, pages are rendered here with
 Spark from supplier⋈nation (standings-shaped tables), part (stadium tables)
 and the silver matches (match boxes). Every page holds a bounded number of
-rows (a key range, or a row-position chunk), never a whole group.
+rows (a key range, or a content-hash chunk), never a whole group.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreline.plans import derive
+from scoreline.sources.landing import chunk_key
 
 ROWS_PER_PAGE = 50
 # Page-id offsets per page kind, header words, and the
@@ -96,8 +97,9 @@ def stadium_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_pages(matches: DataFrame) -> DataFrame:
-    """Match boxes, ``ROWS_PER_PAGE`` per page by row position; a box of a
-    match without a score has no score cell."""
+    """Match boxes, about ``ROWS_PER_PAGE`` per page (content-hash pages, so a
+    recomputed task rebuilds the same pages); a box of a match without a score
+    has no score cell."""
     h, a = F.col("home_score"), F.col("away_score")
     score = F.when(
         h.isNotNull() & a.isNotNull(),
@@ -112,15 +114,13 @@ def match_pages(matches: DataFrame) -> DataFrame:
         esc(F.col("away_team")),
         F.lit("</th></tr></table>"),
     )
-    pos = F.monotonically_increasing_id()
     keyed = matches.select(
-        F.spark_partition_id().alias("part"),
-        F.floor(pos.bitwiseAND(F.lit((1 << 33) - 1)) / ROWS_PER_PAGE).alias("chunk"),
-        F.struct(pos.alias("pos"), box.alias("html")).alias("r"),
+        chunk_key(matches, ROWS_PER_PAGE, ["home_team", "away_team", "matchday"]),
+        F.struct("matchday", "home_team", "away_team", box.alias("html")).alias("r"),
     )
-    pages = keyed.groupBy("part", "chunk").agg(_page(_join_sorted("r", "html")).alias("html"))
+    pages = keyed.groupBy("_chunk").agg(_page(_join_sorted("r", "html")).alias("html"))
     return pages.select(
-        (F.col("part").cast("long") * (1 << 33) + F.col("chunk") + MATCH_PAGE_BASE).alias("page_id"),
+        (F.col("_chunk") + MATCH_PAGE_BASE).alias("page_id"),
         F.lit("https://example.org/matches").alias("url"),
         "html",
     )

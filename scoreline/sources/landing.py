@@ -1,9 +1,11 @@
 """Landing payloads: JSON documents of (teams[], stadiums[], matches[], fetched_at, source_name).
 
-A batch is written as many JSON-lines documents, each holding at most
-``rows_per_doc`` entity rows, so neither writer nor reader ever holds a whole
-batch in one task, and the files stay splittable. Whole-file pretty-printed
-documents (one per file) are read with ``multi_line=True``.
+A batch is written as many JSON-lines documents of about ``rows_per_doc``
+entity rows each, so neither writer nor reader ever holds a whole batch in one
+task, and the files stay splittable. Records go to documents by a hash of
+their content (document count from a one-row count), so a recomputed task
+after a lost executor puts every record in the same document again. Whole-file
+pretty-printed documents (one per file) are read with ``multi_line=True``.
 """
 
 from __future__ import annotations
@@ -16,20 +18,20 @@ from scoreline.schemas import GROUP_MAP_PAYLOAD, MATCH_FIELDS, PAYLOAD, STADIUM_
 
 ENTITIES = {"teams": TEAM_FIELDS, "stadiums": STADIUM_FIELDS, "matches": MATCH_FIELDS}
 ROWS_PER_DOC = 5000
-_POS_BITS = (1 << 33) - 1  # row position inside a partition, from monotonically_increasing_id
 
 
-def _chunk_key(rows_per_doc: int) -> list[Column]:
-    pos = F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_BITS))
-    return [F.spark_partition_id().alias("_part"), F.floor(pos / rows_per_doc).alias("_chunk")]
+def chunk_key(df: DataFrame, rows_per_doc: int, cols: list[str] | None = None) -> Column:
+    """Deterministic document number: content hash modulo ceil(rows / rows_per_doc)."""
+    n = max(1, -(-df.count() // rows_per_doc))  # one-row control value
+    return F.pmod(F.xxhash64(*(cols or df.columns)), F.lit(n)).alias("_chunk")
 
 
 def _docs(df: DataFrame, entity: str, rows_per_doc: int) -> DataFrame:
     """Bounded documents for one entity list."""
     fields = ENTITIES[entity]
     present = [c for c in fields if c in df.columns]
-    keyed = df.select(*_chunk_key(rows_per_doc), F.struct(*present).alias("_rec"))
-    lists = keyed.groupBy("_part", "_chunk").agg(F.collect_list("_rec").alias(entity))
+    keyed = df.select(chunk_key(df, rows_per_doc, present), F.struct(*present).alias("_rec"))
+    lists = keyed.groupBy("_chunk").agg(F.collect_list("_rec").alias(entity))
     # The other two lists are absent from this document (null -> omitted in JSON).
     return lists.select(entity)
 
@@ -91,10 +93,11 @@ def batch_summary(docs: DataFrame) -> DataFrame:
 
 
 def write_group_map(path: str, teams: DataFrame, fetched_at: str, source_name: str, rows_per_doc: int = ROWS_PER_DOC) -> None:
-    """Teams as ``{group: [names]}`` documents; a group is split over as many
-    documents as its size needs (one hot group never lands in one record)."""
-    keyed = teams.select(*_chunk_key(rows_per_doc), "group", "name")
-    lists = keyed.groupBy("_part", "_chunk", "group").agg(F.collect_list("name").alias("names"))
+    """Teams as ``{group: [names]}`` documents; a group is split over the
+    hash chunks, so no document holds more than about ``rows_per_doc`` names
+    however large one group is."""
+    keyed = teams.select(chunk_key(teams, rows_per_doc, ["group", "name"]), "group", "name")
+    lists = keyed.groupBy("_chunk", "group").agg(F.collect_list("name").alias("names"))
     docs = lists.select(F.create_map(F.coalesce(F.col("group"), F.lit("")), "names").alias("groups"))
     docs.withColumns({"fetched_at": F.lit(fetched_at), "source_name": F.lit(source_name)}).write.mode("append").json(path)
 

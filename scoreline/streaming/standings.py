@@ -1,8 +1,10 @@
 """Standings kept current from a stream of match updates.
 
 Each micro-batch (``foreachBatch``) appends the new match rows to bronze,
-rebuilds the silver snapshot by keep-latest, recomputes ranked standings from
-the stored silver table and applies them to the SCD2 history as a new
+builds the next silver snapshot incrementally (keep-latest over the previous
+silver snapshot plus this batch only, so the work follows the number of
+distinct matches, not the ever-growing bronze), recomputes ranked standings
+from the stored silver table and applies them to the SCD2 history as a new
 snapshot. Snapshot ids are the batch ids, and a replayed batch starts from
 the snapshot before its own id, so replays are idempotent. Version counts of
 each apply are observed in the write itself and appended to a metrics log
@@ -43,7 +45,12 @@ def refresh(tables: Tables, tiebreak: Sequence[str] = ()):
         if stamp is None:
             return
         tables.append(batch, "bronze_matches")
-        matches = silver.matches(tables.read("bronze_matches"), list(tiebreak))
+        new = batch
+        prev_silver = _previous(tables, "silver_matches", batch_id)
+        if prev_silver is not None:
+            old = tables.read("silver_matches", prev_silver).select(*batch.columns)
+            new = old.unionByName(batch)
+        matches = silver.matches(new, list(tiebreak))
         tables.overwrite(matches, "silver_matches", batch_id)
         stored = tables.read("silver_matches", snapshot_id(batch_id))
         incoming = standings.compute(stored).select(*standings.STANDINGS_COLUMNS)
