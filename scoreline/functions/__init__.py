@@ -10,6 +10,7 @@ from scoreline.functions.expr import (  # noqa: F401
     has_class,
     lenient_int,
     match_result,
+    ntz,
     points,
     round_ratio,
     side_outcome,

@@ -24,6 +24,15 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz(ts) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive datetime or ISO text, exactly:
+    through text, so neither the Python nor the session time zone moves it."""
+    if isinstance(ts, Column):
+        return ts.cast("timestamp_ntz")
+    text = ts.isoformat(sep=" ") if hasattr(ts, "isoformat") else str(ts)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def lenient_int(c: str | Column) -> Column:
     """Text -> int the way a non-ANSI cast does it: junk -> null, '3.7' -> 3.
 

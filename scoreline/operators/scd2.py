@@ -20,13 +20,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scoreline.functions import ntz
+
 SCD_COLUMNS = ["effective_from", "effective_to", "is_current"]
 
 
 def _ts(ts: dt.datetime | str | Column) -> Column:
-    if isinstance(ts, Column):
-        return ts.cast("timestamp_ntz")
-    return F.lit(ts).cast("timestamp_ntz")
+    return ntz(ts)
 
 
 def initial(df: DataFrame, ts) -> DataFrame:

@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreline.functions import lenient_int
+from scoreline.functions import lenient_int, ntz
 from scoreline.operators import bronze, gold, quality, scd2, serving, silver, standings
 from scoreline.plans import derive, pages
 from scoreline.schemas import EVENTS, STADIUMS_RAW, STANDINGS_COMPARE, STANDINGS_KEYS, TEAMS_RAW
@@ -443,8 +443,8 @@ MATCH_SPLIT = dt.datetime(1999, 1, 1)
 def _event_streams(spark, sf_dir):
     def build(root):
         e = derive.events(spark, sf_dir)
-        early = e.filter(F.col("ingested_at") < F.lit(EVENT_SPLIT).cast("timestamp_ntz"))
-        late = e.filter(F.col("ingested_at") >= F.lit(EVENT_SPLIT).cast("timestamp_ntz")).unionByName(
+        early = e.filter(F.col("ingested_at") < ntz(EVENT_SPLIT))
+        late = e.filter(F.col("ingested_at") >= ntz(EVENT_SPLIT)).unionByName(
             early.filter(F.col("event_type") == "goal")
         )
         for arrived in (early, late):
@@ -475,7 +475,7 @@ def stream_top_scorers(spark, sf_dir):
 def stream_standings(spark, sf_dir):
     def build(root):
         raw = derive.raw_matches(spark, sf_dir)
-        split = F.lit(MATCH_SPLIT).cast("timestamp_ntz")
+        split = ntz(MATCH_SPLIT)
         tables = Tables(spark, f"{root}/tables")
         for arrived in (raw.filter(F.col("ingested_at") < split), raw.filter(F.col("ingested_at") >= split)):
             arrived.write.mode("append").option("timestampNTZFormat", events_src.NTZ_FORMAT).json(f"{root}/in")

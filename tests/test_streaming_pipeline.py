@@ -6,6 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from scoreline.functions import ntz
 from scoreline.operators import bronze, gold, silver, standings
 from scoreline.plans import derive, medallion
 from scoreline.schemas import EVENTS
@@ -44,7 +45,7 @@ def test_event_streams_equal_batch(spark):
 def test_standings_stream_equals_batch(spark, sf_small):
     root = scratch_path(spark, "t-stream-standings")
     raw = derive.raw_matches(spark, sf_small)
-    split = F.lit(dt.datetime(1999, 1, 1)).cast("timestamp_ntz")
+    split = ntz(dt.datetime(1999, 1, 1))
     tables = Tables(spark, f"{root}/tables")
     for arrived in (raw.filter(F.col("ingested_at") < split), raw.filter(F.col("ingested_at") >= split)):
         arrived.write.mode("append").option("timestampNTZFormat", events_src.NTZ_FORMAT).json(f"{root}/in")
