@@ -38,117 +38,106 @@ BOX_CELLS = {"home_team": "fhome", "away_team": "faway", "score": "fscore"}
 SCRAPED_TABLE = "group_stage"
 
 
+# Possessive quantifiers: linear time even on malformed, untrusted pages.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--(?:.*?-->|.*+)|<![^>]*+(?:>|\Z)|<\?[^>]*+(?:>|\Z)"
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)",
     re.S,
 )
 _CLASS = re.compile(r"""(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _RAW_TEXT = ("script", "style")
+_RAW_CLOSE = {t: re.compile(rf"</{t}\s*>", re.I) for t in _RAW_TEXT}
 
 
 def _class_of(attrs: str) -> str | None:
+    if not attrs or ("class" not in attrs and "CLASS" not in attrs.upper()):
+        return None
     m = _CLASS.search(attrs)
     if m is None:
         return None
-    v = next(g for g in m.groups() if g is not None)
-    return htmllib.unescape(v)
+    a, b, c = m.groups()
+    v = a if a is not None else b if b is not None else c
+    return htmllib.unescape(v) if "&" in v else v
 
 
-class _TableRows:
-    """Collects rows of every table of one page."""
+def _close_cell(t: list) -> None:
+    if t[6] is not None:
+        t[3].append("".join(t[6]))
+        t[6] = None
 
-    def __init__(self) -> None:
-        self.rows: list[tuple] = []
-        self.stack: list[dict] = []  # open tables, innermost last
-        self.n_tables = 0
 
-    # -- structure -----------------------------------------------------------
-    def _close_cell(self, t: dict) -> None:
-        if t["cell"] is not None:
-            t["row"][0].append("".join(t["cell"]))
-            t["cell"] = None
+def _close_row(t: list, rows: list) -> None:
+    _close_cell(t)
+    if t[3] is not None:
+        rows.append((t[0], t[1], t[2], t[3], t[4], t[5]))
+        t[2] += 1
+        t[3] = t[4] = t[5] = None
 
-    def _close_row(self, t: dict) -> None:
-        self._close_cell(t)
-        if t["row"] is not None:
-            cells, tags, classes = t["row"]
-            self.rows.append((t["no"], t["class"], t["rows"], cells, tags, classes))
-            t["rows"] += 1
-            t["row"] = None
 
-    def handle_starttag(self, tag, cls):
-        if tag == "table":
-            self.stack.append({"no": self.n_tables, "class": cls, "rows": 0, "row": None, "cell": None})
-            self.n_tables += 1
-        elif not self.stack:
-            return
-        elif tag == "tr":
-            t = self.stack[-1]
-            self._close_row(t)
-            t["row"] = ([], [], [])
-        elif tag in CELL_TAGS:
-            t = self.stack[-1]
-            if t["row"] is None:  # cell outside <tr>: open an implicit row
-                t["row"] = ([], [], [])
-            self._close_cell(t)
-            t["row"][1].append(tag)
-            t["row"][2].append(cls)
-            t["cell"] = []
-
-    def handle_endtag(self, tag):
-        if not self.stack:
-            return
-        t = self.stack[-1]
-        if tag == "table":
-            self._close_row(t)
-            self.stack.pop()
-        elif tag == "tr":
-            self._close_row(t)
-        elif tag in CELL_TAGS:
-            self._close_cell(t)
-
-    def handle_data(self, data):
-        piece = data.strip()
-        if piece:
-            for t in self.stack:  # enclosing cells see nested text, like get_text
-                if t["cell"] is not None:
-                    t["cell"].append(piece)
-
-    def feed(self, page: str) -> None:
-        pos, n = 0, len(page)
-        while pos < n:
-            m = _TOKEN.search(page, pos)
-            end = m.start() if m else n
-            if end > pos and self.stack:
-                self.handle_data(htmllib.unescape(page[pos:end]))
-            if m is None:
-                break
-            pos = m.end()
-            tag = m.group(2)
-            if tag is None:  # comment, declaration, processing instruction
-                continue
-            tag = tag.lower()
-            if m.group(1):
-                self.handle_endtag(tag)
-                continue
-            self.handle_starttag(tag, _class_of(m.group(3)) if tag in ("table", "td", "th") else None)
-            if tag in _RAW_TEXT:  # skip the body up to the closing tag
-                close = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
-                pos = close.end() if close else n
-
-    def finish(self) -> list[tuple]:
-        while self.stack:
-            self._close_row(self.stack.pop())
-        return self.rows
-
-
-def parse_tables(html: str | None) -> list[tuple]:
-    """(table_no, table_class, row_no, cells, cell_tags, cell_classes) per row of one page."""
-    if not html or "<table" not in html.lower():
+def parse_tables(page: str | None) -> list[tuple]:
+    """(table_no, table_class, row_no, cells, cell_tags, cell_classes) per row of one page.
+
+    One pass of a compiled tokenizer. An open table is the list
+    [no, class, rows_so_far, cells, cell_tags, cell_classes, open_cell_fragments].
+    """
+    if not page or "<table" not in page.lower():
         return []
-    p = _TableRows()
-    p.feed(html)
-    return p.finish()
+    rows: list[tuple] = []
+    stack: list[list] = []  # open tables, innermost last
+    n_tables = 0
+    pos = 0
+    tokens = _TOKEN.finditer(page)
+    while True:
+        m = next(tokens, None)
+        end = m.start() if m is not None else len(page)
+        if end > pos and stack:
+            piece = page[pos:end].strip()
+            if piece:
+                if "&" in piece:
+                    piece = htmllib.unescape(piece)
+                for t in stack:  # enclosing cells see nested text, like get_text
+                    if t[6] is not None:
+                        t[6].append(piece)
+        if m is None:
+            break
+        pos = m.end()
+        closing, tag, attrs = m.groups()
+        if tag is None:  # comment, declaration, processing instruction
+            continue
+        tag = tag.lower()
+        if closing:  # end tag
+            if stack:
+                t = stack[-1]
+                if tag == "table":
+                    _close_row(t, rows)
+                    stack.pop()
+                elif tag == "tr":
+                    _close_row(t, rows)
+                elif tag == "td" or tag == "th":
+                    _close_cell(t)
+            continue
+        if tag == "table":
+            stack.append([n_tables, _class_of(attrs), 0, None, None, None, None])
+            n_tables += 1
+        elif stack and tag == "tr":
+            t = stack[-1]
+            _close_row(t, rows)
+            t[3], t[4], t[5] = [], [], []
+        elif stack and (tag == "td" or tag == "th"):
+            t = stack[-1]
+            if t[3] is None:  # cell outside <tr>: open an implicit row
+                t[3], t[4], t[5] = [], [], []
+            _close_cell(t)
+            t[4].append(tag)
+            t[5].append(_class_of(attrs))
+            t[6] = []
+        elif tag in _RAW_TEXT:  # skip the body up to the closing tag
+            close = _RAW_CLOSE[tag].search(page, pos)
+            pos = close.end() if close else len(page)
+            tokens = _TOKEN.finditer(page, pos)
+    while stack:
+        _close_row(stack.pop(), rows)
+    return rows
 
 
 def _extract_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
