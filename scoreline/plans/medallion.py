@@ -59,6 +59,23 @@ def _incremental(tables: Tables, name: str, bronze_name: str, ingest_date: str,
     return build(new)
 
 
+def _events(spark: SparkSession, tables: Tables, events_dir: str, checkpoint: str, batch_id: int, report: RunReport) -> None:
+    """Event files -> bronze (each file once, file-stream checkpoint) -> silver
+    (keep-latest per event id) -> gold top scorers. No bronze yet -> skipped."""
+    from scoreline.sources.io import path_exists
+    from scoreline.streaming import events as stream_events
+
+    if path_exists(spark, events_dir):
+        stream_events.land_events(spark, events_dir, tables.path("bronze_match_events"), checkpoint)
+    if not tables.exists("bronze_match_events"):
+        report.rows["silver_events"] = 0
+        return
+    events = silver.events(tables.read("bronze_match_events"))
+    report.rows["silver_events"] = tables.overwrite(events, "silver_events", batch_id)
+    stored = tables.read("silver_events", snapshot_id(batch_id))
+    report.rows["gold_top_scorers"] = tables.overwrite(gold.top_scorers(stored), "gold_top_scorers", batch_id)
+
+
 def run(
     spark: SparkSession,
     tables: Tables,
@@ -67,7 +84,12 @@ def run(
     as_of: dt.datetime,
     teams_dim: DataFrame | None = None,
     enforce: bool = True,
+    events_dir: str | None = None,
 ) -> RunReport:
+    """Land the newest payload into bronze, rebuild silver incrementally, apply
+    standings to the SCD2 history, rebuild gold, run the checks (raising on a
+    failure when ``enforce``). With ``events_dir``, new event files are landed
+    and silver events / gold top scorers rebuilt as well."""
     report = RunReport(batch_id)
     docs = landing.latest_batch(landing.read_landing(spark, landing_dir))
     ingest_date = _bronze(tables, docs, report)
@@ -95,6 +117,8 @@ def run(
     report.rows["gold_team_form"] = tables.overwrite(gold.team_form(stored), "gold_team_form", batch_id)
     trend = gold.goals_by_matchday(stored)
     report.rows["gold_goals_by_matchday"] = tables.overwrite(trend, "gold_goals_by_matchday", batch_id)
+    if events_dir is not None:
+        _events(spark, tables, events_dir, tables.path("_checkpoints/bronze_match_events"), batch_id, report)
 
     # checks on the stored gold tables
     dim = teams_dim if teams_dim is not None else tables.read("silver_teams", snapshot_id(batch_id))

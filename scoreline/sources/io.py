@@ -59,8 +59,13 @@ class Tables:
         return f"{self.root.rstrip('/')}/{name}"
 
     def exists(self, name: str) -> bool:
+        """A committed table: a snapshot, a batch write (_SUCCESS) or a streaming sink (_spark_metadata)."""
         p = self.path(name)
-        return path_exists(self.spark, p) and (bool(_snapshots(self.spark, p)) or path_exists(self.spark, p + "/_SUCCESS"))
+        if not path_exists(self.spark, p):
+            return False
+        return bool(_snapshots(self.spark, p)) or any(
+            path_exists(self.spark, f"{p}/{marker}") for marker in ("_SUCCESS", "_spark_metadata")
+        )
 
     def append(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> int:
         """Append ``df``; returns the number of rows written (observed in the write job)."""

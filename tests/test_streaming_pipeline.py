@@ -77,7 +77,14 @@ def test_medallion_two_runs(spark, sf_small):
     assert r1.rows["silver_standings"] == 0
     assert {c["check"]: c["passed"] for c in r1.checks}["standings_not_empty"] is False
     landing.write_payload(land, "2026-06-27T00:00:00+00:00", "snapshot", matches=derive.landing_matches(raw), **src)
-    r2 = medallion.run(spark, tables, land, 2, dt.datetime(2026, 6, 27), enforce=False)
+    ev_dir = f"{root}/events"
+    events_src.write_events(derive.events(spark, sf_small), ev_dir)
+    r2 = medallion.run(spark, tables, land, 2, dt.datetime(2026, 6, 27), enforce=False, events_dir=ev_dir)
+    scorers = sorted(tuple(r) for r in tables.read("gold_top_scorers").collect())
+    assert scorers == sorted(tuple(r) for r in gold.top_scorers(derive.events(spark, sf_small)).collect())
+    # a rerun with no new files lands nothing twice
+    r3 = medallion.run(spark, tables, land, 3, dt.datetime(2026, 6, 28), enforce=False, events_dir=ev_dir)
+    assert r3.rows["silver_events"] == r2.rows["silver_events"]
     cur = tables.read("gold_standings_current")
     # equal to the same operators applied to the batch-B rows without any I/O
     # (landing rows only carry the batch stamp, so ties within a batch break on
