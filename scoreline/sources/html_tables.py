@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,10 @@ from scoreline.functions import has_class, strip_marker
 from scoreline.operators.dedup import keep_first
 from scoreline.schemas import HTML_ROWS
 
+# The tokenizer runs on executors: ship its code with the task (pickled by
+# value), so workers need neither the package installed nor the driver's path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CELL_TAGS = ("td", "th")
 # The header words that select standings and stadium tables,
 # the table classes, the match-box cell classes and the scraped source label.
