@@ -101,15 +101,19 @@ def run(
     report.rows["silver_matches"] = tables.overwrite(matches, "silver_matches", batch_id)
     stored = tables.read("silver_matches", snapshot_id(batch_id))
 
-    # SCD2 standings from the stored silver table
+    # SCD2 standings from the stored silver table. Each run writes one snapshot
+    # partitioned by is_current: the open versions (rewritten, O(teams)) and
+    # the versions it closed (written once); older history is not touched.
     incoming = standings.compute(stored).select(*standings.STANDINGS_COLUMNS)
+    shape = scd2.initial(incoming, as_of).schema
     prev = [s for s in _snapshot_ids(tables, "silver_standings") if s < snapshot_id(batch_id)]
     if prev:
-        table = scd2.apply(tables.read("silver_standings", prev[-1]), incoming, STANDINGS_KEYS, STANDINGS_COMPARE, as_of)
+        open_versions = scd2.current(tables.read("silver_standings", prev[-1], schema=shape))
+        table = scd2.apply(open_versions, incoming, STANDINGS_KEYS, STANDINGS_COMPARE, as_of)
     else:
         table = scd2.initial(incoming, as_of)
-    report.rows["silver_standings"] = tables.overwrite(table, "silver_standings", batch_id)
-    history = tables.read("silver_standings", snapshot_id(batch_id))
+    report.rows["silver_standings"] = tables.overwrite(table, "silver_standings", batch_id, partition_by=["is_current"])
+    history = tables.read("silver_standings", snapshot_id(batch_id), schema=shape)
 
     # gold
     cur = gold.standings_current(history)

@@ -12,10 +12,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SNAPSHOT = "snapshot"
+# Partition columns come back from directory names as text; their real types.
+PARTITION_TYPES = {"is_current": "boolean", "ingest_date": "date", SNAPSHOT: "long"}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -43,6 +47,12 @@ def _snapshots(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def _typed(df: DataFrame) -> DataFrame:
+    types = dict(df.dtypes)
+    fix = {c: F.col(c).cast(t) for c, t in PARTITION_TYPES.items() if c in types and types[c] != t}
+    return df.withColumns(fix) if fix else df
+
+
 def snapshot_id(n: int) -> str:
     return f"{n:012d}"
 
@@ -89,15 +99,36 @@ class Tables:
         snaps = _snapshots(self.spark, self.path(name))
         return snaps[-1] if snaps else None
 
-    def read(self, name: str, snapshot: str | None = None) -> DataFrame:
-        """The latest snapshot of an overwrite table, or the whole append table."""
+    def read(self, name: str, snapshot: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+        """The latest snapshot of an overwrite table, or the whole append table.
+
+        A partitioned write of zero rows leaves no data file to infer a schema
+        from; ``schema`` then gives the (empty) table its columns."""
         p = self.path(name)
         snap = snapshot or self.latest_snapshot(name)
-        if snap is not None:
-            return self.spark.read.format(self.fmt).load(f"{p}/{SNAPSHOT}={snap}")
-        if not path_exists(self.spark, p):
+        if snap is None and not path_exists(self.spark, p):
             raise FileNotFoundError(f"table {name} does not exist at {p}")
-        return self.spark.read.format(self.fmt).load(p)
+        where = f"{p}/{SNAPSHOT}={snap}" if snap is not None else p
+        try:
+            return _typed(self.spark.read.format(self.fmt).load(where))
+        except AnalysisException as e:
+            if schema is None or "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            return self.spark.createDataFrame([], schema)
+
+
+    def read_versions(self, name: str) -> DataFrame:
+        """An SCD2 table stored as one snapshot per run, partitioned by
+        ``is_current``: the versions closed by every run plus the open
+        versions of the latest run. Both conditions are partition filters, so
+        only those directories are listed and read; history is never rewritten."""
+        latest = self.latest_snapshot(name)
+        if latest is None:
+            raise FileNotFoundError(f"table {name} has no committed snapshot")
+        p = self.path(name)
+        every = _typed(self.spark.read.option("basePath", p).format(self.fmt).load(p))
+        keep = ~F.col("is_current") | (F.col(SNAPSHOT) == int(latest))
+        return every.filter(F.col(SNAPSHOT) <= int(latest)).filter(keep).drop(SNAPSHOT)
 
 
 def skip_if_empty(df: DataFrame) -> bool:

@@ -5,7 +5,9 @@ builds the next silver snapshot incrementally (keep-latest over the previous
 silver snapshot plus this batch only, so the work follows the number of
 distinct matches, not the ever-growing bronze), recomputes ranked standings
 from the stored silver table and applies them to the SCD2 history as a new
-snapshot. Snapshot ids are the batch ids, and a replayed batch starts from
+snapshot (partitioned by ``is_current``: the open versions plus only the
+versions closed by this batch; earlier history is never rewritten, see
+``Tables.read_versions``). Snapshot ids are the batch ids, and a replayed batch starts from
 the snapshot before its own id, so replays are idempotent. Version counts of
 each apply are observed in the write itself and appended to a metrics log
 together with the live-match flag (the file trigger replaces the 5-minute
@@ -55,11 +57,13 @@ def refresh(tables: Tables, tiebreak: Sequence[str] = ()):
         stored = tables.read("silver_matches", snapshot_id(batch_id))
         incoming = standings.compute(stored).select(*standings.STANDINGS_COLUMNS)
 
+        shape = scd2.initial(incoming, stamp).schema
         prev = _previous(tables, "standings_scd2", batch_id)
         if prev is None:
             merged = scd2.initial(incoming, stamp).withColumn("change", F.lit("inserted"))
         else:
-            existing = tables.read("standings_scd2", prev)
+            # only the open versions take part; closed history stays where it was written
+            existing = scd2.current(tables.read("standings_scd2", prev, schema=shape))
             merged = scd2.merge(existing, incoming, STANDINGS_KEYS, STANDINGS_COMPARE, stamp)
         obs = Observation(f"scd2_{batch_id}")
         c = F.col("change")
@@ -70,7 +74,7 @@ def refresh(tables: Tables, tiebreak: Sequence[str] = ()):
             F.count_if(c == "inserted").alias("inserted"),
             F.count(F.lit(1)).alias("total"),
         )
-        tables.overwrite(observed.drop("change"), "standings_scd2", batch_id)
+        tables.overwrite(observed.drop("change"), "standings_scd2", batch_id, partition_by=["is_current"])
         live = quality.is_live(stored).withColumns({k: F.lit(v) for k, v in obs.get.items()})
         tables.append(live.withColumn("batch_id", F.lit(batch_id).cast("long")), "standings_metrics")
         spark.catalog.clearCache()
@@ -100,3 +104,8 @@ def run_standings(
 
 def current(tables: Tables) -> DataFrame:
     return scd2.current(tables.read("standings_scd2")).select(*standings.STANDINGS_COLUMNS)
+
+
+def history(tables: Tables) -> DataFrame:
+    """Every version: closed ones from all runs, open ones from the latest."""
+    return tables.read_versions("standings_scd2")

@@ -96,3 +96,20 @@ def test_hot_keys_give_the_same_answers(spark):
     hot = ours.filter(F.col("team") == "HOT").first()
     assert hot["played"] == n // 3
     raw.unpersist()
+
+
+def test_scd2_history_is_read_by_partition(spark, capsys):
+    from scoreline.operators import scd2
+
+    t = Tables(spark, scratch_path(spark, "t-versions"))
+    snap = lambda rows: spark.createDataFrame(rows, "group string, team string, points long")
+    v1 = scd2.initial(snap([("A", "x", 0), ("A", "y", 0)]), dt.datetime(2026, 6, 1))
+    t.overwrite(v1, "st", 1, partition_by=["is_current"])
+    open1 = scd2.current(t.read("st", "000000000001"))
+    v2 = scd2.apply(open1, snap([("A", "x", 3), ("A", "y", 0)]), ["group", "team"], ["points"], dt.datetime(2026, 6, 2))
+    t.overwrite(v2, "st", 2, partition_by=["is_current"])
+    versions = t.read_versions("st")
+    got = sorted((r["team"], r["points"], r["is_current"]) for r in versions.collect())
+    assert got == [("x", 0, False), ("x", 3, True), ("y", 0, True)]
+    p = plan(versions, capsys)
+    assert "PartitionFilters: [" in p and "is_current" in p.split("PartitionFilters: [")[1].splitlines()[0]

@@ -58,8 +58,12 @@ def test_standings_stream_equals_batch(spark, sf_small):
     assert streamed == batch
     metrics = tables.read("standings_metrics").orderBy("batch_id").collect()
     assert len(metrics) >= 2 and all(m["is_live"] for m in metrics)
-    history = tables.read("standings_scd2")
-    assert history.filter(~F.col("is_current")).count() > 0
+    history = stream_standings.history(tables)
+    closed = history.filter(~F.col("is_current")).count()
+    assert closed > 0
+    assert history.filter(F.col("is_current")).count() == len(batch)
+    # one open version per key, and closed + open = every version written
+    assert history.select("group", "team").filter(F.col("is_current")).distinct().count() == len(batch)
 
 
 def test_medallion_two_runs(spark, sf_small):
@@ -96,6 +100,12 @@ def test_medallion_two_runs(spark, sf_small):
     assert sorted(cur.collect(), key=key) == sorted(expect.collect(), key=key)
     assert r2.rows["bronze_matches"] == raw.count()
     assert {c["check"] for c in r2.checks} >= {"standings_not_empty", "all_standings_teams_known"}
+    # run 3 saw the same payload: nothing closed, history unchanged, open set equal
+    versions = tables.read_versions("silver_standings")
+    assert versions.filter(~F.col("is_current")).count() == 0  # run 1 had no standings to close
+    assert versions.filter(F.col("is_current")).count() == cur.count()
+    from scoreline.operators import scd2
+    assert scd2.as_of(versions, dt.datetime(2026, 6, 27, 12)).count() == cur.count()
 
 
 def test_entry_and_contract(spark):
