@@ -33,7 +33,7 @@ def team_form(matches: DataFrame) -> DataFrame:
     that is collected per team is bounded by 3 x matchdays, whatever the
     number of matches; the string is then rebuilt with ``repeat``.
     """
-    sides = unpivot_sides(matches, carry=["matchday"]).select(
+    sides = unpivot_sides(matches, carry=["matchday"], goals=False).select(
         "team", "matchday", F.coalesce(F.col("outcome"), F.lit("D")).alias("outcome")
     )
     per_day = sides.groupBy("team", "matchday", "outcome").agg(F.count(F.lit(1)).alias("n"))

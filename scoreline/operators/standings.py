@@ -12,20 +12,22 @@ from scoreline.functions import FINISHED, flag, points, side_outcome
 RANK_ORDER = ["points", "goal_difference", "goals_for"]
 
 
-def unpivot_sides(matches: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def unpivot_sides(matches: DataFrame, carry: Sequence[str] = (), goals: bool = True) -> DataFrame:
     """Finished matches -> two rows each, one per side (team, group, gf, ga, result, venue, outcome).
 
     One scan of the input: ``inline(array(home, away))`` instead of a union
-    of two projections of the same plan. ``carry`` columns ride along.
+    of two projections of the same plan. ``carry`` columns ride along;
+    ``goals=False`` leaves out group and scores (fields inside the generated
+    structs are not pruned by the optimizer, so callers say what they need).
     """
     finished = matches.filter(F.col("status") == FINISHED)
 
     def side(team: str, gf: str, ga: str, venue: str) -> Column:
+        fields = [F.col(team).alias("team")]
+        if goals:
+            fields += [F.col("group").alias("group"), F.col(gf).alias("gf"), F.col(ga).alias("ga")]
         return F.struct(
-            F.col(team).alias("team"),
-            F.col("group").alias("group"),
-            F.col(gf).alias("gf"),
-            F.col(ga).alias("ga"),
+            *fields,
             F.col("result").alias("result"),
             F.lit(venue).alias("venue"),
             *[F.col(c).alias(c) for c in carry],
