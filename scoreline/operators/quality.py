@@ -28,9 +28,11 @@ def table_checks(
     not_null: Sequence[str] = (),
     non_negative: Sequence[str] = (),
     known: tuple[str, DataFrame, str] | None = None,
+    rules: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Not-empty, no-null and non-negative checks (and optionally referential
-    integrity of one column against a dimension column) in one aggregate."""
+    """Not-empty, no-null and non-negative checks, optional referential
+    integrity of one column against a dimension column, and optional named
+    ``rules`` (a row fails a rule when its predicate is true), in one aggregate."""
     src = df
     named: list[tuple[str, Column]] = []
     if known is not None:
@@ -43,6 +45,8 @@ def table_checks(
         named.append((f"{table}_no_null_{c}", F.count_if(F.col(c).isNull())))
     for c in non_negative:
         named.append((f"{table}_{c}_non_negative", F.count_if(F.col(c) < 0)))
+    for name, failing in (rules or {}).items():
+        named.append((f"{table}_{name}", F.count_if(F.coalesce(failing, F.lit(False)))))
     if known is not None:
         col = known[0]
         named.append(
@@ -52,6 +56,11 @@ def table_checks(
     return agg.select(F.inline("r")).withColumn("passed", F.col("failed_rows") == 0)
 
 
+def finished_without_score() -> Column:
+    """A finished match lacking a score (it gets no result and no points)."""
+    return (F.col("status") == FINISHED) & (F.col("home_score").isNull() | F.col("away_score").isNull())
+
+
 def unknown(df: DataFrame, col: str, dim: DataFrame, dim_col: str) -> DataFrame:
     """Distinct values of ``df.col`` missing from ``dim.dim_col`` (one row each)."""
     names = dim.select(F.col(dim_col).alias(col))

@@ -249,6 +249,12 @@ def dq_report(spark, sf_dir):
             ),
             quality.table_checks(trend, "goals_by_matchday", not_null=["matchday"], non_negative=["goals"]),
             quality.table_checks(scorers, "top_scorers", not_null=["player"], non_negative=["goals"]),
+            quality.table_checks(
+                _silver(spark, sf_dir),
+                "matches",
+                not_null=["home_team", "away_team"],
+                rules={"finished_have_scores": quality.finished_without_score()},
+            ),
         ]
     )
 

@@ -141,6 +141,12 @@ def run(
                 not_null=["matchday"],
                 non_negative=["goals"],
             ),
+            quality.table_checks(
+                stored,
+                "matches",
+                not_null=["home_team", "away_team"],
+                rules={"finished_have_scores": quality.finished_without_score()},
+            ),
         ]
     )
     report.checks = quality.enforce(rep) if enforce else [r.asDict() for r in rep.collect()]

@@ -171,7 +171,9 @@ merged AS (
     )
 
 
-def _checks(table: str, src: str, not_null: list[str], non_negative: list[str], known: str | None = None) -> str:
+def _checks(
+    table: str, src: str, not_null: list[str], non_negative: list[str], known: str | None = None, rules: dict | None = None
+) -> str:
     parts = [
         f"SELECT '{table}' AS \"table\", '{table}_not_empty' AS \"check\", "
         f"CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS failed_rows FROM {src}"
@@ -180,6 +182,8 @@ def _checks(table: str, src: str, not_null: list[str], non_negative: list[str],
         parts.append(f"SELECT '{table}', '{table}_no_null_{c}', count(*) FILTER (WHERE {c} IS NULL) FROM {src}")
     for c in non_negative:
         parts.append(f"SELECT '{table}', '{table}_{c}_non_negative', count(*) FILTER (WHERE {c} < 0) FROM {src}")
+    for name, pred in (rules or {}).items():
+        parts.append(f"SELECT '{table}', '{table}_{name}', count(*) FILTER (WHERE COALESCE({pred}, false)) FROM {src}")
     if known:
         parts.append(f"SELECT '{table}', 'all_{table}_teams_known', count(*) FROM ({known})")
     return " UNION ALL ".join(parts)
@@ -284,6 +288,14 @@ def sql() -> dict[str, str]:
         + _checks("goals_by_matchday", "trend", ["matchday"], ["goals"])
         + " UNION ALL "
         + _checks("top_scorers", "scorers", ["player"], ["goals"])
+        + " UNION ALL "
+        + _checks(
+            "matches",
+            "m",
+            ["home_team", "away_team"],
+            [],
+            rules={"finished_have_scores": "status = 'finished' AND (home_score IS NULL OR away_score IS NULL)"},
+        )
         + ') SELECT "table", "check", CAST(failed_rows AS BIGINT) AS failed_rows, failed_rows = 0 AS passed FROM rep'
     )
     q["dq_unknown_teams"] = _scd2(cur + " " + UNKNOWN_TEAMS)

@@ -95,6 +95,15 @@ def test_quality_report_and_enforce(spark):
     assert empty.first()["failed_rows"] == 1
 
 
+def test_finished_match_without_score_is_reported(spark):
+    m = spark.createDataFrame(
+        [("finished", 1, None), ("finished", 2, 1), ("scheduled", None, None)], "status string, home_score int, away_score int"
+    )
+    rep = quality.table_checks(m, "matches", rules={"finished_have_scores": quality.finished_without_score()})
+    got = {r["check"]: r["failed_rows"] for r in rep.collect()}
+    assert got["matches_finished_have_scores"] == 1
+
+
 def test_live_gate_counts_null_status_as_live(spark):
     df = spark.createDataFrame([("finished",), (None,)], "status string")
     r = quality.is_live(df).first()
