@@ -45,6 +45,34 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int | None = None) ->
     return spark
 
 
+def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume (pass to spark-submit --conf).
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes``
+    of the widest shuffle (the line-item side of the match derivation, at most
+    the input), AQE then coalesces small ones and splits skewed ones; scan
+    splits match the same target. Broadcasts happen only from measured sizes.
+    """
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.executor.cores": str(executor_cores),
+        # shuffle files outlive a lost executor when an external shuffle service runs
+        "spark.shuffle.service.enabled": "true",
+        "spark.speculation": "true",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Base folder all executors can reach: the session's checkpoint dir.
 
