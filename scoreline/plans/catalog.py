@@ -232,6 +232,20 @@ def kpi_avg_goals(spark, sf_dir):
 # --- quality and gate -----------------------------------------------------------
 
 
+def _gold(spark, sf_dir) -> Tables:
+    """The stored gold tables (current standings, goals per matchday, top
+    scorers), written once per application and input folder; the quality job
+    checks what was stored, as a maintenance run after the gold build would."""
+
+    def build(root):
+        t = Tables(spark, root)
+        t.overwrite(gold_standings_current(spark, sf_dir), "gold_standings_current", 1)
+        t.overwrite(_trend(spark, sf_dir), "gold_goals_by_matchday", 1)
+        t.overwrite(gold.top_scorers(derive.events(spark, sf_dir)), "gold_top_scorers", 1)
+
+    return Tables(spark, _once(spark, sf_dir, "gold", build))
+
+
 def _teams_dim(spark, sf_dir):
     # The registered teams: customers only, so supplier sides are "unknown".
     return derive.teams(spark, sf_dir, include_suppliers=False)
@@ -239,9 +253,10 @@ def _teams_dim(spark, sf_dir):
 
 @query
 def dq_report(spark, sf_dir):
-    cur = gold_standings_current(spark, sf_dir)
-    trend = _trend(spark, sf_dir)
-    scorers = gold.top_scorers(derive.events(spark, sf_dir))
+    g = _gold(spark, sf_dir)
+    cur = g.read("gold_standings_current")
+    trend = g.read("gold_goals_by_matchday")
+    scorers = g.read("gold_top_scorers")
     return quality.report(
         [
             quality.table_checks(
@@ -261,7 +276,7 @@ def dq_report(spark, sf_dir):
 
 @query
 def dq_unknown_teams(spark, sf_dir):
-    return quality.unknown(gold_standings_current(spark, sf_dir), "team", _teams_dim(spark, sf_dir), "name")
+    return quality.unknown(_gold(spark, sf_dir).read("gold_standings_current"), "team", _teams_dim(spark, sf_dir), "name")
 
 
 @query
