@@ -6,9 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreline.functions import FINISHED, round_ratio
-from scoreline.operators.standings import STANDINGS_COLUMNS, unpivot_sides
+from scoreline.operators.standings import unpivot_sides
 
-CURRENT_COLUMNS = [c for c in STANDINGS_COLUMNS]
+# Column order of the current-standings table (goal difference before points).
+CURRENT_COLUMNS = [
+    "group",
+    "team",
+    "played",
+    "won",
+    "drawn",
+    "lost",
+    "goals_for",
+    "goals_against",
+    "goal_difference",
+    "points",
+    "group_rank",
+]
 
 
 def standings_current(scd2_table: DataFrame) -> DataFrame:
