@@ -94,9 +94,21 @@ def rank_within(
     return df.join(hist, cond, "inner").select(*df.columns, name)
 
 
-def compute(matches: DataFrame) -> DataFrame:
-    """Ranked standings from silver matches (finished matches only)."""
-    return rank_within(aggregate(unpivot_sides(matches)), ["group"], RANK_ORDER)
+def compute(matches: DataFrame, materialize: bool = False) -> DataFrame:
+    """Ranked standings from silver matches (finished matches only).
+
+    The rank reads the per-team table twice (rows and score histogram).
+    ``materialize`` first writes that table with a reliable ``checkpoint()``
+    to the shared checkpoint folder, so the matches are aggregated once; the
+    table holds one row per team, far fewer than matches.
+    """
+    agg = aggregate(unpivot_sides(matches))
+    if materialize:
+        from scoreline.session import shared_dir
+
+        shared_dir(agg.sparkSession)  # make sure a checkpoint folder is set
+        agg = agg.checkpoint(eager=True)
+    return rank_within(agg, ["group"], RANK_ORDER)
 
 
 STANDINGS_COLUMNS = [

@@ -36,7 +36,7 @@ def query(fn: Query) -> Query:
 
 @query
 def standings_ranked(spark, sf_dir):
-    return standings.compute(_silver(spark, sf_dir)).select(*standings.STANDINGS_COLUMNS)
+    return standings.compute(_silver(spark, sf_dir), materialize=True).select(*standings.STANDINGS_COLUMNS)
 
 
 @query
@@ -84,7 +84,7 @@ def _standings(spark, sf_dir, cutoff=None):
     m = _silver(spark, sf_dir)
     if cutoff is not None:
         m = m.filter(F.col("matchday") <= cutoff)
-    return standings.compute(m).select(*standings.STANDINGS_COLUMNS)
+    return standings.compute(m, materialize=True).select(*standings.STANDINGS_COLUMNS)
 
 
 def _scd2_inputs(spark, sf_dir):

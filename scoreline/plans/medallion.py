@@ -104,7 +104,7 @@ def run(
     # SCD2 standings from the stored silver table. Each run writes one snapshot
     # partitioned by is_current: the open versions (rewritten, O(teams)) and
     # the versions it closed (written once); older history is not touched.
-    incoming = standings.compute(stored).select(*standings.STANDINGS_COLUMNS)
+    incoming = standings.compute(stored, materialize=True).select(*standings.STANDINGS_COLUMNS)
     shape = scd2.initial(incoming, as_of).schema
     prev = [s for s in _snapshot_ids(tables, "silver_standings") if s < snapshot_id(batch_id)]
     if prev:

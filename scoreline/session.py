@@ -25,6 +25,8 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of materialized intermediates go once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "8g",
 }
@@ -69,6 +71,7 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_byt
         "spark.executor.cores": str(executor_cores),
         # shuffle files outlive a lost executor when an external shuffle service runs
         "spark.shuffle.service.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.speculation": "true",
     }
 

@@ -55,7 +55,7 @@ def refresh(tables: Tables, tiebreak: Sequence[str] = ()):
         matches = silver.matches(new, list(tiebreak))
         tables.overwrite(matches, "silver_matches", batch_id)
         stored = tables.read("silver_matches", snapshot_id(batch_id))
-        incoming = standings.compute(stored).select(*standings.STANDINGS_COLUMNS)
+        incoming = standings.compute(stored, materialize=True).select(*standings.STANDINGS_COLUMNS)
 
         shape = scd2.initial(incoming, stamp).schema
         prev = _previous(tables, "standings_scd2", batch_id)
