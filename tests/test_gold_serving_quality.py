@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from scoreline.operators import gold, quality, serving
 from scoreline.operators.dedup import keep_first, keep_latest
@@ -123,3 +124,16 @@ def test_keep_latest_and_first_total_order(spark):
     first = {r["key"]: (r["ts"], r["v"]) for r in keep_first(df, ["key"], ["ts"]).collect()}
     assert first == {"k": (1, "old"), "j": (None, "n")}
     assert keep_latest(df, ["key"], ["ts"]).columns == df.columns
+
+
+def test_empty_inputs(spark):
+    empty = matches_df(spark, [])
+    assert gold.team_form(empty).count() == 0
+    assert gold.goals_by_matchday(empty).count() == 0
+    trend = gold.goals_by_matchday(empty)
+    assert serving.kpi_total_goals(trend).first()["total_goals"] == 0
+    assert serving.kpi_avg_goals(trend).first()["avg_goals_per_match"] is None
+    k = serving.kpi_matches_played(empty).first()
+    assert (k["finished"], k["total"]) == (0, 0)
+    f = serving.freshness(empty.withColumn("ingested_at", F.lit(None).cast("timestamp_ntz"))).first()
+    assert f["available"] is False and f["latest_ingested_at"] is None

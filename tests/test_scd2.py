@@ -76,3 +76,12 @@ def test_stamp_is_timestamp_ntz(spark):
     v1 = scd2.initial(snap(spark, [("A", "x", 0)]), T1)
     assert dict(v1.dtypes)["effective_from"] == "timestamp_ntz"
     assert v1.filter(F.col("effective_to").isNull()).count() == 1
+
+
+def test_empty_incoming_closes_every_open_version(spark):
+    v1 = scd2.initial(snap(spark, [("A", "x", 3), ("B", "y", 1)]), T1)
+    v2 = apply(v1, snap(spark, []), T2)
+    rows = v2.collect()
+    assert len(rows) == 2 and not any(r["is_current"] for r in rows)
+    assert all(r["effective_to"] == T2 for r in rows)
+    assert scd2.current(v2).count() == 0 and scd2.as_of(v2, T1).count() == 2
