@@ -1,9 +1,10 @@
 """HTML tables -> rows, as a distributed job over a table of pages.
 
 ``extract`` is the only Python-per-partition step of the engine: a
-``mapInPandas`` that tokenizes each page (one compiled regular expression for
-tags, comments and declarations; ``html.unescape`` for text and attribute
-values; script/style bodies skipped) and emits one row per ``<tr>``: (page_id, table_no, table_class, row_no,
+``mapInPandas`` that tokenizes each page (one compiled, possessive regular
+expression scanned with ``findall``, linear even on malformed pages;
+``html.unescape`` for text and attribute values; script/style bodies
+skipped) and emits one row per ``<tr>``: (page_id, table_no, table_class, row_no,
 cells, cell_tags, cell_classes). Everything after it (which tables qualify,
 which cells to pick, marker stripping, first-seen dedup, match boxes) is
 built-in Spark expressions, aggregates and joins.
@@ -44,15 +45,8 @@ BOX_CELLS = {"home_team": "fhome", "away_team": "faway", "score": "fscore"}
 SCRAPED_TABLE = "group_stage"
 
 
-# Possessive quantifiers: linear time even on malformed, untrusted pages.
-_TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*+)|<![^>]*+(?:>|\Z)|<\?[^>]*+(?:>|\Z)"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)",
-    re.S,
-)
 _CLASS = re.compile(r"""(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _RAW_TEXT = ("script", "style")
-_RAW_CLOSE = {t: re.compile(rf"</{t}\s*>", re.I) for t in _RAW_TEXT}
 
 
 def _class_of(attrs: str) -> str | None:
@@ -80,38 +74,54 @@ def _close_row(t: list, rows: list) -> None:
         t[3] = t[4] = t[5] = None
 
 
+# One scan per page: (text before the token, comment, declaration, "/" of an
+# end tag, tag name, attributes, a lone "<" that is just text). findall does
+# the scanning in C; Python only walks the tuples.
+_SCAN = re.compile(
+    r"([^<]*+)(?:(<!--(?:.*?-->|.*+))|(<![^>]*+(?:>|\Z)|<\?[^>]*+(?:>|\Z))"
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
+    r"|(<)|\Z)",
+    re.S,
+)
+
+
 def parse_tables(page: str | None) -> list[tuple]:
     """(table_no, table_class, row_no, cells, cell_tags, cell_classes) per row of one page.
 
-    One pass of a compiled tokenizer. An open table is the list
+    An open table is the list
     [no, class, rows_so_far, cells, cell_tags, cell_classes, open_cell_fragments].
+    Inside script/style everything up to the matching end tag is skipped.
     """
     if not page or "<table" not in page.lower():
         return []
     rows: list[tuple] = []
     stack: list[list] = []  # open tables, innermost last
     n_tables = 0
-    pos = 0
-    tokens = _TOKEN.finditer(page)
-    while True:
-        m = next(tokens, None)
-        end = m.start() if m is not None else len(page)
-        if end > pos and stack:
-            piece = page[pos:end].strip()
+    pending: list[str] = []  # text interrupted by a lone "<"
+    raw = None  # inside script/style
+    for text, _comment, _decl, closing, tag, attrs, lt in _SCAN.findall(page):
+        if raw is not None:
+            if closing and tag.lower() == raw:
+                raw = None
+            continue
+        if lt:
+            pending += (text, lt)
+            continue
+        if pending:
+            pending.append(text)
+            text, pending = "".join(pending), []
+        if text and stack:
+            piece = text.strip()
             if piece:
                 if "&" in piece:
                     piece = htmllib.unescape(piece)
                 for t in stack:  # enclosing cells see nested text, like get_text
                     if t[6] is not None:
                         t[6].append(piece)
-        if m is None:
-            break
-        pos = m.end()
-        closing, tag, attrs = m.groups()
-        if tag is None:  # comment, declaration, processing instruction
+        if not tag:
             continue
         tag = tag.lower()
-        if closing:  # end tag
+        if closing:
             if stack:
                 t = stack[-1]
                 if tag == "table":
@@ -137,10 +147,8 @@ def parse_tables(page: str | None) -> list[tuple]:
             t[4].append(tag)
             t[5].append(_class_of(attrs))
             t[6] = []
-        elif tag in _RAW_TEXT:  # skip the body up to the closing tag
-            close = _RAW_CLOSE[tag].search(page, pos)
-            pos = close.end() if close else len(page)
-            tokens = _TOKEN.finditer(page, pos)
+        elif tag in _RAW_TEXT:
+            raw = tag
     while stack:
         _close_row(stack.pop(), rows)
     return rows
