@@ -33,11 +33,13 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--tables", required=True)
     e.add_argument("--delay", default="40 days")
     e.add_argument("--continuous", action="store_true")
+    e.add_argument("--max-files-per-trigger", type=int)
     s = sub.add_parser("stream-standings", help="match files -> incremental silver -> SCD2 standings")
     s.add_argument("--input", required=True)
     s.add_argument("--tables", required=True)
     s.add_argument("--schema-from-table", required=True, help="table whose schema the match files follow")
     s.add_argument("--continuous", action="store_true")
+    s.add_argument("--max-files-per-trigger", type=int)
     a = ap.parse_args(argv)
 
     spark = get_spark()
@@ -61,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
         once = not a.continuous
         ck = tables.path("_checkpoints")
         qs = [
-            se.land_events(spark, a.input, tables.path("bronze_match_events"), f"{ck}/land", once),
+            se.land_events(spark, a.input, tables.path("bronze_match_events"), f"{ck}/land", once, a.max_files_per_trigger),
             se.silver_events(spark, tables.path("bronze_match_events"), tables.path("silver_events"), f"{ck}/silver", a.delay, once),
             se.top_scorers(spark, tables.path("silver_events"), tables.path("gold_top_scorers_log"), f"{ck}/gold", once),
         ]
@@ -72,7 +74,15 @@ def main(argv: list[str] | None = None) -> int:
         from scoreline.streaming import standings as ss
 
         schema = tables.read(a.schema_from_table).drop("ingest_date").schema
-        ss.run_standings(spark, a.input, tables, tables.path("_checkpoints/standings"), schema, available_now=not a.continuous)
+        ss.run_standings(
+            spark,
+            a.input,
+            tables,
+            tables.path("_checkpoints/standings"),
+            schema,
+            available_now=not a.continuous,
+            max_files=a.max_files_per_trigger,
+        )
         if a.continuous:
             spark.streams.awaitAnyTermination()
     return 0

@@ -44,9 +44,17 @@ def _run(writer, available_now: bool = True) -> StreamingQuery:
     return q
 
 
-def land_events(spark: SparkSession, in_dir: str, out_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Bronze: every new event file lands once in a parquet table."""
-    w = event_stream(spark, in_dir).writeStream.format("parquet").option("checkpointLocation", checkpoint)
+def land_events(
+    spark: SparkSession,
+    in_dir: str,
+    out_path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Bronze: every new event file lands once in a parquet table
+    (``max_files`` bounds the files per micro-batch; availableNow honours it)."""
+    w = event_stream(spark, in_dir, max_files).writeStream.format("parquet").option("checkpointLocation", checkpoint)
     return _run(w.option("path", out_path).outputMode("append"), available_now)
 
 

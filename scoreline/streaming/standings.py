@@ -29,8 +29,11 @@ from scoreline.sources.events import NTZ_FORMAT
 from scoreline.sources.io import Tables, _snapshots, snapshot_id
 
 
-def match_stream(spark: SparkSession, in_dir: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).option("timestampNTZFormat", NTZ_FORMAT).json(in_dir)
+def match_stream(spark: SparkSession, in_dir: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    r = spark.readStream.schema(schema).option("timestampNTZFormat", NTZ_FORMAT)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.json(in_dir)
 
 
 def _previous(tables: Tables, name: str, batch_id: int) -> str | None:
@@ -90,9 +93,10 @@ def run_standings(
     schema: T.StructType,
     tiebreak: Sequence[str] = (),
     available_now: bool = True,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     w = (
-        match_stream(spark, in_dir, schema)
+        match_stream(spark, in_dir, schema, max_files)
         .writeStream.foreachBatch(refresh(tables, tiebreak))
         .option("checkpointLocation", checkpoint)
     )

@@ -27,5 +27,5 @@ def test_cli_run_and_stream_events(spark, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["rows"]["gold_standings_current"] == 2 and out["rows"]["gold_top_scorers"] == 2
     assert all(c["passed"] for c in out["checks"])
-    assert cli.main(["stream-events", "--input", f"{root}/events", "--tables", f"{root}/s"]) == 0
+    assert cli.main(["stream-events", "--input", f"{root}/events", "--tables", f"{root}/s", "--max-files-per-trigger", "1"]) == 0
     assert spark.read.parquet(f"{root}/s/silver_events").count() == 3
