@@ -8,6 +8,7 @@ from scoreline.functions.expr import (  # noqa: F401
     event_line,
     flag,
     has_class,
+    instant,
     lenient_int,
     match_result,
     ntz,

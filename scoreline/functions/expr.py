@@ -33,6 +33,13 @@ def ntz(ts) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def instant(c: str | Column) -> Column:
+    """ISO-8601 text (with or without offset) -> timestamp; unparsable -> null
+    (plain ``to_timestamp`` raises under ANSI mode)."""
+    c = col(c)
+    return F.coalesce(c.try_cast("timestamp"), F.try_to_timestamp(c))
+
+
 def lenient_int(c: str | Column) -> Column:
     """Text -> int the way a non-ANSI cast does it: junk -> null, '3.7' -> 3.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreline.functions import lenient_int, match_result
+from scoreline.functions import instant, lenient_int, match_result
 from scoreline.operators.dedup import keep_latest
 
 SILVER_TEAM_COLUMNS = ["name", "group", "ingested_at", "source_name"]
@@ -13,7 +13,7 @@ SILVER_TEAM_COLUMNS = ["name", "group", "ingested_at", "source_name"]
 
 def _order_ts(c: str = "ingested_at"):
     # Landing stamps are ISO-8601 text with an offset; order them as instants.
-    return F.coalesce(F.col(c).try_cast("timestamp"), F.to_timestamp(F.col(c)))
+    return instant(c)
 
 
 def teams(bronze: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreline.functions import lenient_int
+from scoreline.functions import instant, lenient_int
 from scoreline.operators import bronze, gold, quality, scd2, silver, standings
 from scoreline.schemas import MATCHES_RAW, STADIUMS_RAW, STANDINGS_COMPARE, STANDINGS_KEYS, TEAMS_RAW
 from scoreline.sources import landing
@@ -36,14 +36,14 @@ def _bronze(tables: Tables, docs: DataFrame, report: RunReport) -> str:
     """Append this batch's entities to bronze (partitioned by ingest date)."""
     for entity, schema in BRONZE.items():
         rows = bronze.align(landing.explode_entity(docs, entity), schema, keep=["ingested_at", "source_name"])
-        rows = rows.withColumn("ingest_date", F.to_date(F.to_timestamp("ingested_at")))
+        rows = rows.withColumn("ingest_date", F.to_date(instant("ingested_at")))
         if entity == "stadiums":
             rows = rows.withColumn("capacity", lenient_int("capacity"))
         if rows.isEmpty():
             report.rows[f"bronze_{entity}"] = 0
             continue
         report.rows[f"bronze_{entity}"] = tables.append(rows, f"bronze_{entity}", partition_by=["ingest_date"])
-    ingest_date = docs.agg(F.max(F.to_date(F.to_timestamp("fetched_at"))).alias("d")).first()["d"]
+    ingest_date = docs.agg(F.max(F.to_date(instant("fetched_at"))).alias("d")).first()["d"]
     return str(ingest_date)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scoreline.functions import instant
 from scoreline.schemas import GROUP_MAP_PAYLOAD, MATCH_FIELDS, PAYLOAD, STADIUM_FIELDS, TEAM_FIELDS
 
 ENTITIES = {"teams": TEAM_FIELDS, "stadiums": STADIUM_FIELDS, "matches": MATCH_FIELDS}
@@ -52,7 +53,7 @@ def write_payload(
         {
             "fetched_at": F.lit(fetched_at),
             "source_name": F.lit(source_name),
-            "ingest_date": F.to_date(F.to_timestamp(F.lit(fetched_at))),
+            "ingest_date": F.to_date(instant(F.lit(fetched_at))),
         }
     )
     out.write.mode("append").partitionBy("ingest_date").json(path)
@@ -70,7 +71,7 @@ def read_landing(spark: SparkSession, path: str, multi_line: bool = False, schem
 def latest_batch(docs: DataFrame, ts_col: str = "fetched_at") -> DataFrame:
     """Documents of the most recent batch, compared as timestamps (never as
     file names or strings). The max is a one-row aggregate joined back."""
-    ts = F.to_timestamp(F.col(ts_col))
+    ts = instant(ts_col)
     newest = docs.agg(F.max(ts).alias("_newest"))
     return docs.join(F.broadcast(newest), ts == F.col("_newest")).drop("_newest")
 

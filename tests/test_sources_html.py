@@ -147,3 +147,11 @@ def test_html_source_registry(spark):
     assert set(src) == {"teams", "stadiums", "matches"}
     assert src["matches"].count() == 1
     assert src["teams"].filter(F.col("name") == "Spain").count() == 1
+
+
+def test_unparsable_stamp_is_null_not_an_error(spark):
+    from scoreline.functions import instant
+
+    df = spark.createDataFrame([("2026-06-27T09:00:00+02:00",), ("garbage",), (None,)], "t string")
+    got = [r[0] for r in df.select(instant("t").cast("string")).collect()]
+    assert got[1:] == [None, None] and got[0] is not None
