@@ -114,8 +114,10 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Match events ``E`` in the canonical event schema."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    k = F.get_json_object("props", "$.k")
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", F.get_json_object("props", "$.k").alias("_k")
+    )
+    k = F.col("_k")  # the JSON key is extracted once per row
     renamed = F.create_map(*[F.lit(x) for kv in EVENT_TYPE_OF.items() for x in kv])
     etype = F.coalesce(renamed[F.col("event_type")], F.col("event_type"))
     return ev.select(
