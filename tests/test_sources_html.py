@@ -155,3 +155,13 @@ def test_unparsable_stamp_is_null_not_an_error(spark):
     df = spark.createDataFrame([("2026-06-27T09:00:00+02:00",), ("garbage",), (None,)], "t string")
     got = [r[0] for r in df.select(instant("t").cast("string")).collect()]
     assert got[1:] == [None, None] and got[0] is not None
+
+
+def test_empty_partitioned_snapshot_reads_with_declared_schema(spark):
+    t = Tables(spark, scratch_path(spark, "t-empty"))
+    empty = spark.createDataFrame([], "team string, is_current boolean")
+    assert t.overwrite(empty, "st", 1, partition_by=["is_current"]) == 0
+    got = t.read("st", schema=empty.schema)
+    assert got.count() == 0 and got.columns == ["team", "is_current"]
+    with pytest.raises(FileNotFoundError):
+        t.read_versions("nothing_here")
