@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import tokens
+from . import packing, shards, tokens
 from .common import table
 
 
@@ -14,10 +15,25 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.byte_shards(table(spark, sf_dir, "documents"), n_shards=24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op6_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), size=4096, end_id=1)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=512)
 
 
-QUERIES = {"op10_token_counts": op10_token_counts}
+QUERIES = {
+    "op3_byte_shards": op3_byte_shards,
+    "op6_best_two_fit": op6_best_two_fit,
+    "op10_token_counts": op10_token_counts,
+}
 
 ORACLE: dict[str, str] = {}
