@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, shards, tokens
+from . import language, packing, shards, tokens, toxicity
 from .common import table
 
 
@@ -22,6 +22,14 @@ def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_family_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(table(spark, sf_dir, "documents"))
+
+
 def op6_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), size=4096, end_id=1)
 
@@ -32,6 +40,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_byte_shards": op3_byte_shards,
+    "op4_compression_toxicity": op4_compression_toxicity,
+    "op5_family_svm": op5_family_svm,
     "op6_best_two_fit": op6_best_two_fit,
     "op10_token_counts": op10_token_counts,
 }
