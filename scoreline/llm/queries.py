@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, near_dup, packing, shards, tokens, toxicity
+from . import fingerprints, language, near_dup, packing, shards, tokens, toxicity
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op9_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=512)
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op5_family_svm": op5_family_svm,
     "op6_best_two_fit": op6_best_two_fit,
     "op8_bbit_minhash": op8_bbit_minhash,
+    "op9_improbable_features": op9_improbable_features,
     "op10_token_counts": op10_token_counts,
 }
 
