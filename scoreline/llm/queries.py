@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, near_dup, packing, shards, tokens, toxicity
+from . import fingerprints, language, line_dedup, near_dup, packing, shards, tokens, toxicity
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op6_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), size=4096, end_id=1)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op4_compression_toxicity": op4_compression_toxicity,
     "op5_family_svm": op5_family_svm,
     "op6_best_two_fit": op6_best_two_fit,
+    "op7_line_dedup": op7_line_dedup,
     "op8_bbit_minhash": op8_bbit_minhash,
     "op9_improbable_features": op9_improbable_features,
     "op10_token_counts": op10_token_counts,
