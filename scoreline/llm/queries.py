@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, line_dedup, near_dup, packing, shards, tokens, toxicity
+from . import fingerprints, language, line_dedup, near_dup, packing, pii, shards, tokens, toxicity
 from .common import table
 
 
@@ -15,6 +15,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_revealing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_summary(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.byte_shards(table(spark, sf_dir, "documents"), n_shards=24)
     return placed.select(
@@ -31,7 +35,7 @@ def op5_family_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), size=4096, end_id=1)
+    return packing.pack_texts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), size=4096, end_id=1)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +55,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_revealing_terms": op2_revealing_terms,
     "op3_byte_shards": op3_byte_shards,
     "op4_compression_toxicity": op4_compression_toxicity,
     "op5_family_svm": op5_family_svm,
