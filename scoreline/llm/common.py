@@ -114,9 +114,8 @@ def shingle_set(text: str | None, hashes: WordHashes, size: int = 5) -> np.ndarr
 
 
 def words(text: Column) -> Column:
-    """Native words: A-Z lower-cased, cut at spaces and U+0009-U+000D."""
-    low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.filter(F.split(low, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    """Native words: lower-cased, cut at spaces and U+0009-U+000D; none for null."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

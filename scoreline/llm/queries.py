@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, line_dedup, near_dup, packing, pii, shards, tokens, toxicity
+from . import decontaminate, fingerprints, language, line_dedup, near_dup, packing, pii, shards, tokens, toxicity
 from .common import table
 
 
@@ -15,6 +15,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select(
+        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "similarity", "word_start", F.col("n_words").cast("long")
+    )
+
+
 def op2_revealing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_summary(table(spark, sf_dir, "documents"))
 
@@ -55,6 +62,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash_windows": op1_simhash_windows,
     "op2_revealing_terms": op2_revealing_terms,
     "op3_byte_shards": op3_byte_shards,
     "op4_compression_toxicity": op4_compression_toxicity,
