@@ -212,3 +212,14 @@ def find_leaks(
     return found.groupBy("id", "th", "item").agg(best.alias("best")).select(
         "id", "th", "item", "best.similarity", (-F.col("best.before")).alias("word_start"), "best.n_words"
     )
+
+
+def drop_leaking(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``df``, with all their columns, whose text holds no benchmark item (see `find_leaks`)."""
+    leaks = find_leaks(df, benchmark, id_col=id_col, text_col=text_col, **how)
+    leaks = materialize(leaks.select(F.col("id").alias("lid"), F.col("th").alias("lth")).distinct(), "leaking")
+    key, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), key.alias("id"), F.xxhash64(text).alias("th"))
+    side = broadcast_if_small(leaks, 1_000_000)
+    clean = rows.join(side, F.col("id").eqNullSafe(F.col("lid")) & (F.col("th") == F.col("lth")), "left_anti")
+    return clean.select("row.*")

@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -154,6 +157,13 @@ def sample(df: DataFrame, per_lang: int, max_chars: int, id_col: str, text_col:
     return [(t, lang) for lang, texts in by.items() for t in texts[:per_lang]]
 
 
+def fit(
+    df: DataFrame, per_lang: int, max_chars: int, bits: int, held: int, id_col: str, text_col: str, lang_col: str
+) -> Broadcast:
+    learned = sample(df, per_lang, max_chars, id_col, text_col, lang_col, held)
+    return df.sparkSession.sparkContext.broadcast(Model([t for t, _ in learned], [v for _, v in learned], bits))
+
+
 def language_id(
     df: DataFrame,
     per_lang: int = 500,
@@ -175,8 +185,7 @@ def language_id(
     if nothing is labelled. Rows of a null id are not held out. Repeated rows
     give repeated rows. Scoring is one pass without a shuffle.
     """
-    learned = sample(df, per_lang, max_chars, id_col, text_col, lang_col, held)
-    model = df.sparkSession.sparkContext.broadcast(Model([t for t, _ in learned], [v for _, v in learned], bits))
+    model = fit(df, per_lang, max_chars, bits, held, id_col, text_col, lang_col)
 
     def each(ids: list, texts: list) -> dict:
         found = [model.value.predict(t) for t in texts]
@@ -189,3 +198,33 @@ def language_id(
 
     schema = f"`{id_col}` long, held_out boolean, lang_pred string, score double"
     return map_texts(narrow(df, id_col, text_col), schema, each)
+
+
+def keep_identified(
+    df: DataFrame,
+    min_score: float = 0.5,
+    per_lang: int = 500,
+    max_chars: int = 20_000,
+    bits: int = 13,
+    held: int = 2,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> DataFrame:
+    """The rows, with all their columns, whose language is identified with a score of at least ``min_score``.
+
+    Rejects texts that are null or have no letter, and those that two languages
+    claim alike (see `language_id`). Without any labelled text all rows stay:
+    there is nothing to judge by. One pass, no shuffle.
+    """
+    model = fit(df, per_lang, max_chars, bits, held, id_col, text_col, lang_col)
+    if not model.value.langs:
+        return df
+    place = df.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sure = [score >= min_score for score in (model.value.predict(t.as_py())[1] for t in b.column(place))]
+            yield b.filter(pa.array(sure, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

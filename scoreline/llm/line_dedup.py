@@ -121,6 +121,28 @@ def near_lines(lines: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame
     return both.filter(F.levenshtein("line", "other", 1) >= 0).select("h").distinct()
 
 
+def lines_to_drop(texts: DataFrame, min_chars: int) -> DataFrame:
+    """(gid, gth, gone, exact): the numbers of a document's lines that go, and how many repeat a line exactly."""
+    lines = lines_of(texts).filter(F.trim("line") != "")
+    hashed = lines.select("id", "th", "n", F.xxhash64("line").alias("h"))
+    firsts = materialize(hashed.groupBy("h").agg(F.min(F.struct("id", "th", "n")).alias("first")), "first-lines")
+    near = materialize(near_lines(lines, firsts, min_chars).withColumn("near", F.lit(True)), "near-lines")
+    decided = hashed.join(firsts.join(near, "h", "left"), "h")
+    is_first = F.struct("id", "th", "n").eqNullSafe(F.col("first"))
+    return (
+        decided.filter(~is_first | F.col("near"))
+        .groupBy(F.col("id").alias("gid"), F.col("th").alias("gth"))
+        .agg(F.collect_set("n").alias("gone"), F.count_distinct(F.when(~is_first, F.col("n"))).alias("exact"))
+    )
+
+
+def remaining(text: Column, gone: Column) -> Column:
+    """A text without the lines whose numbers are in ``gone`` (null: none)."""
+    parts = F.split(text, "\n", -1)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
+    return F.when(gone.isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n"))
+
+
 def dedup_lines(df: DataFrame, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Drop each line that repeats an earlier one, exactly or within one edit.
 
@@ -131,39 +153,26 @@ def dedup_lines(df: DataFrame, min_chars: int = 16, id_col: str = "doc_id", text
     Blank lines stay. Lines of less than ``min_chars`` code points are only
     compared exactly.
 
-    Returns ``id_col``, ``text_col`` (the lines that stay), n_lines,
-    exact_dropped and near_dropped for every row. Null texts stay null, with 0
-    lines; an empty text has one blank line. Rows that repeat both id and text
-    are one document: each keeps and loses the same lines. An empty table gives
-    no rows. Lines of 64-bit hashes that collide would be taken for equal.
+    Returns every row with all its columns, ``text_col`` without the lines that
+    go, and a last column ``line_counts``: a struct of the text's number of
+    lines, and of those dropped as exact and as near repeats. Null texts stay
+    null, with 0 lines; an empty text has one blank line. Rows that repeat both
+    id and text are one document: each keeps and loses the same lines. An empty
+    table gives no rows. Lines of colliding 64-bit hashes are taken for equal.
     """
-    texts = narrow(df, id_col, text_col)
-    lines = lines_of(texts).filter(F.trim("line") != "")
-    hashed = lines.select("id", "th", "n", F.xxhash64("line").alias("h"))
-    firsts = materialize(hashed.groupBy("h").agg(F.min(F.struct("id", "th", "n")).alias("first")), "first-lines")
-    near = materialize(near_lines(lines, firsts, min_chars).withColumn("near", F.lit(True)), "near-lines")
-    decided = hashed.join(firsts.join(near, "h", "left"), "h")
-    is_first = F.struct("id", "th", "n").eqNullSafe(F.col("first"))
-    gone = decided.filter(~is_first | F.col("near"))
-    gone = gone.groupBy("id", "th").agg(
-        F.collect_set("n").alias("gone"), F.count_distinct(F.when(~is_first, F.col("n"))).alias("exact")
-    )
-    rows = texts.select("id", "text", F.xxhash64("text").alias("th"))
-    found = rows.join(
-        gone.select(F.col("id").alias("gid"), F.col("th").alias("gth"), "gone", "exact"),
-        F.col("id").eqNullSafe(F.col("gid")) & (F.col("th") == F.col("gth")),
-        "left",
-    )
-    parts = F.split("text", "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
-    body = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
-    )
+    gone = lines_to_drop(narrow(df, id_col, text_col), min_chars)
+    key, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    # the rows travel as one struct, so no name of theirs can clash
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), key.alias("id"), F.xxhash64(text).alias("th"))
+    found = rows.join(gone, F.col("id").eqNullSafe(F.col("gid")) & (F.col("th") == F.col("gth")), "left")
+    text = F.col(f"row.`{text_col}`")
     exact = F.coalesce("exact", F.lit(0)).cast("long")
-    return found.select(
-        F.col("id").alias(id_col),
-        body.alias(text_col),
-        F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
-        exact.alias("exact_dropped"),
-        (F.coalesce(F.size("gone"), F.lit(0)) - exact).cast("long").alias("near_dropped"),
+    counts = F.struct(
+        F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("long").alias("lines"),
+        exact.alias("exact"),
+        (F.coalesce(F.size("gone"), F.lit(0)) - exact).cast("long").alias("near"),
     )
+    columns = [
+        (remaining(text, F.col("gone")) if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in df.columns
+    ]
+    return found.select(*columns, counts.alias("line_counts"))

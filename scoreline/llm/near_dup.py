@@ -204,19 +204,24 @@ def complete(members: DataFrame, least: float, percent: int) -> DataFrame:
 
 
 def shingle_classes(texts: DataFrame, size: int) -> DataFrame:
-    """(id, n_shingles, cid, sketch, buckets) of every row; nulls for a text without words."""
+    """(id, th, n_shingles, cid, sketch, buckets) of every row; nulls for a text without words.
+
+    ``th`` is the hash of the text as Spark's xxhash64 gives it.
+    """
 
     def each(ids: list, bodies: list) -> dict:
-        out: dict[str, list] = {"n_shingles": [], "cid": [], "sketch": [], "buckets": []}
+        out: dict[str, list] = {"th": [], "n_shingles": [], "cid": [], "sketch": [], "buckets": []}
         for t in bodies:
             s = shingle_set(t, hashes, size)
             least = minima(s) if len(s) else None
+            out["th"].append(42 if t is None else signed(xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), seed=42)))
             out["n_shingles"].append(len(s))
             out["cid"].append(class_id(s) if len(s) else None)
             out["sketch"].append(sketch(least).tobytes() if len(s) else None)
             out["buckets"].append(bands(least).view(np.int64) if len(s) else None)
         return {
             "id": pa.array(ids, pa.int64()),
+            "th": pa.array(out["th"], pa.int64()),
             "n_shingles": out["n_shingles"],
             "cid": pa.array(out["cid"], pa.int64()),
             "sketch": pa.array(out["sketch"], pa.binary()),
@@ -224,11 +229,15 @@ def shingle_classes(texts: DataFrame, size: int) -> DataFrame:
         }
 
     hashes = WordHashes()
-    return map_texts(texts, "id long, n_shingles long, cid long, sketch binary, buckets array<long>", each)
+    return map_texts(texts, "id long, th long, n_shingles long, cid long, sketch binary, buckets array<long>", each)
+
+
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def class_id(shingles: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64))
+    return signed(xxhash.xxh3_64_intdigest(shingles.tobytes()))
 
 
 def shingle_rows(texts: DataFrame, size: int) -> DataFrame:
@@ -245,6 +254,28 @@ def shingle_rows(texts: DataFrame, size: int) -> DataFrame:
     return map_texts(texts, "cid long, shingles array<long>", each)
 
 
+def grouped(texts: DataFrame, percent: int, size: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, th, n_shingles, cid), and classes (cid, component, keeper).
+
+    ``component`` is the smallest id of the component, ``keeper`` the class that
+    has it (of several the smallest).
+    """
+    rows = materialize(shingle_classes(texts, size), "shingle-classes")
+    classes = materialize(
+        rows.filter("n_shingles > 0")
+        .groupBy("cid")
+        .agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch"), F.first("buckets").alias("buckets")),
+        "classes",
+    )
+    component = classes_linked(texts, classes, percent, size, block)
+    named = classes.select("cid", "rep").join(component, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    # the smallest id of each component; a null one only if there is no other
+    order = F.struct(F.col("rep").isNull().alias("none"), "rep", "cid")
+    least = named.groupBy("root").agg(F.min(order).alias("least"))
+    names = named.join(least, "root").select("cid", F.col("least.rep").alias("component"), F.col("least.cid").alias("keeper"))
+    return rows.select("id", "th", "n_shingles", "cid"), materialize(names, "class-components")
+
+
 def near_duplicates(
     df: DataFrame, percent: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = 1024
 ) -> DataFrame:
@@ -263,25 +294,45 @@ def near_duplicates(
     forests. What the driver sees are counts. Sets are 64-bit hashes: two
     different shingles or sets are taken for one with probability 2^-64 a pair.
     """
-    texts = narrow(df, id_col, text_col)
-    rows = materialize(shingle_classes(texts, size), "shingle-classes")
-    classes = materialize(
-        rows.filter("n_shingles > 0")
-        .groupBy("cid")
-        .agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch"), F.first("buckets").alias("buckets")),
-        "classes",
-    )
-    component = classes_linked(texts, classes, percent, size, block)
-    # the smallest id of each component, then of each class in one
-    named = classes.select("cid", "rep").join(component, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component"))
-    names = materialize(named.join(least, "root").select("cid", "component"), "class-components")
-    out = rows.select("id", "n_shingles", "cid").join(names, "cid", "left").withColumn("c", F.coalesce("component", "id"))
+    rows, names = grouped(narrow(df, id_col, text_col), percent, size, block)
+    out = rows.join(names, "cid", "left").withColumn("c", F.when(F.col("cid").isNull(), F.col("id")).otherwise(F.col("component")))
     return out.select(
         F.col("id").alias(id_col), "n_shingles", F.col("c").alias("component_id"), F.col("id").eqNullSafe(F.col("c")).alias("kept")
     )
 
 
+def drop_near_duplicates(
+    df: DataFrame, percent: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = 1024
+) -> DataFrame:
+    """The rows of ``df``, with all their columns, but for one document of each group of near duplicates.
+
+    The one of the smallest id stays (see `near_duplicates`); of several texts
+    with that id, or several rows of one text, one stays. Texts without words
+    all stay.
+    """
+    texts = narrow(df, id_col, text_col)
+    rows, names = grouped(texts, percent, size, block)
+    best = rows.join(names, "cid").filter("cid = keeper AND id <=> component")
+    # texts of one set under one id are one document: the smallest hash of them stays
+    best = best.groupBy("cid", "id", "th").agg(F.count("*").alias("n"))
+    best = best.groupBy("cid").agg(F.min(F.struct("th", "id", "n")).alias("best")).select("best.*")
+    blank = rows.filter("cid IS NULL").select("th", "id", F.lit(1).cast("long").alias("n")).distinct()
+    keep = materialize(best.unionByName(blank), "kept")
+    key = F.col(f"`{id_col}`").cast("long")
+    all_rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), key.alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("th")
+    )
+
+    def those(k: DataFrame) -> DataFrame:
+        k = k.select(F.col("id").alias("kid"), F.col("th").alias("kth"))
+        return all_rows.join(k, F.col("id").eqNullSafe(F.col("kid")) & (F.col("th") == F.col("kth")), "left_semi")
+
+    out = those(keep.filter("n = 1"))
+    if not keep.filter("n > 1").isEmpty():
+        out = out.unionByName(those(keep.filter("n > 1")).dropDuplicates(["id", "th"]))
+    return out.select("row.*")
+
+
 def classes_linked(texts: DataFrame, classes: DataFrame, percent: int, size: int, block: int) -> DataFrame:
     """(cid, root) of the classes that have a link."""
     least = cutoff(percent / 100)

@@ -42,11 +42,18 @@ def op5_family_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_texts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), size=4096, end_id=1)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), size=4096, end_id=1)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        "text",
+        F.col("line_counts.lines").alias("n_lines"),
+        F.col("line_counts.exact").alias("exact_dropped"),
+        F.col("line_counts.near").alias("near_dropped"),
+    )
 
 
 def op8_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
