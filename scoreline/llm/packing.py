@@ -14,6 +14,7 @@ sums) and look their sequence up in the plan by that number.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_right
 
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_texts, materialize, narrow
+from .tokens import byte_alphabet
 
 # The characters of Latin-1 that are letters and numbers in Unicode, and its white space.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
@@ -38,16 +40,18 @@ class Encoder:
 
     The tokenizer drops white space, lower-cases and never joins across its
     pieces, so a text's ids are those of its pieces in turn. Words within
-    Latin-1 are cut by the pattern here; the library cuts others, and texts
-    that hold a special string or one of the separators that only Python takes
-    for white space go to it whole.
+    Latin-1 are cut by the pattern here and their pieces go to the library's
+    model; the library cuts other words itself, and texts that hold a special
+    string or one of the separators that only Python takes for white space go
+    to it whole.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.visible = {b: c for c, b in byte_alphabet().items()}
         self.most = most
         self.words: dict[str, bytes] = {}
         self.ids: dict[str, bytes] = {}
@@ -61,29 +65,44 @@ class Encoder:
             return text.split()
         return text.lower().split()
 
-    def pieces(self, word: str) -> list[str]:
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def word(self, word: str) -> bytes:
+        if SEPARATORS.search(word) or any(s in word for s in self.special):
+            return self.whole(word)
         try:
             word.encode("latin-1")
         except UnicodeEncodeError:
-            return [word]
-        return [word] if SEPARATORS.search(word) or any(s in word for s in self.special) else PIECES.findall(word.lower())
+            return self.whole(word)
+        known, out = self.ids, []
+        for p in PIECES.findall(word.lower()):
+            ids = known.get(p)
+            if ids is None:
+                shown = p.encode().decode("latin-1").translate(self.visible)
+                tokens = [t.id for t in self.library.model.tokenize(shown)]
+                ids = struct.pack(f"<{len(tokens)}I", *tokens)
+                if len(p) <= 64:
+                    known[p] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self.cut(t) for t in texts]
         for known in (self.words, self.ids):
             if len(known) >= self.most:
                 known.clear()
-        new = {w: self.pieces(w) for w in set().union(*cut).difference(self.words)}
-        pieces = list(set().union(*new.values()).difference(self.ids))
-        for e, p in zip(self.library.encode_batch_fast(pieces, add_special_tokens=False), pieces):
-            self.ids[p] = np.array(e.ids, "<u4").tobytes()
-        for w, ps in new.items():
-            self.words[w] = b"".join([self.ids[p] for p in ps])
-        out = [b"".join(map(self.words.__getitem__, ws)) for ws in cut]
-        for known in (self.words, self.ids):
-            for w in [w for w in (new if known is self.words else pieces) if len(w) > 64]:
-                del known[w]
+        out = []
+        for t in texts:
+            words = self.cut(t)
+            found = list(map(self.words.get, words))
+            if None in found:
+                for k, w in enumerate(words):
+                    if found[k] is None:
+                        found[k] = self.words.get(w) or self.word(w)
+                        if len(w) <= 64:
+                            self.words[w] = found[k]
+            out.append(b"".join(found))
         return out
 
 
@@ -226,7 +245,7 @@ def pack(
     order = Window.partitionBy("length", "salt").orderBy("id", "piece", "ids_crc32")
     numbered = (
         salted.withColumn("own", F.row_number().over(order) - 1)
-        .join(F.broadcast(starts), ["length", "salt"])  # at most size x salts rows
+        .join(starts, ["length", "salt"])  # dealt out as the window is
         .select("id", "piece", "start", "length", "ids_crc32", (F.col("own") + F.col("before")).alias("nth"))
     )
     schema = f"`{id_col}` long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
