@@ -1,8 +1,9 @@
-"""Command line: one batch run, or the streaming jobs.
+"""Command line: landing a source, one batch run, or the streaming jobs.
 
+    python -m scoreline.cli land --source snapshot --input DIR --landing L --fetched-at 2026-06-27T00:00:00+00:00
     python -m scoreline.cli run --landing L --tables T --batch-id 3 --as-of 2026-06-27T00:00:00 [--events E]
     python -m scoreline.cli stream-events --input E --tables T [--continuous]
-    python -m scoreline.cli stream-standings --input M --tables T --schema-from-table bronze_matches [--continuous]
+    python -m scoreline.cli stream-standings --input M --tables T [--continuous]
 
 Checkpoints live under the tables root, which must be a shared folder on a
 cluster. The session is whatever ``getOrCreate`` returns (cluster settings win).
@@ -15,12 +16,19 @@ import datetime as dt
 import json
 
 from scoreline.session import get_spark
+from scoreline.schemas import MATCHES_STREAM
+from scoreline.sources import registry
 from scoreline.sources.io import Tables
 
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="scoreline")
     sub = ap.add_subparsers(dest="cmd", required=True)
+    n = sub.add_parser("land", help="read a source and land its entities as one batch")
+    n.add_argument("--source", default=registry.DEFAULT_SOURCE, choices=registry.names())
+    n.add_argument("--input", required=True, help="folder of the source's tables")
+    n.add_argument("--landing", required=True)
+    n.add_argument("--fetched-at", required=True, help="batch stamp, ISO-8601 with offset")
     r = sub.add_parser("run", help="landing -> bronze -> silver -> SCD2 -> gold -> checks")
     r.add_argument("--landing", required=True)
     r.add_argument("--tables", required=True)
@@ -28,21 +36,24 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--as-of", required=True, help="SCD2 stamp, ISO-8601 without offset")
     r.add_argument("--events")
     r.add_argument("--no-enforce", action="store_true")
+    r.add_argument("--keep-snapshots", type=int, help="snapshots of a table that stay (all if not given)")
     e = sub.add_parser("stream-events", help="event files -> bronze -> silver -> top-scorer change log")
     e.add_argument("--input", required=True)
     e.add_argument("--tables", required=True)
-    e.add_argument("--delay", default="40 days")
     e.add_argument("--continuous", action="store_true")
     e.add_argument("--max-files-per-trigger", type=int)
     s = sub.add_parser("stream-standings", help="match files -> incremental silver -> SCD2 standings")
     s.add_argument("--input", required=True)
     s.add_argument("--tables", required=True)
-    s.add_argument("--schema-from-table", required=True, help="table whose schema the match files follow")
     s.add_argument("--continuous", action="store_true")
     s.add_argument("--max-files-per-trigger", type=int)
     a = ap.parse_args(argv)
 
     spark = get_spark()
+    if a.cmd == "land":
+        registry.land(spark, a.source, a.input, a.landing, a.fetched_at)
+        print(json.dumps({"landed": a.landing, "source": a.source, "fetched_at": a.fetched_at}))
+        return 0
     tables = Tables(spark, a.tables)
     if a.cmd == "run":
         from scoreline.plans import medallion
@@ -55,31 +66,27 @@ def main(argv: list[str] | None = None) -> int:
             dt.datetime.fromisoformat(a.as_of),
             enforce=not a.no_enforce,
             events_dir=a.events,
+            keep_snapshots=a.keep_snapshots,
         )
         print(json.dumps({"batch_id": rep.batch_id, "rows": rep.rows, "checks": rep.checks}, default=str))
     elif a.cmd == "stream-events":
         from scoreline.streaming import events as se
 
         once = not a.continuous
-        ck = tables.path("_checkpoints")
-        qs = [
-            se.land_events(spark, a.input, tables.path("bronze_match_events"), f"{ck}/land", once, a.max_files_per_trigger),
-            se.silver_events(spark, tables.path("bronze_match_events"), tables.path("silver_events"), f"{ck}/silver", a.delay, once),
-            se.top_scorers(spark, tables.path("silver_events"), tables.path("gold_top_scorers_log"), f"{ck}/gold", once),
-        ]
+        ck, bronze, silver, log = (tables.path(x) for x in ("_checkpoints", "bronze_match_events", "stream_silver_events", "gold_top_scorers_log"))
+        se.land_events(spark, a.input, bronze, f"{ck}/land", once, a.max_files_per_trigger)
+        se.silver_events(spark, bronze, silver, f"{ck}/silver", once, then=lambda: se.top_scorers(spark, silver, log))
         if not once:
             spark.streams.awaitAnyTermination()
-        del qs
     else:
         from scoreline.streaming import standings as ss
 
-        schema = tables.read(a.schema_from_table).drop("ingest_date").schema
         ss.run_standings(
             spark,
             a.input,
             tables,
             tables.path("_checkpoints/standings"),
-            schema,
+            MATCHES_STREAM,
             available_now=not a.continuous,
             max_files=a.max_files_per_trigger,
         )

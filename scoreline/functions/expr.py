@@ -17,7 +17,7 @@ EVENT_ICONS = {
     "substitution": "\U0001f504",
 }
 DEFAULT_ICON = "•"
-TEAM_MARKER = r"\s*\([A-Za-z]+\)\s*$"
+TEAM_MARKER = r"(?U)\s*\([A-Za-z]+\)\s*$"  # white space as in Unicode
 
 
 def col(c: str | Column) -> Column:
@@ -41,12 +41,10 @@ def instant(c: str | Column) -> Column:
 
 
 def lenient_int(c: str | Column) -> Column:
-    """Text -> int the way a non-ANSI cast does it: junk -> null, '3.7' -> 3.
-
-    ``try_cast`` alone rejects '3.0', so a second try goes through double.
-    """
-    c = col(c)
-    return F.coalesce(c.try_cast("int"), c.try_cast("double").try_cast("int"))
+    """Text -> int the way a non-ANSI cast does it: blanks around are ignored,
+    a decimal part is cut off ('3.7' -> 3), anything else ('5d', '1e3') is null."""
+    digits = F.regexp_extract(col(c).cast("string"), r"^[\x00-\x20]*([+-]?[0-9]+)(?:\.[0-9]*)?[\x00-\x20]*$", 1)
+    return F.when(digits != "", digits).try_cast("int")
 
 
 def match_result(status: str | Column, home: str | Column, away: str | Column) -> Column:

@@ -2,11 +2,13 @@
 
 ``dropDuplicates`` keeps an arbitrary survivor, which over an append-only
 bronze table can resurrect a stale row. Here the survivor is fixed by a total
-order. It is written as a hash aggregate of ``max(struct(order..., rest...))``
+order. It is written as an aggregate of ``max(struct(order..., rest...))``
 rather than ``row_number()`` over a window: the partial aggregate collapses
 every key to one row per map task before the shuffle, so a key that holds a
 third of all rows costs one row per task in the exchange instead of landing
-whole in a single sort.
+whole in a single sort. (A struct buffer isn't mutable in place, so Spark plans
+sort aggregates: each task sorts its rows by key before the shuffle, and the
+collapsed rows after it.)
 """
 
 from __future__ import annotations

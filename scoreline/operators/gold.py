@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scoreline.functions import FINISHED, round_ratio
 from scoreline.operators.standings import unpivot_sides
 
-# Column order of the current-standings table (goal difference before points).
+# Column order of the current-standings table (goal difference before points).
 CURRENT_COLUMNS = [
     "group",
     "team",
@@ -25,8 +25,7 @@ CURRENT_COLUMNS = [
 
 
 def standings_current(scd2_table: DataFrame) -> DataFrame:
-    """Open SCD2 versions only. Sorting is left to the reader (a multi-file
-    table has no row order)."""
+    """Open SCD2 versions only. A multi-file table has no row order; ``serving.standings_sorted`` reads it in order."""
     return scd2_table.filter(F.col("is_current")).select(*CURRENT_COLUMNS)
 
 

@@ -74,12 +74,13 @@ def report(checks: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def enforce(rep: DataFrame) -> list[dict]:
-    """Raise with the list of failed checks; return all report rows otherwise."""
+def enforce(rep: DataFrame, unknown_values: DataFrame | None = None, shown: int = 20) -> list[dict]:
+    """Raise with the failed checks and the first unknown values, sorted; return all report rows otherwise."""
     rows = [r.asDict() for r in rep.collect()]  # a handful of rows, one per check
-    failed = [r["check"] for r in rows if not r["passed"]]
+    failed = {r["check"]: r["failed_rows"] for r in rows if not r["passed"]}
     if failed:
-        raise ValueError(f"Data quality checks failed: {failed}. Details: {rows}")
+        names = [] if unknown_values is None else [r[0] for r in unknown_values.orderBy(unknown_values.columns[0]).limit(shown).collect()]
+        raise ValueError(f"{len(failed)} of {len(rows)} checks found bad rows: {failed}" + (f"; unknown: {names}" if names else ""))
     return rows
 
 

@@ -46,6 +46,16 @@ def top_scorers(scorers: DataFrame, n: int = 8) -> DataFrame:
     return top.withColumn("label", F.concat(F.col("player"), F.lit(" ("), F.col("team"), F.lit(")")))
 
 
+def standings_sorted(current: DataFrame) -> DataFrame:
+    """The current standings by group, rank and team."""
+    return current.orderBy(F.col("group").asc_nulls_first(), F.col("group_rank").asc_nulls_first(), "team")
+
+
+def trend_sorted(trend: DataFrame) -> DataFrame:
+    """Goals per matchday in the order of matchdays."""
+    return trend.orderBy(F.col("matchday").asc_nulls_first())
+
+
 def group_list(standings: DataFrame) -> DataFrame:
     return standings.select("group").dropna().distinct().orderBy("group")
 

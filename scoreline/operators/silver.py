@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreline.functions import instant, lenient_int, match_result
@@ -30,14 +30,40 @@ def typed_matches(bronze: DataFrame) -> DataFrame:
     )
 
 
+def with_meeting(matches: DataFrame, order: list[str]) -> DataFrame:
+    """Number the meetings of a pair that carry no matchday (scraped boxes): ``meeting`` is 0 where a matchday
+    is known, else the row's number among those of its pair and stamp, in the order of the other columns.
+
+    A number that a row already has (from a stored silver table) stays.
+    """
+    if "meeting" not in matches.columns:
+        matches = matches.withColumn("meeting", F.lit(None).cast("int"))
+    known = F.col("matchday").isNotNull()
+    done = matches.filter(known | F.col("meeting").isNotNull())
+    done = done.withColumn("meeting", F.when(known, 0).otherwise(F.col("meeting")))
+    rest = [c for c in matches.columns if c not in ("home_team", "away_team", "matchday", "meeting", *order)]
+    w = Window.partitionBy("home_team", "away_team", order[0]).orderBy(*order[1:], *rest)
+    todo = matches.filter(~known & F.col("meeting").isNull()).withColumn("meeting", F.row_number().over(w))
+    return done.unionByName(todo)
+
+
 def matches(bronze: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
-    """Latest row per (home_team, away_team, matchday), typed, with ``result``."""
+    """Latest row per (home_team, away_team, matchday, meeting), typed, with ``result``."""
     t = typed_matches(bronze).withColumn("_ts", _order_ts())
     order = ["_ts"] + list(tiebreak or [])
-    latest = keep_latest(t, ["home_team", "away_team", "matchday"], order).drop("_ts")
+    t = with_meeting(t, order)
+    latest = keep_latest(t, ["home_team", "away_team", "matchday", "meeting"], order).drop("_ts")
     return latest.withColumn("result", match_result("status", "home_score", "away_score"))
 
 
+def stadiums(bronze: DataFrame) -> DataFrame:
+    """Latest row per stadium name and city, names trimmed, capacity typed; nameless rows go."""
+    t = bronze.withColumns({c: F.trim(c) for c in ("name", "city")}).filter("name <> ''")
+    t = t.withColumn("capacity", lenient_int("capacity")).withColumn("_ts", _order_ts())
+    columns = ["name", "city", "country", "capacity", "ingested_at", "source_name"]
+    return keep_latest(t.select(*columns, "_ts"), ["name", "city"], ["_ts"]).drop("_ts")
+
+
 def events(bronze: DataFrame) -> DataFrame:
     """Latest delivery per event id, minute typed."""
     e = bronze.withColumn("minute", lenient_int(F.col("minute").cast("string")))

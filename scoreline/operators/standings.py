@@ -70,27 +70,34 @@ def rank_within(
 ) -> DataFrame:
     """SQL ``rank()`` over ``partition`` by ``order`` (each descending, nulls last).
 
-    A plain window would put a whole partition into one task, and a group is
-    a hot key (5 groups hold every team). Rank only depends on how many rows
-    sort strictly before a row, so it is computed over the score histogram:
-    count rows per distinct (partition, order) tuple (partial aggregation,
-    skew-proof), run the window over those tuples (bounded by the score
-    domain, not by teams), and join the rank back by the tuple.
+    A plain window would put a whole partition into one task, and a group is a
+    hot key (5 groups hold every team). The rank of a row is one plus the rows
+    of its partition with a greater first column, plus those with the same one
+    that sort before it. Both come from histograms (partial aggregation): over
+    the distinct values of the first column per partition, and over the
+    distinct tuples per partition and first column, whose windows are as many
+    as there are values. The ranks are joined back by the tuple.
     """
     partition, order = list(partition), list(order)
-    keys = partition + order
-    hist = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    w = (
-        Window.partitionBy(*partition)
-        .orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    first, rest = order[0], order[1:]
+    hist = df.groupBy(*partition, *order).agg(F.count(F.lit(1)).alias("_n"))
+    before = lambda keys, by: (
+        Window.partitionBy(*keys)
+        .orderBy(*[F.col(c).desc_nulls_last() for c in by])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    alias = {c: f"_rk{i}" for i, c in enumerate(keys)}
+    top = hist.groupBy(*partition, first).agg(F.sum("_n").alias("_n"))
+    above = F.coalesce(F.sum("_n").over(before(partition, [first])), F.lit(0))
+    tops = [*partition, first]
+    top = top.select(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(tops)], above.alias("_above"))
+    same = F.coalesce(F.sum("_n").over(before(tops, rest)), F.lit(0)) if rest else F.lit(0)
+    hist = hist.withColumn("_same", same)
+    hist = hist.join(top, [F.col(c).eqNullSafe(F.col(f"_t{i}")) for i, c in enumerate(tops)])
+    keys = partition + order
     hist = hist.select(
-        *[F.col(c).alias(alias[c]) for c in keys],
-        (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("int").alias(name),
+        *[F.col(c).alias(f"_rk{i}") for i, c in enumerate(keys)], (F.col("_above") + F.col("_same") + 1).cast("int").alias(name)
     )
-    cond = [F.col(c).eqNullSafe(F.col(alias[c])) for c in keys]
+    cond = [F.col(c).eqNullSafe(F.col(f"_rk{i}")) for i, c in enumerate(keys)]
     return df.join(hist, cond, "inner").select(*df.columns, name)
 
 

@@ -61,9 +61,9 @@ def silver_match_result(spark, sf_dir):
 
 # --- shared inputs ----------------------------------------------------------
 
-# Fixed parameters of the two SCD2 snapshots: matchday cut-offs and stamps.
-CUT1, CUT2 = 79, 83
-T1, T2 = dt.datetime(2026, 6, 20), dt.datetime(2026, 6, 27)
+# Fixed parameters of the SCD2 snapshots: matchday cut-offs of the earlier ones (the last has every match) and stamps.
+CUT0, CUT1 = 70, 79
+T0, T1, T2 = dt.datetime(2026, 6, 13), dt.datetime(2026, 6, 20), dt.datetime(2026, 6, 27)
 AS_OF = dt.datetime(2026, 6, 23)
 RECENT_N, TOP_N = 12, 8
 SHOWN_GROUP = "AFRICA"
@@ -89,7 +89,7 @@ def _standings(spark, sf_dir, cutoff=None):
 
 def _scd2_inputs(spark, sf_dir):
     existing = scd2.initial(_standings(spark, sf_dir, CUT1), T1)
-    return existing, _standings(spark, sf_dir, CUT2)
+    return existing, _standings(spark, sf_dir)
 
 
 def _merged(spark, sf_dir):
@@ -166,6 +166,29 @@ def scd2_as_of(spark, sf_dir):
     return scd2.as_of(_merged(spark, sf_dir).drop("change"), AS_OF)
 
 
+@query
+def scd2_history(spark, sf_dir):
+    """Three runs stored as snapshots (the last one twice, after an attempt that died), read as one history."""
+
+    def build(root):
+        t = Tables(spark, root)
+        for batch, (cutoff, stamp) in enumerate(((CUT0, T0), (CUT1, T1), (None, T2), (None, T2)), start=1):
+            batch = min(batch, 3)
+            incoming = _standings(spark, sf_dir, cutoff)
+            prev = t.snapshot_before("standings", batch)
+            if prev is None:
+                table = scd2.initial(incoming, stamp)
+            else:
+                table = scd2.apply(scd2.current(t.read("standings", prev)), incoming, STANDINGS_KEYS, STANDINGS_COMPARE, stamp)
+            t.overwrite(table, "standings", batch, partition_by=["is_current"])
+        # a later run that died before its commit
+        died = t.read("standings").withColumn("effective_to", ntz(T2))
+        where = f"{t.path('standings')}/snapshot=000000000004"
+        died.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("is_current").parquet(where)
+
+    return Tables(spark, _once(spark, sf_dir, "scd2_history", build)).read_versions("standings")
+
+
 # --- serving --------------------------------------------------------------------
 
 
@@ -189,6 +212,16 @@ def serve_top_scorers(spark, sf_dir):
     return serving.top_scorers(gold.top_scorers(derive.events(spark, sf_dir)), TOP_N)
 
 
+@query
+def serve_standings_sorted(spark, sf_dir):
+    return serving.standings_sorted(_gold(spark, sf_dir).read("gold_standings_current"))
+
+
+@query
+def serve_trend_sorted(spark, sf_dir):
+    return serving.trend_sorted(_gold(spark, sf_dir).read("gold_goals_by_matchday"))
+
+
 @query
 def serve_group_list(spark, sf_dir):
     return serving.group_list(_standings(spark, sf_dir))
@@ -234,7 +267,7 @@ def kpi_avg_goals(spark, sf_dir):
 
 def _gold(spark, sf_dir) -> Tables:
     """The stored gold tables (current standings, goals per matchday, top
-    scorers), written once per application and input folder; the quality job
+    scorers, team form), written once per application and input folder; the quality job
     checks what was stored, as a maintenance run after the gold build would."""
 
     def build(root):
@@ -242,6 +275,7 @@ def _gold(spark, sf_dir) -> Tables:
         t.overwrite(gold_standings_current(spark, sf_dir), "gold_standings_current", 1)
         t.overwrite(_trend(spark, sf_dir), "gold_goals_by_matchday", 1)
         t.overwrite(gold.top_scorers(derive.events(spark, sf_dir)), "gold_top_scorers", 1)
+        t.overwrite(gold.team_form(_silver(spark, sf_dir)), "gold_team_form", 1)
 
     return Tables(spark, _once(spark, sf_dir, "gold", build))
 
@@ -264,6 +298,7 @@ def dq_report(spark, sf_dir):
             ),
             quality.table_checks(trend, "goals_by_matchday", not_null=["matchday"], non_negative=["goals"]),
             quality.table_checks(scorers, "top_scorers", not_null=["player"], non_negative=["goals"]),
+            quality.table_checks(g.read("gold_team_form"), "team_form", not_null=["team", "form"]),
             quality.table_checks(
                 _silver(spark, sf_dir),
                 "matches",
@@ -304,6 +339,14 @@ def _once(spark, sf_dir, what, build):
 
 
 def _landing(spark, sf_dir):
+    return landing.read_landing(spark, _landed(spark, sf_dir))
+
+
+def _latest(spark, sf_dir):
+    return landing.read_latest(spark, _landed(spark, sf_dir))
+
+
+def _landed(spark, sf_dir):
     def build(path):
         src = get_source("snapshot")(spark, sf_dir)
         raw = derive.raw_matches(spark, sf_dir)
@@ -313,7 +356,7 @@ def _landing(spark, sf_dir):
         padded = src["teams"].withColumn("name", F.concat(F.lit(" "), "name", F.lit("  ")))
         landing.write_payload(path, *BATCH_B, teams=padded, stadiums=src["stadiums"], matches=src["matches"])
 
-    return landing.read_landing(spark, _once(spark, sf_dir, "landing", build))
+    return _once(spark, sf_dir, "landing", build)
 
 
 @query
@@ -323,12 +366,12 @@ def src_landing_json(spark, sf_dir):
 
 @query
 def src_latest_batch(spark, sf_dir):
-    return landing.batch_summary(landing.latest_batch(_landing(spark, sf_dir)))
+    return landing.batch_summary(_latest(spark, sf_dir))
 
 
 @query
 def src_explode_entities(spark, sf_dir):
-    return landing.explode_entity(landing.latest_batch(_landing(spark, sf_dir)), "matches")
+    return landing.explode_entity(_latest(spark, sf_dir), "matches")
 
 
 @query
@@ -366,7 +409,18 @@ def bronze_stamp(spark, sf_dir):
 
 @query
 def silver_typed_cast(spark, sf_dir):
-    latest = landing.explode_entity(landing.latest_batch(_landing(spark, sf_dir)), "matches")
+    """Scores as sources spell them, by matchday: plain, '5d', '5e3', '5.7', ' 5 ' and 'abc'."""
+    latest = landing.explode_entity(_latest(spark, sf_dir), "matches")
+    h, kind = F.col("home_score"), F.col("matchday").cast("int") % 6
+    spelled = (
+        F.when(kind == 1, F.concat(h, F.lit("d")))
+        .when(kind == 2, F.concat(h, F.lit("e3")))
+        .when(kind == 3, F.concat(h, F.lit(".7")))
+        .when(kind == 4, F.concat(F.lit(" "), h, F.lit(" ")))
+        .when(kind == 5, F.lit("abc"))
+        .otherwise(h)
+    )
+    latest = latest.withColumn("home_score", spelled)
     return silver.typed_matches(latest).select("home_team", "away_team", "home_score", "away_score", "matchday", "status")
 
 
@@ -375,6 +429,11 @@ def silver_teams(spark, sf_dir):
     return silver.teams(landing.explode_entity(_landing(spark, sf_dir), "teams"))
 
 
+@query
+def silver_stadiums(spark, sf_dir):
+    return silver.stadiums(landing.explode_entity(_landing(spark, sf_dir), "stadiums"))
+
+
 def _redelivered(spark, sf_dir):
     """Events plus a second, later delivery of every goal (the sweep re-reads files)."""
     e = derive.events(spark, sf_dir)
@@ -425,6 +484,28 @@ def io_overwrite(spark, sf_dir):
     return Tables(spark, _once(spark, sf_dir, "io_overwrite", build)).read("silver_events")
 
 
+@query
+def io_rerun(spark, sf_dir):
+    """Two batches of events, each run twice: bronze and silver are as after one run of each."""
+
+    def build(root):
+        t = Tables(spark, root)
+        e = derive.events(spark, sf_dir)
+        again = e.filter(F.col("event_type") == "goal").withColumn(
+            "ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 MINUTE")
+        )
+        for batch, rows in ((1, e), (1, e), (2, again), (2, again)):
+            t.append_batch(rows, "bronze", batch, schema=EVENTS)
+            new = t.read_batches("bronze", EVENTS, [batch]).drop("batch_id")
+            prev = t.snapshot_before("silver", batch)
+            t.overwrite(silver.events(new if prev is None else t.read("silver", prev).unionByName(new)), "silver", batch)
+
+    t = Tables(spark, _once(spark, sf_dir, "io_rerun", build))
+    parts = (("bronze", t.read_batches("bronze", EVENTS)), ("silver", t.read("silver")))
+    layers = [df.select(F.lit(layer).alias("layer"), "event_id", "minute", "ingested_at") for layer, df in parts]
+    return layers[0].unionByName(layers[1])
+
+
 # --- HTML scraping job -------------------------------------------------------------
 
 
@@ -452,11 +533,26 @@ def html_match_boxes(spark, sf_dir):
     return html_tables.match_boxes(_rows_of(spark, sf_dir, pages.match_pages(_silver(spark, sf_dir))))
 
 
+@query
+def pipeline_html_standings(spark, sf_dir):
+    """Pages -> scraped matches, scores split -> landing -> silver -> standings."""
+
+    def build(root):
+        rendered = pages.with_supplied(spark, sf_dir, pages.match_pages(_silver(spark, sf_dir)))
+        entities = get_source("html")(spark, sf_dir, rendered)
+        landing.write_payload(f"{root}/landing", BATCH_B[0], "html", matches=entities["matches"])
+        rows = landing.explode_entity(landing.read_latest(spark, f"{root}/landing"), "matches")
+        Tables(spark, root).overwrite(silver.matches(rows), "silver_matches", 1)
+
+    stored = Tables(spark, _once(spark, sf_dir, "html_standings", build)).read("silver_matches")
+    return standings.compute(stored, materialize=True).select(*standings.STANDINGS_COLUMNS)
+
+
 # --- streaming ------------------------------------------------------------------------
 
 # Fixed arrival split of the two availableNow runs: events from this instant
-# (plus a re-delivery of every earlier goal) and matches shipped from this day
-# arrive in the second run.
+# (plus a re-delivery of every earlier goal and the first delivery of some other
+# earlier events) and matches shipped from this day arrive in the second run.
 EVENT_SPLIT = dt.datetime(2024, 1, 16)
 MATCH_SPLIT = dt.datetime(1999, 1, 1)
 
@@ -464,15 +560,16 @@ MATCH_SPLIT = dt.datetime(1999, 1, 1)
 def _event_streams(spark, sf_dir):
     def build(root):
         e = derive.events(spark, sf_dir)
-        early = e.filter(F.col("ingested_at") < ntz(EVENT_SPLIT))
-        late = e.filter(F.col("ingested_at") >= ntz(EVENT_SPLIT)).unionByName(
-            early.filter(F.col("event_type") == "goal")
-        )
+        before = F.col("ingested_at") < ntz(EVENT_SPLIT)
+        # some early events are first delivered late, all early goals a second time
+        held = (F.col("event_type") != "goal") & (F.col("event_id").try_cast("long") % 7 == 0)
+        early = e.filter(before & ~held)
+        late = e.filter(~before | held).unionByName(e.filter(before & (F.col("event_type") == "goal")))
         for arrived in (early, late):
             events_src.write_events(arrived, f"{root}/in")
             stream_events.land_events(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt/land")
             stream_events.silver_events(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ckpt/silver")
-            stream_events.top_scorers(spark, f"{root}/silver", f"{root}/gold_log", f"{root}/ckpt/gold")
+            stream_events.top_scorers(spark, f"{root}/silver", f"{root}/gold_log")
 
     return _once(spark, sf_dir, "stream_events", build)
 
@@ -484,7 +581,7 @@ def stream_events_land(spark, sf_dir):
 
 @query
 def stream_events_dedup(spark, sf_dir):
-    return spark.read.schema(EVENTS).parquet(f"{_event_streams(spark, sf_dir)}/silver")
+    return stream_events.read_silver(spark, f"{_event_streams(spark, sf_dir)}/silver")
 
 
 @query

@@ -11,9 +11,8 @@ match events are derived from it by fixed rules (documented in FIXTURES.md):
 
 Join order is chosen so the line-item-sized side is shuffled as few times as
 possible: customer⋈(nation⋈region) and orders⋈customer are order-sized, and the
-fact side then meets orders, supplier and part. Nation and region are
-broadcast explicitly (25 and 5 rows by definition of the schema); every other
-join is left to AQE, which broadcasts only what its runtime size check admits.
+fact side then meets orders, supplier and part. No join is hinted: AQE
+broadcasts what its runtime size check admits.
 """
 
 from __future__ import annotations
@@ -53,7 +52,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return F.broadcast(n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name"))
+    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
 
 
 def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:

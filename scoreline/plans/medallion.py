@@ -1,11 +1,14 @@
 """One batch run: landing -> bronze -> silver -> SCD2 standings -> gold -> checks.
 
 Every stage is a DataFrame function; the only materialisation points are the
-table writes. Silver is incremental: the previous silver snapshot plus only
-the bronze rows of this run's ingest date are deduplicated (keep-latest), so
-a run shuffles the new data and the current state, not all of bronze.
-Overwrite tables are versioned by ``batch_id`` (see ``sources.io``), and the
-SCD2 stamp is a parameter, so rerunning a batch id reproduces it.
+table writes. Silver is incremental: the silver snapshot before this batch
+plus only the bronze rows of this batch are deduplicated (keep-latest), so a
+run shuffles the new data and the current state, not all of bronze. The newest
+payload is found from the landing folders and parsed once for all entities.
+Bronze keeps a folder for each ``batch_id`` and overwrite tables a snapshot
+(see ``sources.io``); every stage reads what was committed before ``batch_id``,
+and the SCD2 stamp is a parameter, so rerunning a batch id replaces its own
+output and reproduces it.
 """
 
 from __future__ import annotations
@@ -23,6 +26,11 @@ from scoreline.sources import landing
 from scoreline.sources.io import Tables, snapshot_id
 
 BRONZE = {"teams": TEAMS_RAW, "stadiums": STADIUMS_RAW, "matches": MATCHES_RAW}
+SILVER = (
+    ("silver_teams", "teams", silver.teams),
+    ("silver_stadiums", "stadiums", silver.stadiums),
+    ("silver_matches", "matches", silver.matches),
+)
 
 
 @dataclass
@@ -32,29 +40,33 @@ class RunReport:
     checks: list[dict] = field(default_factory=list)
 
 
-def _bronze(tables: Tables, docs: DataFrame, report: RunReport) -> str:
-    """Append this batch's entities to bronze (partitioned by ingest date)."""
-    for entity, schema in BRONZE.items():
-        rows = bronze.align(landing.explode_entity(docs, entity), schema, keep=["ingested_at", "source_name"])
-        rows = rows.withColumn("ingest_date", F.to_date(instant("ingested_at")))
-        if entity == "stadiums":
-            rows = rows.withColumn("capacity", lenient_int("capacity"))
-        if rows.isEmpty():
-            report.rows[f"bronze_{entity}"] = 0
-            continue
-        report.rows[f"bronze_{entity}"] = tables.append(rows, f"bronze_{entity}", partition_by=["ingest_date"])
-    ingest_date = docs.agg(F.max(F.to_date(instant("fetched_at"))).alias("d")).first()["d"]
-    return str(ingest_date)
-
-
-def _incremental(tables: Tables, name: str, bronze_name: str, ingest_date: str, build) -> DataFrame:
-    """``build`` over (previous snapshot of ``name``) + (bronze rows of this ingest date).
-    The ingest-date filter prunes bronze partitions at the scan."""
-    new = tables.read(bronze_name).filter(F.col("ingest_date") == F.lit(ingest_date).cast("date")).drop("ingest_date")
-    prev = tables.latest_snapshot(name)
+def _bronze(tables: Tables, docs: DataFrame, report: RunReport) -> None:
+    """This batch's entities into bronze, in place of what an earlier attempt of the batch wrote."""
+    docs = docs.persist()  # parsed once for the three entities
+    try:
+        for entity in BRONZE:
+            rows = _entity(docs, entity)
+            report.rows[f"bronze_{entity}"] = tables.append_batch(rows, f"bronze_{entity}", report.batch_id)
+    finally:
+        docs.unpersist()
+
+
+def _entity(docs: DataFrame, entity: str) -> DataFrame:
+    rows = bronze.align(landing.explode_entity(docs, entity), BRONZE[entity], keep=["ingested_at", "source_name"])
+    rows = rows.withColumn("ingest_date", F.to_date(instant("ingested_at")))
+    return rows.withColumn("capacity", lenient_int("capacity")) if entity == "stadiums" else rows
+
+
+def _incremental(tables: Tables, name: str, entity: str, batch_id: int, docs: DataFrame, build) -> DataFrame:
+    """``build`` over (the snapshot of ``name`` before this batch) + (this batch's bronze rows)."""
+    schema = _entity(docs, entity).schema
+    new = tables.read_batches(f"bronze_{entity}", schema, [batch_id]).drop("ingest_date", "batch_id")
+    prev = tables.snapshot_before(name, batch_id)
     if prev is not None:
         old = tables.read(name, prev)
-        old = old.select(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in new.columns if c in old.columns])
+        kept = [c for c in [*new.columns, "meeting"] if c in old.columns]
+        types = dict(new.dtypes)
+        old = old.select(*[F.col(c).cast(types.get(c, "int")).alias(c) for c in kept])
         new = old.unionByName(new, allowMissingColumns=True)
     return build(new)
 
@@ -85,20 +97,20 @@ def run(
     teams_dim: DataFrame | None = None,
     enforce: bool = True,
     events_dir: str | None = None,
+    keep_snapshots: int | None = None,
 ) -> RunReport:
     """Land the newest payload into bronze, rebuild silver incrementally, apply
     standings to the SCD2 history, rebuild gold, run the checks (raising on a
     failure when ``enforce``). With ``events_dir``, new event files are landed
     and silver events / gold top scorers rebuilt as well."""
     report = RunReport(batch_id)
-    docs = landing.latest_batch(landing.read_landing(spark, landing_dir))
-    ingest_date = _bronze(tables, docs, report)
-
-    # silver (incremental over the previous snapshot)
-    teams = _incremental(tables, "silver_teams", "bronze_teams", ingest_date, silver.teams)
-    report.rows["silver_teams"] = tables.overwrite(teams, "silver_teams", batch_id)
-    matches = _incremental(tables, "silver_matches", "bronze_matches", ingest_date, silver.matches)
-    report.rows["silver_matches"] = tables.overwrite(matches, "silver_matches", batch_id)
+    docs = landing.read_latest(spark, landing_dir)
+    _bronze(tables, docs, report)
+
+    # silver (incremental over the snapshots before this batch)
+    for name, entity, build in SILVER:
+        rows = _incremental(tables, name, entity, batch_id, docs, build)
+        report.rows[name] = tables.overwrite(rows, name, batch_id)
     stored = tables.read("silver_matches", snapshot_id(batch_id))
 
     # SCD2 standings from the stored silver table. Each run writes one snapshot
@@ -106,9 +118,9 @@ def run(
     # the versions it closed (written once); older history is not touched.
     incoming = standings.compute(stored, materialize=True).select(*standings.STANDINGS_COLUMNS)
     shape = scd2.initial(incoming, as_of).schema
-    prev = [s for s in _snapshot_ids(tables, "silver_standings") if s < snapshot_id(batch_id)]
-    if prev:
-        open_versions = scd2.current(tables.read("silver_standings", prev[-1], schema=shape))
+    prev = tables.snapshot_before("silver_standings", batch_id)
+    if prev is not None:
+        open_versions = scd2.current(tables.read("silver_standings", prev, schema=shape))
         table = scd2.apply(open_versions, incoming, STANDINGS_KEYS, STANDINGS_COMPARE, as_of)
     else:
         table = scd2.initial(incoming, as_of)
@@ -124,36 +136,28 @@ def run(
     if events_dir is not None:
         _events(spark, tables, events_dir, tables.path("_checkpoints/bronze_match_events"), batch_id, report)
 
-    # checks on the stored gold tables
+    # checks on every stored gold table
     dim = teams_dim if teams_dim is not None else tables.read("silver_teams", snapshot_id(batch_id))
-    rep = quality.report(
-        [
-            quality.table_checks(
-                tables.read("gold_standings_current", snapshot_id(batch_id)),
-                "standings",
-                not_null=["team"],
-                non_negative=["points"],
-                known=("team", dim, "name"),
-            ),
-            quality.table_checks(
-                tables.read("gold_goals_by_matchday", snapshot_id(batch_id)),
-                "goals_by_matchday",
-                not_null=["matchday"],
-                non_negative=["goals"],
-            ),
-            quality.table_checks(
-                stored,
-                "matches",
-                not_null=["home_team", "away_team"],
-                rules={"finished_have_scores": quality.finished_without_score()},
-            ),
-        ]
-    )
-    report.checks = quality.enforce(rep) if enforce else [r.asDict() for r in rep.collect()]
+    current = tables.read("gold_standings_current", snapshot_id(batch_id))
+    form = tables.read("gold_team_form", snapshot_id(batch_id))
+    trend = tables.read("gold_goals_by_matchday", snapshot_id(batch_id))
+    checks = [
+        quality.table_checks(current, "standings", not_null=["team"], non_negative=["points"], known=("team", dim, "name")),
+        quality.table_checks(form, "team_form", not_null=["team", "form"]),
+        quality.table_checks(trend, "goals_by_matchday", not_null=["matchday"], non_negative=["goals"]),
+        quality.table_checks(
+            stored, "matches", not_null=["home_team", "away_team"], rules={"finished_have_scores": quality.finished_without_score()}
+        ),
+    ]
+    if "gold_top_scorers" in report.rows:
+        scorers = tables.read("gold_top_scorers", snapshot_id(batch_id))
+        checks.append(quality.table_checks(scorers, "top_scorers", not_null=["player"], non_negative=["goals"]))
+    rep = quality.report(checks)
+    if enforce:
+        report.checks = quality.enforce(rep, quality.unknown(current, "team", dim, "name"))
+    else:
+        report.checks = [r.asDict() for r in rep.collect()]  # one row per check
+    if keep_snapshots is not None:
+        for name in [n for n in report.rows if not n.startswith("bronze_")]:
+            tables.retain(name, keep_snapshots, only="is_current=true" if name == "silver_standings" else None)
     return report
-
-
-def _snapshot_ids(tables: Tables, name: str) -> list[str]:
-    from scoreline.sources.io import _snapshots
-
-    return _snapshots(tables.spark, tables.path(name))

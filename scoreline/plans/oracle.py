@@ -128,6 +128,7 @@ form_sides AS (
 
 ATTRS = ["played", "won", "drawn", "lost", "goals_for", "goals_against", "points", "goal_difference", "group_rank"]
 COMPARE = ["played", "won", "drawn", "lost", "goals_for", "goals_against", "points", "group_rank"]
+T0 = "TIMESTAMP '2026-06-13 00:00:00'"
 T1 = "TIMESTAMP '2026-06-20 00:00:00'"
 T2 = "TIMESTAMP '2026-06-27 00:00:00'"
 AS_OF = "TIMESTAMP '2026-06-23 00:00:00'"
@@ -146,7 +147,7 @@ def _scd2(select: str) -> str:
         M
         + ",\nm1 AS (SELECT * FROM m WHERE matchday <= 79)"
         + standings_ctes("m1", "1")
-        + ",\nm2 AS (SELECT * FROM m WHERE matchday <= 83)"
+        + ",\nm2 AS (SELECT * FROM m)"
         + standings_ctes("m2", "2")
         + f""",
 existing AS (SELECT *, {T1} AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, true AS is_current
@@ -171,6 +172,32 @@ merged AS (
     )
 
 
+def _history() -> str:
+    """Three standings (matchday <= 70 at T0, <= 79 at T1, all at T2) as one history of versions."""
+    sel = ", ".join(f'x."{c}" AS "{c}"' for c in PLAIN)
+    on = 'x."group" IS NOT DISTINCT FROM y."group" AND x.team IS NOT DISTINCT FROM y.team'
+    same = " AND ".join(f'x."{c}" IS NOT DISTINCT FROM y."{c}"' for c in COMPARE)
+    goes_on = lambda k: f"EXISTS (SELECT 1 FROM ranked{k} y WHERE {on} AND {same})"
+    null = "CAST(NULL AS TIMESTAMP)"
+    parts = [
+        f"SELECT {sel}, {T0} AS effective_from, CASE WHEN NOT {goes_on(1)} THEN {T1} "
+        f"WHEN NOT {goes_on(2)} THEN {T2} ELSE {null} END AS effective_to FROM ranked0 x",
+        f"SELECT {sel}, {T1}, CASE WHEN NOT {goes_on(2)} THEN {T2} ELSE {null} END FROM ranked1 x WHERE NOT {goes_on(0)}",
+        f"SELECT {sel}, {T2}, {null} FROM ranked2 x WHERE NOT {goes_on(1)}",
+    ]
+    return (
+        M
+        + ",\nm0 AS (SELECT * FROM m WHERE matchday <= 70)"
+        + standings_ctes("m0", "0")
+        + ",\nm1 AS (SELECT * FROM m WHERE matchday <= 79)"
+        + standings_ctes("m1", "1")
+        + standings_ctes("m", "2")
+        + ", v AS ("
+        + " UNION ALL ".join(parts)
+        + ") SELECT *, effective_to IS NULL AS is_current FROM v"
+    )
+
+
 def _checks(
     table: str, src: str, not_null: list[str], non_negative: list[str], known: str | None = None, rules: dict | None = None
 ) -> str:
@@ -232,6 +259,10 @@ def sql() -> dict[str, str]:
         f"AND (effective_to IS NULL OR effective_to > {AS_OF})"
     )
 
+    q["scd2_history"] = _history()
+    q["serve_standings_sorted"] = q["gold_standings_current"]
+    q["serve_trend_sorted"] = q["gold_goals_by_matchday"]
+
     # serving
     q["serve_recent_events"] = (
         "WITH " + EVENTS + " SELECT * FROM e ORDER BY ingested_at DESC NULLS LAST, event_id DESC NULLS LAST LIMIT 12"
@@ -282,6 +313,9 @@ def sql() -> dict[str, str]:
         + SCORERS
         + ","
         + TREND
+        + ","
+        + FORM_SIDES
+        + ", form AS (SELECT team, string_agg(oc, '' ORDER BY matchday NULLS FIRST, oc) AS form FROM form_sides GROUP BY team)"
         + ", rep AS ("
         + _checks("standings", "cur", ["team"], ["points"], UNKNOWN_TEAMS)
         + " UNION ALL "
@@ -289,6 +323,8 @@ def sql() -> dict[str, str]:
         + " UNION ALL "
         + _checks("top_scorers", "scorers", ["player"], ["goals"])
         + " UNION ALL "
+        + _checks("team_form", "form", ["team", "form"], [])
+        + " UNION ALL "
         + _checks(
             "matches",
             "m",
@@ -362,7 +398,15 @@ def sql_sources() -> dict[str, str]:
         "SELECT p_name AS name, p_type AS city, p_brand AS country, p_size AS capacity, "
         f"{BATCH_B} AS ingested_at, 'snapshot' AS source_name FROM part"
     )
-    q["silver_typed_cast"] = w + "SELECT home_team, away_team, home_score, away_score, matchday, status FROM raw_matches"
+    # plain, '.7' and padded spellings are numbers; 'd', 'e3' and 'abc' aren't
+    q["silver_typed_cast"] = (
+        w + "SELECT home_team, away_team, CASE WHEN matchday % 6 IN (0, 3, 4) THEN home_score END AS home_score, "
+        "away_score, matchday, status FROM raw_matches"
+    )
+    q["silver_stadiums"] = (
+        f"SELECT trim(p_name) AS name, trim(p_type) AS city, max(p_brand) AS country, max(struct_pack(b := p_brand, s := p_size)).s AS capacity, "
+        f"{BATCH_B} AS ingested_at, 'snapshot' AS source_name FROM part GROUP BY ALL"
+    )
     q["silver_teams"] = (
         w + f"SELECT name, max(\"group\") AS \"group\", {BATCH_B} AS ingested_at, 'snapshot' AS source_name "
         "FROM teams_all GROUP BY name"
@@ -375,6 +419,12 @@ def sql_sources() -> dict[str, str]:
     q["src_events_json"] = we + "SELECT * FROM e"
     q["io_roundtrip"] = M + " SELECT * FROM m"
     q["io_append"] = we + "SELECT * FROM e UNION ALL SELECT * FROM e"
+    again = "SELECT * REPLACE (ingested_at + INTERVAL 1 MINUTE AS ingested_at) FROM e WHERE event_type = 'goal'"
+    q["io_rerun"] = (
+        we + "SELECT 'bronze' AS layer, event_id, minute, ingested_at FROM (SELECT * FROM e UNION ALL " + again + ") "
+        "UNION ALL SELECT 'silver', event_id, minute, CASE WHEN event_type = 'goal' THEN ingested_at + INTERVAL 1 MINUTE "
+        "ELSE ingested_at END FROM e"
+    )
     q["io_overwrite"] = we + "SELECT * FROM e WHERE event_type = 'goal'"
     return q
 
@@ -394,10 +444,15 @@ t AS (
 def sql_html() -> dict[str, str]:
     q: dict[str, str] = {}
     q["html_table_rows"] = (
-        "WITH " + SUPPLIER_TABLES + " SELECT page_id, table_no, 'wikitable sortable' AS table_class, row_no, "
+        "WITH " + SUPPLIER_TABLES + ", n AS (SELECT page_id, CAST(max(table_no) + 1 AS INT) AS k FROM t GROUP BY page_id) "
+        "SELECT page_id, table_no, 'wikitable sortable' AS table_class, row_no, "
         "4 AS n_cells, CAST(s_suppkey AS VARCHAR) || '|' || s_name || '(H)|' || n_name || '|' || "
         "CAST(s_suppkey % 10 AS VARCHAR) AS cells_text FROM t "
-        "UNION ALL SELECT DISTINCT page_id, table_no, 'wikitable sortable', 0, 4, 'No|Team|Nation|Pts' FROM t"
+        "UNION ALL SELECT DISTINCT page_id, table_no, 'wikitable sortable', 0, 4, 'No|Team|Nation|Pts' FROM t "
+        # a nested table's row is a row of both tables, and its cell one of the enclosing row
+        "UNION ALL SELECT page_id, k, 'navbox', 0, 2, 'navx|x' FROM n "
+        "UNION ALL SELECT page_id, k, 'navbox', 1, 1, 'x' FROM n "
+        "UNION ALL SELECT page_id, k + 1, 'plain', 0, 1, 'x' FROM n"
     )
     q["html_team_names"] = (
         "WITH " + SUPPLIER_TABLES + " SELECT DISTINCT s_name AS name, CAST(NULL AS VARCHAR) AS \"group\", "
@@ -411,6 +466,12 @@ def sql_html() -> dict[str, str]:
         M + " SELECT home_team, away_team, CAST(home_score AS VARCHAR) || '–' || CAST(away_score AS VARCHAR) AS score "
         "FROM m WHERE home_score IS NOT NULL AND away_score IS NOT NULL"
     )
+    scraped = (
+        "scraped AS (SELECT home_team, away_team, home_score, away_score, CAST(NULL AS VARCHAR) AS \"group\", "
+        "'finished' AS status, CASE WHEN home_score > away_score THEN 'home_win' WHEN home_score < away_score THEN 'away_win' "
+        "ELSE 'draw' END AS result FROM m WHERE home_score IS NOT NULL AND away_score IS NOT NULL)"
+    )
+    q["pipeline_html_standings"] = M + ", " + scraped + standings_ctes("scraped") + " SELECT * FROM ranked"
     return q
 
 

@@ -48,7 +48,7 @@ def _join_sorted(col: str, text: str) -> Column:
 
 
 def team_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page per supplier-key range; inside, one wikitable per nation."""
+    """One page per supplier-key range; inside, one wikitable per nation, and a table nested in another."""
     s = derive.table(spark, sf_dir, "supplier").join(
         derive.nation_region(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")
     )
@@ -56,7 +56,7 @@ def team_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "td",
         [
             F.col("s_suppkey").cast("string"),
-            F.concat(F.lit('<a href="#">'), esc(F.col("s_name")), F.lit(f"</a> <span>{MARKER}</span>")),
+            F.concat(F.lit('&nbsp;<a href="#">'), esc(F.col("s_name")), F.lit(f"</a>&#160;<span>{MARKER}</span>")),
             esc(F.col("n_name")),
             (F.col("s_suppkey") % 10).cast("string"),
         ],
@@ -71,7 +71,9 @@ def team_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit('<table class="wikitable sortable">' + _header(TEAM_HEADER)), _join_sorted("r", "html"), F.lit("</table>")
         ).alias("t")
     )
-    pages = tables.groupBy("page_id").agg(_page(_join_sorted(F.struct("n_nationkey", "t"), "t")).alias("html"))
+    nested = F.lit('<table class="navbox"><tr><td>nav<table class="plain"><tr><td>x&nbsp;</td></tr></table></td></tr></table>')
+    body = F.concat(_join_sorted(F.struct("n_nationkey", "t"), "t"), nested)
+    pages = tables.groupBy("page_id").agg(_page(body).alias("html"))
     return pages.select("page_id", F.concat(F.lit("https://example.org/teams/"), F.col("page_id")).alias("url"), "html")
 
 
@@ -119,8 +121,8 @@ def match_pages(matches: DataFrame) -> DataFrame:
         F.struct("matchday", "home_team", "away_team", box.alias("html")).alias("r"),
     )
     pages = keyed.groupBy("_chunk").agg(_page(_join_sorted("r", "html")).alias("html"))
-    return pages.select(
-        (F.col("_chunk") + MATCH_PAGE_BASE).alias("page_id"),
+    return pages.select(  # two pages have one id, as two crawls of a page would
+        (F.floor(F.col("_chunk") / 2) + MATCH_PAGE_BASE).alias("page_id"),
         F.lit("https://example.org/matches").alias("url"),
         "html",
     )

@@ -11,7 +11,7 @@ TEAMS_RAW = T.StructType([T.StructField(c, S) for c in TEAM_FIELDS])
 STADIUM_FIELDS = ["name", "city", "country", "capacity"]
 STADIUMS_RAW = T.StructType([T.StructField(c, S) for c in STADIUM_FIELDS])
 
-# Matches in landing form: every field is text until silver types it.
+# Matches in landing form; every field is text until silver types it.
 MATCH_FIELDS = [
     "home_team",
     "away_team",
@@ -25,6 +25,11 @@ MATCH_FIELDS = [
 ]
 MATCHES_RAW = T.StructType([T.StructField(c, S) for c in MATCH_FIELDS])
 
+# Match files of a stream: the landing fields with their stamp and source.
+MATCHES_STREAM = T.StructType(
+    [*MATCHES_RAW.fields, T.StructField("ingested_at", T.TimestampNTZType()), T.StructField("source_name", S)]
+)
+
 # One landing document: three entity lists plus the batch stamp.
 PAYLOAD = T.StructType(
     [
@@ -60,18 +65,7 @@ EVENTS = T.StructType(
     ]
 )
 
-STANDINGS_ATTRS = [
-    "played",
-    "won",
-    "drawn",
-    "lost",
-    "goals_for",
-    "goals_against",
-    "points",
-    "goal_difference",
-    "group_rank",
-]
-# Columns whose change opens a new SCD2 version (goal_difference is derived).
+# Columns whose change opens a new SCD2 version (goal_difference is derived).
 STANDINGS_COMPARE = [
     "played",
     "won",
@@ -88,6 +82,7 @@ STANDINGS_KEYS = ["group", "team"]
 HTML_ROWS = T.StructType(
     [
         T.StructField("page_id", T.LongType()),
+        T.StructField("fetch", T.LongType()),
         T.StructField("table_no", T.IntegerType()),
         T.StructField("table_class", S),
         T.StructField("row_no", T.IntegerType()),

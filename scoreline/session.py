@@ -73,6 +73,10 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_byt
         "spark.shuffle.service.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.speculation": "true",
+        # state of streaming operators lives on disk, not in the executors' heap
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
     }
 
 

@@ -9,9 +9,11 @@ cells, cell_tags, cell_classes). Everything after it (which tables qualify,
 which cells to pick, marker stripping, first-seen dedup, match boxes) is
 built-in Spark expressions, aggregates and joins.
 
-Cell text follows ``get_text(strip=True)``: each text fragment is stripped and
-the fragments are concatenated. Rows belong to their innermost table; a nested
-table's rows are not repeated in the enclosing one.
+Cell text follows ``get_text(strip=True)``: each text fragment is decoded, then
+stripped, and the fragments are concatenated. As a search below a table finds
+everything nested in it, a nested table's rows are rows of the enclosing tables
+too, and a row's cells include those nested in it, in document order. ``fetch``
+(a hash of the page's text) tells several crawls of one ``page_id`` apart.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreline.functions import has_class, strip_marker
+from scoreline.functions import FINISHED, has_class, strip_marker
 from scoreline.operators.dedup import keep_first
 from scoreline.schemas import HTML_ROWS
 
@@ -60,18 +62,22 @@ def _class_of(attrs: str) -> str | None:
     return htmllib.unescape(v) if "&" in v else v
 
 
-def _close_cell(t: list) -> None:
-    if t[6] is not None:
-        t[3].append("".join(t[6]))
-        t[6] = None
-
-
 def _close_row(t: list, rows: list) -> None:
-    _close_cell(t)
+    """Emit the open row of a table: once for the table and once for each that encloses it."""
+    t[4] = None
     if t[3] is not None:
-        rows.append((t[0], t[1], t[2], t[3], t[4], t[5]))
+        places, cells = t[3]
+        t[3] = None
+        texts, tags, classes = (["".join(c[0]) for c in cells], [c[1] for c in cells], [c[2] for c in cells])
+        rows += [(no, cls, n, texts, tags, classes) for no, cls, n in places]
+
+
+def _open_row(stack: list) -> None:
+    places = []
+    for t in stack:
+        places.append((t[0], t[1], t[2]))
         t[2] += 1
-        t[3] = t[4] = t[5] = None
+    stack[-1][3] = (places, [])
 
 
 # One scan per page: (text before the token, comment, declaration, "/" of an
@@ -88,8 +94,9 @@ _SCAN = re.compile(
 def parse_tables(page: str | None) -> list[tuple]:
     """(table_no, table_class, row_no, cells, cell_tags, cell_classes) per row of one page.
 
-    An open table is the list
-    [no, class, rows_so_far, cells, cell_tags, cell_classes, open_cell_fragments].
+    An open table is the list [no, class, rows_so_far, open_row, open_cell]; a
+    row has its (table, class, row number) in each table around it and its
+    cells, a cell its [fragments, tag, class].
     Inside script/style everything up to the matching end tag is skipped.
     """
     if not page or "<table" not in page.lower():
@@ -111,13 +118,11 @@ def parse_tables(page: str | None) -> list[tuple]:
             pending.append(text)
             text, pending = "".join(pending), []
         if text and stack:
-            piece = text.strip()
+            piece = (htmllib.unescape(text) if "&" in text else text).strip()
             if piece:
-                if "&" in piece:
-                    piece = htmllib.unescape(piece)
                 for t in stack:  # enclosing cells see nested text, like get_text
-                    if t[6] is not None:
-                        t[6].append(piece)
+                    if t[4] is not None:
+                        t[4][0].append(piece)
         if not tag:
             continue
         tag = tag.lower()
@@ -130,23 +135,22 @@ def parse_tables(page: str | None) -> list[tuple]:
                 elif tag == "tr":
                     _close_row(t, rows)
                 elif tag == "td" or tag == "th":
-                    _close_cell(t)
+                    t[4] = None
             continue
         if tag == "table":
-            stack.append([n_tables, _class_of(attrs), 0, None, None, None, None])
+            stack.append([n_tables, _class_of(attrs), 0, None, None])
             n_tables += 1
         elif stack and tag == "tr":
-            t = stack[-1]
-            _close_row(t, rows)
-            t[3], t[4], t[5] = [], [], []
+            _close_row(stack[-1], rows)
+            _open_row(stack)
         elif stack and (tag == "td" or tag == "th"):
-            t = stack[-1]
-            if t[3] is None:  # cell outside <tr>: open an implicit row
-                t[3], t[4], t[5] = [], [], []
-            _close_cell(t)
-            t[4].append(tag)
-            t[5].append(_class_of(attrs))
-            t[6] = []
+            if stack[-1][3] is None:  # cell outside <tr>: open an implicit row
+                _open_row(stack)
+            cell = [[], tag, _class_of(attrs)]
+            stack[-1][4] = cell
+            for t in stack:
+                if t[3] is not None:
+                    t[3][1].append(cell)
         elif tag in _RAW_TEXT:
             raw = tag
     while stack:
@@ -158,15 +162,18 @@ def _extract_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cols = HTML_ROWS.fieldNames()
     for pdf in batches:
         out = []
-        for page_id, html in zip(pdf["page_id"], pdf["html"]):
-            for r in parse_tables(html):
-                out.append((page_id, *r))
+        for page_id, fetch, html in zip(pdf["page_id"], pdf["fetch"], pdf["html"]):
+            out += [(page_id, fetch, *r) for r in parse_tables(html)]
+            if len(out) >= 5000:  # a page at most beyond that at a time
+                yield pd.DataFrame(out, columns=cols)
+                out = []
         yield pd.DataFrame(out, columns=cols)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """Every table row of every page (needs ``page_id`` and ``html``)."""
-    return pages.select(F.col("page_id").cast("long"), "html").mapInPandas(_extract_batches, HTML_ROWS)
+    fetched = pages.select(F.col("page_id").cast("long"), F.xxhash64("html").alias("fetch"), "html")
+    return fetched.mapInPandas(_extract_batches, HTML_ROWS)
 
 
 def table_rows(rows: DataFrame) -> DataFrame:
@@ -182,7 +189,7 @@ def table_rows(rows: DataFrame) -> DataFrame:
 
 
 def _tables_with_header(rows: DataFrame, words: tuple[str, ...]) -> DataFrame:
-    """(page_id, table_no) of wikitables having a ``th`` whose text contains any of ``words``."""
+    """(page_id, fetch, table_no) of wikitables having a ``th`` whose text contains any of ``words``."""
     def hit(x):
         cond = F.lit(False)
         for w in words:
@@ -190,16 +197,16 @@ def _tables_with_header(rows: DataFrame, words: tuple[str, ...]) -> DataFrame:
         return (x["cell_tags"] == "th") & cond
 
     flagged = rows.filter(has_class("table_class", TABLE_CLASS)).select(
-        "page_id", "table_no", F.exists(F.arrays_zip("cells", "cell_tags"), hit).alias("hit")
+        "page_id", "fetch", "table_no", F.exists(F.arrays_zip("cells", "cell_tags"), hit).alias("hit")
     )
-    return flagged.groupBy("page_id", "table_no").agg(F.bool_or("hit").alias("hit")).filter("hit").drop("hit")
+    return flagged.groupBy("page_id", "fetch", "table_no").agg(F.bool_or("hit").alias("hit")).filter("hit").drop("hit")
 
 
 def _body_rows(rows: DataFrame, words: tuple[str, ...]) -> DataFrame:
     """Rows after the first of each qualifying table, with at least two cells."""
     tables = _tables_with_header(rows, words)
     body = rows.filter((F.col("row_no") > 0) & (F.size("cells") >= 2))
-    return body.join(tables, ["page_id", "table_no"], "left_semi")
+    return body.join(tables, ["page_id", "fetch", "table_no"], "left_semi")
 
 
 def team_names(rows: DataFrame) -> DataFrame:
@@ -230,6 +237,7 @@ def match_boxes(rows: DataFrame) -> DataFrame:
     boxes = rows.filter(has_class("table_class", BOX_CLASS))
     cells = boxes.select(
         "page_id",
+        "fetch",
         "table_no",
         "row_no",
         F.posexplode(F.arrays_zip("cells", "cell_tags", "cell_classes")).alias("pos", "c"),
@@ -238,7 +246,23 @@ def match_boxes(rows: DataFrame) -> DataFrame:
     for out, cls in BOX_CELLS.items():
         first = F.min(F.when(has_class("c.cell_classes", cls), F.struct("row_no", "pos", F.col("c.cells").alias("t"))))
         picks.append(first["t"].alias(out))
-    per_box = cells.groupBy("page_id", "table_no").agg(*picks)
+    per_box = cells.groupBy("page_id", "fetch", "table_no").agg(*picks)
     return per_box.filter(
         F.col("home_team").isNotNull() & F.col("away_team").isNotNull() & F.col("score").isNotNull()
     ).select(*BOX_CELLS)
+
+
+def scored_matches(rows: DataFrame) -> DataFrame:
+    """Match boxes in landing form: the score text split into goals, a split one being finished."""
+    parts = [F.regexp_extract("score", r"^\s*([0-9]+)\s*[–:-]\s*([0-9]+)", k) for k in (1, 2)]
+    played = parts[0] != ""
+    none = F.lit(None).cast("string")
+    return match_boxes(rows).select(
+        "home_team",
+        "away_team",
+        F.when(played, parts[0]).alias("home_score"),
+        F.when(played, parts[1]).alias("away_score"),
+        *(none.alias(c) for c in ("group", "matchday", "stadium")),
+        F.when(played, FINISHED).otherwise("scheduled").alias("status"),
+        "score",
+    )

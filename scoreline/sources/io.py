@@ -1,10 +1,13 @@
 """Table I/O on a shared file system (parquet by default, format configurable).
 
-Append tables are plain directories, optionally partitioned (bronze by
-``ingest_date``). Overwrite tables keep one directory per snapshot,
-``<table>/snapshot=<id>``, with zero-padded ids: a job never overwrites the
-path it reads, a rerun of id N rewrites only snapshot N, and readers take the
-greatest committed snapshot. Row counts come from an ``Observation`` attached
+Append tables are plain directories, or one directory per batch,
+``<table>/batch_id=<id>``, so a rerun or a replay of a batch replaces its own
+rows and no others. Overwrite tables keep one directory per snapshot,
+``<table>/snapshot=<id>``, with zero-padded ids: batch N reads the greatest
+committed snapshot before N (``snapshot_before``) and writes snapshot N, so a
+job never overwrites what it reads, reruns included, and readers take the
+greatest committed snapshot. Directories without a ``_SUCCESS`` marker (a job
+that died) are read by nobody. Row counts come from an ``Observation`` attached
 to the write itself, not from a second job.
 """
 
@@ -19,7 +22,8 @@ from pyspark.sql import types as T
 
 SNAPSHOT = "snapshot"
 # Partition columns come back from directory names as text; their real types.
-PARTITION_TYPES = {"is_current": "boolean", "ingest_date": "date", SNAPSHOT: "long"}
+BATCH = "batch_id"
+PARTITION_TYPES = {"is_current": "boolean", "ingest_date": "date", SNAPSHOT: "long", BATCH: "long"}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -33,18 +37,63 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _snapshots(spark: SparkSession, path: str) -> list[str]:
-    """Committed snapshot ids (those with a _SUCCESS marker), ascending."""
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a partition column, from the names of its folders, ascending."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(SNAPSHOT + "="):
-            if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(name.split("=", 1)[1])
-    return sorted(out)
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, f"{column}=*")) or []
+    return sorted(st.getPath().getName().split("=", 1)[1] for st in found)
+
+
+def _committed(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Ids of the ``prefix=<id>`` folders that have a _SUCCESS marker, ascending."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    # one listing of all markers, however many folders there are
+    marks = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, f"{prefix}=*/_SUCCESS")) or []
+    return sorted(st.getPath().getParent().getName().split("=", 1)[1] for st in marks)
+
+
+def _snapshots(spark: SparkSession, path: str) -> list[str]:
+    return _committed(spark, path, SNAPSHOT)
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Committed batches of a batch-wise append table, ascending."""
+    return [int(i) for i in _committed(spark, path, BATCH)]
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> int:
+    """Write ``df`` as batch ``batch_id`` of an append table, in place of what that batch wrote before."""
+    obs = Observation(f"batch_{batch_id}")
+    out = df.drop(BATCH).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out.write.mode("overwrite").format(fmt).save(f"{path}/{BATCH}={snapshot_id(batch_id)}")
+    return int(obs.get["rows"])
+
+
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, ids: list[int] | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """The given committed batches (all if not given), with their ``batch_id``."""
+    known = batch_ids(spark, path)
+    wanted = known if ids is None else [i for i in known if i in set(ids)]
+    full = T.StructType([f for f in schema if f.name != BATCH])
+    if not wanted:
+        return spark.createDataFrame([], T.StructType([*full.fields, T.StructField(BATCH, T.LongType())]))
+    folders = [f"{path}/{BATCH}={snapshot_id(i)}" for i in wanted]
+    return _typed(spark.read.schema(full).option("basePath", path).format(fmt).load(folders))
+
+
+def check_schema(df: DataFrame, schema: T.StructType | None, name: str) -> None:
+    """Raise if ``df`` hasn't the declared columns and types."""
+    if schema is None:
+        return
+    have, want = dict(df.dtypes), {f.name: f.dataType.simpleString() for f in schema}
+    if have != want:
+        wrong = sorted(c for c in {*have, *want} if have.get(c) != want.get(c))
+        raise ValueError(f"table {name}: columns {wrong} differ from its schema: {[(c, have.get(c), want.get(c)) for c in wrong]}")
 
 
 def _typed(df: DataFrame) -> DataFrame:
@@ -69,14 +118,22 @@ class Tables:
         return f"{self.root.rstrip('/')}/{name}"
 
     def exists(self, name: str) -> bool:
-        """A committed table: a snapshot, a batch write (_SUCCESS) or a streaming sink (_spark_metadata)."""
+        """A committed table: a snapshot or batch, a plain write (_SUCCESS) or a streaming sink (_spark_metadata)."""
         p = self.path(name)
         if not path_exists(self.spark, p):
             return False
-        return bool(_snapshots(self.spark, p)) or any(
+        return bool(_snapshots(self.spark, p) or batch_ids(self.spark, p)) or any(
             path_exists(self.spark, f"{p}/{marker}") for marker in ("_SUCCESS", "_spark_metadata")
         )
 
+    def append_batch(self, df: DataFrame, name: str, batch_id: int, schema: T.StructType | None = None) -> int:
+        """Append ``df`` as batch ``batch_id`` (a rerun replaces it); returns rows written."""
+        check_schema(df, schema, name)
+        return write_batch(df, self.path(name), batch_id, self.fmt)
+
+    def read_batches(self, name: str, schema: T.StructType, ids: list[int] | None = None) -> DataFrame:
+        return read_batches(self.spark, self.path(name), schema, ids, self.fmt)
+
     def append(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> int:
         """Append ``df``; returns the number of rows written (observed in the write job)."""
         obs = Observation(f"append_{name}")
@@ -86,8 +143,16 @@ class Tables:
         w.save(self.path(name))
         return int(obs.get["rows"])
 
-    def overwrite(self, df: DataFrame, name: str, batch_id: int, partition_by: list[str] | None = None) -> int:
+    def overwrite(
+        self,
+        df: DataFrame,
+        name: str,
+        batch_id: int,
+        partition_by: list[str] | None = None,
+        schema: T.StructType | None = None,
+    ) -> int:
         """Write ``df`` as snapshot ``batch_id`` of table ``name``; returns rows written."""
+        check_schema(df, schema, name)
         obs = Observation(f"overwrite_{name}_{batch_id}")
         w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(self.fmt)
         if partition_by:
@@ -99,6 +164,23 @@ class Tables:
         snaps = _snapshots(self.spark, self.path(name))
         return snaps[-1] if snaps else None
 
+    def snapshot_before(self, name: str, batch_id: int) -> str | None:
+        """The greatest committed snapshot before ``batch_id``: what a run, or a rerun, of it builds on."""
+        before = [s for s in _snapshots(self.spark, self.path(name)) if s < snapshot_id(batch_id)]
+        return before[-1] if before else None
+
+    def retain(self, name: str, keep: int, only: str | None = None) -> int:
+        """Delete all but the last ``keep`` committed snapshots; of each only the partition ``only`` if given.
+
+        An SCD2 table is pruned with ``only="is_current=true"``: closed versions are history and stay.
+        """
+        fs, p = _fs(self.spark, self.path(name))
+        old = _snapshots(self.spark, self.path(name))[: -max(1, keep)]
+        for snap in old:
+            folder = f"{SNAPSHOT}={snap}" + (f"/{only}" if only else "")
+            fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, folder), True)
+        return len(old)
+
     def read(self, name: str, snapshot: str | None = None, schema: T.StructType | None = None) -> DataFrame:
         """The latest snapshot of an overwrite table, or the whole append table.
 
@@ -116,21 +198,16 @@ class Tables:
                 raise
             return self.spark.createDataFrame([], schema)
 
-
     def read_versions(self, name: str) -> DataFrame:
         """An SCD2 table stored as one snapshot per run, partitioned by
-        ``is_current``: the versions closed by every run plus the open
-        versions of the latest run. Both conditions are partition filters, so
-        only those directories are listed and read; history is never rewritten."""
-        latest = self.latest_snapshot(name)
-        if latest is None:
+        ``is_current``: the versions closed by every committed run plus the open
+        versions of the latest one. Both conditions are partition filters, so
+        only those directories are read; history is never rewritten, and a run
+        that died before its commit adds nothing."""
+        committed = _snapshots(self.spark, self.path(name))
+        if not committed:
             raise FileNotFoundError(f"table {name} has no committed snapshot")
         p = self.path(name)
-        every = _typed(self.spark.read.option("basePath", p).format(self.fmt).load(p))
-        keep = ~F.col("is_current") | (F.col(SNAPSHOT) == int(latest))
-        return every.filter(F.col(SNAPSHOT) <= int(latest)).filter(keep).drop(SNAPSHOT)
-
-
-def skip_if_empty(df: DataFrame) -> bool:
-    """True when there is nothing to write (one-row probe, not a count)."""
-    return df.isEmpty()
+        folders = [f"{p}/{SNAPSHOT}={s}" for s in committed]
+        every = _typed(self.spark.read.option("basePath", p).format(self.fmt).load(folders))
+        return every.filter(~F.col("is_current") | (F.col(SNAPSHOT) == int(committed[-1]))).drop(SNAPSHOT)

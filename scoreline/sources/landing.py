@@ -1,24 +1,27 @@
 """Landing payloads: JSON documents of (teams[], stadiums[], matches[], fetched_at, source_name).
 
-A batch is written as many JSON-lines documents of about ``rows_per_doc``
-entity rows each, so neither writer nor reader ever holds a whole batch in one
-task, and the files stay splittable. Records go to documents by a hash of
-their content (document count from a one-row count), so a recomputed task
-after a lost executor puts every record in the same document again. Whole-file
-pretty-printed documents (one per file) are read with ``multi_line=True``.
+A batch is written as JSON-lines documents of at most ``rows_per_doc`` entity
+rows each, so neither writer nor reader ever holds a whole batch in one task,
+and the files stay splittable. Equal records are counted first and cut into
+pieces; pieces are dealt out by a hash of their content and number, and cut
+again at the bound, so the documents are the same whenever a task is computed
+again. Whole-file pretty-printed documents (one per file) are read with
+``multi_line=True``. The newest batch is found from the partition folders.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreline.functions import instant
 from scoreline.schemas import GROUP_MAP_PAYLOAD, MATCH_FIELDS, PAYLOAD, STADIUM_FIELDS, TEAM_FIELDS
+from scoreline.session import scratch_path
 
 ENTITIES = {"teams": TEAM_FIELDS, "stadiums": STADIUM_FIELDS, "matches": MATCH_FIELDS}
 ROWS_PER_DOC = 5000
+NO_GROUP = "\u0000"  # stands for a null group, since a map has no null key
 
 
 def chunk_key(df: DataFrame, rows_per_doc: int, cols: list[str] | None = None) -> Column:
@@ -27,12 +30,33 @@ def chunk_key(df: DataFrame, rows_per_doc: int, cols: list[str] | None = None) -
     return F.pmod(F.xxhash64(*(cols or df.columns)), F.lit(n)).alias("_chunk")
 
 
+def bounded(df: DataFrame, rows_per_doc: int) -> DataFrame:
+    """The rows of ``df``, numbered into documents (``_bucket``, ``_doc``) of at most ``rows_per_doc`` rows.
+
+    Equal rows are counted with a partial aggregate (written once, so ``df`` is
+    computed once), spread over buckets of about ``rows_per_doc`` rows by their
+    content and number, and numbered inside a bucket.
+    """
+    cols = df.columns
+    path = scratch_path(df.sparkSession, "records")
+    obs = Observation()
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = counted.withColumn("_hash", F.xxhash64(*cols))
+    counted.observe(obs, F.sum("_copies").alias("rows")).write.parquet(path)
+    n = max(1, -(-(obs.get["rows"] or 0) // rows_per_doc))
+    stored = df.sparkSession.read.schema(counted.schema).parquet(path)
+    each = stored.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    piece = F.floor((F.col("_copy") - 1) / rows_per_doc)
+    dealt = each.withColumn("_bucket", F.pmod(F.xxhash64("_hash", piece), F.lit(n)))
+    w = Window.partitionBy("_bucket").orderBy("_hash", *cols, "_copy")
+    return dealt.withColumn("_doc", F.floor((F.row_number().over(w) - 1) / rows_per_doc)).select("_bucket", "_doc", *cols)
+
+
 def _docs(df: DataFrame, entity: str, rows_per_doc: int) -> DataFrame:
     """Bounded documents for one entity list."""
-    fields = ENTITIES[entity]
-    present = [c for c in fields if c in df.columns]
-    keyed = df.select(chunk_key(df, rows_per_doc, present), F.struct(*present).alias("_rec"))
-    lists = keyed.groupBy("_chunk").agg(F.collect_list("_rec").alias(entity))
+    present = [c for c in ENTITIES[entity] if c in df.columns]
+    rows = bounded(df.select(*present), rows_per_doc)
+    lists = rows.groupBy("_bucket", "_doc").agg(F.collect_list(F.struct(*present)).alias(entity))
     # The other two lists are absent from this document (null -> omitted in JSON).
     return lists.select(entity)
 
@@ -68,6 +92,21 @@ def read_landing(spark: SparkSession, path: str, multi_line: bool = False, schem
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
+def read_latest(spark: SparkSession, path: str, schema: T.StructType = PAYLOAD) -> DataFrame:
+    """The documents of the most recent batch.
+
+    Its day is the greatest ``ingest_date`` folder, so only that folder's files
+    are listed and parsed, however much has landed before.
+    """
+    from scoreline.sources.io import partition_values
+
+    days = partition_values(spark, path, "ingest_date")
+    if not days:
+        return latest_batch(read_landing(spark, path, schema=schema))
+    day = spark.read.schema(schema).option("basePath", path).json(f"{path}/ingest_date={days[-1]}")
+    return latest_batch(day.drop("ingest_date"))
+
+
 def latest_batch(docs: DataFrame, ts_col: str = "fetched_at") -> DataFrame:
     """Documents of the most recent batch, compared as timestamps (never as
     file names or strings). The max is a one-row aggregate joined back."""
@@ -94,12 +133,10 @@ def batch_summary(docs: DataFrame) -> DataFrame:
 
 
 def write_group_map(path: str, teams: DataFrame, fetched_at: str, source_name: str, rows_per_doc: int = ROWS_PER_DOC) -> None:
-    """Teams as ``{group: [names]}`` documents; a group is split over the
-    hash chunks, so no document holds more than about ``rows_per_doc`` names
-    however large one group is."""
-    keyed = teams.select(chunk_key(teams, rows_per_doc, ["group", "name"]), "group", "name")
-    lists = keyed.groupBy("_chunk", "group").agg(F.collect_list("name").alias("names"))
-    docs = lists.select(F.create_map(F.coalesce(F.col("group"), F.lit("")), "names").alias("groups"))
+    """Teams as ``{group: [names]}`` documents of at most ``rows_per_doc`` names, however large one group is."""
+    rows = bounded(teams.select("group", "name"), rows_per_doc)
+    lists = rows.groupBy("_bucket", "_doc", "group").agg(F.collect_list("name").alias("names"))
+    docs = lists.select(F.create_map(F.coalesce(F.col("group"), F.lit(NO_GROUP)), "names").alias("groups"))
     docs.withColumns({"fetched_at": F.lit(fetched_at), "source_name": F.lit(source_name)}).write.mode("append").json(path)
 
 
@@ -112,6 +149,6 @@ def flatten_group_map(docs: DataFrame) -> DataFrame:
     pairs = docs.select(F.explode("groups").alias("group", "names"))
     return pairs.select(
         F.explode("names").alias("name"),
-        F.when(F.col("group") != "", F.col("group")).alias("group"),
+        F.when(F.col("group") != NO_GROUP, F.col("group")).alias("group"),
         F.lit(None).cast("string").alias("source_table"),
     )

@@ -1,4 +1,4 @@
-"""Source registry: a name -> reader returning the three entity DataFrames in landing form."""
+"""Source registry: a name -> reader (spark, folder of tables) returning the three entity DataFrames in landing form."""
 
 from __future__ import annotations
 
@@ -43,13 +43,23 @@ def snapshot_source(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 @register("html")
-def html_source(spark: SparkSession, pages: DataFrame) -> dict[str, DataFrame]:
-    """Teams, stadiums and match boxes scraped from a table of HTML pages."""
+def html_source(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Teams, stadiums and match boxes (score text split) scraped from HTML pages: the ``pages`` table of
+    ``sf_dir``, or those given."""
     from scoreline.sources import html_tables
 
+    if pages is None:
+        pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     rows = html_tables.extract(pages)
     return {
         "teams": html_tables.team_names(rows),
         "stadiums": html_tables.stadiums(rows),
-        "matches": html_tables.match_boxes(rows),
+        "matches": html_tables.scored_matches(rows),
     }
+
+
+def land(spark: SparkSession, source: str, sf_dir: str, landing_dir: str, fetched_at: str) -> None:
+    """Read a source and land its entities as one batch stamped ``fetched_at``."""
+    from scoreline.sources import landing
+
+    landing.write_payload(landing_dir, fetched_at, source, **get_source(source)(spark, sf_dir))

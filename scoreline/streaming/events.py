@@ -4,30 +4,38 @@
   parquet table; the checkpoint records which files were taken, so each file
   lands once (a sweep that re-reads every file is what the batch dedup had to
   clean up after).
-* ``dedup_events``: event-id dedup with bounded state,
-  ``dropDuplicatesWithinWatermark``; a repeat later than the watermark delay
-  is let through (the batch silver build stays the source of truth).
-* ``top_scorers``: streaming count per (player, team) in update mode; each
-  micro-batch appends its changed counts, tagged with the batch id, to a
-  change-log table, and readers keep the latest count per key. No table is
-  rewritten per micro-batch and a replayed batch writes identical rows.
-
-Each job is separate (chained through tables), because Spark allows only
-append output after more than one stateful operator in a query.
+* ``silver_events``: one batch folder per micro-batch with the event ids that
+  silver hasn't yet, the first delivery of each. A micro-batch meets the ids
+  stored before it in an anti join, so a delivery counts as a repeat only if
+  its event is there, however late it comes: no watermark, no state store.
+* ``top_scorers``: goals per (player, team) of each silver batch that has no
+  change-log entry yet, one folder per batch; readers add the entries up.
+
+Every write replaces the folder of its own batch, so replays and reruns change
+nothing. The jobs are chained through tables.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from scoreline.operators import gold
-from scoreline.operators.dedup import keep_latest
+from scoreline.operators.dedup import keep_first
 from scoreline.schemas import EVENTS
 from scoreline.sources.events import NTZ_FORMAT
+from scoreline.sources.io import batch_ids, path_exists, read_batches, write_batch
 
-DEFAULT_DELAY = "40 days"
+GOALS = T.StructType(
+    [
+        T.StructField("player", T.StringType()),
+        T.StructField("team", T.StringType()),
+        T.StructField("goals", T.LongType()),
+        T.StructField("source_batch", T.LongType()),
+    ]
+)
 
 
 def event_stream(spark: SparkSession, in_dir: str, max_files: int | None = None) -> DataFrame:
@@ -58,35 +66,55 @@ def land_events(
     return _run(w.option("path", out_path).outputMode("append"), available_now)
 
 
-def dedup_events(stream: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Drop repeated event ids within ``delay`` of event time."""
-    wm = stream.withColumn("_event_time", F.col("ingested_at").cast("timestamp"))
-    return wm.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(["event_id"]).drop("_event_time")
+def new_events(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """The first delivery of each event id of ``batch`` that ``stored`` hasn't."""
+    first = keep_first(batch, ["event_id"], ["ingested_at"])
+    seen = stored.select(F.col("event_id").alias("_seen"))
+    return first.join(seen, F.col("event_id").eqNullSafe(F.col("_seen")), "left_anti")
 
 
 def silver_events(
-    spark: SparkSession, bronze_path: str, out_path: str, checkpoint: str, delay: str = DEFAULT_DELAY, available_now: bool = True
-) -> StreamingQuery:
-    """Silver: the bronze table as a stream, deduplicated, appended to parquet."""
-    src = spark.readStream.schema(EVENTS).parquet(bronze_path)
-    w = dedup_events(src, delay).writeStream.format("parquet").option("checkpointLocation", checkpoint)
-    return _run(w.option("path", out_path).outputMode("append"), available_now)
-
-
-def top_scorers(
-    spark: SparkSession, silver_path: str, changelog_path: str, checkpoint: str, available_now: bool = True
+    spark: SparkSession,
+    bronze_path: str,
+    out_path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    max_files: int | None = None,
+    then=None,
 ) -> StreamingQuery:
-    """Gold: running goals per (player, team), changes appended per micro-batch."""
-    counts = gold.top_scorers(spark.readStream.schema(EVENTS).parquet(silver_path))
+    """Silver: the bronze table as a stream, each event once; ``then()`` runs after each micro-batch."""
+    if not path_exists(spark, bronze_path):  # nothing landed yet: an empty table that the stream can start on
+        spark.createDataFrame([], EVENTS).write.mode("ignore").parquet(bronze_path)
+    r = spark.readStream.schema(EVENTS)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(changelog_path)
+        before = [i for i in batch_ids(batch.sparkSession, out_path) if i < batch_id]
+        stored = read_batches(batch.sparkSession, out_path, EVENTS, before)
+        write_batch(new_events(batch, stored), out_path, batch_id)
+        if then is not None:
+            then()
 
-    w = counts.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    w = r.parquet(bronze_path).writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     return _run(w, available_now)
 
 
+def read_silver(spark: SparkSession, silver_path: str) -> DataFrame:
+    return read_batches(spark, silver_path, EVENTS).select(*EVENTS.fieldNames())
+
+
+def top_scorers(spark: SparkSession, silver_path: str, changelog_path: str) -> list[int]:
+    """Gold: the goals of each silver batch that the change log hasn't; returns those batches."""
+    done = set(batch_ids(spark, changelog_path))
+    new = [i for i in batch_ids(spark, silver_path) if i not in done]
+    for i in new:
+        goals = gold.top_scorers(read_batches(spark, silver_path, EVENTS, [i]))
+        write_batch(goals.withColumn("source_batch", F.lit(i).cast("long")), changelog_path, i)
+    return new
+
+
 def read_top_scorers(spark: SparkSession, changelog_path: str) -> DataFrame:
-    """Current goals per (player, team): the latest change of each key."""
-    log = spark.read.parquet(changelog_path)
-    return keep_latest(log, ["player", "team"], ["batch_id"]).drop("batch_id")
+    """Current goals per (player, team): the sum over the change log."""
+    log = read_batches(spark, changelog_path, GOALS)
+    return log.groupBy("player", "team").agg(F.sum("goals").alias("goals"))

@@ -1,21 +1,25 @@
 """Standings kept current from a stream of match updates.
 
-Each micro-batch (``foreachBatch``) appends the new match rows to bronze,
+Each micro-batch (``foreachBatch``) stores the new match rows as its bronze batch,
 builds the next silver snapshot incrementally (keep-latest over the previous
 silver snapshot plus this batch only, so the work follows the number of
 distinct matches, not the ever-growing bronze), recomputes ranked standings
 from the stored silver table and applies them to the SCD2 history as a new
 snapshot (partitioned by ``is_current``: the open versions plus only the
 versions closed by this batch; earlier history is never rewritten, see
-``Tables.read_versions``). Snapshot ids are the batch ids, and a replayed batch starts from
-the snapshot before its own id, so replays are idempotent. Version counts of
-each apply are observed in the write itself and appended to a metrics log
-together with the live-match flag (the file trigger replaces the 5-minute
-poll: a batch only runs when files arrive).
+``Tables.read_versions``). Bronze, metrics and snapshots are kept by batch id, and a
+replayed batch starts from the snapshots before its own id and replaces its own
+folders, so replays are idempotent. The tables have names of their own
+(``stream_*``): a batch run may share the root. Versions are stamped with the
+latest ``ingested_at`` stored so far (the epoch if there is none), so rows
+without a stamp are kept too. Version counts of each apply are observed in the
+write itself and stored together with the live-match flag (the file trigger
+replaces the 5-minute poll: a batch only runs when files arrive).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -26,7 +30,10 @@ from pyspark.sql.streaming import StreamingQuery
 from scoreline.operators import quality, scd2, silver, standings
 from scoreline.schemas import STANDINGS_COMPARE, STANDINGS_KEYS
 from scoreline.sources.events import NTZ_FORMAT
-from scoreline.sources.io import Tables, _snapshots, snapshot_id
+from scoreline.sources.io import Tables, snapshot_id
+
+BRONZE, SILVER, STANDINGS, METRICS = "stream_bronze_matches", "stream_silver_matches", "stream_standings", "stream_metrics"
+EPOCH = dt.datetime(1970, 1, 1)
 
 
 def match_stream(spark: SparkSession, in_dir: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -36,37 +43,33 @@ def match_stream(spark: SparkSession, in_dir: str, schema: T.StructType, max_fil
     return r.json(in_dir)
 
 
-def _previous(tables: Tables, name: str, batch_id: int) -> str | None:
-    before = [s for s in _snapshots(tables.spark, tables.path(name)) if s < snapshot_id(batch_id)]
-    return before[-1] if before else None
-
-
 def refresh(tables: Tables, tiebreak: Sequence[str] = ()):
     """The per-micro-batch function for ``foreachBatch``."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = tables.spark
-        stamp = batch.agg(F.max("ingested_at").alias("t")).first()["t"]  # one-row control value
-        if stamp is None:
-            return
-        tables.append(batch, "bronze_matches")
-        new = batch
-        prev_silver = _previous(tables, "silver_matches", batch_id)
-        if prev_silver is not None:
-            old = tables.read("silver_matches", prev_silver).select(*batch.columns)
-            new = old.unionByName(batch)
-        matches = silver.matches(new, list(tiebreak))
-        tables.overwrite(matches, "silver_matches", batch_id)
-        stored = tables.read("silver_matches", snapshot_id(batch_id))
+        names = batch.columns
+        batch = batch.persist()  # parsed once
+        try:
+            if tables.append_batch(batch, BRONZE, batch_id) == 0:
+                return
+            prev = tables.snapshot_before(SILVER, batch_id)
+            new = batch
+            if prev is not None:
+                new = tables.read(SILVER, prev).select(*names, "meeting").unionByName(batch, allowMissingColumns=True)
+            tables.overwrite(silver.matches(new, list(tiebreak)), SILVER, batch_id)
+        finally:
+            batch.unpersist()
+        stored = tables.read(SILVER, snapshot_id(batch_id))
+        stamp = stored.agg(F.max("ingested_at").alias("t")).first()["t"] or EPOCH  # one-row control value
         incoming = standings.compute(stored, materialize=True).select(*standings.STANDINGS_COLUMNS)
 
         shape = scd2.initial(incoming, stamp).schema
-        prev = _previous(tables, "standings_scd2", batch_id)
+        prev = tables.snapshot_before(STANDINGS, batch_id)
         if prev is None:
             merged = scd2.initial(incoming, stamp).withColumn("change", F.lit("inserted"))
         else:
             # only the open versions take part; closed history stays where it was written
-            existing = scd2.current(tables.read("standings_scd2", prev, schema=shape))
+            existing = scd2.current(tables.read(STANDINGS, prev, schema=shape))
             merged = scd2.merge(existing, incoming, STANDINGS_KEYS, STANDINGS_COMPARE, stamp)
         obs = Observation(f"scd2_{batch_id}")
         c = F.col("change")
@@ -77,10 +80,9 @@ def refresh(tables: Tables, tiebreak: Sequence[str] = ()):
             F.count_if(c == "inserted").alias("inserted"),
             F.count(F.lit(1)).alias("total"),
         )
-        tables.overwrite(observed.drop("change"), "standings_scd2", batch_id, partition_by=["is_current"])
+        tables.overwrite(observed.drop("change"), STANDINGS, batch_id, partition_by=["is_current"])
         live = quality.is_live(stored).withColumns({k: F.lit(v) for k, v in obs.get.items()})
-        tables.append(live.withColumn("batch_id", F.lit(batch_id).cast("long")), "standings_metrics")
-        spark.catalog.clearCache()
+        tables.append_batch(live, METRICS, batch_id)
 
     return run
 
@@ -107,9 +109,9 @@ def run_standings(
 
 
 def current(tables: Tables) -> DataFrame:
-    return scd2.current(tables.read("standings_scd2")).select(*standings.STANDINGS_COLUMNS)
+    return scd2.current(tables.read(STANDINGS)).select(*standings.STANDINGS_COLUMNS)
 
 
 def history(tables: Tables) -> DataFrame:
     """Every version: closed ones from all runs, open ones from the latest."""
-    return tables.read_versions("standings_scd2")
+    return tables.read_versions(STANDINGS)

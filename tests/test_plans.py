@@ -27,6 +27,10 @@ def test_rank_window_runs_over_the_score_histogram(spark, capsys, sf_small):
     p = plan(standings.compute(derive.matches(spark, sf_small)), capsys, "simple")
     window_lines = [line for line in p.splitlines() if "Window [" in line]
     assert window_lines and all("sum(_n" in line for line in window_lines)
+    # over full tuples the windows are those of (group, points); by group alone only points are ordered
+    for line in window_lines:
+        keys = line.split("], [")[1:]
+        assert "points" in keys[0] or (keys[1].count("DESC") == 1 and "points" in keys[1]), line
     # the per-team aggregate is partial + final (map-side combine)
     assert "partial_count" in p
 
@@ -113,3 +117,15 @@ def test_scd2_history_is_read_by_partition(spark, capsys):
     assert got == [("x", 0, False), ("x", 3, True), ("y", 0, True)]
     p = plan(versions, capsys)
     assert "PartitionFilters: [" in p and "is_current" in p.split("PartitionFilters: [")[1].splitlines()[0]
+
+
+def test_newest_batch_reads_only_its_folder(spark, capsys):
+    from scoreline.sources import landing
+
+    path = scratch_path(spark, "t-newest")
+    teams = spark.createDataFrame([("A", "G1")], "name string, group string")
+    for day in ("2026-06-01", "2026-06-02"):
+        landing.write_payload(path, f"{day}T10:00:00+00:00", "snapshot", teams=teams)
+    p = plan(landing.read_latest(spark, path), capsys)
+    assert "ingest_date=2026-06-02" in p and "ingest_date=2026-06-01" not in p
+    assert landing.read_latest(spark, path).count() == 1

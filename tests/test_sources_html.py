@@ -13,8 +13,10 @@ from scoreline.sources.registry import get_source, names
 
 
 def test_lenient_int_matches_non_ansi_cast(spark):
-    df = spark.createDataFrame([("5",), ("3.7",), ("5a",), (None,), ("-2",), ("2.0",)], "s string")
-    assert [r[0] for r in df.select(lenient_int("s")).collect()] == [5, 3, None, None, -2, 2]
+    given = ["5", "3.7", "5a", None, "-2", "2.0", "5d", "5f", "1e3", " 4 ", "", "99999999999", "+7", "1.2.3"]
+    df = spark.createDataFrame([(s,) for s in given], "s string")
+    want = [5, 3, None, None, -2, 2, None, None, None, 4, None, None, 7, None]
+    assert [r[0] for r in df.select(lenient_int("s")).collect()] == want
 
 
 def test_marker_strip(spark):
@@ -44,6 +46,36 @@ def test_landing_roundtrip_latest_and_explode(spark):
         landing.read_landing(spark, path + "-missing")
 
 
+def test_documents_are_bounded_also_for_equal_records(spark):
+    path = scratch_path(spark, "t-equal")
+    rows = spark.range(12_000).select(F.lit("A").alias("name"), F.lit("G").alias("group"))
+    landing.write_payload(path, "2026-06-01T00:00:00+00:00", "snapshot", rows_per_doc=500, teams=rows)
+    sizes = [r[0] for r in landing.read_landing(spark, path).select(F.size("teams")).collect()]
+    assert sum(sizes) == 12_000 and max(sizes) <= 500
+
+
+def test_real_html_text_nesting_and_repeated_pages(spark):
+    page = (
+        '<table class="wikitable"><tr><th>No</th><th>Team</th></tr><tr><td>1</td><td>&nbsp;Chile</td></tr>'
+        "<tr><td>2</td><td><a>Mexico</a>&#160;<span>(H)</span></td></tr></table>"
+    )
+    outer = (
+        '<table class="wikitable"><tr><td>x</td></tr><tr><td><table><tr><th>Venue</th></tr></table></td><td>y</td></tr></table>'
+    )
+    box = '<table class="footballbox"><tr><th class="fhome">{}</th><th class="fscore">2–1</th><th class="faway">{}</th></tr></table>'
+    pages = spark.createDataFrame(
+        [(1, page), (2, outer), (3, box.format("A", "B")), (3, box.format("C", "D"))], "page_id long, html string"
+    )
+    rows = html_tables.extract(pages)
+    assert sorted(r["name"] for r in html_tables.team_names(rows).collect()) == ["Chile", "Mexico"]
+    # the header of a nested table counts for the enclosing one, and its rows are rows of it
+    assert [(r["name"], r["city"]) for r in html_tables.stadiums(rows).collect()] == [("Venue", "Venue")]
+    nested = [(r["table_no"], r["row_no"], r["cells"]) for r in rows.filter("page_id = 2").collect()]
+    assert sorted(nested) == [(0, 0, ["x"]), (0, 1, ["Venue", "Venue", "y"]), (0, 2, ["Venue"]), (1, 0, ["Venue"])]
+    boxes = html_tables.scored_matches(rows).collect()
+    assert sorted((r["home_team"], r["home_score"], r["status"]) for r in boxes) == [("A", "2", "finished"), ("C", "2", "finished")]
+
+
 def test_group_map_flatten(spark):
     path = scratch_path(spark, "t-groupmap")
     teams = spark.createDataFrame([("A", "G1"), ("B", "G1"), ("C", "G2")], "name string, group string")
@@ -126,7 +158,8 @@ def test_html_parser_rows():
     nested = [r for r in rows if r[0] == 3]
     assert nested == [(3, None, 0, ["in"], ["td"], [None])]
     outer = [r for r in rows if r[0] == 2]
-    assert outer[-1][3] == ["nestedin", "c"]  # enclosing cell sees nested text
+    # the enclosing cell sees nested text, its row the nested cells, its table the nested row
+    assert [r[3] for r in sorted(outer, key=lambda r: r[2])][-2:] == [["nestedin", "in", "c"], ["in"]]
     assert html_tables.parse_tables(None) == [] and html_tables.parse_tables("<p>no tables</p>") == []
 
 
@@ -136,14 +169,14 @@ def test_html_readers(spark):
     teams = sorted((r["name"], r["source_table"]) for r in html_tables.team_names(rows).collect())
     assert teams == [("Spain", "group_stage"), ("Uruguay & Co", "group_stage")]
     venues = sorted((r["name"], r["city"]) for r in html_tables.stadiums(rows).collect())
-    assert venues == [("Azteca", "Mexico City")] * 2 + [("nestedin", "c")] * 2
+    assert venues == [("Azteca", "Mexico City")] * 2 + [("nestedin", "in")] * 2  # as a search below the row finds them
     boxes = [tuple(r) for r in html_tables.match_boxes(rows).collect()]
     assert boxes == [("Spain", "Uruguay", "2–0")] * 2
 
 
 def test_html_source_registry(spark):
     pages = spark.createDataFrame([(1, PAGE)], "page_id long, html string")
-    src = get_source("html")(spark, pages)
+    src = get_source("html")(spark, "", pages)
     assert set(src) == {"teams", "stadiums", "matches"}
     assert src["matches"].count() == 1
     assert src["teams"].filter(F.col("name") == "Spain").count() == 1
