@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from ..session import scratch_path
@@ -51,11 +52,11 @@ def partitions(spark: SparkSession) -> int:
 
 def map_texts(df: DataFrame, schema: StructType | str, each: Callable[[list, list], dict]) -> DataFrame:
     """Apply ``each(ids, texts) -> columns`` to (id, text) rows, a few MB of text at a time."""
+    types = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in sliced(batches):
-            out = each(ids, texts)
-            yield pa.RecordBatch.from_pydict(out)
+            yield pa.RecordBatch.from_pydict(each(ids, texts), schema=types)
 
     return df.select("id", "text").mapInArrow(run, schema)
 
