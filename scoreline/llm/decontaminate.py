@@ -102,7 +102,7 @@ def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str, size: int)
         pick = pick.when(F.col("s") == s, shingles(F.col("tokens"), s))
     rows = materialize(rows.select("item", "s", pick.alias("hashes")).withColumn("m", F.size("hashes")), "benchmark-items")
     n = rows.count()
-    sizes = sorted(r["s"] for r in rows.select("s").distinct().collect())  # at most ``size`` numbers
+    sizes = sorted(r["s"] for r in rows.select("s").distinct().collect()) or [size]  # at most ``size`` numbers
     places = rows.select("item", "s", "m", F.posexplode("hashes").alias("q", "h"))
     # as many places as there are lengths and offsets in them, however many items share a shingle
     known = places.groupBy("h").agg(
