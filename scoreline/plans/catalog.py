@@ -88,7 +88,12 @@ def _standings(spark, sf_dir, cutoff=None):
 
 
 def _scd2_inputs(spark, sf_dir):
-    existing = scd2.initial(_standings(spark, sf_dir, CUT1), T1)
+    """The open versions as the earlier run stored them, and the current standings."""
+
+    def build(root):
+        Tables(spark, root).overwrite(scd2.initial(_standings(spark, sf_dir, CUT1), T1), "standings", 1)
+
+    existing = Tables(spark, _once(spark, sf_dir, "standings_open", build)).read("standings")
     return existing, _standings(spark, sf_dir)
 
 
@@ -509,28 +514,39 @@ def io_rerun(spark, sf_dir):
 # --- HTML scraping job -------------------------------------------------------------
 
 
-def _rows_of(spark, sf_dir, rendered):
-    return html_tables.extract(pages.with_supplied(spark, sf_dir, rendered))
+def _pages(spark, sf_dir, kind):
+    """Rendered pages with the supplied ones, stored once: the queries below time the scraping."""
+    render = {
+        "team": lambda: pages.team_pages(spark, sf_dir),
+        "stadium": lambda: pages.stadium_pages(spark, sf_dir),
+        "match": lambda: pages.match_pages(_silver(spark, sf_dir)),
+    }[kind]
+    path = _once(spark, sf_dir, f"pages_{kind}", lambda p: pages.with_supplied(spark, sf_dir, render()).write.parquet(p))
+    return spark.read.parquet(path)
+
+
+def _rows_of(spark, sf_dir, kind):
+    return html_tables.extract(_pages(spark, sf_dir, kind))
 
 
 @query
 def html_table_rows(spark, sf_dir):
-    return html_tables.table_rows(_rows_of(spark, sf_dir, pages.team_pages(spark, sf_dir)))
+    return html_tables.table_rows(_rows_of(spark, sf_dir, "team"))
 
 
 @query
 def html_team_names(spark, sf_dir):
-    return html_tables.team_names(_rows_of(spark, sf_dir, pages.team_pages(spark, sf_dir)))
+    return html_tables.team_names(_rows_of(spark, sf_dir, "team"))
 
 
 @query
 def html_stadiums(spark, sf_dir):
-    return html_tables.stadiums(_rows_of(spark, sf_dir, pages.stadium_pages(spark, sf_dir)))
+    return html_tables.stadiums(_rows_of(spark, sf_dir, "stadium"))
 
 
 @query
 def html_match_boxes(spark, sf_dir):
-    return html_tables.match_boxes(_rows_of(spark, sf_dir, pages.match_pages(_silver(spark, sf_dir))))
+    return html_tables.match_boxes(_rows_of(spark, sf_dir, "match"))
 
 
 @query
@@ -538,8 +554,7 @@ def pipeline_html_standings(spark, sf_dir):
     """Pages -> scraped matches, scores split -> landing -> silver -> standings."""
 
     def build(root):
-        rendered = pages.with_supplied(spark, sf_dir, pages.match_pages(_silver(spark, sf_dir)))
-        entities = get_source("html")(spark, sf_dir, rendered)
+        entities = get_source("html")(spark, sf_dir, _pages(spark, sf_dir, "match"))
         landing.write_payload(f"{root}/landing", BATCH_B[0], "html", matches=entities["matches"])
         rows = landing.explode_entity(landing.read_latest(spark, f"{root}/landing"), "matches")
         Tables(spark, root).overwrite(silver.matches(rows), "silver_matches", 1)
