@@ -82,7 +82,7 @@ def _events(spark: SparkSession, tables: Tables, events_dir: str, checkpoint: st
     if not tables.exists("bronze_match_events"):
         report.rows["silver_events"] = 0
         return
-    events = silver.events(tables.read("bronze_match_events"))
+    events = silver.events(stream_events.well_formed(tables.read("bronze_match_events")))
     report.rows["silver_events"] = tables.overwrite(events, "silver_events", batch_id)
     stored = tables.read("silver_events", snapshot_id(batch_id))
     report.rows["gold_top_scorers"] = tables.overwrite(gold.top_scorers(stored), "gold_top_scorers", batch_id)

@@ -65,6 +65,10 @@ EVENTS = T.StructType(
     ]
 )
 
+# Event files as they land: a line that is no event is kept as it came.
+CORRUPT = "_corrupt_record"
+EVENTS_LANDED = T.StructType([*EVENTS.fields, T.StructField(CORRUPT, S)])
+
 # Columns whose change opens a new SCD2 version (goal_difference is derived).
 STANDINGS_COMPARE = [
     "played",

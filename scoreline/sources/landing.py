@@ -84,12 +84,12 @@ def write_payload(
 
 
 def read_landing(spark: SparkSession, path: str, multi_line: bool = False, schema: T.StructType = PAYLOAD) -> DataFrame:
-    """Landing documents under ``path``; raises if none exists."""
+    """Landing documents under ``path``; raises if none exists or one can't be parsed."""
     from scoreline.sources.io import path_exists
 
     if not path_exists(spark, path):
         raise FileNotFoundError(f"No landing payload found at {path}")
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line).json(path)
 
 
 def read_latest(spark: SparkSession, path: str, schema: T.StructType = PAYLOAD) -> DataFrame:
@@ -103,7 +103,7 @@ def read_latest(spark: SparkSession, path: str, schema: T.StructType = PAYLOAD)
     days = partition_values(spark, path, "ingest_date")
     if not days:
         return latest_batch(read_landing(spark, path, schema=schema))
-    day = spark.read.schema(schema).option("basePath", path).json(f"{path}/ingest_date={days[-1]}")
+    day = spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", path).json(f"{path}/ingest_date={days[-1]}")
     return latest_batch(day.drop("ingest_date"))
 
 

@@ -3,7 +3,8 @@
 * ``land_events``: file-source stream of JSON event files into a bronze
   parquet table; the checkpoint records which files were taken, so each file
   lands once (a sweep that re-reads every file is what the batch dedup had to
-  clean up after).
+  clean up after). A line that is no event is kept in ``_corrupt_record``;
+  ``rejected`` reads those, everything else leaves them out.
 * ``silver_events``: one batch folder per micro-batch with the event ids that
   silver hasn't yet, the first delivery of each. A micro-batch meets the ids
   stored before it in an anti join, so a delivery counts as a repeat only if
@@ -24,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from scoreline.operators import gold
 from scoreline.operators.dedup import keep_first
-from scoreline.schemas import EVENTS
+from scoreline.schemas import CORRUPT, EVENTS, EVENTS_LANDED
 from scoreline.sources.events import NTZ_FORMAT
 from scoreline.sources.io import batch_ids, path_exists, read_batches, write_batch
 
@@ -39,12 +40,22 @@ GOALS = T.StructType(
 
 
 def event_stream(spark: SparkSession, in_dir: str, max_files: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(EVENTS).option("timestampNTZFormat", NTZ_FORMAT)
+    r = spark.readStream.schema(EVENTS_LANDED).option("timestampNTZFormat", NTZ_FORMAT)
+    r = r.option("columnNameOfCorruptRecord", CORRUPT)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.json(in_dir)
 
 
+def well_formed(landed: DataFrame) -> DataFrame:
+    return landed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def rejected(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """The landed lines that are no events."""
+    return spark.read.schema(EVENTS_LANDED).parquet(bronze_path).filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+
+
 def _run(writer, available_now: bool = True) -> StreamingQuery:
     q = (writer.trigger(availableNow=True) if available_now else writer).start()
     if available_now:
@@ -84,15 +95,15 @@ def silver_events(
 ) -> StreamingQuery:
     """Silver: the bronze table as a stream, each event once; ``then()`` runs after each micro-batch."""
     if not path_exists(spark, bronze_path):  # nothing landed yet: an empty table that the stream can start on
-        spark.createDataFrame([], EVENTS).write.mode("ignore").parquet(bronze_path)
-    r = spark.readStream.schema(EVENTS)
+        spark.createDataFrame([], EVENTS_LANDED).write.mode("ignore").parquet(bronze_path)
+    r = spark.readStream.schema(EVENTS_LANDED)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         before = [i for i in batch_ids(batch.sparkSession, out_path) if i < batch_id]
         stored = read_batches(batch.sparkSession, out_path, EVENTS, before)
-        write_batch(new_events(batch, stored), out_path, batch_id)
+        write_batch(new_events(well_formed(batch), stored), out_path, batch_id)
         if then is not None:
             then()
 

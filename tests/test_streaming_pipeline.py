@@ -3,6 +3,7 @@ run, and the driver contract."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -124,6 +125,19 @@ def test_late_first_delivery_and_late_repeat(spark):
     assert log == {("p1", 1), ("p2", 1), ("p9", 1)}
 
 
+def test_malformed_lines_are_kept_apart(spark):
+    root = scratch_path(spark, "t-corrupt")
+    events_src.write_events(spark.createDataFrame(EV[:1], EVENTS), f"{root}/in")
+    spark.createDataFrame([("{not json",)], "value string").write.mode("append").text(f"{root}/in")
+    stream_events.land_events(spark, f"{root}/in", f"{root}/bronze", f"{root}/ck/l")
+    stream_events.silver_events(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck/s")
+    assert [r["event_id"] for r in stream_events.read_silver(spark, f"{root}/silver").collect()] == ["e1"]
+    assert [r[0] for r in stream_events.rejected(spark, f"{root}/bronze").collect()] == ["{not json"]
+    spark.createDataFrame([("{not json",)], "value string").write.text(f"{root}/landing")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.read_landing(spark, f"{root}/landing").collect()
+
+
 def test_events_stream_starts_before_anything_has_landed(spark):
     root = scratch_path(spark, "t-empty-stream")
     stream_events.silver_events(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck")
