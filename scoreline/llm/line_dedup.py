@@ -126,8 +126,10 @@ def lines_to_drop(texts: DataFrame, min_chars: int) -> DataFrame:
     lines = lines_of(texts).filter(F.trim("line") != "")
     hashed = lines.select("id", "th", "n", F.xxhash64("line").alias("h"))
     firsts = materialize(hashed.groupBy("h").agg(F.min(F.struct("id", "th", "n")).alias("first")), "first-lines")
-    near = materialize(near_lines(lines, firsts, min_chars).withColumn("near", F.lit(True)), "near-lines")
-    decided = hashed.join(firsts.join(near, "h", "left"), "h")
+    near = near_lines(lines, firsts, min_chars).withColumn("near", F.lit(True))
+    # stored, so that both sides of the next join are plain shuffles and a very common line can be split
+    marked = materialize(firsts.join(near, "h", "left"), "marked-lines")
+    decided = hashed.join(marked, "h")
     is_first = F.struct("id", "th", "n").eqNullSafe(F.col("first"))
     return (
         decided.filter(~is_first | F.col("near"))
@@ -140,7 +142,10 @@ def remaining(text: Column, gone: Column) -> Column:
     """A text without the lines whose numbers are in ``gone`` (null: none)."""
     parts = F.split(text, "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
-    return F.when(gone.isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n"))
+    # the lines are bound to a variable, so that the text isn't split again for each number
+    both = F.array(F.struct(parts.alias("parts"), stay.alias("stay")))
+    lines = F.transform(both, lambda b: F.transform(b["stay"], lambda i: F.get(b["parts"], i)))
+    return F.when(gone.isNull(), text).otherwise(F.array_join(F.get(lines, F.lit(0)), "\n"))
 
 
 def dedup_lines(df: DataFrame, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
