@@ -56,11 +56,11 @@ def found(text: Column, pattern: str, hint: Column) -> Column:
     """Matches of a pattern with the text before and after each, in order; none where ``hint`` is false."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    each = F.transform(
-        hits, lambda h, i: F.struct(h.alias("match"), F.get(gaps, i).alias("before"), F.get(gaps, i + 1).alias("after"))
-    )
-    none = F.array().cast("array<struct<match:string,before:string,after:string>>")
-    return F.when(hint & (F.size(hits) > 0), each).otherwise(none)
+    n = F.size(hits)
+    # zipped, not looked up by number in a lambda, which would match the text again for each number
+    each = F.arrays_zip(hits, F.slice(gaps, F.lit(1), n), F.slice(gaps, F.lit(2), n))
+    kind = "array<struct<match:string,before:string,after:string>>"
+    return F.when(hint & (n > 0), each.cast(kind)).otherwise(F.array().cast(kind))
 
 
 def placed(texts: DataFrame, kinds: list[tuple[str, str, Column]], reach: int) -> DataFrame:
