@@ -196,6 +196,24 @@ def test_leaks_equal_brute_force(spark):
     assert decontaminate.find_leaks(docs(spark, []), items).count() == 0
 
 
+def test_leaks_just_above_the_threshold(spark):
+    rng = random.Random(12)
+    bench, rows, similar = [], [], {}
+    for i in range(200):
+        m = (48, 50, 52, 54)[i % 4]  # even numbers of shingles of one weight: votes of none
+        item = [f"x{rng.getrandbits(40)}" for _ in range(m + 4)]
+        bench.append((i, " ".join(item)))
+        item[rng.randrange(8, m - 8)] = f"y{i}"  # touches five shingles
+        rows.append((i, " ".join([f"z{rng.getrandbits(40)}" for _ in range(6)] + item)))
+        own, new = 1 + math.log(201 / 2), 1 + math.log(201)
+        similar[i, i] = (m - 5) * own / (m * own + 5 * new)
+    assert 0.8 <= min(similar.values()) and max(similar.values()) < 0.823
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r["id"], r["item"]): r["similarity"] for r in decontaminate.find_leaks(docs(spark, rows), items).collect()}
+    assert set(got) == set(similar)
+    assert all(abs(got[k] - s) < 1e-6 for k, s in similar.items())
+
+
 def test_blocks_list_every_hash_within_the_radius(spark):
     rng = random.Random(6)
     pairs = []
