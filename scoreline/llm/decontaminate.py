@@ -99,27 +99,34 @@ def total(weighted: Column) -> Column:
     return F.aggregate(weighted, F.lit(0.0), lambda s, x: s + x["w"])
 
 
-def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> tuple[DataFrame, DataFrame, int, list[int]]:
-    """Items (item, s, m, win), their shingles (h, df, places), the number of items and the shingle sizes in use."""
-    rows = narrow(benchmark, id_col, text_col).select(F.col("id").alias("item"), words(F.col("text")).alias("tokens"))
-    rows = rows.filter(F.size("tokens") > 0).distinct()
-    rows = rows.withColumn("s", F.least(F.size("tokens"), F.lit(size)))
+def benchmark_items(
+    benchmark: DataFrame, id_col: str, text_col: str, size: int
+) -> tuple[DataFrame, DataFrame, DataFrame, int, list[int]]:
+    """Items (item, s, m, win), their shingles (h, df, places), ids (item, item_id), the number of items and the shingle sizes in use.
+
+    Inside, ``item`` is the hash of an item's words: ids may be null or have several texts.
+    """
+    rows = narrow(benchmark, id_col, text_col).select(F.col("id").alias("item_id"), words(F.col("text")).alias("tokens"))
+    rows = rows.filter(F.size("tokens") > 0).withColumn("item", F.xxhash64("tokens"))
+    ids = materialize(rows.select("item", "item_id").distinct(), "benchmark-ids")
+    n = ids.count()
+    rows = rows.dropDuplicates(["item"]).withColumn("s", F.least(F.size("tokens"), F.lit(size)))
     pick = F.when(F.col("s") == 1, shingles(F.col("tokens"), 1))
     for s in range(2, size + 1):
         pick = pick.when(F.col("s") == s, shingles(F.col("tokens"), s))
-    rows = materialize(rows.select("item", "s", pick.alias("hashes")).withColumn("m", F.size("hashes")), "benchmark-items")
-    n = rows.count()
+    rows = rows.select("item", "s", pick.alias("hashes")).withColumn("m", F.size("hashes"))
+    rows = materialize(rows.join(ids.groupBy("item").agg(F.count("*").alias("ids")), "item"), "benchmark-items")
     sizes = sorted(r["s"] for r in rows.select("s").distinct().collect()) or [size]  # at most ``size`` numbers
-    places = rows.select("item", "s", "m", F.posexplode("hashes").alias("q", "h"))
+    places = rows.select("item", "s", "m", "ids", F.posexplode("hashes").alias("q", "h"))
+    # an item counts once for each of its ids
+    df = places.select("h", "item", "ids").distinct().groupBy("h").agg(F.sum("ids").alias("df"))
     # as many places as there are lengths and offsets in them, however many items share a shingle
-    known = places.groupBy("h").agg(
-        F.count_distinct("item").alias("df"), F.collect_set(F.struct("s", "m", "q")).alias("places")
-    )
-    known = materialize(known, "benchmark-shingles")
+    known = places.groupBy("h").agg(F.collect_set(F.struct("s", "m", "q")).alias("places"))
+    known = materialize(df.join(known, "h"), "benchmark-shingles")
     weights = known.select("h", weight(F.col("df"), n).alias("w"))
     win = F.transform(F.array_sort(F.collect_list(F.struct("q", "h", "w"))), lambda x: F.struct(x["h"].alias("h"), x["w"].alias("w")))
     items = places.join(weights, "h").groupBy("item", "s", "m").agg(win.alias("win"))
-    return items, known, n, sizes
+    return items, known, ids, n, sizes
 
 
 def laid(texts: DataFrame, known: DataFrame, items: int, sizes: list[int], threshold: float) -> DataFrame:
@@ -162,6 +169,9 @@ def find_leaks(
 ) -> DataFrame:
     """(id, th, item, similarity, word_start, n_words): where a text holds what is nearly a benchmark item.
 
+    ``item`` is the item's id. An id may be null or have several texts: each is
+    an item, and a text's best match of those of one id (or of none) is given.
+
     A window as long as the item matches if the weights of the shingles that
     both have are at least ``threshold`` of the weights of those that either
     has. Shingles are ``size`` lower-cased words, all words for shorter items,
@@ -179,8 +189,26 @@ def find_leaks(
     such items differed in more than 23 (up to 3.4% in more than 17). Equal windows
     are hashed and tested once, however many texts have them.
     """
+    found, ids = matches(df, benchmark, threshold, size, radius, id_col, text_col, item_col, item_text_col)
+    best = F.max(F.struct("similarity", (-F.col("word_start")).alias("before"), "n_words"))
+    named = found.join(ids, "item").groupBy("id", "th", F.col("item_id").alias("item")).agg(best.alias("best"))
+    return named.select("id", "th", "item", "best.similarity", (-F.col("best.before")).alias("word_start"), "best.n_words")
+
+
+def matches(
+    df: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = 0.8,
+    size: int = 5,
+    radius: int = 23,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> tuple[DataFrame, DataFrame]:
+    """What `find_leaks` gives, by the hash of the item's words in place of its id, and the ids of each (item, item_id)."""
     texts = narrow(df, id_col, text_col)
-    items, known, n, sizes = benchmark_items(benchmark, item_col, item_text_col, size)
+    items, known, ids, n, sizes = benchmark_items(benchmark, item_col, item_text_col, size)
     windows = materialize(laid(texts, known, n, sizes, threshold), "benchmark-windows")
     lean = (1 + math.log((n + 1) / 2)) / 2  # half the weight of a shingle of one item
 
@@ -220,14 +248,15 @@ def find_leaks(
     same = materialize(same.select("wh", "s", "m", "item", "similarity"), "benchmark-matches")
     found = cut.select("id", "th", "s", "m", "word_start", "length", "wh").join(same, ["wh", "s", "m"])
     best = F.max(F.struct("similarity", (-F.col("word_start")).alias("before"), (F.col("length") + F.col("s") - 1).alias("n_words")))
-    return found.groupBy("id", "th", "item").agg(best.alias("best")).select(
+    found = found.groupBy("id", "th", "item").agg(best.alias("best")).select(
         "id", "th", "item", "best.similarity", (-F.col("best.before")).alias("word_start"), "best.n_words"
     )
+    return found, ids
 
 
 def drop_leaking(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``df``, with all their columns, whose text holds no benchmark item (see `find_leaks`)."""
-    leaks = find_leaks(df, benchmark, id_col=id_col, text_col=text_col, **how)
+    leaks, _ = matches(df, benchmark, id_col=id_col, text_col=text_col, **how)
     leaks = materialize(leaks.select(F.col("id").alias("lid"), F.col("th").alias("lth")).distinct(), "leaking")
     key, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), key.alias("id"), F.xxhash64(text).alias("th"))

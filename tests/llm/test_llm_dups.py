@@ -214,6 +214,18 @@ def test_leaks_just_above_the_threshold(spark):
     assert all(abs(got[k] - s) < 1e-6 for k, s in similar.items())
 
 
+def test_items_of_one_id_or_none(spark):
+    rng = random.Random(13)
+    text = [" ".join(rng.choice(WORDS) for _ in range(20)) for _ in range(5)]
+    # two texts of one id and of one length, null ids with texts, one text under two ids
+    bench = [(1, text[0]), (1, text[1]), (None, text[2]), (None, text[3]), (7, text[4]), (8, text[4])]
+    rows = [(i, f"before {t} after") for i, t in enumerate(text)] + [(9, "nothing of these")]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = Counter((r["id"], r["item"]) for r in decontaminate.find_leaks(docs(spark, rows), items).collect())
+    assert got == Counter([(0, 1), (1, 1), (2, None), (3, None), (4, 7), (4, 8)])
+    assert [r["doc_id"] for r in decontaminate.drop_leaking(docs(spark, rows), items).collect()] == [9]
+
+
 def test_blocks_list_every_hash_within_the_radius(spark):
     rng = random.Random(6)
     pairs = []
