@@ -264,7 +264,13 @@ def grouped(texts: DataFrame, percent: int, size: int, block: int) -> tuple[Data
     classes = materialize(
         rows.filter("n_shingles > 0")
         .groupBy("cid")
-        .agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch"), F.first("buckets").alias("buckets")),
+        .agg(
+            # null ids last; the text's hash tells which row it is, as the id may be null or have several texts
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("least"),
+            F.first("sketch").alias("sketch"),
+            F.first("buckets").alias("buckets"),
+        )
+        .select("cid", F.col("least.id").alias("rep"), F.col("least.th").alias("th"), "sketch", "buckets"),
         "classes",
     )
     component = classes_linked(texts, classes, percent, size, block)
@@ -343,8 +349,10 @@ def classes_linked(texts: DataFrame, classes: DataFrame, percent: int, size: int
 
     # full sets of the classes that have a proposal
     ends = edges.selectExpr("a AS cid").unionByName(edges.selectExpr("b AS cid")).distinct()
-    wanted = materialize(classes.join(ends, "cid").select("cid", F.col("rep").alias("id")), "proposed")
-    some = texts.join(broadcast_if_small(wanted.select("id").distinct(), 2_000_000), "id", "left_semi")
+    wanted = materialize(classes.join(ends, "cid").select("cid", F.col("rep").alias("wid"), F.col("th").alias("wth")), "proposed")
+    handle = broadcast_if_small(wanted.select("wid", "wth"), 2_000_000)
+    own = F.col("id").eqNullSafe(F.col("wid")) & (F.xxhash64("text") == F.col("wth"))
+    some = texts.join(handle, own, "left_semi")
     sets = materialize(
         shingle_rows(some, size).dropDuplicates(["cid"]).join(wanted.select("cid"), "cid", "left_semi"), "full-sets"
     )

@@ -86,6 +86,21 @@ def test_near_duplicate_edge_rows(spark):
     assert near_dup.drop_near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_near_copies_with_null_ids(spark):
+    rng = random.Random(14)
+    base = [f"v{i}" for i in range(60)]
+    alter = lambda *at: " ".join(f"q{i}" if i in at else w for i, w in enumerate(base))
+    other = [rng.choice(WORDS) for _ in range(60)]
+    # 1 and 2 are linked by null ids only; two near copies without any id; one id of two texts
+    rows = [(1, alter(0, 1)), (None, alter(0)), (None, alter(59)), (2, alter(58, 59)), (2, "quite another text of id two")]
+    rows += [(None, " ".join(other)), (None, " ".join([*other[:-1], "end"]))]
+    assert sorted(map(len, linked_components(rows, 92))) == [1, 2, 4]
+    got = Counter((r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(docs(spark, rows), percent=92).collect())
+    assert got == Counter({(1, 1, True): 1, (None, 1, False): 2, (2, 1, False): 1, (2, 2, True): 1, (None, None, True): 2})
+    kept = near_dup.drop_near_duplicates(docs(spark, rows), percent=92).collect()
+    assert Counter(r["doc_id"] for r in kept) == Counter({1: 1, 2: 1, None: 1})
+
+
 def test_text_hash_is_sparks(spark):
     rows = docs(spark, [(1, None), (2, ""), (3, "é" * 100)]).select(F.col("doc_id").alias("id"), "text")
     own = {r["id"]: r["th"] for r in near_dup.shingle_classes(rows, 5).collect()}
