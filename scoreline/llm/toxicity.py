@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, narrow
+from .common import map_texts, materialize, narrow
 
 EDGES = b".,;:!?()[]{}\"'"
 
@@ -57,7 +57,11 @@ def joined(words: list[bytes], size: int) -> bytes:
 
 
 class Classifier:
-    """Dictionaries and the calibration of their gains, from texts and labels (1: toxic)."""
+    """Dictionaries and the calibration of their gains, from texts and labels (1: toxic).
+
+    ``counts`` is how many there are of each label where the texts were drawn,
+    if other than here: scores mean the share of toxic texts there.
+    """
 
     PARAMETERS = {
         "window_log": 17,
@@ -72,11 +76,15 @@ class Classifier:
         "write_dict_id": False,
     }
 
-    def __init__(self, texts: list[str], toxic: list[int], base: int = 12000, own: int = 4000, window: int = 8):
+    def __init__(
+        self, texts: list[str], toxic: list[int], base: int = 12000, own: int = 4000, window: int = 8, counts: dict | None = None
+    ):
         self.window = window
         self.coefficients: np.ndarray | None = None
-        self.base_rate = float(np.mean(toxic)) if toxic else 0.0
-        if not 0 < self.base_rate < 1:
+        counts = counts or Counter(toxic)
+        n = counts.get(0, 0) + counts.get(1, 0)
+        self.base_rate = counts.get(1, 0) / n if n else 0.0
+        if not 0 < self.base_rate < 1 or len(set(toxic)) < 2:
             return  # nothing to tell apart
         # half of the texts make the dictionaries, the other half calibrates their gains
         half = [zlib.crc32((t or "").encode("utf-8", "surrogatepass")) % 2 for t in texts]
@@ -94,7 +102,10 @@ class Classifier:
         calibrate = pick(1, 1), pick(1, 0)
         x = np.array([self.features(t) for part in calibrate for t in part]).reshape(-1, 8)
         y = np.repeat([1.0, 0.0], [len(calibrate[0]), len(calibrate[1])])
-        self.coefficients = logistic(x, y) if len(calibrate[0]) and len(calibrate[1]) else None
+        if len(calibrate[0]) and len(calibrate[1]):
+            self.coefficients = logistic(x, y)
+            # the labels are cut to a number each: back to the odds they have
+            self.coefficients[0] += math.log(counts[1] / counts[0]) - math.log(len(calibrate[0]) / len(calibrate[1]))
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "both"}
@@ -138,23 +149,25 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 40
 
 def sample(
     df: DataFrame, labels: DataFrame, per_label: int, max_chars: int, held: int, id_col: str, text_col: str, label_col: str
-) -> list[tuple[str, int]]:
-    """At most ``per_label`` distinct training texts of each label, by the hash of the text."""
+) -> tuple[list[tuple[str, int]], dict[int, int]]:
+    """At most ``per_label`` distinct training texts of each label, by the hash of the text, and how many ids each label has."""
     known = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("toxic"))
     # several labels of one row: toxic if any says so
     known = known.filter("toxic IN (0, 1) AND id IS NOT NULL").groupBy("id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(5)) != held)
-    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    texts = narrow(df, id_col, text_col).filter(F.length("text") <= max_chars)
+    # ids that have such a text, each once, whatever the size of the tables
+    met = materialize(known.join(texts.select("id").distinct(), "id", "left_semi"), "labelled")
+    counts = {r["toxic"]: r["count"] for r in met.groupBy("toxic").count().collect()}
     if not counts:
-        return []
+        return [], {}
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2.0 * per_label / n)))])
     # the ids are thinned before they meet the texts, so the join moves a bounded number of texts
-    some = known.filter((F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)) < share[F.col("toxic")])
-    texts = narrow(df, id_col, text_col).filter(F.length("text") <= max_chars)
-    met = texts.join(F.broadcast(some), "id")  # at most 4 x per_label ids, more or less
-    rows = met.groupBy("toxic", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text")).collect()
+    some = met.filter((F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)) < share[F.col("toxic")])
+    drawn = texts.join(F.broadcast(some), "id")  # at most 4 x per_label ids, more or less
+    rows = drawn.groupBy("toxic", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r["toxic"], r["h"]))
-    return [(r["text"], y) for y in (0, 1) for r in [r for r in rows if r["toxic"] == y][:per_label]]
+    return [(r["text"], y) for y in (0, 1) for r in [r for r in rows if r["toxic"] == y][:per_label]], counts
 
 
 def toxicity(
@@ -172,7 +185,9 @@ def toxicity(
 
     The dictionaries and the calibration are fitted on a bounded sample: up to
     ``per_label`` distinct texts of each label, of at most ``max_chars``
-    characters, from rows whose crc32(id) mod 5 is not ``held``. Windows are
+    characters, from rows whose crc32(id) mod 5 is not ``held``. The calibration
+    is corrected to the odds of the labels among all such rows (an id counts
+    once), so a score means the same however many were cut. Windows are
     ``window`` words; all windows of the whole text are compressed. Returns
     ``id_col``, held_out, score (0 to 1) and predicted (1 if score >= 0.5). A
     null or empty text has no window and the score of no gain; without labels
@@ -180,8 +195,8 @@ def toxicity(
     held out; repeated rows give repeated rows. Scoring is one pass without a
     shuffle.
     """
-    rows = sample(df, labels, per_label, max_chars, held, id_col, text_col, label_col)
-    model = df.sparkSession.sparkContext.broadcast(Classifier([t for t, _ in rows], [y for _, y in rows], window=window))
+    rows, counts = sample(df, labels, per_label, max_chars, held, id_col, text_col, label_col)
+    model = df.sparkSession.sparkContext.broadcast(Classifier([t for t, _ in rows], [y for _, y in rows], window=window, counts=counts))
 
     def each(ids: list, texts: list) -> dict:
         scores = [model.value.score(t) for t in texts]

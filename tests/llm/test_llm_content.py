@@ -157,6 +157,17 @@ def test_toxicity_of_held_out_rows(spark):
     assert toxicity.toxicity(docs(spark, []), table).count() == 0
 
 
+def test_toxicity_means_the_same_when_labels_are_cut(spark):
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(2, 7)))
+    rows = [(i, " ".join(word() for _ in range(30))) for i in range(1500)]
+    table = spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i in range(1500)], "doc_id long, quality int, toxic int")
+    # nothing in these texts tells the labels, so scores are the share of the label
+    cut = toxicity.toxicity(docs(spark, rows), table, per_label=100).collect()
+    assert 0.04 < np.mean([r["score"] for r in cut]) < 0.2
+    assert np.mean([r["predicted"] for r in cut]) < 0.05
+
+
 def entropy_bins(t):
     out = []
     for i in range(len(t) - fingerprints.SIZE + 1):
