@@ -3,11 +3,13 @@
 Entities are e-mail addresses, IP addresses, card and phone numbers. How much a
 term reveals of an entity is estimated from the whole corpus: with df the number
 of documents, the information an entity c carries is IC(c) = log2(N / df(c)) and
-a term t tells PMI(c; t) = log2(N df(c, t) / (df(c) df(t))) of it, where df(c, t)
-counts documents that have t close to c. A term whose share PMI / IC reaches a
-disclosure threshold is generalised, one that reaches a higher one is removed,
-wherever it stands. Estimates need evidence: a term must have been met beside
-the entity between different neighbours, so copies of one passage tell nothing.
+a term t tells PMI(c; t) = log2(P(c | t) / P(c)) of it. A term whose share
+PMI / IC reaches a disclosure threshold is generalised, one that reaches a higher
+one is removed, wherever it stands. P(c | t) is estimated from df(c, t) of df(t)
+documents, where df(c, t) counts those that have t close to c, and smoothed: it
+starts as if a few more documents had t, with c as often as anywhere. Equal texts
+are one document, and equal surroundings of an entity count once in df(c, t), so
+copies of a passage add nothing.
 
 Everything is built from DataFrame operations.
 """
@@ -53,30 +55,31 @@ def valid(kind: Column, match: Column) -> Column:
 
 
 def found(text: Column, pattern: str, hint: Column) -> Column:
-    """Matches of a pattern with the text before and after each, in order; none where ``hint`` is false."""
+    """Matches of a pattern with the text since the one before, in order; none where ``hint`` is false."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     n = F.size(hits)
     # zipped, not looked up by number in a lambda, which would match the text again for each number
-    each = F.arrays_zip(hits, F.slice(gaps, F.lit(1), n), F.slice(gaps, F.lit(2), n))
-    kind = "array<struct<match:string,before:string,after:string>>"
+    each = F.arrays_zip(hits, F.slice(gaps, F.lit(1), n))
+    kind = "array<struct<match:string,before:string>>"
     return F.when(hint & (n > 0), each.cast(kind)).otherwise(F.array().cast(kind))
 
 
-def placed(texts: DataFrame, kinds: list[tuple[str, str, Column]], reach: int) -> DataFrame:
-    """(id, th, kind, k, start, end, match, left, right) of the matches of each (kind, pattern, hint).
+def placed(texts: DataFrame, kinds: list[tuple[str, str, Column]], count: bool = False) -> DataFrame:
+    """(id, th, kind, k, start, end, match) of the matches of each (kind, pattern, hint).
 
-    ``start`` and ``end`` (exclusive) are code points. ``left`` and ``right`` are
-    up to ``reach`` characters around the match.
+    ``start`` and ``end`` (exclusive) are code points. With ``count``, also how
+    many words of the text stand before the match, and inside it.
     """
+    amount = lambda c: F.size(F.regexp_extract_all(c, F.lit(WORD), F.lit(0)))
+
     def tagged(kind: str):
         return lambda m, i: F.struct(
             F.lit(kind).alias("kind"),
             i.alias("k"),
             m["match"].alias("match"),
             F.length(m["before"]).alias("gap"),
-            F.right(m["before"], F.lit(reach)).alias("left"),
-            F.left(m["after"], F.lit(reach)).alias("right"),
+            *([amount(m["before"]).alias("passed"), amount(m["match"]).alias("inside")] if count else []),
         )
 
     parts = [F.transform(found(F.col("text"), p, hint), tagged(kind)) for kind, p, hint in kinds]
@@ -84,57 +87,73 @@ def placed(texts: DataFrame, kinds: list[tuple[str, str, Column]], reach: int) -
     rows = rows.dropDuplicates(["id", "th", "kind", "k"])  # rows that repeat id and text
     upto = Window.partitionBy("id", "th", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.length("match")).over(upto)
-    return rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("match")).drop("gap")
+    rows = rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("match"))
+    if count:
+        rows = rows.withColumn("before", F.sum(F.col("passed") + F.col("inside")).over(upto) - F.col("inside"))
+    return rows.drop("gap", "passed")
 
 
-def entities(texts: DataFrame, reach: int = 120) -> DataFrame:
-    """The valid matches of all kinds of entities."""
+def entities(texts: DataFrame) -> DataFrame:
+    """The valid matches of all kinds of entities, with the number of words before and inside each."""
     digit = F.col("text").rlike("[0-9]")
     hints = {"email": F.contains("text", F.lit("@")), "ip": digit, "card": digit, "phone": F.contains("text", F.lit("+"))}
-    rows = placed(texts, [(k, p, hints[k]) for k, p in PATTERNS.items()], reach)
+    rows = placed(texts, [(k, p, hints[k]) for k, p in PATTERNS.items()], count=True)
     return rows.filter(valid(F.col("kind"), F.col("match")))
 
 
-def near_terms(spans: DataFrame, words: int) -> DataFrame:
-    """(entity, document, term, between): the words up to ``words`` away from an entity, and their neighbours."""
+def contexts(texts: DataFrame, spans: DataFrame, words: int) -> DataFrame:
+    """(entity, document, context, terms): the words up to ``words`` away from each entity, whatever else they belong to.
+
+    ``document`` is the hash of the text, ``context`` that of the words.
+    """
     plain = F.when(F.col("kind") == "email", F.lower("match")).otherwise(F.regexp_replace("match", "[^0-9.]", ""))
-    cut = lambda c: F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
-    left, right = cut("left"), cut("right")
-    # one more on either side, as the outermost term's neighbour
-    left = F.slice(left, F.greatest(F.size(left) - words, F.lit(1)), F.lit(words + 1))
-    context = F.concat(F.array(F.lit("")), left, F.array(F.lit("")), F.slice(right, 1, words + 1), F.array(F.lit("")))
-    rows = spans.select(
-        F.xxhash64("kind", plain).alias("entity"), F.xxhash64("id", "th").alias("document"), context.alias("context")
+    each = spans.dropDuplicates(["th", "kind", "k"])  # a text once
+    place = F.struct(
+        F.xxhash64("kind", plain).alias("entity"), F.col("before").cast("int").alias("before"), F.col("inside").cast("int").alias("inside")
     )
-    terms = F.transform(
-        F.sequence(F.lit(1), F.size("context") - 2),
-        lambda i: F.struct(
-            F.get("context", i).alias("term"), F.xxhash64(F.get("context", i - 1), F.get("context", i + 1)).alias("between")
-        ),
-    )
-    return rows.select("entity", "document", F.inline(terms)).filter(F.length("term") > 2)
-
-
-def revealing(texts: DataFrame, spans: DataFrame, generalise: float, remove: float, evidence: int, words: int) -> DataFrame:
+    lists = each.groupBy("th", (F.col("kind") == "email").alias("mail")).agg(F.collect_list(place).alias("places"))
+    side = broadcast_if_small(spans.select("th").distinct(), 1_000_000)
+    some = texts.select(F.xxhash64("text").alias("th"), "text").join(side, "th", "left_semi").dropDuplicates(["th"])
+    # a letter may touch an address, which ends the word; the other kinds hold no letters
+    body = F.when(F.col("mail"), F.regexp_replace("text", PATTERNS["email"], r" $0 ")).otherwise(F.col("text"))
+    # the words are bound to a variable, so that a text is cut once for all its entities
+    both = F.array(F.struct(F.regexp_extract_all(body, F.lit(WORD), F.lit(0)).alias("words"), F.col("places").alias("places")))
+
+    def around(b: Column, p: Column) -> Column:
+        first = F.greatest(p["before"] - words, F.lit(0))
+        left = F.slice(b["words"], first + 1, p["before"] - first)
+        right = F.slice(b["words"], p["before"] + p["inside"] + 1, F.lit(words))
+        lower = lambda c: F.transform(c, lambda w: F.lower(w))
+        return F.struct(p["entity"].alias("entity"), lower(left).alias("left"), lower(right).alias("right"))
+
+    found_here = F.get(F.transform(both, lambda b: F.transform(b["places"], lambda p: around(b, p))), F.lit(0))
+    rows = some.join(lists, "th").select("th", F.inline(found_here))
+    terms = F.filter(F.array_distinct(F.concat("left", "right")), lambda w: F.length(w) > 2)
+    return rows.select("entity", F.col("th").alias("document"), F.xxhash64("left", "right").alias("context"), terms.alias("terms"))
+
+
+def revealing(texts: DataFrame, spans: DataFrame, generalise: float, prior: float, words: int) -> DataFrame:
     """(term, share): the terms whose share of an entity's information reaches ``generalise``."""
-    near = near_terms(spans, words)
-    pairs = near.groupBy("entity", "term").agg(
-        F.count_distinct("document").alias("both"), F.count_distinct("between").alias("between")
+    near = materialize(contexts(texts, spans, words), "pii-contexts")
+    pairs = near.select("entity", "document", "context", F.explode("terms").alias("term")).groupBy("entity", "term").agg(
+        F.least(F.count_distinct("document"), F.count_distinct("context")).alias("both")
     )
-    pairs = materialize(pairs.filter(F.col("between") >= evidence), "pii-pairs")
+    pairs = materialize(pairs, "pii-pairs")
     if pairs.isEmpty():
         return texts.sparkSession.createDataFrame([], "term string, share double")
-    n = texts.count()
+    hashed = texts.filter("text IS NOT NULL").withColumn("th", F.xxhash64("text"))
+    n = hashed.select("th").distinct().count()
     asked = materialize(pairs.select("term").distinct(), "pii-terms")
-    own = texts.select(
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term")
+    own = hashed.select(
+        "th", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term")
     )
-    df_term = own.join(broadcast_if_small(asked, 1_000_000), "term", "left_semi").groupBy("term").agg(F.count("*").alias("of_term"))
+    met = own.join(broadcast_if_small(asked, 1_000_000), "term", "left_semi")
+    df_term = met.groupBy("term").agg(F.count_distinct("th").alias("of_term"))
     df_entity = near.groupBy("entity").agg(F.count_distinct("document").alias("of_entity"))
     known = pairs.join(df_term, "term").join(df_entity, "entity")
-    information = F.log2(F.lit(float(n)) / F.col("of_entity"))
-    told = F.log2(F.lit(float(n)) * F.col("both") / (F.col("of_entity") * F.col("of_term")))
-    share = F.when(information > 0, told / information)
+    chance = F.col("of_entity") / F.lit(float(n))
+    given = (F.col("both") + F.lit(float(prior)) * chance) / (F.col("of_term") + F.lit(float(prior)))
+    share = F.when(chance < 1, F.log2(given / chance) / -F.log2(chance))
     terms = known.withColumn("share", share).groupBy("term").agg(F.max("share").alias("share"))
     return materialize(terms.filter(F.col("share") >= generalise), "pii-revealing")
 
@@ -150,7 +169,7 @@ def term_spans(texts: DataFrame, terms: DataFrame) -> DataFrame:
     marked = texts.withColumn("th", F.xxhash64("text"))
     where_side = broadcast_if_small(where.select(F.col("id").alias("wid"), F.col("th").alias("wth")), 1_000_000)
     hit = marked.join(where_side, marked["id"].eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth")), "left_semi")
-    rows = placed(hit.select("id", "text"), [("term", WORD, F.lit(True))], 0).drop("left", "right")
+    rows = placed(hit.select("id", "text"), [("term", WORD, F.lit(True))])
     return rows.withColumn("term", F.lower("match")).join(terms_side, "term").drop("term")
 
 
@@ -158,7 +177,7 @@ def pii_spans(
     df: DataFrame,
     generalise: float = 0.8,
     remove: float = 0.95,
-    evidence: int = 3,
+    prior: float = 3.0,
     words: int = 8,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -168,13 +187,13 @@ def pii_spans(
     ``th`` is the hash of the text; rows that repeat id and text share their
     spans. Entities are masked; a term is generalised if it tells at least
     ``generalise`` of an entity's information, removed from ``remove`` on;
-    ``evidence`` is the number of different neighbourhoods in which it must have
-    stood within ``words`` words of the entity. Null and empty texts and empty
-    tables have no spans.
+    what stands within ``words`` words of the entity counts, and ``prior`` is the
+    number of documents that the estimate starts with (see above). Null and empty
+    texts and empty tables have no spans.
     """
     texts = narrow(df, id_col, text_col)
     base = materialize(entities(texts), "pii-entities")
-    terms = revealing(texts, base, generalise, remove, evidence, words)
+    terms = revealing(texts, base, generalise, prior, words)
     spans = base.select("id", "th", "kind", "start", "end", F.lit("mask").alias("action"))
     if terms.isEmpty():
         return spans

@@ -83,6 +83,23 @@ def test_terms_that_reveal_an_entity(spark):
     assert clean[0] == text[0] and clean[999] is None
 
 
+def test_terms_of_an_entity_that_stands_once(spark):
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(3))
+    rows = [(i, " ".join(word() for _ in range(30))) for i in range(5000)]
+    long = "Zebulon" * 30
+    rows += [(9000, f"Quillfeather of 12 mail a@b.org, 77 1999, {long} {long} {long} Marwick q.v@example.org")]
+    rows += [(9001, "Quillfeather was here")]
+    got = {r["doc_id"]: r for r in pii.pii_summary(docs(spark, rows)).collect()}
+    shown = {dict(rows)[9000][int(a) : int(b)] for k, a, b in (s.split(":") for s in got[9000]["spans"].split(",")) if k == "term"}
+    # behind numbers, other addresses and long words, as whole words
+    assert {"Marwick", long, "Quillfeather"} <= shown and got[9001]["n_term"] >= 1
+    two = docs(spark, rows[-2:]).selectExpr("doc_id AS id", "text")
+    near = [set(r["terms"]) for r in pii.contexts(two, pii.entities(two), 8).collect()]
+    want = {"quillfeather", "mail", "org", long.lower(), "marwick", "example"}
+    assert len(near) == 2 and all(v <= want for v in near) and want - {"example"} in near
+
+
 def test_overlapping_spans_and_repeated_rows(spark):
     t = "call +1 (386) 555-3733, pay 4111 1111 1111 1111; from 1.2.3.4, me@x.org or +10.20.30.40"  # a phone that is an address too
     rows = [(1, t), (1, t), (None, t), (2, "plain")]
