@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, language, line_dedup, near_dup, packing, pii, shards, tokens, toxicity
+from . import decontaminate, fingerprints, hard_negatives, language, line_dedup, near_dup, ordered_packing, packing, pii, shards
+from . import oracle, spelling, tokens, toxicity
 from .common import table
 
 
@@ -68,6 +69,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=512)
 
 
+def op11_anchor_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    )
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_trie_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), garble=97)
+
+
+def op13_ordered_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordered_packing.pack_in_order(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), size=2048, end_id=1)
+
+
 QUERIES = {
     "op1_simhash_windows": op1_simhash_windows,
     "op2_revealing_terms": op2_revealing_terms,
@@ -79,6 +96,9 @@ QUERIES = {
     "op8_bbit_minhash": op8_bbit_minhash,
     "op9_improbable_features": op9_improbable_features,
     "op10_token_counts": op10_token_counts,
+    "op11_anchor_tree": op11_anchor_tree,
+    "op12_trie_pairs": op12_trie_pairs,
+    "op13_ordered_cuts": op13_ordered_cuts,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.SQL
