@@ -15,6 +15,7 @@ The stamp is a parameter, so a rerun with the same inputs is reproducible.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -128,5 +129,42 @@ def as_of(table: DataFrame, ts) -> DataFrame:
     return table.filter((F.col("effective_from") <= t) & (F.col("effective_to").isNull() | (F.col("effective_to") > t)))
 
 
+def as_of_join(facts: DataFrame, versions: DataFrame, on: dict[str, str], at: str, take: dict[str, str], bins: int = 64) -> DataFrame:
+    """Each row of ``facts`` with the version of its key that was open at its own instant ``at``.
+
+    ``on`` maps columns of ``facts`` to the key columns of ``versions`` (null
+    matches null), ``take`` names what comes from the version; rows without an
+    open version, or without an instant, have nulls there.
+
+    The time that the facts span is cut into ``bins``. A version is listed under
+    the bins it was open in, a fact looks up its own bin, so the join is an
+    equi-join on key and bin: a key with many facts and versions meets itself
+    bin by bin, and no version is listed more than ``bins`` + 1 times.
+    """
+    low, high = facts.agg(F.min(at), F.max(at)).first()  # one-row control value
+    span = (high - low).total_seconds() if low is not None else 0
+    width = max(1, math.ceil(span / bins))
+
+    def number(c: Column) -> Column:
+        return F.floor((F.unix_micros(c.cast("timestamp")) - F.unix_micros(ntz(low).cast("timestamp"))) / (width * 1_000_000))
+
+    keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(on.values())]
+    taken = [F.col(c).alias(f"_v{i}") for i, c in enumerate(take)]
+    shown = [F.col(f"_v{i}").alias(name) for i, name in enumerate(take.values())]
+    if low is None:
+        nothing = versions.select(*taken).limit(0)
+        return facts.join(nothing, F.lit(False), "left").select(*facts.columns, *shown)
+    start, end = F.col("effective_from"), F.col("effective_to")
+    ever = versions.filter((start <= ntz(high)) & (end.isNull() | (end > ntz(low))))
+    first = F.greatest(number(start), F.lit(0))
+    last = F.when(end.isNull() | (end > ntz(high)), number(ntz(high))).otherwise(number(end))
+    listed = ever.select(*keys, *taken, start.alias("_from"), end.alias("_to"), F.explode(F.sequence(first, last)).alias("_vbin"))
+    own = facts.withColumn("_bin", number(F.col(at)))
+    met = [F.col(f).eqNullSafe(F.col(f"_k{i}")) for i, f in enumerate(on)]
+    open_then = (F.col("_from") <= F.col(at)) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
+    joined = own.join(listed, [*met, F.col("_bin") == F.col("_vbin"), open_then], "left")
+    return joined.select(*facts.columns, *shown)
+
+
 def current(table: DataFrame) -> DataFrame:
     return table.filter(F.coalesce(F.col("is_current"), F.lit(False)))

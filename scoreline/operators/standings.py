@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreline.functions import FINISHED, flag, points, side_outcome
+from scoreline.session import scratch_path, shared_dir
 
 RANK_ORDER = ["points", "goal_difference", "goals_for"]
 
@@ -62,6 +63,42 @@ def aggregate(sides: DataFrame) -> DataFrame:
     )
 
 
+#: What incremental standings are kept as: sums that deltas add to, and how many scores they hold.
+SUMS = ["played", "won", "drawn", "lost", "goals_for", "goals_against", "points", "scored", "conceded"]
+
+
+def deltas(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What replacing the matches ``old`` by ``new`` adds to each (group, team): `SUMS`, rows of zeros left out.
+
+    Old rows are taken back and new ones added in one aggregate, so a match that
+    is in both, or that moves between groups or teams, needs no case of its own.
+    """
+    sides = unpivot_sides(new).withColumn("_sign", F.lit(1)).unionByName(unpivot_sides(old).withColumn("_sign", F.lit(-1)))
+    o, sign = F.col("outcome"), F.col("_sign")
+    each = {
+        "played": F.lit(1), "won": flag(o == "W"), "drawn": flag(o == "D"), "lost": flag(o == "L"),
+        "goals_for": F.coalesce("gf", F.lit(0)), "goals_against": F.coalesce("ga", F.lit(0)), "points": points(o),
+        "scored": flag(F.col("gf").isNotNull()), "conceded": flag(F.col("ga").isNotNull()),
+    }
+    moved = sides.groupBy("group", "team").agg(*[F.sum(sign * v).cast("long").alias(c) for c, v in each.items()])
+    return moved.filter(F.exists(F.array(*SUMS), lambda x: x != 0))
+
+
+def add_deltas(totals: DataFrame, delta: DataFrame) -> DataFrame:
+    """The totals after ``delta``; a team without a finished match goes."""
+    both = totals.select("group", "team", *SUMS).unionByName(delta.select("group", "team", *SUMS))
+    added = both.groupBy("group", "team").agg(*[F.sum(c).cast("long").alias(c) for c in SUMS])
+    return added.filter("played > 0")
+
+
+def from_totals(totals: DataFrame) -> DataFrame:
+    """The unranked standings that ``totals`` stand for, as `aggregate` gives them."""
+    gf = F.when(F.col("scored") > 0, F.col("goals_for"))
+    ga = F.when(F.col("conceded") > 0, F.col("goals_against"))
+    rows = totals.withColumns({"goals_for": gf, "goals_against": ga}).drop("scored", "conceded")
+    return rows.withColumn("goal_difference", F.col("goals_for") - F.col("goals_against"))
+
+
 def rank_within(
     df: DataFrame,
     partition: Sequence[str],
@@ -101,6 +138,59 @@ def rank_within(
     return df.join(hist, cond, "inner").select(*df.columns, name)
 
 
+def counts_before(hist: DataFrame, partition: Sequence[str], order: Sequence[Column], count: str, name: str) -> DataFrame:
+    """``hist`` with the sum of ``count`` over the rows of its partition that come before a row in ``order``.
+
+    The rows are range-partitioned by (partition, order) and written with the
+    number of their range. Running sums are taken inside a range; the totals of
+    the ranges, a row for each range that a partition lies in, give what comes
+    before it. So one partition may hold all rows: no window sees more of them
+    than a range has. ``order`` must tell the rows of a partition apart.
+    """
+    partition = list(partition)
+    ranges = int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = hist.repartitionByRange(ranges, *[F.col(c).asc_nulls_first() for c in partition], *order)
+    dealt = dealt.withColumn("_range", F.spark_partition_id())
+    path = scratch_path(hist.sparkSession, "ranges")
+    dealt.write.parquet(path)  # ranges come from a sample: both readers must see the same ones
+    dealt = hist.sparkSession.read.schema(dealt.schema).parquet(path)
+    inside = Window.partitionBy("_range", *partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = dealt.withColumn("_own", F.coalesce(F.sum(count).over(inside), F.lit(0)))
+    totals = dealt.groupBy("_range", *partition).agg(F.sum(count).alias("_total"))
+    earlier = Window.partitionBy(*partition).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    keys = ["_range", *partition]
+    offsets = totals.select(
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(keys)], F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset")
+    )
+    both = own.join(offsets, [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(keys)])
+    return both.select(*hist.columns, (F.col("_own") + F.col("_offset")).alias(name))
+
+
+def rank_by_ranges(df: DataFrame, partition: Sequence[str], order: Sequence[str], name: str = "group_rank") -> DataFrame:
+    """`rank_within` for partitions of any size and any values: ranks come from the prefix sums of `counts_before`.
+
+    The tuples of a partition and its order are counted first, so ties are one
+    row and never lie across a border. ``df`` is read twice.
+    """
+    keys = [*partition, *order]
+    hist = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    ranks = counts_before(hist, partition, [F.col(c).desc_nulls_last() for c in order], "_n", "_before")
+    ranks = ranks.select(*[F.col(c).alias(f"_rk{i}") for i, c in enumerate(keys)], (F.col("_before") + 1).cast("int").alias(name))
+    cond = [F.col(c).eqNullSafe(F.col(f"_rk{i}")) for i, c in enumerate(keys)]
+    return df.join(ranks, cond, "inner").select(*df.columns, name)
+
+
+#: Teams up to which a rank by two windows is cheaper than writing ranges.
+RANGES_FROM = 1_000_000
+
+
+def ranked(table: DataFrame, ranges_from: int = RANGES_FROM) -> DataFrame:
+    """A stored table of unranked standings with its rank in the group, equal whichever way it is found."""
+    if table.count() > ranges_from:
+        return rank_by_ranges(table, ["group"], RANK_ORDER)
+    return rank_within(table, ["group"], RANK_ORDER)
+
+
 def compute(matches: DataFrame, materialize: bool = False) -> DataFrame:
     """Ranked standings from silver matches (finished matches only).
 
@@ -111,10 +201,8 @@ def compute(matches: DataFrame, materialize: bool = False) -> DataFrame:
     """
     agg = aggregate(unpivot_sides(matches))
     if materialize:
-        from scoreline.session import shared_dir
-
         shared_dir(agg.sparkSession)  # make sure a checkpoint folder is set
-        agg = agg.checkpoint(eager=True)
+        return ranked(agg.checkpoint(eager=True))
     return rank_within(agg, ["group"], RANK_ORDER)
 
 

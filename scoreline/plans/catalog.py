@@ -15,11 +15,14 @@ from scoreline.plans import derive, pages
 from scoreline.schemas import EVENTS, STADIUMS_RAW, STANDINGS_COMPARE, STANDINGS_KEYS, TEAMS_RAW
 from scoreline.session import scratch_path
 from scoreline.sources import events as events_src
+from scoreline.sources import files
 from scoreline.sources import html_tables
 from scoreline.sources import landing
+from scoreline.sources.buckets import Buckets
 from scoreline.sources.io import Tables
 from scoreline.sources.registry import get_source
 from scoreline.streaming import events as stream_events
+from scoreline.streaming import progress as stream_progress
 from scoreline.streaming import standings as stream_standings_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +68,7 @@ def silver_match_result(spark, sf_dir):
 CUT0, CUT1 = 70, 79
 T0, T1, T2 = dt.datetime(2026, 6, 13), dt.datetime(2026, 6, 20), dt.datetime(2026, 6, 27)
 AS_OF = dt.datetime(2026, 6, 23)
+KICK_OFF = dt.datetime(2026, 6, 10)
 RECENT_N, TOP_N = 12, 8
 SHOWN_GROUP = "AFRICA"
 
@@ -194,6 +198,27 @@ def scd2_history(spark, sf_dir):
     return Tables(spark, _once(spark, sf_dir, "scd2_history", build)).read_versions("standings")
 
 
+@query
+def scd2_as_of_join(spark, sf_dir):
+    """Matches with the standing that both teams had at kick-off, a fixed rule of the matchday around the three runs."""
+    versions = scd2_history(spark, sf_dir)
+    kick_off = ntz(KICK_OFF) + F.make_dt_interval(days=(F.col("matchday") % 21).cast("int"))
+    rows = _silver(spark, sf_dir).select("home_team", "away_team", "matchday", "group", kick_off.alias("kick_off"))
+    for side in ("home", "away"):
+        take = {"points": f"{side}_points", "group_rank": f"{side}_rank"}
+        rows = scd2.as_of_join(rows, versions, {"group": "group", f"{side}_team": "team"}, "kick_off", take)
+    return rows
+
+
+@query
+def standings_overall_rank(spark, sf_dir):
+    """All teams of all groups ranked as one: a single partition, cut into ranges."""
+    rows = standings.aggregate(standings.unpivot_sides(_silver(spark, sf_dir)))
+    return standings.rank_by_ranges(rows, [], standings.RANK_ORDER, "overall_rank").select(
+        "group", "team", *standings.RANK_ORDER, "overall_rank"
+    )
+
+
 # --- serving --------------------------------------------------------------------
 
 
@@ -384,6 +409,38 @@ def io_landing_roundtrip(spark, sf_dir):
     return landing.explode_entity(_landing(spark, sf_dir), "matches")
 
 
+@query
+def src_landing_tolerant(spark, sf_dir):
+    """A batch landed twice, by a writer that died in between, and with a cut-off document for each nation and a
+    document with an unknown field for each region among its files: what is read, and what is set aside."""
+
+    def build(path):
+        src = get_source("snapshot")(spark, sf_dir)
+        for _ in range(2):
+            landing.write_payload(path, *BATCH_B, teams=src["teams"], stadiums=src["stadiums"])
+        folder = f"{path}/{landing.batch_folder(spark, *BATCH_B)}"
+        nation, region = (derive.table(spark, sf_dir, t) for t in ("nation", "region"))
+        broken = nation.select(F.concat(F.lit('{"teams": [{"name": "'), "n_name", F.lit('"')).alias("value"))
+        stamp = f'"fetched_at": "{BATCH_B[0]}", "source_name": "{BATCH_B[1]}"'
+        more = region.select(
+            F.concat(F.lit('{"teams": [{"name": "'), "r_name", F.lit('"}], "owner": "'), "r_name", F.lit(f'", {stamp}}}')).alias("value")
+        )
+        broken.unionByName(more).write.mode("append").text(folder)
+        died = f"{path}/{landing.batch_folder(spark, '2026-06-28T00:00:00+00:00', 'snapshot')}"
+        more.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").text(died)
+
+    docs = landing.read_latest(spark, _once(spark, sf_dir, "landing_tolerant", build), tolerant=True)
+    good = landing.sound(docs)
+    counts = [landing.explode_entity(good, e).agg(F.count("*").alias("n")).withColumn("kind", F.lit(e)) for e in ("teams", "stadiums")]
+    counts.append(landing.malformed(docs).agg(F.count("*").alias("n")).withColumn("kind", F.lit("malformed")))
+    owners = good.select(F.explode(landing.OTHER).alias("field", "value"))
+    counts.append(owners.agg(F.count_distinct("value").alias("n")).withColumn("kind", F.lit("owners")))
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out.select("kind", "n")
+
+
 @query
 def src_registry(spark, sf_dir):
     return get_source("snapshot")(spark, sf_dir)["teams"]
@@ -459,6 +516,31 @@ def src_events_json(spark, sf_dir):
     return events_src.read_events(spark, path)
 
 
+@query
+def src_event_files(spark, sf_dir):
+    """Events in pretty-printed files of up to 500, an object or an array each."""
+
+    def build(path):
+        e = derive.events(spark, sf_dir)
+        rows = landing.bounded(e, 500).groupBy("_bucket", "_doc").agg(F.collect_list(F.struct(*EVENTS.fieldNames())).alias("l"))
+        shape = {"pretty": "true", "timestampNTZFormat": events_src.NTZ_FORMAT}
+        one, many = F.to_json(F.get("l", F.lit(0)), shape), F.to_json("l", shape)
+        files.write_documents(rows.select(F.when(F.size("l") == 1, one).otherwise(many).alias("doc")), path, "doc")
+
+    return files.read_event_files(spark, _once(spark, sf_dir, "event_files", build), "part-*")
+
+
+@query
+def html_team_names_files(spark, sf_dir):
+    """Team names from pages that lie in a directory, one file a page."""
+
+    def build(path):
+        files.write_documents(_pages(spark, sf_dir, "team"), path, "html")
+
+    pages_read = files.read_pages(spark, _once(spark, sf_dir, "page_files", build), "part-*")
+    return html_tables.team_names(html_tables.extract(pages_read))
+
+
 @query
 def io_roundtrip(spark, sf_dir):
     def build(root):
@@ -511,6 +593,21 @@ def io_rerun(spark, sf_dir):
     return layers[0].unionByName(layers[1])
 
 
+@query
+def io_upsert(spark, sf_dir):
+    """Two batches of events into a table kept in buckets, each run twice: the latest delivery of each event."""
+
+    def build(root):
+        store = Buckets(Tables(spark, root), "events", ["event_id"], 16)
+        all_rows = _redelivered(spark, sf_dir)
+        e = derive.events(spark, sf_dir)
+        newest = lambda old, new: silver.events(old.unionByName(new))
+        for batch, rows in ((1, e), (1, e), (2, all_rows.exceptAll(e)), (2, all_rows.exceptAll(e))):
+            store.upsert(rows, batch, newest, EVENTS)
+
+    return Tables(spark, _once(spark, sf_dir, "io_upsert", build)).read("events")
+
+
 # --- HTML scraping job -------------------------------------------------------------
 
 
@@ -582,7 +679,9 @@ def _event_streams(spark, sf_dir):
         late = e.filter(~before | held).unionByName(e.filter(before & (F.col("event_type") == "goal")))
         for arrived in (early, late):
             events_src.write_events(arrived, f"{root}/in")
-            stream_events.land_events(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt/land")
+            stream_events.land_events(
+                spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt/land", progress_path=f"{root}/progress"
+            )
             stream_events.silver_events(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ckpt/silver")
             stream_events.top_scorers(spark, f"{root}/silver", f"{root}/gold_log")
 
@@ -604,6 +703,66 @@ def stream_top_scorers(spark, sf_dir):
     return stream_events.read_top_scorers(spark, f"{_event_streams(spark, sf_dir)}/gold_log")
 
 
+@query
+def serve_stream_freshness(spark, sf_dir):
+    return stream_progress.freshness(stream_progress.read(spark, f"{_event_streams(spark, sf_dir)}/progress"))
+
+
+@query
+def stream_events_restamped(spark, sf_dir):
+    """All events, then all once more with stamps beyond what the state store remembers: each id is looked up in
+    the filters of the stored batches."""
+
+    def build(root):
+        e = derive.events(spark, sf_dir)
+        again = e.withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 90 DAYS"))
+        for arrived in (e, again):
+            events_src.write_events(arrived, f"{root}/in")
+            stream_events.land_events(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt/land")
+            stream_events.silver_events(
+                spark, f"{root}/bronze", f"{root}/silver", f"{root}/ckpt/silver", max_files=4, restamped=True
+            )
+
+    return stream_events.read_silver(spark, f"{_once(spark, sf_dir, 'stream_restamped', build)}/silver")
+
+
+@query
+def stream_top_scorers_compacted(spark, sf_dir):
+    """The same goals, the entries of all batches compacted into totals."""
+    root = _event_streams(spark, sf_dir)
+
+    def build(path):
+        stream_events.top_scorers(spark, f"{root}/silver", f"{path}/gold", compact_every=1)
+
+    return stream_events.read_top_scorers(spark, f"{_once(spark, sf_dir, 'stream_compacted', build)}/gold")
+
+
+@query
+def stream_standings_corrections(spark, sf_dir):
+    """Every match first with other scores, in another group and by an early stamp, then as it is: all of the
+    first standings are taken back."""
+
+    def build(root):
+        raw = derive.raw_matches(spark, sf_dir)
+        wrong = raw.withColumns(
+            {
+                "home_score": F.col("away_score"),
+                "away_score": F.col("home_score") + 1,
+                "group": F.lit("WRONG"),
+                "ingested_at": ntz(dt.datetime(1970, 1, 1)),
+            }
+        )
+        tables = Tables(spark, f"{root}/tables")
+        for arrived in (wrong, raw):
+            arrived.write.mode("append").option("timestampNTZFormat", events_src.NTZ_FORMAT).json(f"{root}/in")
+            stream_standings_mod.run_standings(
+                spark, f"{root}/in", tables, f"{root}/ckpt", raw.schema, tiebreak=derive.MATCH_ORDER[1:]
+            )
+
+    root = _once(spark, sf_dir, "stream_corrections", build)
+    return stream_standings_mod.current(Tables(spark, f"{root}/tables"))
+
+
 @query
 def stream_standings(spark, sf_dir):
     def build(root):

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from scoreline.functions import instant, lenient_int
 from scoreline.operators import bronze, gold, quality, scd2, silver, standings
-from scoreline.schemas import MATCHES_RAW, STADIUMS_RAW, STANDINGS_COMPARE, STANDINGS_KEYS, TEAMS_RAW
+from scoreline.schemas import EVENTS, MATCHES_RAW, STADIUMS_RAW, STANDINGS_COMPARE, STANDINGS_KEYS, TEAMS_RAW
 from scoreline.sources import landing
+from scoreline.sources.buckets import Buckets
 from scoreline.sources.io import Tables, snapshot_id
 
 BRONZE = {"teams": TEAMS_RAW, "stadiums": STADIUMS_RAW, "matches": MATCHES_RAW}
@@ -72,8 +73,8 @@ def _incremental(tables: Tables, name: str, entity: str, batch_id: int, docs: Da
 
 
 def _events(spark: SparkSession, tables: Tables, events_dir: str, checkpoint: str, batch_id: int, report: RunReport) -> None:
-    """Event files -> bronze (each file once, file-stream checkpoint) -> silver
-    (keep-latest per event id) -> gold top scorers. No bronze yet -> skipped."""
+    """Event files -> bronze (each file once, file-stream checkpoint) -> silver (keep-latest per event id,
+    only the buckets that new files touch) -> gold top scorers. No bronze yet -> skipped."""
     from scoreline.sources.io import path_exists
     from scoreline.streaming import events as stream_events
 
@@ -82,9 +83,10 @@ def _events(spark: SparkSession, tables: Tables, events_dir: str, checkpoint: st
     if not tables.exists("bronze_match_events"):
         report.rows["silver_events"] = 0
         return
-    events = silver.events(stream_events.well_formed(tables.read("bronze_match_events")))
-    report.rows["silver_events"] = tables.overwrite(events, "silver_events", batch_id)
-    stored = tables.read("silver_events", snapshot_id(batch_id))
+    store = Buckets(tables, "silver_events", ["event_id"])
+    stream_events.upsert_events(spark, tables.path("bronze_match_events"), store, f"{checkpoint}_silver")
+    stored = store.read(EVENTS)
+    report.rows["silver_events"] = stored.count()
     report.rows["gold_top_scorers"] = tables.overwrite(gold.top_scorers(stored), "gold_top_scorers", batch_id)
 
 
@@ -104,7 +106,9 @@ def run(
     failure when ``enforce``). With ``events_dir``, new event files are landed
     and silver events / gold top scorers rebuilt as well."""
     report = RunReport(batch_id)
-    docs = landing.read_latest(spark, landing_dir)
+    docs = landing.read_latest(spark, landing_dir, tolerant=True)
+    report.rows["bronze_rejected"] = tables.append_batch(landing.malformed(docs), "bronze_rejected", batch_id)
+    docs = landing.sound(docs).drop(landing.OTHER)
     _bronze(tables, docs, report)
 
     # silver (incremental over the snapshots before this batch)
@@ -158,6 +162,8 @@ def run(
     else:
         report.checks = [r.asDict() for r in rep.collect()]  # one row per check
     if keep_snapshots is not None:
-        for name in [n for n in report.rows if not n.startswith("bronze_")]:
+        events = Buckets(tables, "silver_events", ["event_id"])
+        events.retain(before=[0, *events.versions()][-keep_snapshots:][0])
+        for name in [n for n in report.rows if not n.startswith("bronze_") and n != "silver_events"]:
             tables.retain(name, keep_snapshots, only="is_current=true" if name == "silver_standings" else None)
     return report

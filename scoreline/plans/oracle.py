@@ -260,6 +260,21 @@ def sql() -> dict[str, str]:
     )
 
     q["scd2_history"] = _history()
+    open_then = (
+        'x."group" IS NOT DISTINCT FROM k."group" AND x.team = k.{0}_team AND x.effective_from <= k.kick_off '
+        "AND (x.effective_to IS NULL OR k.kick_off < x.effective_to)"
+    )
+    q["scd2_as_of_join"] = (
+        f"WITH h AS ({_history()}), k AS (SELECT *, TIMESTAMP '2026-06-10 00:00:00' + to_days(CAST(matchday % 21 AS INTEGER)) AS kick_off "
+        f"FROM ({M} SELECT * FROM m)) "
+        'SELECT k.home_team, k.away_team, k.matchday, k."group", k.kick_off, a.points AS home_points, a.group_rank AS home_rank, '
+        "b.points AS away_points, b.group_rank AS away_rank FROM k "
+        f"LEFT JOIN h a ON {open_then.format('home').replace('x.', 'a.')} LEFT JOIN h b ON {open_then.format('away').replace('x.', 'b.')}"
+    )
+    q["standings_overall_rank"] = (
+        STANDINGS + ' SELECT "group", team, points, goal_difference, goals_for, CAST(rank() OVER (ORDER BY points DESC NULLS LAST, '
+        "goal_difference DESC NULLS LAST, goals_for DESC NULLS LAST) AS INTEGER) AS overall_rank FROM ranked"
+    )
     q["serve_standings_sorted"] = q["gold_standings_current"]
     q["serve_trend_sorted"] = q["gold_goals_by_matchday"]
 
@@ -387,6 +402,11 @@ def sql_sources() -> dict[str, str]:
     q["src_latest_batch"] = w + _summary(BATCH_B)
     q["src_explode_entities"] = w + _landing_rows(BATCH_B)
     q["io_landing_roundtrip"] = w + _landing_rows(BATCH_A) + " UNION ALL " + _landing_rows(BATCH_B)
+    q["src_landing_tolerant"] = (
+        w + "SELECT 'teams' AS kind, (SELECT count(*) FROM teams_all) + (SELECT count(*) FROM region) AS n "
+        "UNION ALL SELECT 'stadiums', (SELECT count(*) FROM part) UNION ALL SELECT 'malformed', (SELECT count(*) FROM nation) "
+        "UNION ALL SELECT 'owners', (SELECT count(DISTINCT r_name) FROM region)"
+    )
     q["src_registry"] = w + "SELECT * FROM teams_all"
     q["src_group_map_flatten"] = w + "SELECT * FROM teams_all"
     q["bronze_align_schema"] = (
@@ -425,6 +445,8 @@ def sql_sources() -> dict[str, str]:
         "UNION ALL SELECT 'silver', event_id, minute, CASE WHEN event_type = 'goal' THEN ingested_at + INTERVAL 1 MINUTE "
         "ELSE ingested_at END FROM e"
     )
+    q["io_upsert"] = q["silver_events"]
+    q["src_event_files"] = we + "SELECT * FROM e"
     q["io_overwrite"] = we + "SELECT * FROM e WHERE event_type = 'goal'"
     return q
 
@@ -458,6 +480,7 @@ def sql_html() -> dict[str, str]:
         "WITH " + SUPPLIER_TABLES + " SELECT DISTINCT s_name AS name, CAST(NULL AS VARCHAR) AS \"group\", "
         "'group_stage' AS source_table FROM t"
     )
+    q["html_team_names_files"] = q["html_team_names"]
     q["html_stadiums"] = (
         "SELECT p_name AS name, p_type AS city, CAST(NULL AS VARCHAR) AS country, CAST(NULL AS VARCHAR) AS capacity "
         "FROM part"
@@ -483,5 +506,11 @@ def sql_streaming() -> dict[str, str]:
         + "WHERE event_type = 'goal' AND ingested_at < TIMESTAMP '2024-01-16 00:00:00'",
         "stream_events_dedup": we + "SELECT * FROM e",
         "stream_top_scorers": we + "," + SCORERS + " SELECT * FROM scorers",
+        "serve_stream_freshness": we
+        + "SELECT count(*) + count(*) FILTER (event_type = 'goal' AND ingested_at < TIMESTAMP '2024-01-16 00:00:00') AS rows_in, "
+        + "CAST(0 AS BIGINT) AS rejected, max(ingested_at) AS latest FROM e",
+        "stream_events_restamped": we + "SELECT * FROM e",
+        "stream_top_scorers_compacted": we + "," + SCORERS + " SELECT * FROM scorers",
+        "stream_standings_corrections": STANDINGS + " SELECT * FROM ranked",
         "stream_standings": STANDINGS + " SELECT * FROM ranked",
     }

@@ -6,7 +6,8 @@ rows and no others. Overwrite tables keep one directory per snapshot,
 ``<table>/snapshot=<id>``, with zero-padded ids: batch N reads the greatest
 committed snapshot before N (``snapshot_before``) and writes snapshot N, so a
 job never overwrites what it reads, reruns included, and readers take the
-greatest committed snapshot. Directories without a ``_SUCCESS`` marker (a job
+greatest committed snapshot. Tables kept in buckets (``sources.buckets``) have a
+directory per version with those buckets that it rewrote. Directories without a ``_SUCCESS`` marker (a job
 that died) are read by nobody. Row counts come from an ``Observation`` attached
 to the write itself, not from a second job.
 """
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SNAPSHOT = "snapshot"
+VERSION, BUCKET = "version", "bucket"
 # Partition columns come back from directory names as text; their real types.
 BATCH = "batch_id"
 PARTITION_TYPES = {"is_current": "boolean", "ingest_date": "date", SNAPSHOT: "long", BATCH: "long"}
@@ -37,23 +39,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def folder_names(spark: SparkSession, path: str, prefix: str, committed: bool = False) -> list[str]:
+    """The ``<name>`` of the ``prefix=<name>`` folders, ascending; only those with a _SUCCESS marker if ``committed``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    # one listing, however many folders there are
+    pattern = f"{prefix}=*/_SUCCESS" if committed else f"{prefix}=*"
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, pattern)) or []
+    names = [(st.getPath().getParent() if committed else st.getPath()).getName() for st in found]
+    return sorted(n.split("=", 1)[1] for n in names)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """The values of a partition column, from the names of its folders, ascending."""
+    return folder_names(spark, path, column)
+
+
+def loose_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files that lie in ``path`` itself."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, f"{column}=*")) or []
-    return sorted(st.getPath().getName().split("=", 1)[1] for st in found)
+    found = [st.getPath() for st in fs.listStatus(p) if st.isFile()]
+    return sorted(f.toString() for f in found if not f.getName().startswith(("_", ".")))
 
 
 def _committed(spark: SparkSession, path: str, prefix: str) -> list[str]:
     """Ids of the ``prefix=<id>`` folders that have a _SUCCESS marker, ascending."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    # one listing of all markers, however many folders there are
-    marks = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, f"{prefix}=*/_SUCCESS")) or []
-    return sorted(st.getPath().getParent().getName().split("=", 1)[1] for st in marks)
+    return folder_names(spark, path, prefix, committed=True)
 
 
 def _snapshots(spark: SparkSession, path: str) -> list[str]:
@@ -65,6 +79,29 @@ def batch_ids(spark: SparkSession, path: str) -> list[int]:
     return [int(i) for i in _committed(spark, path, BATCH)]
 
 
+def version_ids(spark: SparkSession, path: str) -> list[int]:
+    """Committed versions of a table that is kept in buckets, ascending."""
+    return [int(v) for v in _committed(spark, path, VERSION)]
+
+
+def bucket_folders(spark: SparkSession, path: str, before: int | None = None, only: set[int] | None = None) -> dict[int, str]:
+    """The folder of the current rows of each bucket (of those in ``only``), as of the versions before ``before``."""
+    out: dict[int, str] = {}
+    for v in reversed([v for v in version_ids(spark, path) if before is None or v < before]):
+        if only is not None and only <= set(out):
+            break
+        folder = f"{path}/{VERSION}={snapshot_id(v)}"
+        for b in map(int, partition_values(spark, folder, BUCKET)):
+            if only is None or b in only:
+                out.setdefault(b, f"{folder}/{BUCKET}={b}")
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> int:
     """Write ``df`` as batch ``batch_id`` of an append table, in place of what that batch wrote before."""
     obs = Observation(f"batch_{batch_id}")
@@ -122,7 +159,7 @@ class Tables:
         p = self.path(name)
         if not path_exists(self.spark, p):
             return False
-        return bool(_snapshots(self.spark, p) or batch_ids(self.spark, p)) or any(
+        return bool(_snapshots(self.spark, p) or batch_ids(self.spark, p) or version_ids(self.spark, p)) or any(
             path_exists(self.spark, f"{p}/{marker}") for marker in ("_SUCCESS", "_spark_metadata")
         )
 
@@ -182,7 +219,7 @@ class Tables:
         return len(old)
 
     def read(self, name: str, snapshot: str | None = None, schema: T.StructType | None = None) -> DataFrame:
-        """The latest snapshot of an overwrite table, or the whole append table.
+        """The latest snapshot of an overwrite table, the current buckets of a table kept in buckets, or the whole append table.
 
         A partitioned write of zero rows leaves no data file to infer a schema
         from; ``schema`` then gives the (empty) table its columns."""
@@ -190,7 +227,9 @@ class Tables:
         snap = snapshot or self.latest_snapshot(name)
         if snap is None and not path_exists(self.spark, p):
             raise FileNotFoundError(f"table {name} does not exist at {p}")
-        where = f"{p}/{SNAPSHOT}={snap}" if snap is not None else p
+        where: str | list[str] = f"{p}/{SNAPSHOT}={snap}" if snap is not None else p
+        if snap is None and version_ids(self.spark, p):
+            where = sorted(bucket_folders(self.spark, p).values())
         try:
             return _typed(self.spark.read.format(self.fmt).load(where))
         except AnalysisException as e:

@@ -6,18 +6,31 @@ and the files stay splittable. Equal records are counted first and cut into
 pieces; pieces are dealt out by a hash of their content and number, and cut
 again at the bound, so the documents are the same whenever a task is computed
 again. Whole-file pretty-printed documents (one per file) are read with
-``multi_line=True``. The newest batch is found from the partition folders.
+``multi_line=True``.
+
+A batch has a folder of its own, ``ingest_date=<day>/batch=<instant>-<source>``,
+which landing it again replaces; one without a ``_SUCCESS`` marker (a writer that
+died) is read by nobody. Names sort as their instants, so the newest batch is
+found from the folders. Files laid straight into a day's folder, or into a folder
+without days, are read too.
+
+A malformed document ends the read, or is set aside where the reader is
+``tolerant``; fields that no schema names are then kept as text.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreline.functions import instant
-from scoreline.schemas import GROUP_MAP_PAYLOAD, MATCH_FIELDS, PAYLOAD, STADIUM_FIELDS, TEAM_FIELDS
+from scoreline.schemas import CORRUPT, GROUP_MAP_PAYLOAD, MATCH_FIELDS, PAYLOAD, STADIUM_FIELDS, TEAM_FIELDS
 from scoreline.session import scratch_path
+from scoreline.sources.io import folder_names, loose_files, partition_values, path_exists
 
 ENTITIES = {"teams": TEAM_FIELDS, "stadiums": STADIUM_FIELDS, "matches": MATCH_FIELDS}
 ROWS_PER_DOC = 5000
@@ -61,6 +74,22 @@ def _docs(df: DataFrame, entity: str, rows_per_doc: int) -> DataFrame:
     return lists.select(entity)
 
 
+def batch_folder(spark: SparkSession, fetched_at: str, source_name: str) -> str:
+    """Where a batch lands; raises if its stamp is no instant, since nobody could tell whether it is the newest."""
+    at = instant(F.lit(fetched_at))
+    day, micros = spark.range(1).select(F.to_date(at).cast("string"), F.unix_micros(at)).first()
+    if micros is None:
+        raise ValueError(f"fetched_at must be an ISO-8601 instant, not {fetched_at!r}")
+    utc = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=micros)
+    return f"ingest_date={day}/batch={utc:%Y%m%dT%H%M%S.%f}-{quote(str(source_name), safe='')}"
+
+
+def _write(docs: DataFrame, path: str, fetched_at: str, source_name: str) -> None:
+    folder = batch_folder(docs.sparkSession, fetched_at, source_name)
+    stamped = docs.withColumns({"fetched_at": F.lit(fetched_at), "source_name": F.lit(source_name)})
+    stamped.write.mode("overwrite").json(f"{path}/{folder}")
+
+
 def write_payload(
     path: str,
     fetched_at: str,
@@ -68,51 +97,98 @@ def write_payload(
     rows_per_doc: int = ROWS_PER_DOC,
     **entities: DataFrame,
 ) -> None:
-    """Append one batch (entities given as DataFrames) under ``path``, partitioned by ingest date."""
+    """Land one batch (entities given as DataFrames) under ``path``, in place of what it landed before."""
     out = None
     for entity, df in entities.items():
         d = _docs(df, entity, rows_per_doc)
         out = d if out is None else out.unionByName(d, allowMissingColumns=True)
-    out = out.withColumns(
-        {
-            "fetched_at": F.lit(fetched_at),
-            "source_name": F.lit(source_name),
-            "ingest_date": F.to_date(instant(F.lit(fetched_at))),
-        }
-    )
-    out.write.mode("append").partitionBy("ingest_date").json(path)
+    _write(out, path, fetched_at, source_name)
 
 
-def read_landing(spark: SparkSession, path: str, multi_line: bool = False, schema: T.StructType = PAYLOAD) -> DataFrame:
-    """Landing documents under ``path``; raises if none exists or one can't be parsed."""
-    from scoreline.sources.io import path_exists
+def days(spark: SparkSession, path: str) -> list[str]:
+    """The folders of days, ascending; one whose day isn't known is no day."""
+    return [d for d in partition_values(spark, path, "ingest_date") if not d.startswith("__")]
 
+
+def landed_in(spark: SparkSession, path: str, day: str) -> list[str]:
+    """The committed batches of a day, ascending by instant, after the files that lie there in no batch."""
+    top = f"{path}/ingest_date={day}"
+    committed = [f"{top}/batch={n}" for n in folder_names(spark, top, "batch", committed=True)]
+    return loose_files(spark, top) + committed
+
+
+def read_landing(
+    spark: SparkSession, path: str, multi_line: bool = False, schema: T.StructType = PAYLOAD, tolerant: bool = False
+) -> DataFrame:
+    """Landing documents under ``path``; raises if none exists, or one can't be parsed and the reader isn't ``tolerant``."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"No landing payload found at {path}")
-    return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line).json(path)
+    known = days(spark, path)
+    where = [f for day in known for f in landed_in(spark, path, day)] if known else [path]
+    return _read(spark, where, schema, tolerant, multi_line)
 
 
-def read_latest(spark: SparkSession, path: str, schema: T.StructType = PAYLOAD) -> DataFrame:
-    """The documents of the most recent batch.
+def read_latest(spark: SparkSession, path: str, schema: T.StructType = PAYLOAD, tolerant: bool = False) -> DataFrame:
+    """The documents of the most recent batch (of all sources that have its instant).
 
-    Its day is the greatest ``ingest_date`` folder, so only that folder's files
-    are listed and parsed, however much has landed before.
+    Its day is the greatest that has landed anything, so only that folder is
+    listed, however much has landed before, and only the newest batch is parsed.
     """
-    from scoreline.sources.io import partition_values
+    for day in reversed(days(spark, path)):
+        found = landed_in(spark, path, day)
+        batches = [f for f in found if "/batch=" in f]
+        if batches and len(batches) == len(found):
+            instants = [f.rsplit("/batch=", 1)[1].split("-")[0] for f in batches]
+            found = [f for f, at in zip(batches, instants) if at == max(instants)]
+        if found:
+            return latest_batch(_read(spark, found, schema, tolerant))
+    return latest_batch(read_landing(spark, path, schema=schema, tolerant=tolerant))
+
+
+OTHER = "other_fields"
+
+
+def _read(spark: SparkSession, where: list[str], schema: T.StructType, tolerant: bool, multi_line: bool = False) -> DataFrame:
+    if not where:
+        return spark.createDataFrame([], schema)
+    if not tolerant:
+        return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line).json(where)
+    lines = spark.read.option("wholetext", multi_line).text(where).filter(F.trim("value") != "")
+    read = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    doc = F.from_json("value", read, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    fields = F.from_json("value", "map<string,string>")
+    other = F.map_filter(fields, lambda k, _: ~k.isin(*schema.fieldNames()))
+    parsed = lines.withColumn("doc", doc)
+    broken = F.col(f"doc.{CORRUPT}")
+    rest = [c for c in lines.columns if c != "value"]
+    return parsed.select(
+        *[F.when(broken.isNull(), F.col(f"doc.{c}")).alias(c) for c in schema.fieldNames()],
+        broken.alias(CORRUPT),
+        F.when(broken.isNull() & (F.size(other) > 0), other).alias(OTHER),
+        *rest,
+    )
+
+
+def sound(docs: DataFrame) -> DataFrame:
+    """The documents of a tolerant read that could be parsed."""
+    return docs.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
 
-    days = partition_values(spark, path, "ingest_date")
-    if not days:
-        return latest_batch(read_landing(spark, path, schema=schema))
-    day = spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", path).json(f"{path}/ingest_date={days[-1]}")
-    return latest_batch(day.drop("ingest_date"))
+def malformed(docs: DataFrame) -> DataFrame:
+    """(document): the others, as they came."""
+    return docs.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("document"))
 
 
 def latest_batch(docs: DataFrame, ts_col: str = "fetched_at") -> DataFrame:
     """Documents of the most recent batch, compared as timestamps (never as
-    file names or strings). The max is a one-row aggregate joined back."""
+    file names or strings). The max is a one-row aggregate joined back. What a
+    tolerant read couldn't parse has no stamp and stays with the batch."""
     ts = instant(ts_col)
     newest = docs.agg(F.max(ts).alias("_newest"))
-    return docs.join(F.broadcast(newest), ts == F.col("_newest")).drop("_newest")
+    mine = ts == F.col("_newest")
+    if CORRUPT in docs.columns:
+        mine = mine | F.col(CORRUPT).isNotNull()
+    return docs.join(F.broadcast(newest), mine).drop("_newest")
 
 
 def explode_entity(docs: DataFrame, entity: str) -> DataFrame:
@@ -133,11 +209,11 @@ def batch_summary(docs: DataFrame) -> DataFrame:
 
 
 def write_group_map(path: str, teams: DataFrame, fetched_at: str, source_name: str, rows_per_doc: int = ROWS_PER_DOC) -> None:
-    """Teams as ``{group: [names]}`` documents of at most ``rows_per_doc`` names, however large one group is."""
+    """Teams as ``{group: [names]}`` documents of at most ``rows_per_doc`` names, however large one group is, as a batch."""
     rows = bounded(teams.select("group", "name"), rows_per_doc)
     lists = rows.groupBy("_bucket", "_doc", "group").agg(F.collect_list("name").alias("names"))
     docs = lists.select(F.create_map(F.coalesce(F.col("group"), F.lit(NO_GROUP)), "names").alias("groups"))
-    docs.withColumns({"fetched_at": F.lit(fetched_at), "source_name": F.lit(source_name)}).write.mode("append").json(path)
+    _write(docs, path, fetched_at, source_name)
 
 
 def read_group_map(spark: SparkSession, path: str) -> DataFrame:

@@ -1,20 +1,29 @@
 """Standings kept current from a stream of match updates.
 
-Each micro-batch (``foreachBatch``) stores the new match rows as its bronze batch,
-builds the next silver snapshot incrementally (keep-latest over the previous
-silver snapshot plus this batch only, so the work follows the number of
-distinct matches, not the ever-growing bronze), recomputes ranked standings
-from the stored silver table and applies them to the SCD2 history as a new
-snapshot (partitioned by ``is_current``: the open versions plus only the
-versions closed by this batch; earlier history is never rewritten, see
-``Tables.read_versions``). Bronze, metrics and snapshots are kept by batch id, and a
-replayed batch starts from the snapshots before its own id and replaces its own
-folders, so replays are idempotent. The tables have names of their own
-(``stream_*``): a batch run may share the root. Versions are stamped with the
-latest ``ingested_at`` stored so far (the epoch if there is none), so rows
-without a stamp are kept too. Version counts of each apply are observed in the
-write itself and stored together with the live-match flag (the file trigger
-replaces the 5-minute poll: a batch only runs when files arrive).
+Each micro-batch (``foreachBatch``) does work that follows what it brings:
+
+* bronze: its rows, as a batch folder;
+* silver: the buckets of matches that its rows fall into are rewritten
+  (keep-latest over their current rows and the new ones, see ``Buckets``);
+* totals: what the old rows of these buckets gave each (group, team) is taken
+  back, what the new ones give is added (``standings.deltas``);
+* standings: groups in which anything moved are ranked again and applied to the
+  SCD2 history as a new snapshot (partitioned by ``is_current``: the open
+  versions plus only the versions closed by this batch; earlier history is never
+  rewritten, see ``Tables.read_versions``); open versions of other groups pass
+  through.
+
+Everything is kept by batch id, and a replayed batch starts from what was
+committed before its own id and replaces its own folders, so replays are
+idempotent. The tables have names of their own (``stream_*``): a batch run may
+share the root. Versions are stamped with the latest ``ingested_at`` stored so
+far (the epoch if there is none), so rows without a stamp are kept too. Version
+counts of each apply are observed in the write itself and stored together with
+the live-match flag.
+
+With ``only_live`` the gate stands before the work: while no match is open, in
+silver or in what has arrived since, rows are landed in bronze and nothing else
+is done; the first batch with an open match settles them all.
 """
 
 from __future__ import annotations
@@ -29,10 +38,23 @@ from pyspark.sql.streaming import StreamingQuery
 
 from scoreline.operators import quality, scd2, silver, standings
 from scoreline.schemas import STANDINGS_COMPARE, STANDINGS_KEYS
+from scoreline.session import scratch_path
 from scoreline.sources.events import NTZ_FORMAT
-from scoreline.sources.io import Tables, snapshot_id
+from scoreline.sources.buckets import Buckets
+from scoreline.sources.io import Tables, batch_ids, snapshot_id
 
 BRONZE, SILVER, STANDINGS, METRICS = "stream_bronze_matches", "stream_silver_matches", "stream_standings", "stream_metrics"
+TOTALS = "stream_standings_totals"
+#: A match stays in its bucket whatever else changes: meetings of a pair are numbered among all of them.
+BUCKET_KEYS = ["home_team", "away_team"]
+METRICS_SCHEMA = T.StructType(
+    [
+        T.StructField("is_live", T.BooleanType()),
+        *[T.StructField(c, T.LongType()) for c in ("open_matches", "unchanged", "closed", "inserted", "total")],
+        T.StructField("latest", T.TimestampNTZType()),
+        T.StructField("settled", T.BooleanType()),
+    ]
+)
 EPOCH = dt.datetime(1970, 1, 1)
 
 
@@ -43,34 +65,61 @@ def match_stream(spark: SparkSession, in_dir: str, schema: T.StructType, max_fil
     return r.json(in_dir)
 
 
-def refresh(tables: Tables, tiebreak: Sequence[str] = ()):
+def silver_schema(batch: DataFrame, tiebreak: Sequence[str]) -> T.StructType:
+    return silver.matches(batch.limit(0), list(tiebreak)).schema
+
+
+def refresh(tables: Tables, tiebreak: Sequence[str] = (), buckets: int = 64, only_live: bool = False):
     """The per-micro-batch function for ``foreachBatch``."""
 
+    store = Buckets(tables, SILVER, BUCKET_KEYS, buckets)
+
     def run(batch: DataFrame, batch_id: int) -> None:
         names = batch.columns
-        batch = batch.persist()  # parsed once
-        try:
-            if tables.append_batch(batch, BRONZE, batch_id) == 0:
-                return
-            prev = tables.snapshot_before(SILVER, batch_id)
-            new = batch
-            if prev is not None:
-                new = tables.read(SILVER, prev).select(*names, "meeting").unionByName(batch, allowMissingColumns=True)
-            tables.overwrite(silver.matches(new, list(tiebreak)), SILVER, batch_id)
-        finally:
-            batch.unpersist()
-        stored = tables.read(SILVER, snapshot_id(batch_id))
-        stamp = stored.agg(F.max("ingested_at").alias("t")).first()["t"] or EPOCH  # one-row control value
-        incoming = standings.compute(stored, materialize=True).select(*standings.STANDINGS_COLUMNS)
-
-        shape = scd2.initial(incoming, stamp).schema
+        if tables.append_batch(batch, BRONZE, batch_id) == 0:
+            return
+        shape = silver_schema(batch, tiebreak)
+        earlier = tables.read_batches(METRICS, METRICS_SCHEMA, [i for i in batch_ids(tables.spark, tables.path(METRICS)) if i < batch_id])
+        last = earlier.orderBy(F.desc("batch_id")).first()  # one row a batch
+        done = max([v for v in store.versions() if v < batch_id], default=-1)
+        pending = [i for i in batch_ids(tables.spark, tables.path(BRONZE)) if done < i <= batch_id]
+        arrived = tables.read_batches(BRONZE, batch.schema, pending).select(*names)
+        stamp = arrived.agg(F.max("ingested_at").alias("t")).first()["t"]  # one-row control value
+        stamp = max([t for t in (stamp, last and last["latest"]) if t is not None], default=EPOCH)
+        if only_live and not (last and last["open_matches"]) and not quality.is_live(arrived).first()["is_live"]:
+            waits = [(False, 0, 0, 0, 0, 0, stamp, False)]
+            tables.append_batch(tables.spark.createDataFrame(waits, METRICS_SCHEMA), METRICS, batch_id)
+            return
+
+        def newest(old: DataFrame, new: DataFrame) -> DataFrame:
+            known = old.select(*names, "meeting")
+            return silver.matches(known.unionByName(new, allowMissingColumns=True), list(tiebreak))
+
+        touched = store.upsert(silver.typed_matches(arrived), batch_id, newest, shape)
+        old = store.read(shape, before=batch_id, only=touched)
+        new = store.read(shape, before=batch_id + 1, only=touched)
+
+        prev = tables.snapshot_before(TOTALS, batch_id)
+        delta = written(standings.deltas(old, new))
+        before = delta.limit(0) if prev is None else tables.read(TOTALS, prev)
+        tables.overwrite(standings.add_deltas(before, delta), TOTALS, batch_id)
+        totals = tables.read(TOTALS, snapshot_id(batch_id))
+
+        # groups in which anything moved
+        moved = delta.select(F.col("group").alias("_g")).distinct()
+        inside = F.col("group").eqNullSafe(F.col("_g"))
+        incoming = standings.ranked(standings.from_totals(totals.join(moved, inside, "left_semi")))
+        incoming = incoming.select(*standings.STANDINGS_COLUMNS)
         prev = tables.snapshot_before(STANDINGS, batch_id)
         if prev is None:
             merged = scd2.initial(incoming, stamp).withColumn("change", F.lit("inserted"))
         else:
             # only the open versions take part; closed history stays where it was written
+            shape = scd2.initial(incoming, stamp).schema
             existing = scd2.current(tables.read(STANDINGS, prev, schema=shape))
-            merged = scd2.merge(existing, incoming, STANDINGS_KEYS, STANDINGS_COMPARE, stamp)
+            merged = scd2.merge(existing.join(moved, inside, "left_semi"), incoming, STANDINGS_KEYS, STANDINGS_COMPARE, stamp)
+            others = existing.join(moved, inside, "left_anti").withColumn("change", F.lit("unchanged"))
+            merged = merged.unionByName(others)
         obs = Observation(f"scd2_{batch_id}")
         c = F.col("change")
         observed = merged.observe(
@@ -81,12 +130,22 @@ def refresh(tables: Tables, tiebreak: Sequence[str] = ()):
             F.count(F.lit(1)).alias("total"),
         )
         tables.overwrite(observed.drop("change"), STANDINGS, batch_id, partition_by=["is_current"])
-        live = quality.is_live(stored).withColumns({k: F.lit(v) for k, v in obs.get.items()})
-        tables.append_batch(live, METRICS, batch_id)
+        counts = obs.get
+        open_now = quality.is_live(new).first()["open_matches"] - quality.is_live(old).first()["open_matches"]
+        open_now += last["open_matches"] if last else 0
+        row = (open_now > 0, open_now, *(counts[k] for k in ("unchanged", "closed", "inserted", "total")), stamp, True)
+        tables.append_batch(tables.spark.createDataFrame([row], METRICS_SCHEMA), METRICS, batch_id)
 
     return run
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: it is asked for several times."""
+    path = scratch_path(df.sparkSession, "deltas")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_standings(
     spark: SparkSession,
     in_dir: str,
@@ -96,12 +155,18 @@ def run_standings(
     tiebreak: Sequence[str] = (),
     available_now: bool = True,
     max_files: int | None = None,
+    buckets: int = 64,
+    only_live: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
+    """``every`` is the interval of the trigger ('5 minutes') where the job goes on (``available_now=False``)."""
     w = (
         match_stream(spark, in_dir, schema, max_files)
-        .writeStream.foreachBatch(refresh(tables, tiebreak))
+        .writeStream.foreachBatch(refresh(tables, tiebreak, buckets, only_live))
         .option("checkpointLocation", checkpoint)
     )
+    if every and not available_now:
+        w = w.trigger(processingTime=every)
     q = (w.trigger(availableNow=True) if available_now else w).start()
     if available_now:
         q.awaitTermination()
@@ -112,6 +177,12 @@ def current(tables: Tables) -> DataFrame:
     return scd2.current(tables.read(STANDINGS)).select(*standings.STANDINGS_COLUMNS)
 
 
+def silver_matches(tables: Tables, schema: T.StructType, tiebreak: Sequence[str] = (), buckets: int = 64) -> DataFrame:
+    """The current silver matches, for match rows of ``schema``."""
+    shape = silver_schema(tables.spark.createDataFrame([], schema), tiebreak)
+    return Buckets(tables, SILVER, BUCKET_KEYS, buckets).read(shape)
+
+
 def history(tables: Tables) -> DataFrame:
     """Every version: closed ones from all runs, open ones from the latest."""
     return tables.read_versions(STANDINGS)
