@@ -1,15 +1,18 @@
 """Personal data: protected entities by pattern, and the terms that reveal them by co-occurrence.
 
 Entities are e-mail addresses, IP addresses, card and phone numbers. How much a
-term reveals of an entity is estimated from the whole corpus: with df the number
-of documents, the information an entity c carries is IC(c) = log2(N / df(c)) and
-a term t tells PMI(c; t) = log2(P(c | t) / P(c)) of it. A term whose share
-PMI / IC reaches a disclosure threshold is generalised, one that reaches a higher
-one is removed, wherever it stands. P(c | t) is estimated from df(c, t) of df(t)
-documents, where df(c, t) counts those that have t close to c, and smoothed: it
-starts as if a few more documents had t, with c as often as anywhere. Equal texts
-are one document, and equal surroundings of an entity count once in df(c, t), so
-copies of a passage add nothing.
+term t reveals of an entity c is the estimated probability that a document with
+t holds c, P(c | t), beside its lift P(c | t) / P(c), both from the whole corpus:
+with df the number of documents,
+
+    P(c | t) = (n(c, t) + prior * P(c)) / (df(t) + prior),   P(c) = df(c) / N
+
+where n(c, t) counts the different surroundings of c that have t. A term whose
+probability reaches a disclosure threshold, with enough lift, is generalised;
+one that reaches a higher threshold is removed, wherever it stands. Neither
+depends on how large the corpus is: what is added without t or c only raises the
+lift. Copies of a passage add documents with t but no surroundings, so a passage
+that everybody repeats reveals nothing.
 
 Everything is built from DataFrame operations.
 """
@@ -31,7 +34,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = [*PATTERNS, "term"]
-LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
+LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 WORD = r"\p{L}[\p{L}\p{M}]+"
 
 
@@ -54,9 +57,9 @@ def valid(kind: Column, match: Column) -> Column:
     )
 
 
-def found(text: Column, pattern: str, hint: Column) -> Column:
+def found(text: Column, pattern: Column, hint: Column) -> Column:
     """Matches of a pattern with the text since the one before, in order; none where ``hint`` is false."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    hits = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.split(text, pattern, -1)
     n = F.size(hits)
     # zipped, not looked up by number in a lambda, which would match the text again for each number
@@ -65,7 +68,7 @@ def found(text: Column, pattern: str, hint: Column) -> Column:
     return F.when(hint & (n > 0), each.cast(kind)).otherwise(F.array().cast(kind))
 
 
-def placed(texts: DataFrame, kinds: list[tuple[str, str, Column]], count: bool = False) -> DataFrame:
+def placed(texts: DataFrame, kinds: list[tuple[str, Column, Column]], count: bool = False) -> DataFrame:
     """(id, th, kind, k, start, end, match) of the matches of each (kind, pattern, hint).
 
     ``start`` and ``end`` (exclusive) are code points. With ``count``, also how
@@ -97,19 +100,19 @@ def entities(texts: DataFrame) -> DataFrame:
     """The valid matches of all kinds of entities, with the number of words before and inside each."""
     digit = F.col("text").rlike("[0-9]")
     hints = {"email": F.contains("text", F.lit("@")), "ip": digit, "card": digit, "phone": F.contains("text", F.lit("+"))}
-    rows = placed(texts, [(k, p, hints[k]) for k, p in PATTERNS.items()], count=True)
+    rows = placed(texts, [(k, F.lit(p), hints[k]) for k, p in PATTERNS.items()], count=True)
     return rows.filter(valid(F.col("kind"), F.col("match")))
 
 
 def contexts(texts: DataFrame, spans: DataFrame, words: int) -> DataFrame:
-    """(entity, document, context, terms): the words up to ``words`` away from each entity, whatever else they belong to.
+    """(entity, kind, document, context, terms): the words up to ``words`` away from each entity, whatever else they belong to.
 
     ``document`` is the hash of the text, ``context`` that of the words.
     """
     plain = F.when(F.col("kind") == "email", F.lower("match")).otherwise(F.regexp_replace("match", "[^0-9.]", ""))
     each = spans.dropDuplicates(["th", "kind", "k"])  # a text once
     place = F.struct(
-        F.xxhash64("kind", plain).alias("entity"), F.col("before").cast("int").alias("before"), F.col("inside").cast("int").alias("inside")
+        F.xxhash64("kind", plain).alias("entity"), "kind", F.col("before").cast("int").alias("before"), F.col("inside").cast("int").alias("inside")
     )
     lists = each.groupBy("th", (F.col("kind") == "email").alias("mail")).agg(F.collect_list(place).alias("places"))
     side = broadcast_if_small(spans.select("th").distinct(), 1_000_000)
@@ -124,81 +127,94 @@ def contexts(texts: DataFrame, spans: DataFrame, words: int) -> DataFrame:
         left = F.slice(b["words"], first + 1, p["before"] - first)
         right = F.slice(b["words"], p["before"] + p["inside"] + 1, F.lit(words))
         lower = lambda c: F.transform(c, lambda w: F.lower(w))
-        return F.struct(p["entity"].alias("entity"), lower(left).alias("left"), lower(right).alias("right"))
+        return F.struct(p["entity"].alias("entity"), p["kind"].alias("kind"), lower(left).alias("left"), lower(right).alias("right"))
 
     found_here = F.get(F.transform(both, lambda b: F.transform(b["places"], lambda p: around(b, p))), F.lit(0))
     rows = some.join(lists, "th").select("th", F.inline(found_here))
     terms = F.filter(F.array_distinct(F.concat("left", "right")), lambda w: F.length(w) > 2)
-    return rows.select("entity", F.col("th").alias("document"), F.xxhash64("left", "right").alias("context"), terms.alias("terms"))
+    return rows.select("entity", "kind", F.col("th").alias("document"), F.xxhash64("left", "right").alias("context"), terms.alias("terms"))
 
 
-def revealing(texts: DataFrame, spans: DataFrame, generalise: float, prior: float, words: int) -> DataFrame:
-    """(term, share): the terms whose share of an entity's information reaches ``generalise``."""
+def revealing(texts: DataFrame, spans: DataFrame, least: float, prior: float, lift: float, words: int) -> DataFrame:
+    """(term, told, reveals): the terms that tell an entity, of which kind, with a probability of at least ``least`` and ``lift`` times its own."""
     near = materialize(contexts(texts, spans, words), "pii-contexts")
-    pairs = near.select("entity", "document", "context", F.explode("terms").alias("term")).groupBy("entity", "term").agg(
+    pairs = near.select("entity", "kind", "document", "context", F.explode("terms").alias("term")).groupBy("entity", "kind", "term").agg(
         F.least(F.count_distinct("document"), F.count_distinct("context")).alias("both")
     )
     pairs = materialize(pairs, "pii-pairs")
     if pairs.isEmpty():
-        return texts.sparkSession.createDataFrame([], "term string, share double")
-    hashed = texts.filter("text IS NOT NULL").withColumn("th", F.xxhash64("text"))
-    n = hashed.select("th").distinct().count()
+        return texts.sparkSession.createDataFrame([], "term string, told double, reveals string")
+    n = texts.filter("text IS NOT NULL").count()
     asked = materialize(pairs.select("term").distinct(), "pii-terms")
-    own = hashed.select(
-        "th", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term")
-    )
-    met = own.join(broadcast_if_small(asked, 1_000_000), "term", "left_semi")
-    df_term = met.groupBy("term").agg(F.count_distinct("th").alias("of_term"))
+    # a document once for each of its words: added up in each task, so what is shuffled follows the terms
+    own = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+    df_term = own.join(broadcast_if_small(asked, 1_000_000), "term", "left_semi").groupBy("term").agg(F.count("*").alias("of_term"))
     df_entity = near.groupBy("entity").agg(F.count_distinct("document").alias("of_entity"))
     known = pairs.join(df_term, "term").join(df_entity, "entity")
     chance = F.col("of_entity") / F.lit(float(n))
-    given = (F.col("both") + F.lit(float(prior)) * chance) / (F.col("of_term") + F.lit(float(prior)))
-    share = F.when(chance < 1, F.log2(given / chance) / -F.log2(chance))
-    terms = known.withColumn("share", share).groupBy("term").agg(F.max("share").alias("share"))
-    return materialize(terms.filter(F.col("share") >= generalise), "pii-revealing")
+    told = (F.col("both") + F.lit(float(prior)) * chance) / (F.col("of_term") + F.lit(float(prior)))
+    enough = known.withColumn("told", told).filter((told >= least) & (told >= lift * chance))
+    best = enough.groupBy("term").agg(F.max(F.struct("told", F.col("kind").alias("reveals"))).alias("best"))
+    return materialize(best.select("term", "best.*"), "pii-revealing")
+
+
+#: A word begins where no letter, alone or with marks, stands before it.
+WORD_START = r"(?<!\p{L})(?<!\p{L}\p{M}{1,8})"
 
 
 def term_spans(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """The places of revealing terms in all texts, as (id, th, kind, k, start, end, match, share)."""
+    """The places of revealing terms in all texts, as (id, th, kind, k, start, end, match, told, reveals).
+
+    The words of a text that are terms make a pattern of its own, so nothing
+    but their places leaves the text.
+    """
     some = texts.select(
         "id", F.xxhash64("text").alias("th"),
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"),
-    )
+        F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("form"),
+    ).withColumn("term", F.lower("form"))
     terms_side = broadcast_if_small(terms, 1_000_000)
-    where = materialize(some.join(terms_side, "term", "left_semi").select("id", "th").distinct(), "pii-documents")
+    forms = some.join(terms_side, "term", "left_semi").groupBy("id", "th").agg(F.sort_array(F.collect_set("form")).alias("forms"))
+    forms = materialize(forms, "pii-documents")
+    key = [F.col("id").eqNullSafe(F.col("wid")), F.col("th") == F.col("wth")]
+    named = forms.select(F.col("id").alias("wid"), F.col("th").alias("wth"), "forms")
     marked = texts.withColumn("th", F.xxhash64("text"))
-    where_side = broadcast_if_small(where.select(F.col("id").alias("wid"), F.col("th").alias("wth")), 1_000_000)
-    hit = marked.join(where_side, marked["id"].eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth")), "left_semi")
-    rows = placed(hit.select("id", "text"), [("term", WORD, F.lit(True))])
+    hit = marked.join(broadcast_if_small(named.drop("forms"), 1_000_000), key, "left_semi").dropDuplicates(["id", "th"])
+    pattern = F.concat(F.lit(f"{WORD_START}(?:"), F.array_join("forms", "|"), F.lit(r")(?![\p{L}\p{M}])"))
+    rows = placed(hit.join(named, key).select("id", "text", pattern.alias("pattern")), [("term", F.col("pattern"), F.lit(True))])
     return rows.withColumn("term", F.lower("match")).join(terms_side, "term").drop("term")
 
 
 def pii_spans(
     df: DataFrame,
-    generalise: float = 0.8,
-    remove: float = 0.95,
+    generalise: float = 0.2,
+    remove: float = 0.5,
     prior: float = 3.0,
+    lift: float = 10.0,
     words: int = 8,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(id, th, kind, start, end, action) of every span of personal data in every whole text.
+    """(id, th, kind, start, end, action, reveals) of every span of personal data in every whole text.
 
     ``th`` is the hash of the text; rows that repeat id and text share their
-    spans. Entities are masked; a term is generalised if it tells at least
-    ``generalise`` of an entity's information, removed from ``remove`` on;
-    what stands within ``words`` words of the entity counts, and ``prior`` is the
-    number of documents that the estimate starts with (see above). Null and empty
-    texts and empty tables have no spans.
+    spans. Entities are masked; a term is generalised if it tells an entity with
+    a probability of at least ``generalise``, removed from ``remove`` on, and
+    that is ``lift`` times the entity's own; what stands within ``words`` words
+    of the entity counts, and ``prior`` is the number of documents that the
+    estimate starts with (see above). With these values a term of one
+    surroundings is generalised if it stands in two documents at most, one of
+    three is removed if it stands nowhere else. Null and empty texts and empty
+    tables have no spans.
     """
     texts = narrow(df, id_col, text_col)
     base = materialize(entities(texts), "pii-entities")
-    terms = revealing(texts, base, generalise, prior, words)
-    spans = base.select("id", "th", "kind", "start", "end", F.lit("mask").alias("action"))
+    terms = revealing(texts, base, generalise, prior, lift, words)
+    spans = base.select("id", "th", "kind", "start", "end", F.lit("mask").alias("action"), F.lit(None).cast("string").alias("reveals"))
     if terms.isEmpty():
         return spans
     found_terms = term_spans(texts, terms).select(
-        "id", "th", "kind", "start", "end", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action")
+        "id", "th", "kind", "start", "end", F.when(F.col("told") >= remove, "remove").otherwise("generalise").alias("action"),
+        "reveals",
     )
     return spans.unionByName(found_terms)
 
@@ -228,7 +244,7 @@ def pii_summary(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
 
 
 def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """Every row's id and text with entities masked, revealing terms generalised or removed.
+    """Every row's id and text with entities masked, revealing terms removed or generalised to the kind of what they reveal.
 
     Spans that overlap are replaced as one, by the label of the first. Rows
     without spans keep their text, null included.
@@ -238,10 +254,11 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
     reached = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("start") < reached, 0).otherwise(1)).over(before)
     merged = spans.withColumn("island", island).groupBy("id", "th", "island").agg(
-        F.min(F.struct("start", F.col("end"), "kind", "action")).alias("first"), F.max("end").alias("last")
+        F.min(F.struct("start", F.col("end"), "kind", "action", "reveals")).alias("first"), F.max("end").alias("last")
     )
     label = F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv])[F.col("first.kind")]
-    label = F.when(F.col("first.action") == "remove", "").otherwise(label)
+    general = F.concat(F.lit("["), F.upper("first.reveals"), F.lit(" CONTEXT]"))
+    label = F.when(F.col("first.action") == "remove", "").when(F.col("first.action") == "generalise", general).otherwise(label)
     merged = merged.select("id", "th", F.col("first.start").alias("start"), F.col("last").alias("end"), label.alias("label"))
     lists = merged.groupBy(F.col("id").alias("sid"), F.col("th").alias("sth")).agg(
         F.sort_array(F.collect_list(F.struct("start", "end", "label"))).alias("cuts")

@@ -100,6 +100,30 @@ def test_terms_of_an_entity_that_stands_once(spark):
     assert len(near) == 2 and all(v <= want for v in near) and want - {"example"} in near
 
 
+def test_thresholds_do_not_move_with_the_corpus(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    rows = [(i, " ".join(word() for _ in range(20))) for i in range(100)]
+    rows += [(200, "Quillfeather Marwick: q.v@example.org"), (201, "Quillfeather was here"), (202, "Here too was once Quillfeathers"), (203, None)]
+    rows += [(300 + i, f"Ashdown{i % 2} {word()} +1 386 555 3733 {word()}") for i in range(6)]
+    rows += [(400 + i, f"Tenfold {word()}") for i in range(3)] + [(500, "Tenfold x@tenfold.org \u0301 Te\u0301nfold")]
+
+    def terms(rows):
+        got = pii.pii_spans(docs(spark, rows)).filter("kind = 'term'").collect()
+        text = dict(rows)
+        assert all(re.fullmatch("[^\\W\\d_]+", text[r["id"]][r["start"] : r["end"]].replace("\u0301", "")) for r in got)
+        found = {(text[r["id"]][r["start"] : r["end"]], r["action"]) for r in got}
+        return {(w, a) for w, a in found if w[0].isupper()}
+
+    small = terms(rows)
+    assert {("Quillfeather", "generalise"), ("Marwick", "generalise")} <= small
+    assert ("Ashdown", "remove") in small and not {w for w, _ in small} & {"Tenfold", "Quillfeathers"}
+    fresh = [(10_000 + i, " ".join(word() * 2 for _ in range(20))) for i in range(1000)]
+    assert terms(rows + fresh) == small
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs(spark, rows)).collect()}
+    assert clean[201] == "[EMAIL CONTEXT] was here" and clean[203] is None
+
+
 def test_overlapping_spans_and_repeated_rows(spark):
     t = "call +1 (386) 555-3733, pay 4111 1111 1111 1111; from 1.2.3.4, me@x.org or +10.20.30.40"  # a phone that is an address too
     rows = [(1, t), (1, t), (None, t), (2, "plain")]
