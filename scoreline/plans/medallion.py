@@ -41,15 +41,18 @@ class RunReport:
     checks: list[dict] = field(default_factory=list)
 
 
-def _bronze(tables: Tables, docs: DataFrame, report: RunReport) -> None:
-    """This batch's entities into bronze, in place of what an earlier attempt of the batch wrote."""
+def _bronze(tables: Tables, docs: DataFrame, report: RunReport) -> DataFrame:
+    """This batch's entities, and the documents that can't be read, into bronze, in place of what an earlier attempt
+    of the batch wrote; returns the readable documents."""
     docs = docs.persist()  # parsed once for the three entities
     try:
+        report.rows["bronze_rejected"] = tables.append_batch(landing.malformed(docs), "bronze_rejected", report.batch_id)
         for entity in BRONZE:
-            rows = _entity(docs, entity)
+            rows = _entity(landing.sound(docs), entity)
             report.rows[f"bronze_{entity}"] = tables.append_batch(rows, f"bronze_{entity}", report.batch_id)
     finally:
         docs.unpersist()
+    return landing.sound(docs)
 
 
 def _entity(docs: DataFrame, entity: str) -> DataFrame:
@@ -106,10 +109,7 @@ def run(
     failure when ``enforce``). With ``events_dir``, new event files are landed
     and silver events / gold top scorers rebuilt as well."""
     report = RunReport(batch_id)
-    docs = landing.read_latest(spark, landing_dir, tolerant=True)
-    report.rows["bronze_rejected"] = tables.append_batch(landing.malformed(docs), "bronze_rejected", batch_id)
-    docs = landing.sound(docs).drop(landing.OTHER)
-    _bronze(tables, docs, report)
+    docs = _bronze(tables, landing.read_latest(spark, landing_dir, tolerant=True), report)
 
     # silver (incremental over the snapshots before this batch)
     for name, entity, build in SILVER:
