@@ -192,6 +192,7 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     salts: int = 64,
+    group_rows: int = 1_000_000,
 ) -> DataFrame:
     """Pack all texts into sequences of at most ``size`` tokens.
 
@@ -206,11 +207,13 @@ def pack(
 
     The driver holds the histogram of lengths and the plan: at most ``size``
     lengths, whatever the input. Numbering the pieces of one length shuffles
-    five numbers a piece; a length that a third of all pieces have is spread
-    over ``salts`` groups.
+    six numbers a piece; a length that all pieces have is spread over ``salts``
+    groups, or over as many as hold ``group_rows`` pieces each.
     """
-    pieces = materialize(token_pieces(df, tokenizer, size, end_id, id_col, text_col), "pieces")
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("id", "piece"), F.lit(salts)))
+    counted = token_pieces(df, tokenizer, size, end_id, id_col, text_col)
+    pieces = materialize(counted.withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    salts = max(salts, -(-pieces.count() // group_rows))
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(salts)))
     groups = materialize(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "piece-counts")
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = groups.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
@@ -242,7 +245,7 @@ def pack(
             yield pa.RecordBatch.from_arrays([*cols, pa.array(seq), pa.array(offset)], names=names)
 
     names = [id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    order = Window.partitionBy("length", "salt").orderBy("id", "piece", "ids_crc32")
+    order = Window.partitionBy("length", "salt").orderBy("uid")
     numbered = (
         salted.withColumn("own", F.row_number().over(order) - 1)
         .join(starts, ["length", "salt"])  # dealt out as the window is
