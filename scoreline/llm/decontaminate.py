@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, materialize, narrow, words
@@ -130,30 +130,31 @@ def benchmark_items(
 
 
 def laid(texts: DataFrame, known: DataFrame, items: int, sizes: list[int], threshold: float) -> DataFrame:
-    """(id, th, windows, weights): per text the windows (s, start, m) to test and the weights of its known shingles."""
+    """(id, th, windows): per text the windows (s, start, m) to test."""
     tokens = texts.select("id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("tokens"))
-    known = broadcast_if_small(known, 2_000_000)
+    places = broadcast_if_small(known.select("h", "places"), 2_000_000)
     hits = None
     for s in sizes:
         own = tokens.select("id", "th", F.lit(s).alias("s"), F.posexplode(shingles(F.col("tokens"), s)).alias("p", "h"))
         hits = own if hits is None else hits.unionByName(own)
-    hits = materialize(hits.join(known, "h").withColumn("w", weight(F.col("df"), items)), "benchmark-hits")
+    hits = materialize(hits.join(places, "h"), "benchmark-hits")
     at = hits.select("id", "th", "p", "s", F.explode("places").alias("place")).filter(F.col("place.s") == F.col("s"))
-    window = F.struct("s", (F.col("p") - F.col("place.q")).alias("start"), F.col("place.m").alias("m"))
-    windows = at.groupBy("id", "th").agg(F.collect_set(window).alias("windows"))
-    seen = hits.groupBy("id", "th").agg(
-        F.map_from_entries(F.collect_set(F.struct("h", "w"))).alias("weights"),
-        F.collect_set(F.struct("s", "p")).alias("at"),
-    )
-    both = windows.withColumnRenamed("id", "wid").withColumnRenamed("th", "wth").join(
-        seen, F.col("wid").eqNullSafe(F.col("id")) & (F.col("wth") == F.col("th"))
+    windows = at.select("id", "th", "s", (F.col("p") - F.col("place.q")).alias("start"), F.col("place.m").alias("m")).distinct()
+    # known shingles inside each window: what comes before its end less what comes before its start, from one
+    # running count over the text, in which a window's borders stand before the shingle of their place
+    border = lambda side, pos: windows.select("id", "th", "s", pos.alias("pos"), F.lit(side).alias("side"), "start", "m")
+    here = hits.select("id", "th", "s", F.col("p").alias("pos"), F.lit(2).alias("side")).distinct()
+    marks = (
+        border(0, F.col("start")).unionByName(border(1, F.col("start") + F.col("m"))).unionByName(here, allowMissingColumns=True)
     )
+    upto = Window.partitionBy("id", "th", "s").orderBy("pos", "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = marks.withColumn("n", F.sum((F.col("side") == 2).cast("long")).over(upto)).filter("side < 2")
+    inside = F.max(F.when(F.col("side") == 1, F.col("n"))) - F.max(F.when(F.col("side") == 0, F.col("n")))
+    counted = counted.groupBy("id", "th", "s", "start", "m").agg(inside.alias("n"))
     # a window needs shared weight of at least the threshold times the item's, so at least so many known shingles
     least = threshold / (1 + math.log(items + 1))
-    enough = lambda w: F.size(
-        F.filter("at", lambda a: (a["s"] == w["s"]) & (a["p"] >= w["start"]) & (a["p"] < w["start"] + w["m"]))
-    ) >= F.lit(least) * w["m"]
-    return both.select("id", "th", F.filter("windows", enough).alias("windows"), "weights").filter(F.size("windows") > 0)
+    enough = counted.filter(F.col("n") >= F.lit(least) * F.col("m"))
+    return enough.groupBy("id", "th").agg(F.collect_list(F.struct("s", "start", "m")).alias("windows"))
 
 
 def find_leaks(
@@ -218,20 +219,29 @@ def matches(
     own = own.dropDuplicates(["id", "th"]).select("id", "th", words(F.col("text")).alias("tokens"))
     asked = windows.withColumnRenamed("id", "wid").withColumnRenamed("th", "wth")
     both = own.join(asked, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth")))
-    for s in sizes:
-        both = both.withColumn(f"shingles{s}", shingles(F.col("tokens"), s))
-    both = both.withColumn("window", F.explode("windows")).select("id", "th", "weights", "window.*", *(f"shingles{s}" for s in sizes))
-    mine = F.lit(None).cast("array<long>")
-    for s in sizes:
-        mine = F.when(F.col("s") == s, F.col(f"shingles{s}")).otherwise(mine)
-    first = F.greatest(F.col("start"), F.lit(0))
-    part = F.slice(mine, first + 1, F.least(F.col("start") + F.col("m"), F.size(mine)) - first)
-    unknown = F.lit(1 + math.log(n + 1))
-    win = F.transform(part, lambda h: F.struct(h.alias("h"), F.coalesce(F.try_element_at("weights", h), unknown).alias("w")))
-    cut = both.select("id", "th", "s", "m", first.alias("word_start"), F.size(part).alias("length"), win.alias("win"))
-    cut = materialize(cut.withColumn("wh", F.xxhash64("win")), "benchmark-cuts")
-
-    fingerprinted = cut.groupBy("wh", "s", "m").agg(F.first("win").alias("win")).withColumn("fp", simhash(F.col("win"), lean))
+    # the shingles of a text once; its windows are cut from them before they become rows
+    all_of = F.array(F.struct(*(shingles(F.col("tokens"), s).alias(f"s{s}") for s in sizes)))
+
+    def cut_from(own: Column, w: Column) -> Column:
+        mine = F.lit(None).cast("array<long>")
+        for s in sizes:
+            mine = F.when(w["s"] == s, own[f"s{s}"]).otherwise(mine)
+        first = F.greatest(w["start"], F.lit(0))
+        part = F.slice(mine, first + 1, F.least(w["start"] + w["m"], F.size(mine)) - first)
+        return F.struct(w["s"].alias("s"), w["m"].alias("m"), first.alias("word_start"), part.alias("part"))
+
+    cuts = F.get(F.transform(all_of, lambda own: F.transform("windows", lambda w: cut_from(own, w))), F.lit(0))
+    cut = both.select("id", "th", F.inline(cuts)).withColumn("length", F.size("part"))
+    cut = materialize(cut.withColumn("wh", F.xxhash64("part")), "benchmark-cuts")
+
+    # equal windows once, with the weights of their shingles
+    each = cut.groupBy("wh", "s", "m").agg(F.first("part").alias("part"))
+    each = each.select("wh", "s", "m", F.posexplode("part").alias("q", "h"))
+    weights = broadcast_if_small(known.select("h", weight(F.col("df"), n).alias("w")), 2_000_000)
+    weighed = each.join(weights, "h", "left").withColumn("w", F.coalesce("w", F.lit(1 + math.log(n + 1))))
+    in_turn = F.array_sort(F.collect_list(F.struct("q", "h", "w")))
+    win = F.transform(in_turn, lambda x: F.struct(x["h"].alias("h"), x["w"].alias("w")))
+    fingerprinted = weighed.groupBy("wh", "s", "m").agg(win.alias("win")).withColumn("fp", simhash(F.col("win"), lean))
     fingerprinted = materialize(fingerprinted, "benchmark-hashes")
     probes = F.array(*(block_entry(b)(v) for b, v in enumerate(blocks(F.col("fp")))))
     asked = fingerprinted.select("wh", "s", "m", "fp", F.inline(probes))

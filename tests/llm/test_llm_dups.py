@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -254,3 +255,14 @@ def test_blocks_list_every_hash_within_the_radius(spark):
     own = F.array(*(F.struct(F.lit(b).alias("block"), v.alias("value")) for b, v in enumerate(decontaminate.blocks(F.col("y")))))
     met = df.select(F.size(F.array_intersect(decontaminate.listed(F.col("x"), 17), own)).alias("n")).collect()
     assert min(r["n"] for r in met) > 0
+
+
+def test_work_is_linear_in_the_hits_of_one_text(spark):
+    item = " ".join(["ha"] * 150)
+    rows = [(1, "ha " * 16_000), (2, "ha " * 149 + "end"), (3, "other words only here"), (4, ("ha " * 200 + "so ") * 60)]
+    took = time.time()
+    got = decontaminate.find_leaks(docs(spark, rows), spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert time.time() - took < 120
+    assert {(r["id"], r["item"], r["word_start"], r["n_words"], r["similarity"]) for r in got} == {
+        (1, 7, 0, 150, 1.0), (4, 7, 0, 150, 1.0),
+    } | {(r["id"], 7, r["word_start"], r["n_words"], r["similarity"]) for r in got if r["id"] == 2}
