@@ -13,15 +13,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import map_texts, materialize, mix64, narrow, partitions
+from .common import map_texts, mix64, narrow, partitions
 
 SIZE = 24  # bytes of a window
 REACH = 24  # windows of a neighbourhood
@@ -184,40 +186,22 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
-def in_order(texts: DataFrame) -> DataFrame:
-    """(bucket, guest, id, h, text) sorted within partitions: a bucket holds a range of ids, largest first.
+def place(i: int | None, h: int) -> tuple:
+    """Where a row stands: descending ids, null last, then by the hash of its text."""
+    return (i is None, -i if i is not None else 0, h)
 
-    After a bucket's rows comes a guest: the row that follows its last one,
-    which is the first of the next bucket that has rows (after the last the
-    very first).
+
+def first_places(texts: DataFrame) -> list[tuple]:
+    """The place of the first row of each bucket, in order: one for each range partition of (id, hash).
+
+    Only the two numbers are shuffled. Equal ids with different texts may lie in several buckets.
     """
-    spark = texts.sparkSession
-    n = 3 * partitions(spark)
-    key = F.coalesce(F.col("id"), F.lit(-(1 << 63)))
-    cuts = texts.select(F.percentile_approx(key, [i / n for i in range(1, n)], 10_000)).first()[0] or []
-    bounds = -np.unique(np.array(cuts, np.int64))[::-1].astype(np.float64)
-
-    @F.pandas_udf("int")
-    def bucket(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, -ids.to_numpy().astype(np.float64)).astype(np.int32))
-
-    rows = texts.select("id", "text", bucket(key).alias("bucket"))
-    tops = rows.groupBy("bucket").agg(F.max(key).alias("top"), F.lit(1).alias("one"))  # a row for each bucket
-    turn = Window.partitionBy("one").orderBy("bucket")
-    tops = tops.select(
-        F.coalesce(F.lag("bucket").over(turn), F.last("bucket").over(turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("host"),
-        "bucket",
-        "top",
-    )
-    tops = materialize(tops, "bucket-tops")
-    h = F.xxhash64("text")
-    heads = rows.withColumn("key", key).join(F.broadcast(tops), (F.col("key") == F.col("top")) & (rows["bucket"] == tops["bucket"]))
-    guests = heads.groupBy("host").agg(F.min(F.struct(h.alias("h"), "text", "id")).alias("g"))
-    both = rows.select("bucket", F.lit(False).alias("guest"), "id", h.alias("h"), "text").unionByName(
-        guests.select(F.col("host").alias("bucket"), F.lit(True).alias("guest"), "g.id", "g.h", "g.text")
-    )
-    dealt = both.repartition(partitions(spark), "bucket")
-    return dealt.sortWithinPartitions("bucket", "guest", F.col("id").desc_nulls_last(), "h")
+    n = partitions(texts.sparkSession)
+    keys = texts.select("id", F.xxhash64("text").alias("h"))
+    ranged = keys.repartitionByRange(n, F.col("id").desc_nulls_last(), "h").withColumn("part", F.spark_partition_id())
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), (-F.coalesce("id", F.lit(0))).alias("down"), "h"))
+    tops = ranged.groupBy("part").agg(first.alias("first")).select("first.*")  # a row for each partition
+    return sorted({(r["none"], r["down"], r["h"]) for r in tops.collect()})
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_chars: int = 2_000_000) -> DataFrame:
@@ -232,45 +216,115 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Repeated rows follow each other; a table of one row follows itself; an
     empty table gives no rows.
 
-    A text is shuffled once, into the range of ids that it belongs to; the
-    corpus statistics are 1001 counts.
+    A text is shuffled once, into its bucket, a range of (id, hash), so the next
+    document stands beside it; a bucket's first row is also sent, as a guest, to
+    the bucket before. Rows that repeat id and text follow themselves wherever
+    they are: all but one of a task are worked out there. So neither an id nor a
+    row that a third of the table has makes a bucket large. The driver holds a
+    place for each partition and the corpus statistics, 1001 counts.
     """
     texts = narrow(df, id_col, text_col)
-    rank = texts.sparkSession.sparkContext.broadcast(rarity(texts))
-    schema = (
-        f"`{id_col}` long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double"
+    spark = texts.sparkSession
+    rank = spark.sparkContext.broadcast(rarity(texts))
+    tops = spark.sparkContext.broadcast(first_places(texts))
+    n = partitions(spark)
+    result = (
+        "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     )
-
-    def results(rows: list[tuple], following: str) -> pa.RecordBatch:
-        bodies = [t for _, t in rows] + [following]
-        changed = [edited(t, u) for t, u in zip(bodies, bodies[1:])]
-        raw = [t.encode("utf-8", "surrogatepass") for t in bodies + changed]
+    names = ["id", *(f.split()[0] for f in result.split(", "))]
+    types = to_arrow_schema(spark.createDataFrame([], f"id long, {result}").schema)
+    dealt_types = to_arrow_schema(spark.createDataFrame([], f"bucket int, guest boolean, h long, text string, id long, {result}").schema)
+
+    def worked(ids: list, texts: list[str], following: list[int]) -> dict[str, list]:
+        """The results of the first texts, one for each id, given the numbers of those that follow them."""
+        changed = [edited(t, texts[k]) for t, k in zip(texts, following)]
+        raw = [t.encode("utf-8", "surrogatepass") for t in [*texts, *changed]]
         found = digests(raw, rank.value)
-        own, other = found[: len(bodies)], found[len(bodies) :]
-        return pa.RecordBatch.from_pydict(
-            {
-                id_col: pa.array([i for i, _ in rows], pa.int64()),
-                "n_chars": [len(t) for _, t in rows],
-                "edited_sha256": [hashlib.sha256(t).hexdigest() for t in raw[len(bodies) :]],
-                "fingerprint": [str(d) for d in own[:-1]],
-                "edited_fingerprint": [str(d) for d in other],
-                "near_edited": [likeness(a, b) for a, b in zip(own, other)],
-                "near_next": [likeness(a, b) for a, b in zip(own, own[1:])],
-            }
+        own, other = found[: len(texts)], found[len(texts) :]
+        columns = (
+            ids,
+            [len(t) for t in texts[: len(ids)]],
+            [hashlib.sha256(t).hexdigest() for t in raw[len(texts) :]],
+            [str(d) for d in own[: len(ids)]],
+            [str(d) for d in other],
+            [likeness(a, b) for a, b in zip(own, other)],
+            [likeness(a, own[k]) for a, k in zip(own, following)],
         )
+        return dict(zip(names, columns))
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts to their buckets and, as guests, to the one before; the results of rows that a task has seen before."""
+        seen: set[int] = set()  # id and hash in one number
+        first = set(tops.value)
+        own = TaskContext.get().partitionId()
+        for ids, hashes, bodies in hashed(batches):
+            out: dict[str, list] = {c: [] for c in ("bucket", "guest", "h", "text", "id")}
+            repeats: list[tuple] = []
+            for i, h, t in zip(ids, hashes, bodies):
+                code = h if i is None else (i << 66) + h
+                if code in seen:
+                    repeats.append((i, code, t or ""))
+                    continue
+                seen.add(code)
+                key = place(i, h)
+                b = bisect_right(tops.value, key) - 1
+                hosts = [(b, False)] + ([((b - 1) % len(tops.value), True)] if key in first else [])
+                for bucket, guest in hosts:
+                    for column, value in zip(out.values(), (bucket, guest, h, t or "", i)):
+                        column.append(value)
+            empty = [None] * len(out["id"])
+            yield pa.RecordBatch.from_pydict({**out, **{c: empty for c in names[1:]}}, schema=dealt_types)
+            if repeats:
+                # each different one is worked out once
+                once = {code: (i, t) for i, code, t in repeats}
+                done = worked([i for i, _ in once.values()], [t for _, t in once.values()], list(range(len(once))))
+                at = {code: k for k, code in enumerate(once)}
+                rows = {c: [v[at[code]] for _, code, _ in repeats] for c, v in done.items()}
+                m = len(repeats)
+                spread = [(own + k) % len(tops.value) for k in range(m)]
+                none = {"bucket": spread, "guest": [False] * m, "h": [None] * m, "text": [None] * m}
+                yield pa.RecordBatch.from_pydict({**none, **rows}, schema=dealt_types)
+
+    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
+        for b in batches:
+            ids, hashes, bodies = (b.column(c).to_pylist() for c in ("id", "h", "text"))
+            start = size = 0
+            for k, t in enumerate(bodies):
+                size += len(t) if t else 0
+                if size >= max_chars:
+                    yield ids[start : k + 1], hashes[start : k + 1], bodies[start : k + 1]
+                    start, size = k + 1, 0
+            if start < len(ids):
+                yield ids[start:], hashes[start:], bodies[start:]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        size = 0
+        size, bucket = 0, None
+
+        def results(following: str) -> pa.RecordBatch:
+            after = list(range(1, len(rows) + 1))
+            return pa.RecordBatch.from_pydict(worked([i for i, _ in rows], [*(t for _, t in rows), following], after), schema=types)
+
         for b in batches:
-            for bucket, guest, i, t in zip(*(b.column(c).to_pylist() for c in ("bucket", "guest", "id", "text"))):
-                t = t or ""
+            done = np.flatnonzero(~b.column("text").is_valid().to_numpy(zero_copy_only=False))
+            if len(done):
+                yield b.take(pa.array(done)).select(names)
+            for at, guest, i, t in zip(*(b.column(c).to_pylist() for c in ("bucket", "guest", "id", "text"))):
+                if t is None or (guest and bucket != at):
+                    continue  # a result, or a guest that more than one task has sent
+                bucket = at
                 if rows and (guest or size >= max_chars):
-                    yield results(rows, t)
+                    yield results(t)
                     rows, size = [], 0
-                if not guest:
+                if guest:
+                    bucket = None
+                else:
                     rows.append((i, t))
                     size += len(t)
 
-    return in_order(texts).mapInArrow(run, schema)
+    rows = texts.select("id", F.xxhash64("text").alias("h"), "text")
+    sent = rows.mapInArrow(deal, f"bucket int, guest boolean, h long, text string, id long, {result}")
+    sorted_rows = sent.repartitionById(n, F.col("bucket")).sortWithinPartitions(
+        "bucket", "guest", F.col("id").desc_nulls_last(), "h"
+    )
+    return sorted_rows.mapInArrow(run, f"id long, {result}").withColumnRenamed("id", id_col)

@@ -1,5 +1,6 @@
 """Personal data, language, toxicity, fingerprints and the pipeline."""
 
+import bisect
 import hashlib
 import random
 import re
@@ -7,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from scoreline.llm import fingerprints, language, pii, toxicity
@@ -256,6 +258,60 @@ def test_fingerprints_and_their_neighbours(spark):
     assert fingerprints.fingerprints(docs(spark, [])).count() == 0
 
 
+def test_hot_ids_and_rows_are_spread(spark):
+    rng = random.Random(31)
+    rows = [(i, f"text {rng.random()} " * 12) for i in range(300)]
+    rows += [(None, f"no id {rng.random()} " * 12) for _ in range(300)]  # a third without an id
+    rows += [(None, None)] * 200 + [(7, "the same row " * 9)] * 100
+    df = docs(spark, rows).repartition(6)
+    got = fingerprints.fingerprints(df).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
+    order = sorted(
+        ((i is None, -(i or 0), h, t or "") for (i, t), (h,) in zip(rows, docs(spark, rows).selectExpr("xxhash64(text)").collect())),
+    )
+    want = Counter()
+    for (none, down, _, t), (_, _, _, u) in zip(order, order[1:] + order[:1]):
+        k = len(t) // 3
+        want[None if none else -down, len(t), hashlib.sha256((t[: len(t) - k] + u[:k]).encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == want
+    # buckets: no task has more than twice the median
+    texts = df.selectExpr("doc_id AS id", "text")
+    tops = fingerprints.first_places(texts)
+    places = sorted({fingerprints.place(r["id"], r["h"]) for r in texts.selectExpr("id", "xxhash64(text) AS h").collect()})
+    sizes = sorted(Counter(bisect.bisect_right(tops, p) for p in places).values())
+    assert len(sizes) >= 6 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_features_and_likeness_by_definition():
+    rng = random.Random(32)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(n)).encode() for n in (0, 5, 60, 300, 3000)]
+    rank = np.random.default_rng(3).permutation(fingerprints.BINS)
+    found = fingerprints.digests(texts, rank)
+    one, other = found[4], fingerprints.digests([texts[4][:2000] + texts[3]], rank)[0]
+    for d in found:
+        assert len(d.counts) == len(d.filters) and (d.counts[:-1] == fingerprints.PER_FILTER).all()
+        assert (d.filters.sum(1) <= fingerprints.PROBES * d.counts).all()
+
+    def best(f, others):
+        scores = [0.0]
+        for g in others:
+            chance = f.sum() * g.sum() / fingerprints.BITS
+            room = min(f.sum(), g.sum()) - chance
+            scores.append(max(0.0, min(1.0, ((f & g).sum() - chance) / max(room, 1e-9))))
+        return max(scores)
+
+    def by_definition(a, b):
+        way = lambda x, y: sum(n * best(f, y.filters) for n, f in zip(x.counts, x.filters)) / x.counts.sum()
+        if len(a.counts) == len(b.counts):
+            return (way(a, b) + way(b, a)) / 2
+        return way(a, b) if len(a.counts) < len(b.counts) else way(b, a)
+
+    for a, b in ((one, other), (one, found[3]), (found[3], found[2])):
+        assert fingerprints.likeness(a, b) == pytest.approx(by_definition(a, b), abs=1e-5)
+    assert fingerprints.likeness(one, one) == pytest.approx(1.0) and fingerprints.likeness(found[0], found[0]) == 1.0
+    assert fingerprints.likeness(found[0], one) == 0.0
+
+
 def test_pipeline_stages_keep_columns_and_chain(spark, tmp_path):
     rng = random.Random(13)
     rows = [(i, t, v) for i, t, v in spoken(120, 14)]
