@@ -131,9 +131,9 @@ class Model:
 def sample(df: DataFrame, per_lang: int, max_chars: int, id_col: str, text_col: str, lang_col: str, held: int) -> list:
     """At most ``per_lang`` labelled training texts of each language, chosen by a hash of the text.
 
-    Equal texts count once. Texts of at most ``max_chars`` characters are
-    preferred, so the sample holds at most ``per_lang`` texts a language and is
-    bounded in bytes; the choice doesn't depend on partitions or order.
+    Equal texts count once. Only texts of at most ``max_chars`` characters are
+    taken, so the sample is bounded in bytes, and a language that only longer
+    texts have isn't learned; the choice doesn't depend on partitions or order.
     """
     key = F.col(f"`{id_col}`").cast("long")
     rows = df.select(key.alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")).filter(
