@@ -47,6 +47,9 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--tables", required=True)
     s.add_argument("--continuous", action="store_true")
     s.add_argument("--max-files-per-trigger", type=int)
+    s.add_argument("--only-live", action="store_true", help="only land rows while no match is open")
+    for p in (e, s):
+        p.add_argument("--every", default="5 minutes", help="interval of a continuous job")
     a = ap.parse_args(argv)
 
     spark = get_spark()
@@ -74,8 +77,10 @@ def main(argv: list[str] | None = None) -> int:
 
         once = not a.continuous
         ck, bronze, silver, log = (tables.path(x) for x in ("_checkpoints", "bronze_match_events", "stream_silver_events", "gold_top_scorers_log"))
-        se.land_events(spark, a.input, bronze, f"{ck}/land", once, a.max_files_per_trigger)
-        se.silver_events(spark, bronze, silver, f"{ck}/silver", once, then=lambda: se.top_scorers(spark, silver, log))
+        seen = tables.path("stream_progress")
+        se.land_events(spark, a.input, bronze, f"{ck}/land", once, a.max_files_per_trigger, progress_path=seen, every=a.every)
+        then = lambda: se.top_scorers(spark, silver, log)
+        se.silver_events(spark, bronze, silver, f"{ck}/silver", once, then=then, every=a.every)
         if not once:
             spark.streams.awaitAnyTermination()
     else:
@@ -89,6 +94,8 @@ def main(argv: list[str] | None = None) -> int:
             MATCHES_STREAM,
             available_now=not a.continuous,
             max_files=a.max_files_per_trigger,
+            only_live=a.only_live,
+            every=a.every,
         )
         if a.continuous:
             spark.streams.awaitAnyTermination()

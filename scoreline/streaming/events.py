@@ -70,8 +70,12 @@ def rejected(spark: SparkSession, bronze_path: str) -> DataFrame:
     return spark.read.schema(EVENTS_LANDED).parquet(bronze_path).filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
-def _run(writer, available_now: bool = True) -> StreamingQuery:
-    q = (writer.trigger(availableNow=True) if available_now else writer).start()
+def _run(writer, available_now: bool = True, every: str | None = None) -> StreamingQuery:
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
+    q = writer.start()
     if available_now:
         q.awaitTermination()
     return q
@@ -85,9 +89,11 @@ def land_events(
     available_now: bool = True,
     max_files: int | None = None,
     progress_path: str | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Bronze: every new event file lands once in a parquet table
     (``max_files`` bounds the files per micro-batch; availableNow honours it).
+    ``every`` is the interval of a job that goes on ('5 minutes').
 
     What each micro-batch brought is counted; with ``progress_path`` it is kept
     there (a job that goes on keeps it through a ``ProgressLog``).
@@ -96,7 +102,7 @@ def land_events(
     if progress_path and not available_now:
         spark.streams.addListener(progress.ProgressLog(spark, progress_path))
     w = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-    q = _run(w.option("path", out_path).outputMode("append"), available_now)
+    q = _run(w.option("path", out_path).outputMode("append"), available_now, every)
     if progress_path and available_now:
         progress.keep(spark, q, progress_path)
     return q
@@ -171,6 +177,7 @@ def silver_events(
     then=None,
     delay: str = "2 days",
     restamped: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Silver: the bronze table as a stream, each event once; ``then()`` runs after each micro-batch.
 
@@ -203,7 +210,7 @@ def silver_events(
     store = spark.conf.get(STATE_STORE)
     spark.conf.set(STATE_STORE, ROCKSDB)  # read when the query starts, and kept in its checkpoint
     try:
-        return _run(w, available_now)
+        return _run(w, available_now, every)
     finally:
         spark.conf.set(STATE_STORE, store)
 

@@ -390,3 +390,19 @@ def test_files_of_whole_documents(spark):
     assert rows.filter("path IS NULL OR modified IS NULL").count() == 0
     pages = files.read_pages(spark, path, "part-*")
     assert pages.count() == 5 and pages.select("page_id").distinct().count() == 5
+
+
+def test_a_job_that_goes_on_runs_at_its_interval(spark):
+    root = scratch_path(spark, "t-every")
+    tables = Tables(spark, f"{root}/tables")
+    row = ("A", "B", 1, 0, "G", 1, "S", "finished", None, DAY)
+    matches = spark.createDataFrame([row], MATCH)
+    matches.write.option("timestampNTZFormat", events_src.NTZ_FORMAT).json(f"{root}/in")
+    q = stream_standings.run_standings(
+        spark, f"{root}/in", tables, f"{root}/ck", matches.schema, available_now=False, buckets=4, every="1 second"
+    )
+    try:
+        q.processAllAvailable()
+        assert q.isActive and {r["team"] for r in stream_standings.current(tables).collect()} == {"A", "B"}
+    finally:
+        q.stop()
