@@ -165,9 +165,10 @@ def sample(
     # the ids are thinned before they meet the texts, so the join moves a bounded number of texts
     some = met.filter((F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)) < share[F.col("toxic")])
     drawn = texts.join(F.broadcast(some), "id")  # at most 4 x per_label ids, more or less
-    rows = drawn.groupBy("toxic", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text")).collect()
-    rows.sort(key=lambda r: (r["toxic"], r["h"]))
-    return [(r["text"], y) for y in (0, 1) for r in [r for r in rows if r["toxic"] == y][:per_label]], counts
+    once = drawn.groupBy("toxic", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"))
+    once = materialize(once, "labelled-texts")
+    taken = [once.filter(F.col("toxic") == y).orderBy("h").limit(per_label).collect() for y in (0, 1)]
+    return [(r["text"], r["toxic"]) for rows in taken for r in rows], counts
 
 
 def toxicity(
@@ -185,7 +186,8 @@ def toxicity(
 
     The dictionaries and the calibration are fitted on a bounded sample: up to
     ``per_label`` distinct texts of each label, of at most ``max_chars``
-    characters, from rows whose crc32(id) mod 5 is not ``held``. The calibration
+    characters, from rows whose crc32(id) mod 5 is not ``held``; a label that only
+    longer texts have isn't learned. The calibration
     is corrected to the odds of the labels among all such rows (an id counts
     once), so a score means the same however many were cut. Windows are
     ``window`` words; all windows of the whole text are compressed. Returns
@@ -207,5 +209,5 @@ def toxicity(
             "predicted": [int(s >= 0.5) for s in scores],
         }
 
-    schema = f"`{id_col}` long, held_out boolean, score double, predicted long"
+    schema = f"`{id_col}` long, held_out boolean, score double, predicted int"
     return map_texts(narrow(df, id_col, text_col), schema, each)
