@@ -129,17 +129,21 @@ def as_of(table: DataFrame, ts) -> DataFrame:
     return table.filter((F.col("effective_from") <= t) & (F.col("effective_to").isNull() | (F.col("effective_to") > t)))
 
 
-def as_of_join(facts: DataFrame, versions: DataFrame, on: dict[str, str], at: str, take: dict[str, str], bins: int = 64) -> DataFrame:
+def as_of_join(
+    facts: DataFrame, versions: DataFrame, on: dict[str, str], at: str, take: dict[str, str], bins: int = 64, many: int = 100_000
+) -> DataFrame:
     """Each row of ``facts`` with the version of its key that was open at its own instant ``at``.
 
     ``on`` maps columns of ``facts`` to the key columns of ``versions`` (null
     matches null), ``take`` names what comes from the version; rows without an
     open version, or without an instant, have nulls there.
 
-    The time that the facts span is cut into ``bins``. A version is listed under
-    the bins it was open in, a fact looks up its own bin, so the join is an
-    equi-join on key and bin: a key with many facts and versions meets itself
-    bin by bin, and no version is listed more than ``bins`` + 1 times.
+    It is an equi-join on the key. For keys with more than ``many`` facts, of
+    which there are few, the time that the facts span is cut into ``bins``: a
+    version of such a key is listed under the bins it was open in, a fact looks
+    up its own bin, so a key with many facts and versions meets itself bin by
+    bin. Versions of a key don't overlap, so that lists at most ``bins`` more of
+    them for each of these keys; every other version is listed once.
     """
     low, high = facts.agg(F.min(at), F.max(at)).first()  # one-row control value
     span = (high - low).total_seconds() if low is not None else 0
@@ -154,12 +158,21 @@ def as_of_join(facts: DataFrame, versions: DataFrame, on: dict[str, str], at: st
     if low is None:
         nothing = versions.select(*taken).limit(0)
         return facts.join(nothing, F.lit(False), "left").select(*facts.columns, *shown)
+    # at most a row for each ``many`` facts
+    large = facts.groupBy(*on).agg(F.count(at).alias("_n")).filter(F.col("_n") > many)
+    large = F.broadcast(large.select(*[F.col(f).alias(f"_l{i}") for i, f in enumerate(on)], F.lit(True).alias("_large")))
+    is_large = lambda names: [F.col(c).eqNullSafe(F.col(f"_l{i}")) for i, c in enumerate(names)]
     start, end = F.col("effective_from"), F.col("effective_to")
     ever = versions.filter((start <= ntz(high)) & (end.isNull() | (end > ntz(low))))
+    listed = ever.select(*keys, *taken, start.alias("_from"), end.alias("_to"))
+    start, end = F.col("_from"), F.col("_to")
     first = F.greatest(number(start), F.lit(0))
     last = F.when(end.isNull() | (end > ntz(high)), number(ntz(high))).otherwise(number(end))
-    listed = ever.select(*keys, *taken, start.alias("_from"), end.alias("_to"), F.explode(F.sequence(first, last)).alias("_vbin"))
-    own = facts.withColumn("_bin", number(F.col(at)))
+    under = F.when(F.col("_large"), F.sequence(first, last)).otherwise(F.array(F.lit(0).cast("long")))
+    listed = listed.join(large, is_large([f"_k{i}" for i in range(len(on))]), "left")
+    listed = listed.withColumn("_vbin", F.explode(under)).drop("_large", *[f"_l{i}" for i in range(len(on))])
+    own = facts.join(large, is_large(on), "left")
+    own = own.withColumn("_bin", F.when(F.col("_large"), number(F.col(at))).otherwise(0)).select(*facts.columns, "_bin")
     met = [F.col(f).eqNullSafe(F.col(f"_k{i}")) for i, f in enumerate(on)]
     open_then = (F.col("_from") <= F.col(at)) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
     joined = own.join(listed, [*met, F.col("_bin") == F.col("_vbin"), open_then], "left")

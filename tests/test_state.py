@@ -275,6 +275,27 @@ def test_as_of_join_equals_brute_force(spark, capsys):
     assert scd2.as_of_join(f, v.limit(0), {"k": "key"}, "t", {"v": "v"}).filter("v IS NOT NULL").count() == 0
 
 
+def test_as_of_join_lists_versions_of_small_keys_once(spark):
+    at = lambda h: DAY + dt.timedelta(hours=h)
+    versions = [(k, v, at(10 * v), at(10 * v + 10) if v < 9 else None) for k in ("hot", "cold", None) for v in range(10)]
+    facts = [(i, "hot", at(i)) for i in range(100)] + [(100 + i, k, at(i)) for k in ("cold", None) for i in range(0, 100, 50)]
+    f = spark.createDataFrame(facts, "i int, k string, t timestamp_ntz")
+    v = spark.createDataFrame(versions, "key string, v int, effective_from timestamp_ntz, effective_to timestamp_ntz")
+
+    def listed(many):
+        out = scd2.as_of_join(f, v, {"k": "key"}, "t", {"v": "v"}, 20, many)
+        rows = sorted((r["i"], r["k"] or "", r["v"]) for r in out.collect())
+        assert rows == sorted((i, k or "", min(9, int((t - DAY).total_seconds() // 36000))) for i, k, t in facts)
+        plan = out._jdf.queryExecution().optimizedPlan()
+        join = plan.children().head() if plan.nodeName() == "Project" else plan
+        right = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, join.right())
+        return right.count()
+
+    # no key is large: each version once; one is: its versions also under the bins they go on in
+    assert listed(1000) == len(versions)
+    assert len(versions) < listed(50) <= len(versions) + 20
+
+
 # --- landing ---------------------------------------------------------------------------------
 
 
