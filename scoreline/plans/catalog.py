@@ -73,6 +73,12 @@ RECENT_N, TOP_N = 12, 8
 SHOWN_GROUP = "AFRICA"
 
 
+def _raw(spark, sf_dir):
+    """The raw matches, for what is built from them twice: joined once per application and input folder, and stored."""
+    path = _once(spark, sf_dir, "raw_matches", lambda p: derive.raw_matches(spark, sf_dir).write.parquet(p))
+    return spark.read.parquet(path)
+
+
 def _silver(spark, sf_dir):
     """The silver matches table, built from the raw tables once per application
     and input folder and stored in the shared folder; gold and serving read it,
@@ -378,8 +384,8 @@ def _latest(spark, sf_dir):
 
 def _landed(spark, sf_dir):
     def build(path):
-        src = get_source("snapshot")(spark, sf_dir)
-        raw = derive.raw_matches(spark, sf_dir)
+        raw = _raw(spark, sf_dir)
+        src = get_source("snapshot")(spark, sf_dir, raw)
         landing.write_payload(
             path, *BATCH_A, teams=src["teams"], stadiums=src["stadiums"], matches=derive.scheduled_matches(raw)
         )
@@ -743,7 +749,7 @@ def stream_standings_corrections(spark, sf_dir):
     first standings are taken back."""
 
     def build(root):
-        raw = derive.raw_matches(spark, sf_dir)
+        raw = _raw(spark, sf_dir)
         wrong = raw.withColumns(
             {
                 "home_score": F.col("away_score"),
@@ -754,7 +760,7 @@ def stream_standings_corrections(spark, sf_dir):
         )
         tables = Tables(spark, f"{root}/tables")
         for arrived in (wrong, raw):
-            arrived.write.mode("append").option("timestampNTZFormat", events_src.NTZ_FORMAT).json(f"{root}/in")
+            events_src.write_json(arrived, f"{root}/in")
             stream_standings_mod.run_standings(
                 spark, f"{root}/in", tables, f"{root}/ckpt", raw.schema, tiebreak=derive.MATCH_ORDER[1:]
             )
@@ -766,11 +772,11 @@ def stream_standings_corrections(spark, sf_dir):
 @query
 def stream_standings(spark, sf_dir):
     def build(root):
-        raw = derive.raw_matches(spark, sf_dir)
+        raw = _raw(spark, sf_dir)
         split = ntz(MATCH_SPLIT)
         tables = Tables(spark, f"{root}/tables")
         for arrived in (raw.filter(F.col("ingested_at") < split), raw.filter(F.col("ingested_at") >= split)):
-            arrived.write.mode("append").option("timestampNTZFormat", events_src.NTZ_FORMAT).json(f"{root}/in")
+            events_src.write_json(arrived, f"{root}/in")
             stream_standings_mod.run_standings(
                 spark, f"{root}/in", tables, f"{root}/ckpt", raw.schema, tiebreak=derive.MATCH_ORDER[1:]
             )

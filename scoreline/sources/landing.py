@@ -1,11 +1,13 @@
 """Landing payloads: JSON documents of (teams[], stadiums[], matches[], fetched_at, source_name).
 
 A batch is written as JSON-lines documents of at most ``rows_per_doc`` entity
-rows each, so neither writer nor reader ever holds a whole batch in one task,
-and the files stay splittable. Equal records are counted first and cut into
-pieces; pieces are dealt out by a hash of their content and number, and cut
-again at the bound, so the documents are the same whenever a task is computed
-again. Whole-file pretty-printed documents (one per file) are read with
+rows each, so neither writer nor reader ever holds a whole batch in one task.
+They are cut by the task that has the rows, whose files are committed as one, so
+nothing is shuffled; files are compressed and hold at most ``DOCS_PER_FILE``
+documents, as a reader can't split them. The documents of a group map are dealt
+out (see ``bounded``): equal records are counted first and cut into pieces;
+pieces are dealt out by a hash of their content and number, and cut again at
+the bound, so the documents are the same whenever a task is computed again. Whole-file pretty-printed documents (one per file) are read with
 ``multi_line=True``.
 
 A batch has a folder of its own, ``ingest_date=<day>/batch=<instant>-<source>``,
@@ -21,8 +23,12 @@ A malformed document ends the read, or is set aside where the reader is
 from __future__ import annotations
 
 import datetime as dt
+import sys
+from collections.abc import Iterator
 from urllib.parse import quote
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +38,12 @@ from scoreline.schemas import CORRUPT, GROUP_MAP_PAYLOAD, MATCH_FIELDS, PAYLOAD,
 from scoreline.session import scratch_path
 from scoreline.sources.io import folder_names, loose_files, partition_values, path_exists
 
+# Documents are cut on executors, which needn't have the package (see ``html_tables``).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ENTITIES = {"teams": TEAM_FIELDS, "stadiums": STADIUM_FIELDS, "matches": MATCH_FIELDS}
 ROWS_PER_DOC = 5000
+DOCS_PER_FILE = 64
 NO_GROUP = "\u0000"  # stands for a null group, since a map has no null key
 
 
@@ -65,13 +75,25 @@ def bounded(df: DataFrame, rows_per_doc: int) -> DataFrame:
     return dealt.withColumn("_doc", F.floor((F.row_number().over(w) - 1) / rows_per_doc)).select("_bucket", "_doc", *cols)
 
 
+def _lists(rows_per_doc: int):
+    """Cuts the rows of a task, batch by batch, into rows of one list each."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, rows_per_doc):
+                rows = b.slice(at, rows_per_doc).to_struct_array()
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(rows)], rows)], ["rows"])
+
+    return cut
+
+
 def _docs(df: DataFrame, entity: str, rows_per_doc: int) -> DataFrame:
-    """Bounded documents for one entity list."""
+    """Bounded documents for one entity list, cut where the rows are: nothing is sorted, counted or shuffled."""
     present = [c for c in ENTITIES[entity] if c in df.columns]
-    rows = bounded(df.select(*present), rows_per_doc)
-    lists = rows.groupBy("_bucket", "_doc").agg(F.collect_list(F.struct(*present)).alias(entity))
+    rows = df.select(*present)
+    kind = T.StructType([T.StructField("rows", T.ArrayType(rows.schema))])
     # The other two lists are absent from this document (null -> omitted in JSON).
-    return lists.select(entity)
+    return rows.mapInArrow(_lists(rows_per_doc), kind).select(F.col("rows").alias(entity))
 
 
 def batch_folder(spark: SparkSession, fetched_at: str, source_name: str) -> str:
@@ -87,7 +109,9 @@ def batch_folder(spark: SparkSession, fetched_at: str, source_name: str) -> str:
 def _write(docs: DataFrame, path: str, fetched_at: str, source_name: str) -> None:
     folder = batch_folder(docs.sparkSession, fetched_at, source_name)
     stamped = docs.withColumns({"fetched_at": F.lit(fetched_at), "source_name": F.lit(source_name)})
-    stamped.write.mode("overwrite").json(f"{path}/{folder}")
+    # compressed files can't be split, so they are bounded
+    w = stamped.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", DOCS_PER_FILE)
+    w.json(f"{path}/{folder}")
 
 
 def write_payload(

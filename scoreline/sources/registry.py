@@ -31,14 +31,16 @@ def names() -> list[str]:
 
 
 @register("snapshot")
-def snapshot_source(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Teams, stadiums and matches derived from the supplied tables."""
+def snapshot_source(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Teams, stadiums and matches derived from the supplied tables; the matches from ``raw`` ones, if they are stored."""
     from scoreline.plans import derive
 
+    if raw is None:
+        raw = derive.raw_matches(spark, sf_dir)
     return {
         "teams": derive.teams(spark, sf_dir),
         "stadiums": derive.stadiums(spark, sf_dir),
-        "matches": derive.landing_matches(derive.raw_matches(spark, sf_dir)),
+        "matches": derive.landing_matches(raw),
     }
 
 

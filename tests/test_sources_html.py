@@ -54,6 +54,24 @@ def test_documents_are_bounded_also_for_equal_records(spark):
     assert sum(sizes) == 12_000 and max(sizes) <= 500
 
 
+def test_documents_are_cut_without_a_shuffle_and_compressed(spark, capsys):
+    rows = spark.range(0, 3000, 1, 3).select(
+        F.concat(F.lit("T"), "id").alias("name"), F.when(F.col("id") % 7 > 0, F.col("id") % 5).cast("string").alias("group")
+    )
+    docs = landing._docs(rows, "teams", 400)
+    docs.explain("simple")
+    assert "Exchange" not in capsys.readouterr().out
+    assert max(len(r["teams"]) for r in docs.collect()) <= 400
+    path = scratch_path(spark, "t-cut")
+    landing.write_payload(path, "2026-06-01T00:00:00+00:00", "snapshot", rows_per_doc=10, teams=rows)
+    back = landing.explode_entity(landing.read_landing(spark, path), "teams").select("name", "group")
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+    files = [r["path"] for r in spark.read.format("binaryFile").load(f"{path}/*/*").select("path").collect()]
+    files = [f for f in files if "/part-" in f]
+    # a thousand rows a task: a hundred documents, over two files
+    assert len(files) == 6 and all(f.endswith(".json.gz") for f in files)
+
+
 def test_real_html_text_nesting_and_repeated_pages(spark):
     page = (
         '<table class="wikitable"><tr><th>No</th><th>Team</th></tr><tr><td>1</td><td>&nbsp;Chile</td></tr>'
