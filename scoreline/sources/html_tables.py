@@ -1,7 +1,7 @@
 """HTML tables -> rows, as a distributed job over a table of pages.
 
 ``extract`` is the only Python-per-partition step of the engine: a
-``mapInPandas`` that tokenizes each page (one compiled, possessive regular
+``mapInArrow`` that tokenizes each page (one compiled, possessive regular
 expression scanned with ``findall``, linear even on malformed pages;
 ``html.unescape`` for text and attribute values; script/style bodies
 skipped) and emits one row per ``<tr>``: (page_id, table_no, table_class, row_no,
@@ -23,9 +23,9 @@ import re
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreline.functions import FINISHED, has_class, strip_marker
@@ -158,22 +158,34 @@ def parse_tables(page: str | None) -> list[tuple]:
     return rows
 
 
-def _extract_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = HTML_ROWS.fieldNames()
-    for pdf in batches:
+_ROWS = pa.schema(
+    [
+        ("page_id", pa.int64()), ("fetch", pa.int64()), ("table_no", pa.int32()), ("table_class", pa.string()), ("row_no", pa.int32()),
+        *((c, pa.list_(pa.string())) for c in ("cells", "cell_tags", "cell_classes")),
+    ]
+)
+
+
+def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(_ROWS)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROWS)], schema=_ROWS)
+
+
+def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
         out = []
-        for page_id, fetch, html in zip(pdf["page_id"], pdf["fetch"], pdf["html"]):
+        for page_id, fetch, html in zip(*(c.to_pylist() for c in batch.columns)):
             out += [(page_id, fetch, *r) for r in parse_tables(html)]
             if len(out) >= 5000:  # a page at most beyond that at a time
-                yield pd.DataFrame(out, columns=cols)
+                yield _record_batch(out)
                 out = []
-        yield pd.DataFrame(out, columns=cols)
+        yield _record_batch(out)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """Every table row of every page (needs ``page_id`` and ``html``)."""
     fetched = pages.select(F.col("page_id").cast("long"), F.xxhash64("html").alias("fetch"), "html")
-    return fetched.mapInPandas(_extract_batches, HTML_ROWS)
+    return fetched.mapInArrow(_extract_batches, HTML_ROWS)
 
 
 def table_rows(rows: DataFrame) -> DataFrame:
@@ -188,25 +200,22 @@ def table_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def _tables_with_header(rows: DataFrame, words: tuple[str, ...]) -> DataFrame:
-    """(page_id, fetch, table_no) of wikitables having a ``th`` whose text contains any of ``words``."""
+def _body_rows(rows: DataFrame, words: tuple[str, ...]) -> DataFrame:
+    """Rows after the first, with at least two cells, of each wikitable having a ``th`` whose text contains any of ``words``.
+
+    A table's rows meet in one window, so the pages are read and parsed once.
+    """
     def hit(x):
         cond = F.lit(False)
         for w in words:
             cond = cond | x["cells"].contains(w)
         return (x["cell_tags"] == "th") & cond
 
-    flagged = rows.filter(has_class("table_class", TABLE_CLASS)).select(
-        "page_id", "fetch", "table_no", F.exists(F.arrays_zip("cells", "cell_tags"), hit).alias("hit")
-    )
-    return flagged.groupBy("page_id", "fetch", "table_no").agg(F.bool_or("hit").alias("hit")).filter("hit").drop("hit")
-
-
-def _body_rows(rows: DataFrame, words: tuple[str, ...]) -> DataFrame:
-    """Rows after the first of each qualifying table, with at least two cells."""
-    tables = _tables_with_header(rows, words)
-    body = rows.filter((F.col("row_no") > 0) & (F.size("cells") >= 2))
-    return body.join(tables, ["page_id", "fetch", "table_no"], "left_semi")
+    wiki = rows.filter(has_class("table_class", TABLE_CLASS) & F.col("page_id").isNotNull())
+    flagged = wiki.withColumn("hit", F.exists(F.arrays_zip("cells", "cell_tags"), hit))
+    table = Window.partitionBy("page_id", "fetch", "table_no")
+    found = flagged.withColumn("hit", F.bool_or("hit").over(table)).filter("hit").drop("hit")
+    return found.filter((F.col("row_no") > 0) & (F.size("cells") >= 2))
 
 
 def team_names(rows: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from scoreline.functions import lenient_int, strip_marker
 from scoreline.operators import bronze, silver
 from scoreline.schemas import TEAMS_RAW
 from scoreline.session import scratch_path
-from scoreline.sources import html_tables, landing
+from scoreline.sources import files, html_tables, landing
 from scoreline.sources.io import Tables, path_exists
 from scoreline.sources.registry import get_source, names
 
@@ -72,6 +72,23 @@ def test_documents_are_cut_without_a_shuffle_and_compressed(spark, capsys):
     assert len(files) == 6 and all(f.endswith(".json.gz") for f in files)
 
 
+def test_files_of_documents_are_spread_over_tasks(spark):
+    path = scratch_path(spark, "t-files")
+    df = spark.range(0, 400, 1, 1).select(F.concat(F.lit("d"), "id").alias("doc"))
+    files.write_documents(df, path, "doc")
+    found = files.read_files(spark, path, "part-*").select("path", "text").collect()
+    assert sorted(r["text"].strip() for r in found) == sorted(f"d{i}" for i in range(400))
+    tasks = {r["path"].rsplit("/", 1)[1][:10] for r in found}
+    assert len(tasks) > spark.sparkContext.defaultParallelism
+
+
+def test_pages_are_parsed_once(spark, capsys):
+    pages = spark.createDataFrame([(1, "x")], "page_id long, html string")
+    for names in (html_tables.team_names, html_tables.stadiums):
+        names(html_tables.extract(pages)).explain("simple")
+        assert capsys.readouterr().out.split("Initial Plan")[0].count("MapInArrow") == 1
+
+
 def test_real_html_text_nesting_and_repeated_pages(spark):
     page = (
         '<table class="wikitable"><tr><th>No</th><th>Team</th></tr><tr><td>1</td><td>&nbsp;Chile</td></tr>'
