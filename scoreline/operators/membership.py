@@ -59,6 +59,7 @@ def may_hold(index: DataFrame, keys: DataFrame, key: str, batch: str = "batch_id
     asked = keys.select(key).distinct()
     sized = F.array(*[F.struct(F.lit(b).cast("long").alias("bits"), _places(F.col(key), b).alias("places")) for b in sizes])
     probes = asked.select(key, F.inline(sized)).select(key, "bits", F.inline("places"))
-    met = probes.join(index.select(batch, "bits", "bucket", "bitmap"), ["bits", "bucket"])
+    # merged: neither the filters nor the probes go through the driver
+    met = probes.join(index.select(batch, "bits", "bucket", "bitmap").hint("merge"), ["bits", "bucket"])
     hits = met.filter(_is_set(F.col("bitmap"), F.col("bit"))).groupBy(key, batch).agg(F.count_distinct("k").alias("n"))
     return hits.filter(F.col("n") == HASHES).select(key, batch)

@@ -155,14 +155,15 @@ def settle(
     latest = deliveries.agg(F.max("ingested_at").alias("latest")).unionByName(last).agg(F.max("latest").alias("latest"))
     top = latest.first()["latest"] or EPOCH  # one-row control value
     late = F.coalesce(F.col("ingested_at") < ntz(top) - F.expr(f"INTERVAL {delay}"), F.lit(True))
-    known = firsts.select(F.col("event_id").alias("_id"))
+    # merged: the sizes of what is cached or packed tell too little of the ids, and a wrong guess would send them all to the driver
+    known = firsts.select(F.col("event_id").alias("_id")).hint("merge")
     in_time = first.filter(~late).join(known, F.col("event_id").eqNullSafe(F.col("_id")), "left_semi")
     doubtful = first.filter(late)
     if restamped:
         in_time, doubtful = in_time.limit(0), doubtful.unionByName(in_time)
     if before and not doubtful.isEmpty():
         where = candidate_batches(spark, out_path, doubtful.select("event_id"), before)
-        seen = read_batches(spark, out_path, EVENTS, where).select(F.col("event_id").alias("_seen"))
+        seen = read_batches(spark, out_path, EVENTS, where).select(F.col("event_id").alias("_seen")).hint("merge")
         doubtful = doubtful.join(seen, F.col("event_id").eqNullSafe(F.col("_seen")), "left_anti")
     return in_time.unionByName(doubtful), spark.createDataFrame([(top,)], MARKS)
 
