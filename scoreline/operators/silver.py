@@ -30,29 +30,31 @@ def typed_matches(bronze: DataFrame) -> DataFrame:
     )
 
 
-def with_meeting(matches: DataFrame, order: list[str]) -> DataFrame:
+def with_meeting(matches: DataFrame, order: list[str], within: list[str] | None = None) -> DataFrame:
     """Number the meetings of a pair that carry no matchday (scraped boxes): ``meeting`` is 0 where a matchday
     is known, else the row's number among those of its pair and stamp, in the order of the other columns.
 
-    A number that a row already has (from a stored silver table) stays.
+    A number that a row already has (from a stored silver table) stays. ``within``
+    names columns that follow from the pair, by which the rows are shuffled already.
     """
+    within = within or []
     if "meeting" not in matches.columns:
         matches = matches.withColumn("meeting", F.lit(None).cast("int"))
     known = F.col("matchday").isNotNull()
     done = matches.filter(known | F.col("meeting").isNotNull())
     done = done.withColumn("meeting", F.when(known, 0).otherwise(F.col("meeting")))
-    rest = [c for c in matches.columns if c not in ("home_team", "away_team", "matchday", "meeting", *order)]
-    w = Window.partitionBy("home_team", "away_team", order[0]).orderBy(*order[1:], *rest)
+    rest = [c for c in matches.columns if c not in ("home_team", "away_team", "matchday", "meeting", *order, *within)]
+    w = Window.partitionBy(*within, "home_team", "away_team", order[0]).orderBy(*order[1:], *rest)
     todo = matches.filter(~known & F.col("meeting").isNull()).withColumn("meeting", F.row_number().over(w))
     return done.unionByName(todo)
 
 
-def matches(bronze: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
-    """Latest row per (home_team, away_team, matchday, meeting), typed, with ``result``."""
+def matches(bronze: DataFrame, tiebreak: list[str] | None = None, within: list[str] | None = None) -> DataFrame:
+    """Latest row per (home_team, away_team, matchday, meeting), typed, with ``result``; ``within`` as in `with_meeting`."""
     t = typed_matches(bronze).withColumn("_ts", _order_ts())
     order = ["_ts"] + list(tiebreak or [])
-    t = with_meeting(t, order)
-    latest = keep_latest(t, ["home_team", "away_team", "matchday", "meeting"], order).drop("_ts")
+    t = with_meeting(t, order, within)
+    latest = keep_latest(t, [*(within or []), "home_team", "away_team", "matchday", "meeting"], order).drop("_ts")
     return latest.withColumn("result", match_result("status", "home_score", "away_score"))
 
 

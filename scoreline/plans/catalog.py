@@ -19,7 +19,7 @@ from scoreline.sources import files
 from scoreline.sources import html_tables
 from scoreline.sources import landing
 from scoreline.sources.buckets import Buckets
-from scoreline.sources.io import Tables
+from scoreline.sources.io import Tables, writer
 from scoreline.sources.registry import get_source
 from scoreline.streaming import events as stream_events
 from scoreline.streaming import progress as stream_progress
@@ -75,7 +75,7 @@ SHOWN_GROUP = "AFRICA"
 
 def _raw(spark, sf_dir):
     """The raw matches, for what is built from them twice: joined once per application and input folder, and stored."""
-    path = _once(spark, sf_dir, "raw_matches", lambda p: derive.raw_matches(spark, sf_dir).write.parquet(p))
+    path = _once(spark, sf_dir, "raw_matches", lambda p: writer(derive.raw_matches(spark, sf_dir), "parquet").save(p))
     return spark.read.parquet(path)
 
 
@@ -187,9 +187,10 @@ def scd2_history(spark, sf_dir):
 
     def build(root):
         t = Tables(spark, root)
+        runs = {cutoff: _standings(spark, sf_dir, cutoff) for cutoff in (CUT0, CUT1, None)}
         for batch, (cutoff, stamp) in enumerate(((CUT0, T0), (CUT1, T1), (None, T2), (None, T2)), start=1):
             batch = min(batch, 3)
-            incoming = _standings(spark, sf_dir, cutoff)
+            incoming = runs[cutoff]  # a run repeated starts from the same standings
             prev = t.snapshot_before("standings", batch)
             if prev is None:
                 table = scd2.initial(incoming, stamp)

@@ -16,7 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scoreline.sources.io import BUCKET, VERSION, Tables, bucket_folders, delete, partition_values, snapshot_id, version_ids
+from scoreline.sources.io import BUCKET, VERSION, Tables, bucket_folders, delete, partition_values, snapshot_id, version_ids, writer
+
+
+PART = "_part"
+DEALT = [BUCKET, PART]
 
 
 @dataclass
@@ -56,18 +60,30 @@ class Buckets:
         """The buckets that ``rows`` fall into: at most ``count`` numbers."""
         return {r["b"] for r in rows.select(self.number().alias("b")).distinct().collect()}
 
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with `DEALT`, shuffled by it: each task has whole keys and few buckets.
+
+        What groups by `DEALT` and the key needs no other shuffle, nor does the
+        write of an `upsert` whose ``build`` leaves `DEALT` in.
+        """
+        partitions = int(self.tables.spark.conf.get("spark.sql.shuffle.partitions"))
+        part = F.pmod(F.xxhash64(F.lit("part"), *self.keys), F.lit(max(1, -(-2 * partitions // self.count)))).cast("int")
+        return rows.withColumns({BUCKET: self.number(), PART: part}).repartition(*DEALT)
+
     def upsert(self, rows: DataFrame, batch_id: int, build: Callable[[DataFrame, DataFrame], DataFrame], schema: T.StructType) -> set[int]:
         """Write version ``batch_id``: ``build(old, rows)`` for the buckets that ``rows`` touch; returns those.
 
         ``old`` has all current rows of these buckets. What ``build`` gives must
-        lie in the same buckets.
+        lie in the same buckets; it may be `dealt` already.
         """
         touched = self.touched(rows)
         old = self.read(schema, before=batch_id, only=touched)
-        out = build(old, rows).select(*schema.fieldNames()).withColumn(BUCKET, self.number())
-        # few files a bucket, and a large one split over several tasks
-        w = out.hint("rebalance", BUCKET).write.mode("overwrite").format(self.tables.fmt).partitionBy(BUCKET)
-        w.save(f"{self.path}/{VERSION}={snapshot_id(batch_id)}")
+        built = build(old, rows)
+        if set(DEALT) <= set(built.columns):
+            out = built.select(*schema.fieldNames(), BUCKET)
+        else:  # few files a bucket, and a large one split over several tasks
+            out = built.select(*schema.fieldNames()).withColumn(BUCKET, self.number()).hint("rebalance", BUCKET)
+        writer(out, self.tables.fmt).partitionBy(BUCKET).save(f"{self.path}/{VERSION}={snapshot_id(batch_id)}")
         return touched
 
     def retain(self, before: int) -> int:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,6 +97,12 @@ def bucket_folders(spark: SparkSession, path: str, before: int | None = None, on
     return out
 
 
+def writer(df: DataFrame, fmt: str, mode: str = "overwrite") -> DataFrameWriter:
+    """A writer of ``fmt``; Parquet is packed by zstd, a third smaller than Spark's default."""
+    w = df.write.mode(mode).format(fmt)
+    return w.option("compression", "zstd") if fmt == "parquet" else w
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
@@ -106,7 +112,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -
     """Write ``df`` as batch ``batch_id`` of an append table, in place of what that batch wrote before."""
     obs = Observation(f"batch_{batch_id}")
     out = df.drop(BATCH).observe(obs, F.count(F.lit(1)).alias("rows"))
-    out.write.mode("overwrite").format(fmt).save(f"{path}/{BATCH}={snapshot_id(batch_id)}")
+    writer(out, fmt).save(f"{path}/{BATCH}={snapshot_id(batch_id)}")
     return int(obs.get["rows"])
 
 
@@ -174,7 +180,7 @@ class Tables:
     def append(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> int:
         """Append ``df``; returns the number of rows written (observed in the write job)."""
         obs = Observation(f"append_{name}")
-        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").format(self.fmt)
+        w = writer(df.observe(obs, F.count(F.lit(1)).alias("rows")), self.fmt, "append")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(self.path(name))
@@ -191,7 +197,7 @@ class Tables:
         """Write ``df`` as snapshot ``batch_id`` of table ``name``; returns rows written."""
         check_schema(df, schema, name)
         obs = Observation(f"overwrite_{name}_{batch_id}")
-        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(self.fmt)
+        w = writer(df.observe(obs, F.count(F.lit(1)).alias("rows")), self.fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(f"{self.path(name)}/{SNAPSHOT}={snapshot_id(batch_id)}")

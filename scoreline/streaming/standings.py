@@ -40,7 +40,7 @@ from scoreline.operators import quality, scd2, silver, standings
 from scoreline.schemas import STANDINGS_COMPARE, STANDINGS_KEYS
 from scoreline.session import scratch_path
 from scoreline.sources.events import NTZ_FORMAT
-from scoreline.sources.buckets import Buckets
+from scoreline.sources.buckets import DEALT, Buckets
 from scoreline.sources.io import Tables, batch_ids, snapshot_id
 
 BRONZE, SILVER, STANDINGS, METRICS = "stream_bronze_matches", "stream_silver_matches", "stream_standings", "stream_metrics"
@@ -93,7 +93,7 @@ def refresh(tables: Tables, tiebreak: Sequence[str] = (), buckets: int = 64, onl
 
         def newest(old: DataFrame, new: DataFrame) -> DataFrame:
             known = old.select(*names, "meeting")
-            return silver.matches(known.unionByName(new, allowMissingColumns=True), list(tiebreak))
+            return silver.matches(store.dealt(known.unionByName(new, allowMissingColumns=True)), list(tiebreak), DEALT)
 
         touched = store.upsert(silver.typed_matches(arrived), batch_id, newest, shape)
         old = store.read(shape, before=batch_id, only=touched)

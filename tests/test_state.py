@@ -13,7 +13,7 @@ from scoreline.schemas import EVENTS
 from scoreline.session import scratch_path
 from scoreline.sources import events as events_src
 from scoreline.sources import files, landing
-from scoreline.sources.buckets import Buckets
+from scoreline.sources.buckets import DEALT, Buckets
 from scoreline.sources.io import Tables, batch_ids, path_exists, read_batches, write_batch
 from scoreline.streaming import events as stream_events
 from scoreline.streaming import progress
@@ -78,6 +78,34 @@ def test_stored_events_are_read_for_late_deliveries_only(spark, monkeypatch):
     assert path_exists(spark, f"{root}/ck/s/state/0/0")
 
 
+def test_ids_are_not_sent_to_the_driver(spark, capsys):
+    root = scratch_path(spark, "t-settle")
+    rows = spark.createDataFrame([event("e1", 0), event("e2", 9), event("e3", 9)], EVENTS)
+    write_batch(rows.limit(1), f"{root}/silver", 0)
+    new, _ = stream_events.settle(rows, rows.select("event_id"), f"{root}/silver", 1, "2 days")
+    assert sorted(r["event_id"] for r in new.collect()) == ["e2", "e3"]
+    new.explain("simple")
+    assert "Broadcast" not in capsys.readouterr().out
+
+
+def test_a_dealt_batch_is_shuffled_once(spark, capsys):
+    tables = Tables(spark, scratch_path(spark, "t-dealt"))
+    store = Buckets(tables, "matches", ["home_team", "away_team"], 4)
+    shape = "home_team string, away_team string, home_score int, away_score int, group string, matchday int, status string, ingested_at timestamp_ntz"
+    rows = spark.createDataFrame(
+        [("A", "B", 1, 0, "G", m, "finished", DAY) for m in (1, 1, 2, None)] + [(None, "B", 1, 0, "G", 1, "finished", DAY)], shape
+    )
+    plain = silver.matches(rows)
+    dealt = silver.matches(store.dealt(rows), None, DEALT)
+    assert sorted(map(str, dealt.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    dealt.explain("simple")
+    out = capsys.readouterr().out.split("Initial Plan")[0]
+    assert out.count("Exchange hashpartitioning") == out.count("REPARTITION_BY_COL") > 0  # by bucket and part only
+    store.upsert(rows, 0, lambda old, new: silver.matches(store.dealt(new), None, DEALT), plain.schema)
+    stored = store.read(plain.schema).select(*plain.columns)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_restamped_and_unstamped_deliveries(spark):
     root = scratch_path(spark, "t-restamped")
     deliver(spark, root, [event("e1", 0), event("e1", 1), event("e2", None), event(None, 0)], restamped=True)
