@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ def partitions(spark: SparkSession) -> int:
 
 
 def map_texts(df: DataFrame, schema: StructType | str, each: Callable[[list, list], dict]) -> DataFrame:
-    """Apply ``each(ids, texts) -> columns`` to (id, text) rows, a few MB of text at a time."""
+    """Apply ``each(ids, texts) -> columns`` to (id, text) rows, a MB of text at a time."""
     types = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,24 +62,25 @@ def map_texts(df: DataFrame, schema: StructType | str, each: Callable[[list, lis
     return df.select("id", "text").mapInArrow(run, schema)
 
 
-def sliced(batches: Iterable[pa.RecordBatch], max_chars: int = 4_000_000) -> Iterator[tuple[list, list]]:
-    """Lists of ids and texts; a slice ends once its texts reach ``max_chars``."""
+def sliced(batches: Iterable[pa.RecordBatch], max_bytes: int = 1_000_000) -> Iterator[tuple[list, list]]:
+    """Lists of ids and texts; a slice ends once its texts reach ``max_bytes``.
+
+    Only a slice's texts become Python strings, not those of the whole batch.
+    """
     for b in batches:
-        ids, texts = b.column("id").to_pylist(), b.column("text").to_pylist()
+        ids, texts = b.column("id"), b.column("text")
         start = size = 0
-        for i, t in enumerate(texts):
-            size += len(t) if t else 0
-            if size >= max_chars:
-                yield ids[start : i + 1], texts[start : i + 1]
+        for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+            size += n or 0
+            if size >= max_bytes or i + 1 == len(texts):
+                yield ids.slice(start, i + 1 - start).to_pylist(), texts.slice(start, i + 1 - start).to_pylist()
                 start, size = i + 1, 0
-        if start < len(ids):
-            yield ids[start:], texts[start:]
 
 
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, remembered; forgets everything when too large."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 

@@ -117,6 +117,13 @@ def sketches_of(t: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(-1, WORDS)
 
 
+def sets_of(t: pa.Table) -> list[np.ndarray]:
+    """The shingle sets of the rows, as views of the table's numbers."""
+    column = t.column("shingles").combine_chunks()
+    at, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return [values[s:e] for s, e in zip(at, at[1:])]
+
+
 def blocked(df: DataFrame, key: str, size: str, node: str, block: int) -> DataFrame:
     """A row for each pair of blocks that a row's block belongs to: columns i <= j and mine.
 
@@ -142,7 +149,9 @@ def propose(members: DataFrame, least: float) -> DataFrame:
             if t.num_rows == 2:
                 pairs = [(0, 1)] if estimate(s[0], s[1]) >= least else []
             else:
-                similar = np.stack([estimate(x, s) for x in s])
+                similar = np.empty((len(s), len(s)), np.float32)
+                for k, x in enumerate(s):
+                    similar[k] = estimate(x, s)
                 mine, i, j = t.column("mine").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
                 if i != j:
                     similar[mine[:, None] == mine[None, :]] = -2.0
@@ -172,7 +181,7 @@ def complete(members: DataFrame, least: float, percent: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["fam", "i", "j"]):
             s, comp, mine = sketches_of(t), t.column("comp").to_numpy(), t.column("mine").to_numpy()
-            sets = [np.array(x, np.int64) for x in t.column("shingles").to_pylist()]
+            sets = sets_of(t)
             sizes = np.array([len(x) for x in sets])
             cross = t.column("i")[0].as_py() != t.column("j")[0].as_py()
             root = {int(c): int(c) for c in comp}

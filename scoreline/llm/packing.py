@@ -46,7 +46,7 @@ class Encoder:
     to it whole.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 100_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
