@@ -11,8 +11,9 @@ match events are derived from it by fixed rules (documented in FIXTURES.md):
 
 Join order is chosen so the line-item-sized side is shuffled as few times as
 possible: customer⋈(nation⋈region) and orders⋈customer are order-sized, and the
-fact side then meets part, supplier and orders. No join is hinted: AQE
-broadcasts what its runtime size check admits.
+fact side then meets part, orders and supplier. Suppliers are broadcast up to
+a number of rows; no other join is hinted: AQE broadcasts what its runtime size
+check admits.
 """
 
 from __future__ import annotations
@@ -55,6 +56,11 @@ def nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """``df``, of narrow rows, with a broadcast hint if it has at most ``max_rows`` of them (some 50 MB)."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed raw match rows with repeats (the append-only bronze picture)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -70,11 +76,11 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_side = orders.join(cust_region, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "o_orderstatus", "c_name", "r_name"
     )
-    # the short columns first: the fact side is at its widest in the last join's shuffle only
+    # the fact side is shuffled for parts and orders; supplier names join it after that, from a copy in each executor
     j = (
         li.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(order_side, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(broadcast_if_small(supp), F.col("l_suppkey") == F.col("s_suppkey"))
     )
     scheduled = F.col("o_orderstatus") == "O"
     status = F.when(F.col("o_orderstatus") == "F", STATUS_OF_ORDER["F"]).when(
