@@ -43,19 +43,30 @@ def with_meeting(matches: DataFrame, order: list[str], within: list[str] | None
     known = F.col("matchday").isNotNull()
     done = matches.filter(known | F.col("meeting").isNotNull())
     done = done.withColumn("meeting", F.when(known, 0).otherwise(F.col("meeting")))
+    return done.unionByName(_numbered(matches.filter(~known & F.col("meeting").isNull()), order, within))
+
+
+def _numbered(matches: DataFrame, order: list[str], within: list[str]) -> DataFrame:
+    """Matches without a matchday, numbered among those of their pair and stamp."""
     rest = [c for c in matches.columns if c not in ("home_team", "away_team", "matchday", "meeting", *order, *within)]
     w = Window.partitionBy(*within, "home_team", "away_team", order[0]).orderBy(*order[1:], *rest)
-    todo = matches.filter(~known & F.col("meeting").isNull()).withColumn("meeting", F.row_number().over(w))
-    return done.unionByName(todo)
+    return matches.withColumn("meeting", F.row_number().over(w))
 
 
 def matches(bronze: DataFrame, tiebreak: list[str] | None = None, within: list[str] | None = None) -> DataFrame:
     """Latest row per (home_team, away_team, matchday, meeting), typed, with ``result``; ``within`` as in `with_meeting`."""
     t = typed_matches(bronze).withColumn("_ts", _order_ts())
     order = ["_ts"] + list(tiebreak or [])
-    t = with_meeting(t, order, within)
-    latest = keep_latest(t, [*(within or []), "home_team", "away_team", "matchday", "meeting"], order).drop("_ts")
-    return latest.withColumn("result", match_result("status", "home_score", "away_score"))
+    keys = [*(within or []), "home_team", "away_team", "matchday", "meeting"]
+    if "meeting" in t.columns or within:
+        latest = keep_latest(with_meeting(t, order, within), keys, order)
+    else:
+        # matches with a matchday and those without share no key; the latter are shuffled once, by pair, for both steps
+        known = F.col("matchday").isNotNull()
+        pairs = t.filter(~known).repartition("home_team", "away_team")
+        latest = keep_latest(t.filter(known).withColumn("meeting", F.lit(0)), keys, order)
+        latest = latest.unionByName(keep_latest(_numbered(pairs, order, []), keys, order))
+    return latest.drop("_ts").withColumn("result", match_result("status", "home_score", "away_score"))
 
 
 def stadiums(bronze: DataFrame) -> DataFrame:

@@ -625,7 +625,7 @@ def _pages(spark, sf_dir, kind):
         "stadium": lambda: pages.stadium_pages(spark, sf_dir),
         "match": lambda: pages.match_pages(_silver(spark, sf_dir)),
     }[kind]
-    path = _once(spark, sf_dir, f"pages_{kind}", lambda p: pages.with_supplied(spark, sf_dir, render()).write.parquet(p))
+    path = _once(spark, sf_dir, f"pages_{kind}", lambda p: writer(pages.with_supplied(spark, sf_dir, render()), "parquet").save(p))
     return spark.read.parquet(path)
 
 

@@ -102,25 +102,30 @@ def match_pages(matches: DataFrame) -> DataFrame:
     """Match boxes, about ``ROWS_PER_PAGE`` per page (content-hash pages, so a
     recomputed task rebuilds the same pages); a box of a match without a score
     has no score cell."""
-    h, a = F.col("home_score"), F.col("away_score")
-    score = F.when(
-        h.isNotNull() & a.isNotNull(),
-        F.concat(F.lit('<th class="fscore">'), h.cast("string"), F.lit("–"), a.cast("string"), F.lit("</th>")),
-    ).otherwise(F.lit(""))
-    box = F.concat(
-        F.lit('<table class="footballbox"><tr><th class="fhome">'),
-        esc(F.col("home_team")),
-        F.lit("</th>"),
-        score,
-        F.lit('<th class="faway">'),
-        esc(F.col("away_team")),
-        F.lit("</th></tr></table>"),
-    )
+
+    def box(m: Column) -> Column:
+        h, a = m["home_score"], m["away_score"]
+        score = F.when(
+            h.isNotNull() & a.isNotNull(),
+            F.concat(F.lit('<th class="fscore">'), h.cast("string"), F.lit("–"), a.cast("string"), F.lit("</th>")),
+        ).otherwise(F.lit(""))
+        return F.concat(
+            F.lit('<table class="footballbox"><tr><th class="fhome">'),
+            esc(m["home_team"]),
+            F.lit("</th>"),
+            score,
+            F.lit('<th class="faway">'),
+            esc(m["away_team"]),
+            F.lit("</th></tr></table>"),
+        )
+
     keyed = matches.select(
         chunk_key(matches, ROWS_PER_PAGE, ["home_team", "away_team", "matchday"]),
-        F.struct("matchday", "home_team", "away_team", box.alias("html")).alias("r"),
+        F.struct("matchday", "home_team", "away_team", "home_score", "away_score").alias("r"),
     )
-    pages = keyed.groupBy("_chunk").agg(_page(_join_sorted("r", "html")).alias("html"))
+    # the rows are shuffled as they are, boxes are written from them where a page is put together
+    boxes = F.transform(F.sort_array(F.collect_list("r")), box)
+    pages = keyed.groupBy("_chunk").agg(_page(F.array_join(boxes, "")).alias("html"))
     return pages.select(  # two pages have one id, as two crawls of a page would
         (F.floor(F.col("_chunk") / 2) + MATCH_PAGE_BASE).alias("page_id"),
         F.lit("https://example.org/matches").alias("url"),
