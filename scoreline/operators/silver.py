@@ -24,10 +24,9 @@ def teams(bronze: DataFrame) -> DataFrame:
 
 
 def typed_matches(bronze: DataFrame) -> DataFrame:
-    """Lenient int typing of scores and matchday (junk -> null)."""
-    return bronze.withColumns(
-        {c: lenient_int(c) for c in ("home_score", "away_score", "matchday") if c in bronze.columns}
-    )
+    """Lenient int typing of scores and matchday (junk -> null); what is an int already stays as it is."""
+    text = [c for c, kind in bronze.dtypes if c in ("home_score", "away_score", "matchday") and kind != "int"]
+    return bronze.withColumns({c: lenient_int(c) for c in text})
 
 
 def with_meeting(matches: DataFrame, order: list[str], within: list[str] | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from scoreline.functions import lenient_int, ntz
 from scoreline.operators import bronze, gold, quality, scd2, serving, silver, standings
 from scoreline.plans import derive, pages
 from scoreline.schemas import EVENTS, STADIUMS_RAW, STANDINGS_COMPARE, STANDINGS_KEYS, TEAMS_RAW
-from scoreline.session import scratch_path
+from scoreline.session import SHUFFLES_GO, scratch_path, settings
 from scoreline.sources import events as events_src
 from scoreline.sources import files
 from scoreline.sources import html_tables
@@ -75,8 +75,12 @@ SHOWN_GROUP = "AFRICA"
 
 def _raw(spark, sf_dir):
     """The raw matches, for what is built from them twice: joined once per application and input folder, and stored."""
-    path = _once(spark, sf_dir, "raw_matches", lambda p: writer(derive.raw_matches(spark, sf_dir), "parquet").save(p))
-    return spark.read.parquet(path)
+
+    def build(path):
+        with settings(spark, SHUFFLES_GO):
+            writer(derive.raw_matches(spark, sf_dir), "parquet").save(path)
+
+    return spark.read.parquet(_once(spark, sf_dir, "raw_matches", build))
 
 
 def _silver(spark, sf_dir):

@@ -108,11 +108,20 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> int:
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files below ``path``."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", partition_by: list[str] | None = None) -> int:
     """Write ``df`` as batch ``batch_id`` of an append table, in place of what that batch wrote before."""
     obs = Observation(f"batch_{batch_id}")
     out = df.drop(BATCH).observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer(out, fmt).save(f"{path}/{BATCH}={snapshot_id(batch_id)}")
+    w = writer(out, fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(f"{path}/{BATCH}={snapshot_id(batch_id)}")
     return int(obs.get["rows"])
 
 
@@ -169,10 +178,12 @@ class Tables:
             path_exists(self.spark, f"{p}/{marker}") for marker in ("_SUCCESS", "_spark_metadata")
         )
 
-    def append_batch(self, df: DataFrame, name: str, batch_id: int, schema: T.StructType | None = None) -> int:
+    def append_batch(
+        self, df: DataFrame, name: str, batch_id: int, schema: T.StructType | None = None, partition_by: list[str] | None = None
+    ) -> int:
         """Append ``df`` as batch ``batch_id`` (a rerun replaces it); returns rows written."""
         check_schema(df, schema, name)
-        return write_batch(df, self.path(name), batch_id, self.fmt)
+        return write_batch(df, self.path(name), batch_id, self.fmt, partition_by)
 
     def read_batches(self, name: str, schema: T.StructType, ids: list[int] | None = None) -> DataFrame:
         return read_batches(self.spark, self.path(name), schema, ids, self.fmt)

@@ -2,7 +2,8 @@
 
 Each micro-batch (``foreachBatch``) does work that follows what it brings:
 
-* bronze: its rows, as a batch folder;
+* bronze: its rows, as a batch folder, by bucket of matches (a table that began
+  without buckets goes on so);
 * silver: the buckets of matches that its rows fall into are rewritten
   (keep-latest over their current rows and the new ones, see ``Buckets``);
 * totals: what the old rows of these buckets gave each (group, team) is taken
@@ -38,10 +39,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from scoreline.operators import quality, scd2, silver, standings
 from scoreline.schemas import STANDINGS_COMPARE, STANDINGS_KEYS
-from scoreline.session import scratch_path
+from scoreline.session import SHUFFLES_GO, scratch_path, settings
 from scoreline.sources.events import NTZ_FORMAT
-from scoreline.sources.buckets import DEALT, Buckets
-from scoreline.sources.io import Tables, batch_ids, snapshot_id
+from scoreline.sources.buckets import Buckets
+from scoreline.sources.io import BATCH, BUCKET, Tables, batch_ids, loose_files, partition_values, snapshot_id
 
 BRONZE, SILVER, STANDINGS, METRICS = "stream_bronze_matches", "stream_silver_matches", "stream_standings", "stream_metrics"
 TOTALS = "stream_standings_totals"
@@ -75,9 +76,17 @@ def refresh(tables: Tables, tiebreak: Sequence[str] = (), buckets: int = 64, onl
     store = Buckets(tables, SILVER, BUCKET_KEYS, buckets)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        names = batch.columns
-        if tables.append_batch(batch, BRONZE, batch_id) == 0:
-            return
+        with settings(tables.spark, SHUFFLES_GO):
+            settle(batch, batch_id)
+
+    def settle(batch: DataFrame, batch_id: int) -> None:
+        names, spark, bronze = batch.columns, tables.spark, tables.path(BRONZE)
+        folder = lambda i: f"{bronze}/{BATCH}={snapshot_id(i)}"
+        by_bucket = not any(loose_files(spark, folder(i)) for i in batch_ids(spark, bronze)[:1])
+        with store.spread(batch.sparkSession):
+            landed = batch.withColumn(BUCKET, store.number()) if by_bucket else batch
+            if tables.append_batch(landed, BRONZE, batch_id, partition_by=[BUCKET] if by_bucket else None) == 0:
+                return
         shape = silver_schema(batch, tiebreak)
         earlier = tables.read_batches(METRICS, METRICS_SCHEMA, [i for i in batch_ids(tables.spark, tables.path(METRICS)) if i < batch_id])
         last = earlier.orderBy(F.desc("batch_id")).first()  # one row a batch
@@ -93,9 +102,17 @@ def refresh(tables: Tables, tiebreak: Sequence[str] = (), buckets: int = 64, onl
 
         def newest(old: DataFrame, new: DataFrame) -> DataFrame:
             known = old.select(*names, "meeting")
-            return silver.matches(store.dealt(known.unionByName(new, allowMissingColumns=True)), list(tiebreak), DEALT)
-
-        touched = store.upsert(silver.typed_matches(arrived), batch_id, newest, shape)
+            return silver.matches(known.unionByName(new, allowMissingColumns=True), list(tiebreak))
+
+        if by_bucket:
+            came: dict[int, list[str]] = {}
+            for i in pending:
+                for b in partition_values(spark, folder(i), BUCKET):
+                    came.setdefault(int(b), []).append(f"{folder(i)}/{BUCKET}={b}")
+            landed_in = lambda folders: spark.read.schema(batch.schema).format(tables.fmt).load(folders)
+            touched = store.merge(came, lambda folders: silver.typed_matches(landed_in(folders)), batch_id, newest, shape)
+        else:
+            touched = store.upsert(silver.typed_matches(arrived), batch_id, newest, shape)
         old = store.read(shape, before=batch_id, only=touched)
         new = store.read(shape, before=batch_id + 1, only=touched)
 

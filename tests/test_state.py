@@ -234,6 +234,57 @@ def test_the_gate_stands_before_the_work(spark):
     assert [r["settled"] for r in tables.read("stream_metrics").orderBy("batch_id").collect()] == [False, True, True, False]
 
 
+def test_stored_matches_and_new_ones_are_merged_without_a_shuffle(spark, monkeypatch):
+    built, rng, key = [], random.Random(5), lambda r: str(tuple(r))
+    real = silver.matches
+    monkeypatch.setattr(silver, "matches", lambda *a, **k: built.append(real(*a, **k)) or built[-1])
+    # buckets by themselves, and each in parts
+    monkeypatch.setattr(Buckets, "tasks", lambda self, sizes, bounds: [([b], p, 2) for b in sorted(sizes) for p in range(2)])
+    tables = Tables(spark, scratch_path(spark, "t-merged"))
+    run = stream_standings.refresh(tables, buckets=4)
+    batches = [spark.createDataFrame([random_match(rng, day) for _ in range(40)], MATCH) for day in range(2)]
+    for i, df in enumerate(batches):
+        built.clear()
+        run(df, i)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in built[1:]]  # the first one is for its columns
+    assert len(plans) == 8 and not any("Exchange" in p for p in plans)
+    files = spark.read.parquet(tables.path("stream_silver_matches") + "/version=000000000001").selectExpr("_metadata.file_path f")
+    assert files.distinct().count() > 4  # tasks of their own
+    stored = stream_standings.silver_matches(tables, batches[0].schema, buckets=4).filter("matchday IS NOT NULL")
+    direct = real(batches[0].unionByName(batches[1]).filter("matchday IS NOT NULL")).select(*stored.columns)
+    assert sorted(stored.collect(), key=key) == sorted(direct.collect(), key=key)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_buckets_are_dealt_to_tasks_by_size(spark):
+    store = Buckets(Tables(spark, scratch_path(spark, "t-tasks")), "matches", ["home_team"], 4)
+    assert store.tasks({}) == []
+    one, large = [([0], 0, 1), ([1, 2], 0, 1)], [([3], p, 3) for p in range(3)]
+    assert sorted(store.tasks({0: 100, 1: 10, 2: 10, 3: 250}, (100, 100))) == sorted(one + large)
+
+
+def test_bronze_that_began_without_buckets_goes_on_so(spark):
+    tables = Tables(spark, scratch_path(spark, "t-flat"))
+    match = lambda h, a, d: (h, a, 1, 0, "G", d, "S", "finished", None, DAY + dt.timedelta(days=d))
+    tables.append_batch(spark.createDataFrame([match("A", "B", 1)], MATCH), "stream_bronze_matches", 0)  # landed, not settled
+    run = stream_standings.refresh(tables, buckets=4)
+    for _ in range(2):
+        run(spark.createDataFrame([match("B", "C", 2)], MATCH), 1)
+        bronze = tables.read("stream_bronze_matches")
+        assert bronze.count() == 2 and "bucket" not in bronze.columns
+        assert {(r["team"], r["points"]) for r in stream_standings.current(tables).collect()} == {("A", 3), ("B", 3), ("C", 0)}
+
+
+def test_shuffle_files_of_a_batch_go_with_it(spark):
+    keys = ["spark.sql.classic.shuffleDependency.fileCleanup.enabled"]
+    seen, tables = [], Tables(spark, scratch_path(spark, "t-go"))
+    real = tables.append_batch
+    tables.append_batch = lambda *a, **k: seen.append([spark.conf.get(c, None) for c in keys]) or real(*a, **k)
+    before = [spark.conf.get(c, None) for c in keys]
+    stream_standings.refresh(tables, buckets=4)(spark.createDataFrame([("A", "B", 1, 0, "G", 1, "S", "finished", None, DAY)], MATCH), 0)
+    assert seen and all(s == ["true"] for s in seen) and [spark.conf.get(c, None) for c in keys] == before
+
+
 # --- ranks by ranges ---------------------------------------------------------------------
 
 
